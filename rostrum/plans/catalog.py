@@ -9,8 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..operators import roster as R
 from ..operators.ages import clean_ages
-from . import inputs, oracle_ages
+from . import inputs, oracle_ages, oracle_roster
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +44,43 @@ def q_age_a6(spark, sf):
     return clean_ages(inputs.age_text(spark, sf), "simple120")
 
 
+# --------------------------------- roster -----------------------------------
+def _roster(spark, sf, profile):
+    return R.standardize_roster(inputs.roster_cells(spark, sf), profile)
+
+
+def q_roster_header_rows(spark, sf):
+    hr = R.detect_header_rows(inputs.roster_cells(spark, sf))
+    return hr.select("workbook", "sheet", (F.col("header_row") + 1).alias("header_row_number"))
+
+
+def q_roster_header_map(spark, sf):
+    cells = inputs.roster_cells(spark, sf)
+    hm = R.build_header_map(cells, R.detect_header_rows(cells))
+    return hm.select("workbook", "sheet", "col_idx", "header_text", "dup_n")
+
+
+def _column_map_query(profile):
+    def run(spark, sf):
+        cells = inputs.roster_cells(spark, sf)
+        hm = R.build_header_map(cells, R.detect_header_rows(cells))
+        cmap = R.build_column_map(hm, R.data_cells(cells, hm), profile)
+        return cmap.select("workbook", "std_name", "original_header", "base", "slot")
+    return run
+
+
+def _wide_query(profile):
+    return lambda spark, sf: _roster(spark, sf, profile).wide
+
+
+def _dedupe_query(profile):
+    return lambda spark, sf: _roster(spark, sf, profile).combined
+
+
+def _audit_query(profile):
+    return lambda spark, sf: _roster(spark, sf, profile).audit
+
+
 QUERIES: dict[str, Query] = {
     "age_a1_label_map": q_age_a1,
     "age_a2_phrase": q_age_a2,
@@ -48,6 +88,15 @@ QUERIES: dict[str, Query] = {
     "age_a4_band_subcat": q_age_a4,
     "age_a5_two_col": q_age_a5,
     "age_a6_simple120": q_age_a6,
+    "roster_header_rows": q_roster_header_rows,
+    "roster_header_map": q_roster_header_map,
+    **{f"roster_column_map_{p}": _column_map_query(p)
+       for p in ("general", "three", "four", "four_regex", "four_list")},
+    "roster_wide_four_list": _wide_query("four_list"),
+    "roster_dedupe_three": _dedupe_query("three"),
+    "roster_dedupe_four_list": _dedupe_query("four_list"),
+    "roster_audit_three": _audit_query("three"),
+    "roster_audit_four_list": _audit_query("four_list"),
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -57,4 +106,13 @@ ORACLE: dict[str, Callable[[], str]] = {
     "age_a4_band_subcat": oracle_ages.age_band,
     "age_a5_two_col": oracle_ages.age_two_col,
     "age_a6_simple120": oracle_ages.age_simple120,
+    "roster_header_rows": oracle_roster.header_rows,
+    "roster_header_map": oracle_roster.header_map,
+    **{f"roster_column_map_{p}": (lambda p=p: oracle_roster.column_map(p))
+       for p in ("general", "three", "four", "four_regex", "four_list")},
+    "roster_wide_four_list": lambda: oracle_roster.wide("four_list"),
+    "roster_dedupe_three": lambda: oracle_roster.dedupe("three"),
+    "roster_dedupe_four_list": lambda: oracle_roster.dedupe("four_list"),
+    "roster_audit_three": lambda: oracle_roster.audit("three"),
+    "roster_audit_four_list": lambda: oracle_roster.audit("four_list"),
 }

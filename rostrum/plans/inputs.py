@@ -186,3 +186,128 @@ def provider_text_sql() -> str:
         "ELSE 'roster_' || CAST(p_partkey % 7 AS VARCHAR) || '.xlsx' END AS file_name "
         "FROM part"
     )
+
+
+# ------------------------------ roster cells --------------------------------
+# Value kinds -> (Spark column over customer c + nation n, DuckDB SQL).
+def _cust_values():
+    k = F.col("c_custkey")
+    return {
+        "name": (F.col("c_name"), "c_name"),
+        "last": (F.concat(F.lit("Doe"), (k % 13).cast("string")), "'Doe' || CAST(c_custkey % 13 AS VARCHAR)"),
+        "first": (F.concat(F.lit("Ann"), (k % 11).cast("string")), "'Ann' || CAST(c_custkey % 11 AS VARCHAR)"),
+        "degree": (F.when(k % 4 == 0, "MD").when(k % 4 == 1, "DO").when(k % 4 == 2, "NP"),
+                   "CASE c_custkey % 4 WHEN 0 THEN 'MD' WHEN 1 THEN 'DO' WHEN 2 THEN 'NP' END"),
+        "specialty": (F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Cardiology")
+                      .when(F.col("c_mktsegment") == "BUILDING", "Internal Medicine and Pediatrics Care")
+                      .when(F.col("c_mktsegment") == "FURNITURE", "Family Practice")
+                      .when(F.col("c_mktsegment") == "HOUSEHOLD", "nan")
+                      .otherwise("  Oncology "),
+                      "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cardiology' "
+                      "WHEN 'BUILDING' THEN 'Internal Medicine and Pediatrics Care' "
+                      "WHEN 'FURNITURE' THEN 'Family Practice' WHEN 'HOUSEHOLD' THEN 'nan' "
+                      "ELSE '  Oncology ' END"),
+        "taxonomy": (F.concat(F.lit("207R"), (F.col("c_nationkey") % 3).cast("string")),
+                     "'207R' || CAST(c_nationkey % 3 AS VARCHAR)"),
+        "taxid": ((k % 50).cast("string"), "CAST(c_custkey % 50 AS VARCHAR)"),
+        "phone": (F.concat(F.lit("555-"), (k % 1000).cast("string")), "'555-' || CAST(c_custkey % 1000 AS VARCHAR)"),
+        "email": (F.concat(F.lit("p"), (k % 100).cast("string"), F.lit("@example.org")),
+                  "'p' || CAST(c_custkey % 100 AS VARCHAR) || '@example.org'"),
+        "pcp": (F.when(k % 2 == 0, "Y").otherwise("N"), "CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END"),
+        "role": (F.when(k % 3 == 0, "PCP").when(k % 3 == 1, "Specialist")
+                 .otherwise("Primary care physician group lead"),
+                 "CASE c_custkey % 3 WHEN 0 THEN 'PCP' WHEN 1 THEN 'Specialist' "
+                 "ELSE 'Primary care physician group lead' END"),
+        "board": (F.when(F.col("c_acctbal") > 5000, "Yes").otherwise("No"),
+                  "CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE 'No' END"),
+        "license": (F.concat(F.lit("L"), (k % 20).cast("string")), "'L' || CAST(c_custkey % 20 AS VARCHAR)"),
+        "dob": (F.concat(F.lit("19"), (50 + k % 40).cast("string")), "'19' || CAST(50 + c_custkey % 40 AS VARCHAR)"),
+        "fax": (F.lit(None).cast("string"), "CAST(NULL AS VARCHAR)"),
+    }
+
+
+# Sheet layout per region key: (header row index, [(header text, value kind)]).
+ROSTER_WORKBOOK = "providers.xlsx"
+ROSTER_SHEETS = {
+    0: (1, [("Provider Name", "name"), ("Degree", "degree"), ("Primary Specialty", "specialty"),
+            ("Tax ID", "taxid"), ("Phone Number", "phone")]),
+    1: (2, [("Degree", "degree"), ("Taxonomy Code", "taxonomy"), ("PCP", "pcp"),
+            ("Email Address", "email"), ("Secondary Specialty", "specialty")]),
+    2: (1, [("Last Name", "last"), ("First Name", "first"), ("Credentials", "degree"),
+            ("Specialty", "specialty"), ("Fax", "fax")]),
+    3: (2, [("Provider Name", "name"), ("Degree", "degree"), ("Degree", "pcp"), ("", "taxid"),
+            ("Board Certified", "board")]),
+    4: (1, [("DEGREE_EARNED.TRAINING_PROG_DEGREE", "degree"), ("Role", "role"),
+            ("Specialty Taxonomy Code Primary", "taxonomy"), ("License #", "license"), ("DOB", "dob")]),
+}
+ROSTER_DATA_ROW0 = 20   # data row of customer k sits at row 20 + k
+
+
+def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_cells of one workbook: one sheet per region, one data row per customer."""
+    region = read_table(spark, sf_dir, "region")
+    nation = read_table(spark, sf_dir, "nation")
+    cust = read_table(spark, sf_dir, "customer")
+    vals = _cust_values()
+    ncols = max(len(cols) for _, cols in ROSTER_SHEETS.values())
+    rk = F.col("n_regionkey")
+    cells = []
+    for j in range(ncols):
+        expr = None
+        for r, (_, cols) in ROSTER_SHEETS.items():
+            if j < len(cols):
+                v = vals[cols[j][1]][0]
+                expr = F.when(rk == r, v) if expr is None else expr.when(rk == r, v)
+        cells.append(F.struct(F.lit(j).alias("col_idx"), expr.alias("value")))
+    data = (cust.join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
+                    (F.lit(ROSTER_DATA_ROW0) + F.col("c_custkey")).alias("row_idx"),
+                    F.explode(F.array(*cells)).alias("c"))
+            .select("sheet", "sheet_idx", "row_idx", "c.col_idx", "c.value"))
+    # title, note and header rows per sheet (derived from the region table)
+    top = []
+    for r, (hrow, cols) in ROSTER_SHEETS.items():
+        top.append((r, 0, 0, "Roster as of 2023"))
+        if hrow == 2:
+            top += [(r, 1, 0, "Confidential"), (r, 1, 1, "Internal use")]
+        top += [(r, hrow, j, h) for j, (h, _) in enumerate(cols)]
+    top_df = spark.createDataFrame(top, "rk int, row_idx int, col_idx int, value string")
+    heads = (region.join(top_df, F.col("r_regionkey") == F.col("rk"))
+             .select(F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
+                     "row_idx", "col_idx", "value"))
+    allc = heads.unionByName(data).filter(F.col("value").isNotNull())
+    return allc.select(F.lit(ROSTER_WORKBOOK).alias("workbook"), "sheet",
+                       F.col("sheet_idx").cast("int").alias("sheet_idx"),
+                       F.col("row_idx").cast("int").alias("row_idx"),
+                       F.col("col_idx").cast("int").alias("col_idx"), "value")
+
+
+def roster_cells_sql() -> str:
+    vals = _cust_values()
+    ncols = max(len(cols) for _, cols in ROSTER_SHEETS.values())
+    parts = []
+    for j in range(ncols):
+        whens = " ".join(f"WHEN {r} THEN {vals[cols[j][1]][1]}" for r, (_, cols) in ROSTER_SHEETS.items()
+                         if j < len(cols))
+        parts.append(f"SELECT r_name AS sheet, r_regionkey AS sheet_idx, {ROSTER_DATA_ROW0} + c_custkey AS row_idx, "
+                     f"{j} AS col_idx, CASE n_regionkey {whens} END AS value FROM cr")
+    top = []
+    for r, (hrow, cols) in ROSTER_SHEETS.items():
+        top.append((r, 0, 0, "Roster as of 2023"))
+        if hrow == 2:
+            top += [(r, 1, 0, "Confidential"), (r, 1, 1, "Internal use")]
+        top += [(r, hrow, j, h) for j, (h, _) in enumerate(cols)]
+    top_vals = ", ".join(f"({r}, {ri}, {ci}, {_sql_lit(v)})" for r, ri, ci, v in top)
+    return f"""
+SELECT {_sql_lit(ROSTER_WORKBOOK)} AS workbook, sheet, CAST(sheet_idx AS INTEGER) AS sheet_idx,
+       CAST(row_idx AS INTEGER) AS row_idx, CAST(col_idx AS INTEGER) AS col_idx, value
+FROM (
+  WITH cr AS (SELECT c.*, n.n_regionkey, r.r_name, r.r_regionkey FROM customer c
+              JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+  {' UNION ALL '.join(parts)}
+  UNION ALL
+  SELECT r.r_name, r.r_regionkey, t.ri, t.ci, t.v
+  FROM region r JOIN (VALUES {top_vals}) AS t(rk, ri, ci, v) ON r.r_regionkey = t.rk
+) WHERE value IS NOT NULL
+"""
