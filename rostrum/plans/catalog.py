@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ..operators import paths as P
 from ..operators import roster as R
 from ..operators.ages import clean_ages
-from . import inputs, oracle_ages, oracle_roster
+from ..operators.names import clean_names, exclude_files, format_summary, kind_summary
+from ..functions.names import file_tag
+from . import inputs, oracle_ages, oracle_misc, oracle_roster
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +84,47 @@ def _audit_query(profile):
     return lambda spark, sf: _roster(spark, sf, profile).audit
 
 
+# ---------------------------------- names -----------------------------------
+def _name_query(profile):
+    def run(spark, sf):
+        df = inputs.provider_text(spark, sf)
+        if profile.startswith("degree"):
+            return clean_names(df, profile, keep=["id"])
+        return clean_names(df, profile)
+    return run
+
+
+def q_name_format_counts(spark, sf):
+    return format_summary(clean_names(inputs.provider_text(spark, sf), "format_detect"))
+
+
+def q_name_kind_counts(spark, sf):
+    return kind_summary(clean_names(inputs.provider_text(spark, sf), "credential_org"))
+
+
+EXCLUDED_FILES = ["roster_3.xlsx", " ROSTER_4.XLSX ", inputs.ROSTER_FILE]
+
+
+def q_file_tag(spark, sf):
+    df = inputs.provider_text(spark, sf)
+    return df.select("id", "file_name", file_tag(F.col("file_name")).alias("organization"))
+
+
+def q_file_exclude(spark, sf):
+    return exclude_files(inputs.provider_text(spark, sf), "file_name", EXCLUDED_FILES).select("id", "file_name")
+
+
+# ---------------------------------- paths -----------------------------------
+def q_path_prefix(spark, sf):
+    return P.with_storage_prefix(inputs.page_objects(spark, sf).select("page_id", "path"))
+
+
+def q_path_listing(spark, sf):
+    objs = inputs.page_objects(spark, sf).select(F.col("object").alias("path"))
+    hosts = objs.select(F.concat(F.substring_index("path", "/", 1), F.lit("/")).alias("prefix")).distinct()
+    return P.list_prefixes(objs, hosts)
+
+
 QUERIES: dict[str, Query] = {
     "age_a1_label_map": q_age_a1,
     "age_a2_phrase": q_age_a2,
@@ -97,6 +141,18 @@ QUERIES: dict[str, Query] = {
     "roster_dedupe_four_list": _dedupe_query("four_list"),
     "roster_audit_three": _audit_query("three"),
     "roster_audit_four_list": _audit_query("four_list"),
+    "name_n1_degree_caps": _name_query("degree_caps"),
+    "name_n2_degree_dict": _name_query("degree_dict"),
+    "name_n3_credential_org": _name_query("credential_org"),
+    "name_n4_credential_list": _name_query("credential_list"),
+    "name_n5_credential_clean": _name_query("credential_clean"),
+    "name_n6_format_detect": _name_query("format_detect"),
+    "name_format_counts": q_name_format_counts,
+    "name_kind_counts": q_name_kind_counts,
+    "file_tag": q_file_tag,
+    "file_exclude": q_file_exclude,
+    "path_prefix": q_path_prefix,
+    "path_listing": q_path_listing,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -115,4 +171,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "roster_dedupe_four_list": lambda: oracle_roster.dedupe("four_list"),
     "roster_audit_three": lambda: oracle_roster.audit("three"),
     "roster_audit_four_list": lambda: oracle_roster.audit("four_list"),
+    "file_tag": oracle_misc.file_tag,
+    "file_exclude": lambda: oracle_misc.file_exclude(EXCLUDED_FILES),
+    "path_prefix": oracle_misc.path_prefix,
+    "path_listing": oracle_misc.path_listing,
 }

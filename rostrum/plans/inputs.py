@@ -311,3 +311,21 @@ FROM (
   FROM region r JOIN (VALUES {top_vals}) AS t(rk, ri, ci, v) ON r.r_regionkey = t.rk
 ) WHERE value IS NOT NULL
 """
+
+
+# --------------------------------- paths -------------------------------------
+PATH_ROOTS = ["/home/airflow/gcs/", "/srv/x/dags/", "/mnt/gcs/", "/opt/"]
+
+
+def page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, object name (URL without scheme), local path under one of four roots."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    obj = F.regexp_replace(F.col("url"), r"^[a-z]+://", "")
+    root = template_column(PATH_ROOTS, F.col("page_id"), {})
+    return pages.select("page_id", obj.alias("object"), F.concat(root, obj).alias("path"))
+
+
+def page_objects_sql() -> str:
+    root = template_sql(PATH_ROOTS, "page_id", {})
+    return ("SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS object, "
+            f"({root}) || regexp_replace(url, '^[a-z]+://', '') AS path FROM pages")
