@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from ..functions import headers as H
 from ..functions.text import pstrip
+from .joins import join_checked
+from .joins import materialize as materialize_df
 
 TRACKING = ["duplicate_count", "header_row_number", "source_sheets"]
 SHEET_KEYS = ["workbook", "sheet", "sheet_idx"]
@@ -45,29 +47,42 @@ def normalize_cell(value: Column) -> Column:
 
 
 # ------------------------------- step 1 -------------------------------------
-def detect_header_rows(cells: DataFrame, max_rows: int = 20) -> DataFrame:
+def sheet_extents(cells: DataFrame) -> DataFrame:
+    """(workbook, sheet, sheet_idx, max_col, last_row): every sheet, its grid
+    width and the last row holding a non-null (normalised) value -- one
+    partial aggregate, so "does the sheet have data below its header" needs
+    no second pass over the body."""
+    v = normalize_cell(F.col("value"))
+    return cells.groupBy(*SHEET_KEYS).agg(F.max("col_idx").alias("max_col"),
+                                          F.max(F.when(v.isNotNull(), F.col("row_idx"))).alias("last_row"))
+
+
+def detect_header_rows(cells: DataFrame, max_rows: int = 20, extents: DataFrame | None = None) -> DataFrame:
     """(workbook, sheet, sheet_idx, header_row): per sheet, the first row with
-    the largest number of non-null cells among rows ``0 .. max_rows-1``."""
+    the largest number of non-null cells among rows ``0 .. max_rows-1``.
+    Only the ``row_idx < max_rows`` slice is read (a pushed-down filter)."""
     probe = (cells.filter((F.col("row_idx") < max_rows) & F.col("value").isNotNull())
              .groupBy(*SHEET_KEYS, "row_idx").agg(F.count(F.lit(1)).alias("n")))
     best = probe.groupBy(*SHEET_KEYS).agg(
         F.min_by("row_idx", F.struct(-F.col("n"), F.col("row_idx"))).alias("header_row"))
-    sheets = cells.select(*SHEET_KEYS).distinct()
+    sheets = (extents if extents is not None else sheet_extents(cells)).select(*SHEET_KEYS)
     return (sheets.join(best, SHEET_KEYS, "left")
             .select(*SHEET_KEYS, F.coalesce("header_row", F.lit(0)).cast("int").alias("header_row")))
 
 
 # ------------------------------- step 2 -------------------------------------
-def build_header_map(cells: DataFrame, header_rows: DataFrame) -> DataFrame:
+def build_header_map(cells: DataFrame, header_rows: DataFrame, extents: DataFrame | None = None,
+                     max_rows: int = 20) -> DataFrame:
     """(workbook, sheet, sheet_idx, col_idx, header_row, header_text, dup_n).
 
     Every column of the grid (0 .. max col_idx of the sheet) gets a header;
     blank headers become ``Column_<col_idx+1>``; the n-th repeat of a header
     text within a sheet has ``dup_n = n``.
     """
-    width = cells.groupBy(*SHEET_KEYS).agg(F.max("col_idx").alias("max_col"))
+    width = extents if extents is not None else sheet_extents(cells)
     grid = width.select(*SHEET_KEYS, F.explode(F.sequence(F.lit(0), F.col("max_col"))).alias("col_idx"))
-    hdr_cells = (cells.join(header_rows, SHEET_KEYS)
+    hdr_cells = (cells.filter(F.col("row_idx") < max_rows)
+                 .join(header_rows, SHEET_KEYS)
                  .filter(F.col("row_idx") == F.col("header_row"))
                  .select(*SHEET_KEYS, "col_idx", F.col("value").alias("raw_header")))
     text = pstrip(F.coalesce(F.col("raw_header").cast("string"), F.lit("")))
@@ -91,26 +106,39 @@ def strip_dup_suffix(name: Column) -> Column:
 
 
 # ------------------------------- step 3 -------------------------------------
-def data_cells(cells: DataFrame, header_map: DataFrame) -> DataFrame:
-    """Cells below their sheet's header row with a non-null normalised value."""
+def data_cells(cells: DataFrame, header_map: DataFrame, checked: bool = False,
+               small_rows: int | None = None) -> DataFrame:
+    """Cells below their sheet's header row with a non-null normalised value,
+    tagged with every column of ``header_map`` (joined on sheet + col_idx).
+    ``checked=True``: ``header_map`` is materialised and is broadcast when its
+    measured size allows (see ``joins.join_checked``)."""
     v = normalize_cell(F.col("value"))
     body = (cells.select(*ROW_KEYS, "col_idx", v.alias("v"))
             .filter(F.col("v").isNotNull()))
-    return (body.join(header_map, SHEET_KEYS + ["col_idx"])
-            .filter(F.col("row_idx") > F.col("header_row"))
-            .select(*ROW_KEYS, "col_idx", "header_row", "header_text", "dup_n", "v"))
+    keys = SHEET_KEYS + ["col_idx"]
+    joined = (join_checked(body, header_map, keys, small_rows=small_rows) if checked
+              else body.join(header_map, keys))
+    extra = [c for c in header_map.columns if c not in keys]
+    return (joined.filter(F.col("row_idx") > F.col("header_row"))
+            .select(*ROW_KEYS, "col_idx", *extra, "v"))
 
 
 # ------------------------------- step 4 -------------------------------------
-def build_column_map(header_map: DataFrame, cells_below: DataFrame, profile: str,
+def sheets_with_data(extents: DataFrame, header_rows: DataFrame) -> DataFrame:
+    return (extents.join(header_rows, SHEET_KEYS)
+            .filter(F.col("last_row") > F.col("header_row")).select(*SHEET_KEYS))
+
+
+def build_column_map(header_map: DataFrame, with_data: DataFrame, profile: str,
                      include: Mapping[str, Sequence[str]] | None = None,
                      exclude: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(workbook, header_text, dup_n, original_header, base, slot, std_name, base_order).
 
-    Only sheets that still have data rows contribute columns.  Slots are
-    numbered per base in first-seen order (sheet order, then column order).
+    Only sheets that still have data rows (``with_data``: sheet keys, or the
+    data cells themselves) contribute columns.  Slots are numbered per base in
+    first-seen order (sheet order, then column order).
     """
-    with_data = cells_below.select(*SHEET_KEYS).distinct()
+    with_data = with_data.select(*SHEET_KEYS).distinct()
     cols = (header_map.join(with_data, SHEET_KEYS, "left_semi")
             .groupBy("workbook", "header_text", "dup_n")
             .agg(F.min(F.struct("sheet_idx", "col_idx")).alias("first_seen")))
@@ -152,11 +180,23 @@ def value_filter(v: Column) -> Column:
         .when(words <= 3, v).otherwise(F.lit(None).cast("string"))
 
 
-def pivot_wide(cells_below: DataFrame, column_map: DataFrame, std_names: list[str],
+def cell_mapping(header_map: DataFrame, column_map: DataFrame) -> DataFrame:
+    """(sheet keys, col_idx, header_row, std_name): every grid column of every
+    sheet with its standard column (NULL when the profile drops it)."""
+    return header_map.join(column_map.select("workbook", "header_text", "dup_n", "std_name"),
+                           ["workbook", "header_text", "dup_n"], "left") \
+        .select(*SHEET_KEYS, "col_idx", "header_row", "std_name")
+
+
+def pivot_wide(cells_below: DataFrame, column_map: DataFrame | None, std_names: list[str],
                profile: str) -> DataFrame:
-    """One row per data row: standard columns + tracking columns."""
-    mapped = cells_below.join(column_map.select("workbook", "header_text", "dup_n", "std_name"),
-                              ["workbook", "header_text", "dup_n"], "left")
+    """One row per data row: standard columns + tracking columns.  When
+    ``column_map`` is None the cells already carry ``std_name``."""
+    if column_map is None:
+        mapped = cells_below
+    else:
+        mapped = cells_below.join(column_map.select("workbook", "header_text", "dup_n", "std_name"),
+                                  ["workbook", "header_text", "dup_n"], "left")
     keys = ROW_KEYS + ["header_row"]
     if std_names:
         wide = mapped.groupBy(*keys).pivot("std_name", std_names).agg(F.first("v"))
@@ -247,18 +287,34 @@ class RosterResult:
 def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_rows: int = 20,
                        include: Mapping[str, Sequence[str]] | None = None,
                        exclude: Mapping[str, Sequence[str]] | None = None,
-                       materialize: bool = False, block_rows: int = 1 << 16) -> RosterResult:
-    """Job R1.  ``materialize=True`` checkpoints the wide table to the shared
-    checkpoint folder so the dedupe and audit outputs do not both recompute
-    the pivot (and lineage is cut for executor-loss recovery)."""
-    hr = detect_header_rows(cells, max_header_rows)
-    hm = build_header_map(cells, hr)
-    below = data_cells(cells, hm)
-    cmap = build_column_map(hm, below, profile, include, exclude)
+                       materialize: bool = False, materialize_input: bool = False,
+                       block_rows: int = 1 << 16) -> RosterResult:
+    """Job R1.
+
+    Passes over the cell table: one partial aggregate (sheet extents), the
+    ``row_idx < max_header_rows`` slice (header rows and header texts) and one
+    scan of the body.  The per-sheet header map and the column map are tiny,
+    materialised to the shared checkpoint folder, and joined to the body by a
+    size-checked broadcast; the body is shuffled once for the pivot and once
+    for de-duplication.
+
+    ``materialize_input=True`` checkpoints the cell table first (when it is an
+    expensive derived plan).  ``materialize=True`` checkpoints the wide table so
+    the dedupe and audit outputs do not both recompute the pivot.
+    """
+    if materialize_input:
+        cells = materialize_df(cells)
+    ext = sheet_extents(cells)
+    hr = detect_header_rows(cells, max_header_rows, ext)
+    hm = materialize_df(build_header_map(cells, hr, ext, max_header_rows))
+    cmap = materialize_df(build_column_map(hm, sheets_with_data(ext, hr), profile, include, exclude))
     names = std_column_names(cmap)
-    wide = pivot_wide(below, cmap, names, profile)
+    # one mapping row per grid column: its size is the (materialised) header map's
+    mapping = cell_mapping(hm, cmap)
+    below = data_cells(cells, mapping, checked=True, small_rows=hm.count())
+    wide = pivot_wide(below, None, names, profile)
     if materialize:
-        wide = wide.checkpoint(eager=True)
+        wide = materialize_df(wide)
     return RosterResult(combined=dedupe(wide, names), audit=audit(wide, names, block_rows),
                         column_map=cmap.select("workbook", "std_name", "original_header", "base", "slot"),
                         wide=wide, header_rows=hr, std_names=names)

@@ -49,7 +49,7 @@ def q_age_a6(spark, sf):
 
 # --------------------------------- roster -----------------------------------
 def _roster(spark, sf, profile):
-    return R.standardize_roster(inputs.roster_cells(spark, sf), profile)
+    return R.standardize_roster(inputs.roster_cells(spark, sf), profile, materialize_input=True)
 
 
 def q_roster_header_rows(spark, sf):
@@ -66,8 +66,10 @@ def q_roster_header_map(spark, sf):
 def _column_map_query(profile):
     def run(spark, sf):
         cells = inputs.roster_cells(spark, sf)
-        hm = R.build_header_map(cells, R.detect_header_rows(cells))
-        cmap = R.build_column_map(hm, R.data_cells(cells, hm), profile)
+        ext = R.sheet_extents(cells)
+        hr = R.detect_header_rows(cells, 20, ext)
+        hm = R.build_header_map(cells, hr, ext)
+        cmap = R.build_column_map(hm, R.sheets_with_data(ext, hr), profile)
         return cmap.select("workbook", "std_name", "original_header", "base", "slot")
     return run
 

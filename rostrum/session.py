@@ -17,11 +17,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", os.environ.get("ROSTRUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Per-call Python call-site capture costs several py4j round trips per
+        # Column function; the rule sets build thousands of expressions.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
