@@ -191,39 +191,46 @@ def provider_text_sql() -> str:
 # ------------------------------ roster cells --------------------------------
 # Value kinds -> (Spark column over customer c + nation n, DuckDB SQL).
 def _cust_values():
-    k = F.col("c_custkey")
-    return {
-        "name": (F.col("c_name"), "c_name"),
-        "last": (F.concat(F.lit("Doe"), (k % 13).cast("string")), "'Doe' || CAST(c_custkey % 13 AS VARCHAR)"),
-        "first": (F.concat(F.lit("Ann"), (k % 11).cast("string")), "'Ann' || CAST(c_custkey % 11 AS VARCHAR)"),
-        "degree": (F.when(k % 4 == 0, "MD").when(k % 4 == 1, "DO").when(k % 4 == 2, "NP"),
-                   "CASE c_custkey % 4 WHEN 0 THEN 'MD' WHEN 1 THEN 'DO' WHEN 2 THEN 'NP' END"),
-        "specialty": (F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Cardiology")
-                      .when(F.col("c_mktsegment") == "BUILDING", "Internal Medicine and Pediatrics Care")
-                      .when(F.col("c_mktsegment") == "FURNITURE", "Family Practice")
-                      .when(F.col("c_mktsegment") == "HOUSEHOLD", "nan")
-                      .otherwise("  Oncology "),
-                      "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cardiology' "
-                      "WHEN 'BUILDING' THEN 'Internal Medicine and Pediatrics Care' "
-                      "WHEN 'FURNITURE' THEN 'Family Practice' WHEN 'HOUSEHOLD' THEN 'nan' "
-                      "ELSE '  Oncology ' END"),
-        "taxonomy": (F.concat(F.lit("207R"), (F.col("c_nationkey") % 3).cast("string")),
-                     "'207R' || CAST(c_nationkey % 3 AS VARCHAR)"),
-        "taxid": ((k % 50).cast("string"), "CAST(c_custkey % 50 AS VARCHAR)"),
-        "phone": (F.concat(F.lit("555-"), (k % 1000).cast("string")), "'555-' || CAST(c_custkey % 1000 AS VARCHAR)"),
-        "email": (F.concat(F.lit("p"), (k % 100).cast("string"), F.lit("@example.org")),
-                  "'p' || CAST(c_custkey % 100 AS VARCHAR) || '@example.org'"),
-        "pcp": (F.when(k % 2 == 0, "Y").otherwise("N"), "CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END"),
-        "role": (F.when(k % 3 == 0, "PCP").when(k % 3 == 1, "Specialist")
-                 .otherwise("Primary care physician group lead"),
-                 "CASE c_custkey % 3 WHEN 0 THEN 'PCP' WHEN 1 THEN 'Specialist' "
-                 "ELSE 'Primary care physician group lead' END"),
-        "board": (F.when(F.col("c_acctbal") > 5000, "Yes").otherwise("No"),
-                  "CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE 'No' END"),
-        "license": (F.concat(F.lit("L"), (k % 20).cast("string")), "'L' || CAST(c_custkey % 20 AS VARCHAR)"),
-        "dob": (F.concat(F.lit("19"), (50 + k % 40).cast("string")), "'19' || CAST(50 + c_custkey % 40 AS VARCHAR)"),
-        "fax": (F.lit(None).cast("string"), "CAST(NULL AS VARCHAR)"),
-    }
+    """kind -> (Spark column factory, DuckDB SQL)."""
+    return {k: (lambda e=e: e(), sql) for k, (e, sql) in _CUST_VALUE_SPECS.items()}
+
+
+def _k():
+    return F.col("c_custkey")
+
+
+_CUST_VALUE_SPECS = {
+    "name": (lambda: F.col("c_name"), "c_name"),
+    "last": (lambda: F.concat(F.lit("Doe"), (_k() % 13).cast("string")), "'Doe' || CAST(c_custkey % 13 AS VARCHAR)"),
+    "first": (lambda: F.concat(F.lit("Ann"), (_k() % 11).cast("string")), "'Ann' || CAST(c_custkey % 11 AS VARCHAR)"),
+    "degree": (lambda: F.when(_k() % 4 == 0, "MD").when(_k() % 4 == 1, "DO").when(_k() % 4 == 2, "NP"),
+               "CASE c_custkey % 4 WHEN 0 THEN 'MD' WHEN 1 THEN 'DO' WHEN 2 THEN 'NP' END"),
+    "specialty": (lambda: F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Cardiology")
+                  .when(F.col("c_mktsegment") == "BUILDING", "Internal Medicine and Pediatrics Care")
+                  .when(F.col("c_mktsegment") == "FURNITURE", "Family Practice")
+                  .when(F.col("c_mktsegment") == "HOUSEHOLD", "nan")
+                  .otherwise("  Oncology "),
+                  "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cardiology' "
+                  "WHEN 'BUILDING' THEN 'Internal Medicine and Pediatrics Care' "
+                  "WHEN 'FURNITURE' THEN 'Family Practice' WHEN 'HOUSEHOLD' THEN 'nan' "
+                  "ELSE '  Oncology ' END"),
+    "taxonomy": (lambda: F.concat(F.lit("207R"), (F.col("c_nationkey") % 3).cast("string")),
+                 "'207R' || CAST(c_nationkey % 3 AS VARCHAR)"),
+    "taxid": (lambda: (_k() % 50).cast("string"), "CAST(c_custkey % 50 AS VARCHAR)"),
+    "phone": (lambda: F.concat(F.lit("555-"), (_k() % 1000).cast("string")), "'555-' || CAST(c_custkey % 1000 AS VARCHAR)"),
+    "email": (lambda: F.concat(F.lit("p"), (_k() % 100).cast("string"), F.lit("@example.org")),
+              "'p' || CAST(c_custkey % 100 AS VARCHAR) || '@example.org'"),
+    "pcp": (lambda: F.when(_k() % 2 == 0, "Y").otherwise("N"), "CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END"),
+    "role": (lambda: F.when(_k() % 3 == 0, "PCP").when(_k() % 3 == 1, "Specialist")
+             .otherwise("Primary care physician group lead"),
+             "CASE c_custkey % 3 WHEN 0 THEN 'PCP' WHEN 1 THEN 'Specialist' "
+             "ELSE 'Primary care physician group lead' END"),
+    "board": (lambda: F.when(F.col("c_acctbal") > 5000, "Yes").otherwise("No"),
+              "CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE 'No' END"),
+    "license": (lambda: F.concat(F.lit("L"), (_k() % 20).cast("string")), "'L' || CAST(c_custkey % 20 AS VARCHAR)"),
+    "dob": (lambda: F.concat(F.lit("19"), (50 + _k() % 40).cast("string")), "'19' || CAST(50 + c_custkey % 40 AS VARCHAR)"),
+    "fax": (lambda: F.lit(None).cast("string"), "CAST(NULL AS VARCHAR)"),
+}
 
 
 # Sheet layout per region key: (header row index, [(header text, value kind)]).
@@ -256,7 +263,7 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         expr = None
         for r, (_, cols) in ROSTER_SHEETS.items():
             if j < len(cols):
-                v = vals[cols[j][1]][0]
+                v = vals[cols[j][1]][0]()
                 expr = F.when(rk == r, v) if expr is None else expr.when(rk == r, v)
         cells.append(F.struct(F.lit(j).alias("col_idx"), expr.alias("value")))
     data = (cust.join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
