@@ -16,7 +16,7 @@ from ..operators import roster as R
 from ..operators.ages import clean_ages
 from ..operators.names import clean_names, exclude_files, format_summary, kind_summary
 from ..functions.names import file_tag
-from . import inputs, oracle_ages, oracle_misc, oracle_roster
+from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +173,14 @@ ORACLE: dict[str, Callable[[], str]] = {
     "roster_dedupe_four_list": lambda: oracle_roster.dedupe("four_list"),
     "roster_audit_three": lambda: oracle_roster.audit("three"),
     "roster_audit_four_list": lambda: oracle_roster.audit("four_list"),
+    "name_n1_degree_caps": lambda: oracle_names.degree_names("degree_caps"),
+    "name_n2_degree_dict": lambda: oracle_names.degree_names("degree_dict"),
+    "name_n3_credential_org": lambda: oracle_names.credential_names("credential_org"),
+    "name_n4_credential_list": lambda: oracle_names.credential_names("credential_list"),
+    "name_n5_credential_clean": lambda: oracle_names.credential_names("credential_clean"),
+    "name_n6_format_detect": oracle_names.format_detect,
+    "name_format_counts": oracle_names.format_counts,
+    "name_kind_counts": oracle_names.kind_counts,
     "file_tag": oracle_misc.file_tag,
     "file_exclude": lambda: oracle_misc.file_exclude(EXCLUDED_FILES),
     "path_prefix": oracle_misc.path_prefix,
