@@ -97,7 +97,7 @@ def _degree_map() -> Column:
 
 def ws_tokens(c: Column) -> Column:
     """``str.split()``."""
-    return F.filter(F.split(c, r"(?U)\s+"), lambda t: t != "")
+    return F.regexp_extract_all(c, F.lit(r"(?U)\S+"), F.lit(0))
 
 
 def split_trailing(arr: Column, pred):
@@ -107,6 +107,13 @@ def split_trailing(arr: Column, pred):
     return F.slice(arr, 1, k), F.slice(arr, k + 1, F.greatest(F.size(arr) - k, F.lit(0)))
 
 
+def _runs(c: Column, token_re: str) -> Column:
+    """All maximal matches of a token class -- ``split`` + drop empty pieces,
+    with the pattern compiled once per task (``split`` with a multi-character
+    regex recompiles it on every row)."""
+    return F.regexp_extract_all(c, F.lit(token_re), F.lit(0))
+
+
 def _get(arr: Column, i: int) -> Column:
     return F.try_element_at(arr, F.lit(i))
 
@@ -194,7 +201,7 @@ def _deg_helpers(caps: bool):
         return F.coalesce(F.try_element_at(dmap, key(t)), F.upper(t))
 
     def toks(p):
-        return F.filter(F.split(pstrip(p), r"[\s,]+"), lambda t: (t != "") & ~t.isin(*DASHES))
+        return F.filter(_runs(p, r"(?U)[^\s,]+"), lambda t: ~t.isin(*DASHES))
     return key, is_deg, deg_val, toks
 
 
@@ -206,7 +213,7 @@ def parse_degree_names(df: DataFrame, src: str, profile: str = "degree_dict") ->
     st = Stager(df, "nm")
     raw = F.col(f"`{src}`").cast("string")
     a = st.add(raw=raw, s=F.replace(pstrip(raw), F.lit(";"), F.lit("")))
-    b = st.add(parts=F.filter(F.transform(F.split(a.s, r"\s*,\s*", -1), lambda p: pstrip(p)),
+    b = st.add(parts=F.filter(F.transform(F.split(a.s, ",", -1), lambda p: pstrip(p)),
                               lambda p: p != ""))
     c = st.add(deg1=F.flatten(F.transform(_slice_from(b.parts, 2),
                                           lambda p: F.transform(F.filter(toks(p), is_deg), deg_val))),
@@ -224,9 +231,9 @@ def parse_degree_names(df: DataFrame, src: str, profile: str = "degree_dict") ->
         stoks = F.filter(ws_tokens(strip_leading_titles(_join(e.parts2))), lambda t: ~t.isin(*DASHES))
     else:
         right = strip_leading_titles(_join(_slice_from(e.parts2, 2)))
-        rtoks = F.filter(F.split(right, r"[\s,]+"), lambda t: (t != "") & ~t.isin(*DASHES))
-        stoks = F.filter(F.split(strip_leading_titles(_join(e.parts2)), r"[\s,]+"),
-                         lambda t: (t != "") & ~t.isin(*DASHES))
+        rtoks = F.filter(_runs(right, r"(?U)[^\s,]+"), lambda t: ~t.isin(*DASHES))
+        stoks = F.filter(_runs(strip_leading_titles(_join(e.parts2)), r"(?U)[^\s,]+"),
+                         lambda t: ~t.isin(*DASHES))
     f = st.add(comma=(n2 >= 2) & a.s.contains(","))
     g = st.add(used=F.when(f.comma, rtoks).otherwise(stoks))
     h = st.add(kept=F.filter(g.used, lambda t: ~is_deg(t)),
@@ -264,7 +271,7 @@ def is_organization_n12(c: Column) -> Column:
 def is_designation(seg: Column, sep: str = r"[,\s]+") -> Column:
     """Credential-like segment (F6 with sep='\\s+', F7 with sep='[,\\s]+')."""
     s1 = F.regexp_replace(pstrip(seg), r"^\.+|\.+$", "")
-    toks = F.filter(F.split(s1, sep), lambda t: t != "")
+    toks = _runs(s1, r"(?U)\S+" if sep == r"\s+" else r"(?U)[^,\s]+")
     lt = letters(s1)
     single = F.coalesce(_get(toks, 1), _e())
     one = (F.when(F.upper(single) != single, F.lit(False))
@@ -283,7 +290,7 @@ def normalize_designation_segment(seg: Column) -> Column:
     """Segment -> credential tokens (split on commas then whitespace, dots
     stripped, ordered distinct)."""
     parts = F.flatten(F.transform(F.split(seg, ",", -1),
-                                  lambda c: F.filter(F.split(pstrip(c), r"\s+"), lambda p: p != "")))
+                                  lambda c: _runs(c, r"(?U)\S+")))
     parts = F.filter(F.transform(parts, lambda p: strip_chars(pstrip(p), ".")), lambda p: p != "")
     keep = F.filter(parts, lambda p: is_designation(p, r"[,\s]+")
                     | (p.rlike(r"\p{L}") & (F.upper(p) == p) & (F.length(letters(p)) >= 2))
@@ -294,8 +301,7 @@ def normalize_designation_segment(seg: Column) -> Column:
 def _split_tokens_clean(c: Column) -> Column:
     """Whitespace tokens with '.' and ',' stripped from both ends (blanks
     filtered before stripping, as the reference does)."""
-    return F.transform(F.filter(F.split(c, r"\s+"), lambda t: pstrip(t) != ""),
-                       lambda t: strip_chars(pstrip(t), ".,"))
+    return F.transform(_runs(c, r"(?U)\S+"), lambda t: strip_chars(t, ".,"))
 
 
 def _suffix_key(t: Column) -> Column:
