@@ -52,6 +52,16 @@ def exclude_files(df: DataFrame, file_col: str = "file_name", names: Iterable[st
     return df.filter(protected | ~key.isin(*lowered))
 
 
+def exclusion_counts(df: DataFrame, file_col: str = "file_name", names: Iterable[str] = (),
+                     roster_file: str = N.ROSTER_FILENAME) -> DataFrame:
+    """Rows in, rows excluded by file name, rows out (one global aggregate)."""
+    key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
+    lowered = sorted({str(n).strip().lower() for n in names})
+    excluded = (key != roster_file.lower()) & key.isin(*lowered) if lowered else F.lit(False)
+    agg = df.agg(F.count(F.lit(1)).alias("n_input"), F.count_if(excluded).alias("n_excluded"))
+    return agg.select("n_input", "n_excluded", (F.col("n_input") - F.col("n_excluded")).alias("n_output"))
+
+
 def clean_names(df: DataFrame, profile: str = "credential_clean", value_col: str | None = None,
                 file_col: str = "file_name", exclude: Iterable[str] | DataFrame = (),
                 keep: Sequence[str] | None = None) -> DataFrame:

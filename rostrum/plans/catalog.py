@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import paths as P
 from ..operators import roster as R
 from ..operators.ages import clean_ages
-from ..operators.names import clean_names, exclude_files, format_summary, kind_summary
+from ..operators.names import clean_names, exclude_files, exclusion_counts, format_summary, kind_summary
 from ..functions.names import file_tag
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
 
@@ -74,6 +74,28 @@ def _column_map_query(profile):
     return run
 
 
+# user include / exclude rules (F12 regex lists with an invalid pattern, F13 plain-name lists)
+REGEX_INCLUDE = {"Degree": [r"^DEGREE_EARNED\.TRAINING_PROG_DEGREE$"], "Role": ["("]}
+REGEX_EXCLUDE = {"Taxonomy": ["primary"], "Speciality": ["second"]}
+LIST_INCLUDE = {"Degree": ["DEGREE_EARNED.TRAINING_PROG_DEGREE"], "Role": ["Board Certified"]}
+LIST_EXCLUDE = {"Degree": ["Credentials"], "Role": ["pcp"]}
+
+
+def _column_map_custom(profile, include, exclude):
+    def run(spark, sf):
+        cells = inputs.roster_cells(spark, sf)
+        ext = R.sheet_extents(cells)
+        hr = R.detect_header_rows(cells, 20, ext)
+        hm = R.build_header_map(cells, hr, ext)
+        cmap = R.build_column_map(hm, R.sheets_with_data(ext, hr), profile, include, exclude)
+        return cmap.select("workbook", "std_name", "original_header", "base", "slot")
+    return run
+
+
+def q_file_exclusion_counts(spark, sf):
+    return exclusion_counts(inputs.provider_text(spark, sf), "file_name", EXCLUDED_FILES)
+
+
 def _wide_query(profile):
     return lambda spark, sf: _roster(spark, sf, profile).wide
 
@@ -138,6 +160,8 @@ QUERIES: dict[str, Query] = {
     "roster_header_map": q_roster_header_map,
     **{f"roster_column_map_{p}": _column_map_query(p)
        for p in ("general", "three", "four", "four_regex", "four_list")},
+    "roster_column_map_four_regex_custom": _column_map_custom("four_regex", REGEX_INCLUDE, REGEX_EXCLUDE),
+    "roster_column_map_four_list_custom": _column_map_custom("four_list", LIST_INCLUDE, LIST_EXCLUDE),
     "roster_wide_four_list": _wide_query("four_list"),
     "roster_dedupe_three": _dedupe_query("three"),
     "roster_dedupe_four_list": _dedupe_query("four_list"),
@@ -153,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "name_kind_counts": q_name_kind_counts,
     "file_tag": q_file_tag,
     "file_exclude": q_file_exclude,
+    "file_exclusion_counts": q_file_exclusion_counts,
     "path_prefix": q_path_prefix,
     "path_listing": q_path_listing,
 }
@@ -168,6 +193,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "roster_header_map": oracle_roster.header_map,
     **{f"roster_column_map_{p}": (lambda p=p: oracle_roster.column_map(p))
        for p in ("general", "three", "four", "four_regex", "four_list")},
+    "roster_column_map_four_regex_custom": lambda: oracle_roster.column_map("four_regex_custom"),
+    "roster_column_map_four_list_custom": lambda: oracle_roster.column_map("four_list_custom"),
     "roster_wide_four_list": lambda: oracle_roster.wide("four_list"),
     "roster_dedupe_three": lambda: oracle_roster.dedupe("three"),
     "roster_dedupe_four_list": lambda: oracle_roster.dedupe("four_list"),
@@ -183,6 +210,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "name_kind_counts": oracle_names.kind_counts,
     "file_tag": oracle_misc.file_tag,
     "file_exclude": lambda: oracle_misc.file_exclude(EXCLUDED_FILES),
+    "file_exclusion_counts": lambda: oracle_misc.file_exclusion_counts(EXCLUDED_FILES),
     "path_prefix": oracle_misc.path_prefix,
     "path_listing": oracle_misc.path_listing,
 }

@@ -25,6 +25,19 @@ WHERE lower(trim(coalesce(file_name, ''))) = {q(inputs.ROSTER_FILE.lower())}
 """
 
 
+def file_exclusion_counts(names) -> str:
+    lowered = sorted({n.strip().lower() for n in names})
+    lst = ", ".join(q(x) for x in lowered)
+    key = "lower(trim(coalesce(file_name, '')))"
+    return f"""
+WITH src AS ({inputs.provider_text_sql()})
+SELECT count(*) AS n_input,
+       count(*) FILTER (WHERE {key} <> {q(inputs.ROSTER_FILE.lower())} AND {key} IN ({lst})) AS n_excluded,
+       count(*) - count(*) FILTER (WHERE {key} <> {q(inputs.ROSTER_FILE.lower())} AND {key} IN ({lst})) AS n_output
+FROM src
+"""
+
+
 def _norm(x: str) -> str:
     # collapse slashes, drop '.' segments, drop a trailing slash (not the root)
     c = f"regexp_replace({x}, '/+', '/', 'g')"

@@ -81,6 +81,24 @@ def base_sql(h: str, profile: str) -> str:
                 f"WHEN {has(o, TAX4)} THEN 'Taxonomy' "
                 f"WHEN {has(o, SPEC)} AND {short} THEN 'Speciality' "
                 f"ELSE {_fallback(h)} END")
+    if profile == "four_regex_custom":
+        # include: Degree by regex; Role pattern "(" is not a valid regex -> literal comparison
+        # exclude: "primary" keeps a header out of Taxonomy, "second" out of Speciality
+        return (f"CASE WHEN {has(h, '(?i)^DEGREE_EARNED\\.TRAINING_PROG_DEGREE$')} THEN 'Degree' "
+                f"WHEN lower({strip(h)}) = '(' THEN 'Role' "
+                f"WHEN {has(o, DEG4)} THEN 'Degree' "
+                f"WHEN {has(o, ROLE)} AND {short} THEN 'Role' "
+                f"WHEN {has(o, TAX4)} AND NOT {has(h, '(?i)primary')} THEN 'Taxonomy' "
+                f"WHEN {has(o, SPEC)} AND {short} AND NOT {has(h, '(?i)second')} THEN 'Speciality' "
+                f"ELSE {_fallback(h)} END")
+    if profile == "four_list_custom":
+        key = f"lower(regexp_replace({h}, '[^A-Za-z0-9]', '', 'g'))"
+        return (f"CASE WHEN {key} = 'degreeearnedtrainingprogdegree' THEN 'Degree' "
+                f"WHEN {key} = 'boardcertified' THEN 'Role' "
+                f"WHEN {key} <> 'credentials' AND {has(h, DEG4)} THEN 'Degree' "
+                f"WHEN {key} <> 'pcp' AND {has(h, ROLE)} AND {short} THEN 'Role' "
+                f"WHEN {has(h, TAX4)} THEN 'Taxonomy' "
+                f"WHEN {has(h, SPEC)} AND {short} THEN 'Speciality' ELSE '' END")
     if profile == "four_list":
         key = f"lower(regexp_replace({h}, '[^A-Za-z0-9]', '', 'g'))"
         return (f"CASE WHEN {key} = 'degreeearnedtrainingprogdegree' THEN 'Degree' "
@@ -92,6 +110,8 @@ def base_sql(h: str, profile: str) -> str:
 
 
 KEPT = {"three": ["Degree", "Speciality", "Taxonomy"],
+        "four_regex_custom": ["Degree", "Speciality", "Taxonomy", "Role"],
+        "four_list_custom": ["Degree", "Speciality", "Taxonomy", "Role"],
         "four": ["Degree", "Speciality", "Taxonomy", "Role"],
         "four_regex": ["Degree", "Speciality", "Taxonomy", "Role"],
         "four_list": ["Degree", "Speciality", "Taxonomy", "Role"]}
