@@ -124,9 +124,11 @@ def data_cells(cells: DataFrame, header_map: DataFrame, checked: bool = False,
 
 
 # ------------------------------- step 4 -------------------------------------
-def sheets_with_data(extents: DataFrame, header_rows: DataFrame) -> DataFrame:
-    return (extents.join(header_rows, SHEET_KEYS)
-            .filter(F.col("last_row") > F.col("header_row")).select(*SHEET_KEYS))
+def sheets_with_data(extents: DataFrame, header_rows: DataFrame | None = None) -> DataFrame:
+    """Sheets with at least one data row below the header row.  ``extents``
+    may already carry ``header_row`` (the materialised sheet table)."""
+    info = extents if header_rows is None else extents.join(header_rows, SHEET_KEYS)
+    return info.filter(F.col("last_row") > F.col("header_row")).select(*SHEET_KEYS)
 
 
 def build_column_map(header_map: DataFrame, with_data: DataFrame, profile: str,
@@ -199,7 +201,12 @@ def pivot_wide(cells_below: DataFrame, column_map: DataFrame | None, std_names:
                                   ["workbook", "header_text", "dup_n"], "left")
     keys = ROW_KEYS + ["header_row"]
     if std_names:
-        wide = mapped.groupBy(*keys).pivot("std_name", std_names).agg(F.first("v"))
+        # One map per row (hash aggregate; at most one entry per sheet column),
+        # then one column per standard name -- same result as
+        # pivot(std_name, std_names).agg(first(v)) without a sort-based aggregate.
+        pairs = F.collect_list(F.when(F.col("std_name").isNotNull(), F.struct("std_name", "v")))
+        wide = (mapped.groupBy(*keys).agg(F.map_from_entries(pairs).alias("__m"))
+                .select(*keys, *[F.try_element_at("__m", F.lit(n)).alias(n) for n in std_names]))
     else:
         wide = mapped.select(*keys).distinct()
     filt = profile in ("four", "four_regex", "four_list")
@@ -305,9 +312,11 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
     if materialize_input:
         cells = materialize_df(cells)
     ext = sheet_extents(cells)
-    hr = detect_header_rows(cells, max_header_rows, ext)
-    hm = materialize_df(build_header_map(cells, hr, ext, max_header_rows))
-    cmap = materialize_df(build_column_map(hm, sheets_with_data(ext, hr), profile, include, exclude))
+    # one small table per sheet: grid width, last data row, header row
+    info = materialize_df(ext.join(detect_header_rows(cells, max_header_rows, ext), SHEET_KEYS))
+    hr = info.select(*SHEET_KEYS, "header_row")
+    hm = materialize_df(build_header_map(cells, hr, info, max_header_rows))
+    cmap = materialize_df(build_column_map(hm, sheets_with_data(info), profile, include, exclude))
     names = std_column_names(cmap)
     # one mapping row per grid column: its size is the (materialised) header map's
     mapping = cell_mapping(hm, cmap)

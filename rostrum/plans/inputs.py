@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread_for_cpu
+
 # ---------------------------------------------------------------------------
 # Template lists; {n} = p_size (1..50), {m} = p_size + p_partkey % 30,
 # {f}/{l}/{F}/{L} = first/last word of p_name (lower / upper case),
@@ -126,7 +128,7 @@ PART_ENV_SQL = {
 
 def age_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, header_col_value (age text), header_col_name (header it came from)."""
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_size"))
     env = _part_env()
     return part.select(
         F.col("p_partkey").alias("id"),
@@ -145,7 +147,7 @@ def age_text_sql() -> str:
 
 
 def age_two_col(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_size"))
     env = _part_env()
     return part.select(
         "p_partkey",
@@ -167,7 +169,7 @@ def age_two_col_sql() -> str:
 
 def provider_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, header_col_value (provider name text), file_name."""
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
     env = _part_env()
     fname = F.when(F.col("p_partkey") % 5 == 0, F.lit(ROSTER_FILE)).otherwise(
         F.concat(F.lit("roster_"), (F.col("p_partkey") % 7).cast("string"), F.lit(".xlsx")))
@@ -326,7 +328,7 @@ PATH_ROOTS = ["/home/airflow/gcs/", "/srv/x/dags/", "/mnt/gcs/", "/opt/"]
 
 def page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, object name (URL without scheme), local path under one of four roots."""
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = spread_for_cpu(read_table(spark, sf_dir, "pages").select("page_id", "url"))
     obj = F.regexp_replace(F.col("url"), r"^[a-z]+://", "")
     root = template_column(PATH_ROOTS, F.col("page_id"), {})
     return pages.select("page_id", obj.alias("object"), F.concat(root, obj).alias("path"))
