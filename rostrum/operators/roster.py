@@ -327,3 +327,37 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
     return RosterResult(combined=dedupe(wide, names), audit=audit(wide, names, block_rows),
                         column_map=cmap.select("workbook", "std_name", "original_header", "base", "slot"),
                         wide=wide, header_rows=hr, std_names=names)
+
+
+# --------------------------- table <-> cells (X2, C8) ------------------------
+def table_to_cells(df: DataFrame, workbook: str, sheet: str, sheet_idx: int = 0,
+                   order_col: str | None = None) -> DataFrame:
+    """A wide table (CSV/Parquet landing) -> cells of one sheet, header in row 0.
+
+    ``order_col`` is the explicit, non-negative integer ingest position of each
+    row (row order must be a column, never an implicit id); data row ``k``
+    becomes sheet row ``k + 1``.  Values go through ``unpivot`` -- a narrow
+    operation, no global numbering window.  NULL cells are not emitted."""
+    if order_col is None:
+        raise ValueError("order_col is required: row order must be an explicit column")
+    cols = [c for c in df.columns if c != order_col]
+    spark = df.sparkSession
+    header = spark.createDataFrame([(workbook, sheet, sheet_idx, 0, i, c) for i, c in enumerate(cols)],
+                                   "workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, "
+                                   "value string")
+    numbered = df.select((F.col(f"`{order_col}`").cast("int") + 1).alias("row_idx"),
+                         *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    long = numbered.unpivot("row_idx", [f"c{i}" for i in range(len(cols))], "col", "value")
+    body = long.filter(F.col("value").isNotNull()).select(
+        F.lit(workbook).alias("workbook"), F.lit(sheet).alias("sheet"), F.lit(sheet_idx).alias("sheet_idx"),
+        "row_idx", F.expr("cast(substring(col, 2) as int)").alias("col_idx"), "value")
+    return header.unionByName(body)
+
+
+def flatten_header_rows(cells: DataFrame, header_rows: list[int], sep: str = "_") -> DataFrame:
+    """Several header rows -> one header text per (sheet, col_idx): the
+    non-null header cells joined by ``sep`` top to bottom (tiny aggregate)."""
+    top = cells.filter(F.col("row_idx").isin(*header_rows) & F.col("value").isNotNull())
+    parts = F.array_sort(F.collect_list(F.struct("row_idx", F.col("value").cast("string").alias("v"))))
+    return top.groupBy(*SHEET_KEYS, "col_idx").agg(
+        F.array_join(F.transform(parts, lambda p: p["v"]), sep).alias("header_text"))

@@ -89,3 +89,19 @@ def test_audit_note(spark):
     sheets = {("S", 0): [["Degree"], ["MD"], ["DO"]]}
     res = R.standardize_roster(_cells(spark, sheets), "four_list")
     assert [r["note"] for r in R.audit_or_note(res.audit).collect()] == ["No duplicates removed"]
+
+
+def test_table_to_cells_feeds_roster(spark):
+    df = spark.createDataFrame([(1, "MD", "Cardiology"), (2, "MD", "Cardiology"), (3, "DO", None)],
+                               "n int, Degree string, `Primary Specialty` string")
+    cells = R.table_to_cells(df, "t.csv", "S", order_col="n")
+    res = R.standardize_roster(cells, "three")
+    assert res.std_names == ["Degree 1", "Speciality 1"]
+    got = sorted((r["Degree 1"], r["Speciality 1"] or "", r["duplicate_count"]) for r in res.combined.collect())
+    assert got == [("DO", "", 1), ("MD", "Cardiology", 2)]
+
+
+def test_flatten_header_rows(spark):
+    sheets = {("S", 0): [["Age", "Age", "Name"], ["Min", "Max", N]]}
+    got = {r["col_idx"]: r["header_text"] for r in R.flatten_header_rows(_cells(spark, sheets), [0, 1]).collect()}
+    assert got == {0: "Age_Min", 1: "Age_Max", 2: "Name"}
