@@ -289,6 +289,7 @@ class RosterResult:
     wide: DataFrame          # standard table before de-duplication
     header_rows: DataFrame   # header row per sheet
     std_names: list[str]
+    skipped_sheets: DataFrame | None = None   # sheets without data rows (U2)
 
 
 def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_rows: int = 20,
@@ -315,8 +316,12 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
     # one small table per sheet: grid width, last data row, header row
     info = materialize_df(ext.join(detect_header_rows(cells, max_header_rows, ext), SHEET_KEYS))
     hr = info.select(*SHEET_KEYS, "header_row")
+    with_data = sheets_with_data(info)
+    if with_data.isEmpty():   # tiny materialised table
+        raise ValueError("No data found in any sheet to process.")
+    skipped = info.select(*SHEET_KEYS).join(with_data, SHEET_KEYS, "left_anti")
     hm = materialize_df(build_header_map(cells, hr, info, max_header_rows))
-    cmap = materialize_df(build_column_map(hm, sheets_with_data(info), profile, include, exclude))
+    cmap = materialize_df(build_column_map(hm, with_data, profile, include, exclude))
     names = std_column_names(cmap)
     # one mapping row per grid column: its size is the (materialised) header map's
     mapping = cell_mapping(hm, cmap)
@@ -326,7 +331,7 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
         wide = materialize_df(wide)
     return RosterResult(combined=dedupe(wide, names), audit=audit(wide, names, block_rows),
                         column_map=cmap.select("workbook", "std_name", "original_header", "base", "slot"),
-                        wide=wide, header_rows=hr, std_names=names)
+                        wide=wide, header_rows=hr, std_names=names, skipped_sheets=skipped)
 
 
 # --------------------------- table <-> cells (X2, C8) ------------------------

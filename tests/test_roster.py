@@ -105,3 +105,11 @@ def test_flatten_header_rows(spark):
     sheets = {("S", 0): [["Age", "Age", "Name"], ["Min", "Max", N]]}
     got = {r["col_idx"]: r["header_text"] for r in R.flatten_header_rows(_cells(spark, sheets), [0, 1]).collect()}
     assert got == {0: "Age_Min", 1: "Age_Max", 2: "Name"}
+
+
+def test_skipped_and_empty_sheets(spark):
+    sheets = {("S", 0): [["Degree"], ["MD"]], ("E", 1): [["Degree", "PCP"]]}
+    res = R.standardize_roster(_cells(spark, sheets), "four_list")
+    assert [r["sheet"] for r in res.skipped_sheets.collect()] == ["E"]
+    with pytest.raises(ValueError):
+        R.standardize_roster(_cells(spark, {("E", 0): [["Degree", "PCP"]]}), "four_list")
