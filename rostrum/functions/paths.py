@@ -16,14 +16,24 @@ GCS_MARKER = "/gcs/"
 
 
 def normpath(p: Column) -> Column:
-    """POSIX ``normpath`` for paths without '..' segments: repeated slashes
-    collapse, '.' segments vanish, a trailing slash is dropped (root stays '/').
-    ('..' segments are kept as they are; a leading '//' becomes '/'.)"""
-    x = F.regexp_replace(p, r"/+", "/")
-    x = F.regexp_replace(x, r"(^|/)\.(?=/|$)", "$1")
-    x = F.regexp_replace(x, r"/+", "/")
-    x = F.when(x == "", F.lit(".")).otherwise(x)
-    return F.when((F.length(x) > 1) & x.endswith("/"), F.regexp_replace(x, r"/$", "")).otherwise(x)
+    """``posixpath.normpath``: empty and '.' segments dropped, '..' removes the
+    previous segment (kept when nothing is left to remove on a relative path,
+    dropped at the root of an absolute one), exactly two leading slashes are
+    kept, three or more become one; '' -> '.'."""
+    init = (F.when(p.startswith("//") & ~p.startswith("///"), F.lit("//"))
+            .when(p.startswith("/"), F.lit("/")).otherwise(F.lit("")))
+    absolute = p.startswith("/")
+
+    def step(acc, comp):
+        last = F.try_element_at(acc, F.lit(-1))
+        keep = (comp != "..") | (~absolute & (F.size(acc) == 0)) | ((F.size(acc) > 0) & (last == ".."))
+        return (F.when(comp.isin("", "."), acc)
+                .when(keep, F.concat(acc, F.array(comp)))
+                .when(F.size(acc) > 0, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                .otherwise(acc))
+    comps = F.aggregate(F.split(p, "/", -1), F.array().cast("array<string>"), step)
+    out = F.concat(init, F.array_join(comps, "/"))
+    return F.when(out == "", F.lit(".")).otherwise(out)
 
 
 def dirname(p: Column) -> Column:

@@ -39,7 +39,8 @@ FROM src
 
 
 def _norm(x: str) -> str:
-    # collapse slashes, drop '.' segments, drop a trailing slash (not the root)
+    # collapse slashes, drop '.' segments, drop a trailing slash (not the root);
+    # the page paths hold no '..' segments, so the parent rule is not restated here
     c = f"regexp_replace({x}, '/+', '/', 'g')"
     c = f"regexp_replace(regexp_replace({c}, '^\\./|/\\.$', '/', 'g'), '/\\./', '/', 'g')"
     c = f"regexp_replace({c}, '/+', '/', 'g')"

@@ -7,7 +7,8 @@ from rostrum.operators.paths import list_prefixes
 def test_prefix_rules(spark):
     cases = {"/home/airflow/gcs/dags/team/job.py": "dags/team/", "/srv/x/dags/team/job.py": "dags/team/",
              "/mnt/gcs/data/a/job.py": "gcs/data/a/", "/opt/app/job.py": "/opt/app/",
-             "/home/airflow/gcs/job.py": "/", "/opt//app/./x/": "/opt/app/", "job.py": "/"}
+             "/home/airflow/gcs/job.py": "/", "/opt//app/./x/": "/opt/app/", "job.py": "/",
+             "/a/b/../c/x.py": "/a/c/", "//srv/x.py": "//srv/", "a/../../x": "../", "/../x.py": "/"}
     df = spark.createDataFrame([(k,) for k in cases], "path string")
     got = {r["path"]: r["p"] for r in df.select("path", storage_prefix(F.col("path")).alias("p")).collect()}
     assert got == cases
