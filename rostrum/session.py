@@ -42,9 +42,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is unset (local tests) a private scratch folder is created and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        current = current.get() if current.isDefined() else None
     if not current:
         current = tempfile.mkdtemp(prefix="rostrum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
