@@ -80,3 +80,16 @@ def test_roster_file_tag_and_exclusion(spark):
     assert {r["id"]: r["organization"] for r in out} == {1: roster}
     kept = exclude_files(df, "file_name", spark.createDataFrame([("old.xlsx",)], "file_name string"))
     assert sorted(r["id"] for r in kept.collect()) == [1]
+
+
+def test_unicode_spaces_and_letters(spark):
+    # Python's str.strip()/\s treat the non-breaking space as whitespace; so do the Spark rules
+    df = spark.createDataFrame([(1, "Doe, John "), (2, "élodie dupont"), (3, " Émile Zola, MD")],
+                               "id int, header_col_value string")
+    n1 = {r["id"]: (r["firstname"], r["lastname"], r["medical_degree"])
+          for r in clean_names(df, "degree_dict", keep=["id"]).collect()}
+    assert n1 == {1: ("John", "Doe", "NA"), 2: ("Élodie", "Dupont", "NA"), 3: ("Émile", "Zola", "MD")}
+    n6 = {r["id"]: (r["detected_format"], r["first_name_parsed"], r["last_name_parsed"])
+          for r in clean_names(df, "format_detect").collect()}
+    assert n6[1] == ("last_name,first_name", "John", "Doe")
+    assert n6[2] == ("first_name last_name", "élodie", "dupont")
