@@ -58,7 +58,11 @@ def write_roster(result: RosterResult, path: str, fmt: str = "csv", mode: str =
     header rows), ``path/column_map``, ``path/duplicates_removed`` (audit) and
     ``path/note`` (one 'No duplicates removed' row when the audit is empty)."""
     cols = result.std_names + TRACKING
-    combined = result.combined.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).na.fill("")
+    # sorted by the standard columns, NULLs last (a distributed range sort; the
+    # combined table has one row per distinct key, so no key is hot)
+    ordered = result.combined.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in result.std_names]) \
+        if result.std_names else result.combined
+    combined = ordered.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).na.fill("")
     hdr = header_rows(result.column_map, result.std_names).orderBy("__row").drop("__row").coalesce(1)
     audit = result.audit.na.fill("")
     note = audit_or_note(result.audit)
