@@ -4,7 +4,7 @@ The reference cleans text with Python ``str`` methods and ``re``; Spark's
 built-ins differ in small ways (``trim`` only removes spaces, ``split`` keeps a
 leading empty token, ``regexp_extract`` returns '' on a miss, ``round`` is
 half-up).  The helpers below close those gaps once so every rule set can use
-them.
+them; Python's half-even ``round`` is ``F.bround``.
 """
 from __future__ import annotations
 
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 NUM = r"(\d+(?:\.\d+)?)"
 
 
-def lit_str(s: str) -> Column:
-    return F.lit(s)
-
-
 def pstrip(c: Column) -> Column:
     """``str.strip()``: remove leading/trailing whitespace, Unicode-aware."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -29,21 +25,6 @@ def squash_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", " ")
 
 
-def pnorm(c: Column) -> Column:
-    """strip + collapse internal whitespace."""
-    return squash_ws(pstrip(c))
-
-
-def extract(c: Column, pattern: str, idx: int = 1) -> Column:
-    """``re.search(pattern, c).group(idx)`` or NULL when there is no match."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, idx))
-
-
-def num(c: Column, pattern: str, idx: int = 1) -> Column:
-    """First match of ``pattern`` converted to double, NULL on a miss."""
-    return F.regexp_extract(c, pattern, idx).try_cast("double")
-
-
 def find_all(c: Column, pattern: str, idx: int = 0) -> Column:
     """``re.findall``: array of all non-overlapping matches (group ``idx``)."""
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(idx))
@@ -59,32 +40,11 @@ def nums_array(c: Column, pattern: str = r"\d+(?:\.\d+)?") -> Column:
                        lambda x: x.try_cast("double"))
 
 
-def contains_any(c: Column, needles) -> Column:
-    cond = F.lit(False)
-    for n in needles:
-        cond = cond | c.contains(n)
-    return cond
-
-
 def capitalize(c: Column) -> Column:
     """``str.capitalize()``: first character upper, the rest lower."""
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
 
 
-def round_half_even(c: Column, scale: int) -> Column:
-    """Python ``round(x, n)`` is half-even; Spark's ``round`` is half-up."""
-    return F.bround(c, scale)
-
-
-def blank_to_null(c: Column) -> Column:
-    return F.when(pstrip(c) != "", c)
-
-
-def tokens(c: Column, sep: str = r"(?U)\s+") -> Column:
-    """``str.split()``: whitespace tokens with empty strings dropped."""
-    return F.filter(F.split(pstrip(c), sep), lambda t: t != "")
-
-
 def strip_chars(c: Column, chars: str) -> Column:
     """``str.strip(chars)`` for a set of literal characters."""
     cls = "".join("\\" + ch if ch in r"\^-]." else ch for ch in chars)
