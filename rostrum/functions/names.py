@@ -16,6 +16,7 @@ from types import SimpleNamespace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .literals import empty_str, in_list, str_map
 from .text import capitalize, pstrip, squash_ws, strip_chars
 
 PROFILES = ("degree_caps", "degree_dict", "credential_org", "credential_list", "credential_clean",
@@ -81,7 +82,7 @@ SUFFIXES_N6 = ["jr", "sr", "ii", "iii", "iv"]
 # ---------------------------------------------------------------------------
 
 def _e() -> Column:
-    return F.lit("")
+    return empty_str()
 
 
 def _norm_key(s: str) -> str:
@@ -92,7 +93,7 @@ def _degree_map() -> Column:
     m = {}
     for k, v in RAW_DEGREE_ALIASES:
         m[_norm_key(k)] = v
-    return F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(v))])
+    return str_map(m)
 
 
 def ws_tokens(c: Column) -> Column:
@@ -193,7 +194,7 @@ def _deg_helpers(caps: bool):
     def is_deg(t):
         cond = F.map_contains_key(dmap, key(t))
         if caps:
-            cond = cond | (t.rlike(r"^[A-Z][A-Z\-]+$") & ~F.upper(t).isin(*ROMAN_NUMERALS)
+            cond = cond | (t.rlike(r"^[A-Z][A-Z\-]+$") & ~in_list(F.upper(t), ROMAN_NUMERALS)
                            & (F.length(t) >= 2))
         return cond
 
@@ -201,7 +202,7 @@ def _deg_helpers(caps: bool):
         return F.coalesce(F.try_element_at(dmap, key(t)), F.upper(t))
 
     def toks(p):
-        return F.filter(_runs(p, r"(?U)[^\s,]+"), lambda t: ~t.isin(*DASHES))
+        return F.filter(_runs(p, r"(?U)[^\s,]+"), lambda t: ~in_list(t, DASHES))
     return key, is_deg, deg_val, toks
 
 
@@ -220,20 +221,20 @@ def parse_degree_names(df: DataFrame, src: str, profile: str = "degree_dict") ->
                parts1=split_trailing(b.parts, lambda p: (F.size(toks(p)) > 0) & F.forall(toks(p), is_deg))[0])
     n1 = F.size(c.parts1)
     last_part = F.try_element_at(c.parts1, F.lit(-1))
-    d = st.add(has_suffix=(n1 >= 3) & F.coalesce(key(last_part).isin(*NAME_SUFFIXES_N12), F.lit(False)),
+    d = st.add(has_suffix=(n1 >= 3) & F.coalesce(in_list(key(last_part), NAME_SUFFIXES_N12), F.lit(False)),
                last_part=last_part)
     e = st.add(parts2=F.when(d.has_suffix, F.slice(c.parts1, 1, F.greatest(n1 - 1, F.lit(0))))
                .otherwise(c.parts1))
     n2 = F.size(e.parts2)
     if caps:
         right = strip_leading_titles(F.coalesce(_get(e.parts2, 2), _e()))
-        rtoks = F.filter(ws_tokens(right), lambda t: ~t.isin(*DASHES))
-        stoks = F.filter(ws_tokens(strip_leading_titles(_join(e.parts2))), lambda t: ~t.isin(*DASHES))
+        rtoks = F.filter(ws_tokens(right), lambda t: ~in_list(t, DASHES))
+        stoks = F.filter(ws_tokens(strip_leading_titles(_join(e.parts2))), lambda t: ~in_list(t, DASHES))
     else:
         right = strip_leading_titles(_join(_slice_from(e.parts2, 2)))
-        rtoks = F.filter(_runs(right, r"(?U)[^\s,]+"), lambda t: ~t.isin(*DASHES))
+        rtoks = F.filter(_runs(right, r"(?U)[^\s,]+"), lambda t: ~in_list(t, DASHES))
         stoks = F.filter(_runs(strip_leading_titles(_join(e.parts2)), r"(?U)[^\s,]+"),
-                         lambda t: ~t.isin(*DASHES))
+                         lambda t: ~in_list(t, DASHES))
     f = st.add(comma=(n2 >= 2) & a.s.contains(","))
     g = st.add(used=F.when(f.comma, rtoks).otherwise(stoks))
     h = st.add(kept=F.filter(g.used, lambda t: ~is_deg(t)),
@@ -275,10 +276,10 @@ def is_designation(seg: Column, sep: str = r"[,\s]+") -> Column:
     lt = letters(s1)
     single = F.coalesce(_get(toks, 1), _e())
     one = (F.when(F.upper(single) != single, F.lit(False))
-           .when(F.upper(single).isin(*COMMON_DESIGNATIONS), F.lit(True))
+           .when(in_list(F.upper(single), COMMON_DESIGNATIONS), F.lit(True))
            .otherwise(F.length(single).between(2, 4)))
     return (F.when(seg.isNull() | (s1 == ""), F.lit(False))
-            .when(F.upper(s1).isin(*COMMON_DESIGNATIONS), F.lit(True))
+            .when(in_list(F.upper(s1), COMMON_DESIGNATIONS), F.lit(True))
             .when(F.size(toks) == 0, F.lit(False))
             .when(F.length(lt) < 2, F.lit(False))
             .when(lt != F.upper(lt), F.lit(False))
@@ -325,7 +326,7 @@ def remove_designation_tokens(part: Column, designations: Column) -> Column:
     norm = F.transform(designations, lambda d: F.lower(strip_chars(pstrip(d), ".")))
     toks = F.filter(_split_tokens_clean(part), lambda t: t != "")
     keep = F.filter(toks, lambda t: ~(F.array_contains(norm, F.lower(t)) | t.rlike(r"^[A-Z]{2,4}$")
-                                      | F.upper(t).isin(*COMMON_DESIGNATIONS)))
+                                      | in_list(F.upper(t), COMMON_DESIGNATIONS)))
     return _join(keep)
 
 
@@ -388,7 +389,7 @@ def parse_credential_names(df: DataFrame, src: str, profile: str, file_col: str
     h = st.add(head=head, tail=tail)
 
     def is_suffix(t):
-        return _suffix_key(t).isin(*NAME_SUFFIXES) & ~desig(t)
+        return in_list(_suffix_key(t), NAME_SUFFIXES) & ~desig(t)
     if variant == "n3":
         dstr = F.when(F.size(h.tail) > 0, F.concat_ws(",", F.when(e.d0 != "", e.d0),
                                                         F.array_join(h.tail, ","))).otherwise(e.d0)
@@ -405,7 +406,7 @@ def parse_credential_names(df: DataFrame, src: str, profile: str, file_col: str
         head_b = i.head_a
     na = F.size(i.head_a)
     j = F.coalesce(F.array_max(F.transform(F.slice(i.head_a, 1, F.greatest(na - 1, F.lit(0))),
-                                           lambda t, k: F.when(_prefix_key(t).isin(*LAST_NAME_PREFIXES), F.lit(0))
+                                           lambda t, k: F.when(in_list(_prefix_key(t), LAST_NAME_PREFIXES), F.lit(0))
                                            .otherwise(k + 1))), F.lit(0))
     jj = st.add(j=j, head_b=head_b)
     a_first = F.coalesce(_get(i.head_a, 1), _e())
@@ -461,7 +462,7 @@ _ORG6 = r"(?i)\b(?:" + "|".join(ORG_WORDS_N6) + r")\b"
 def is_organization_n6(c: Column) -> Column:
     t = pstrip(c)
     words = F.regexp_extract_all(F.lower(t), F.lit(r"[A-Za-z0-9]+"), F.lit(0))
-    strong = F.exists(words, lambda w: w.isin(*ORG_STRONG_TOKENS_N6))
+    strong = F.exists(words, lambda w: in_list(w, ORG_STRONG_TOKENS_N6))
     digits = F.length(F.regexp_replace(t, r"[^\p{Nd}]", "")) >= 2
     caps = is_upper_py(t) & (F.size(ws_tokens(t)) > 1)
     return F.coalesce(t.rlike(_ORG6) | strong | digits | caps, F.lit(False))
@@ -493,7 +494,7 @@ def detect_formats(df: DataFrame, src: str) -> Stager:
                tok1_org=is_organization_n6(F.coalesce(_get(c.toks, 1), _e())))
     nt, npt = F.size(c.toks), F.size(d.ptoks)
     last_tok = F.try_element_at(c.toks, F.lit(-1))
-    sfx = (nt >= 4) & F.coalesce(strip_chars(F.lower(last_tok), ".").isin(*SUFFIXES_N6), F.lit(False))
+    sfx = (nt >= 4) & F.coalesce(in_list(strip_chars(F.lower(last_tok), "."), SUFFIXES_N6), F.lit(False))
     empty = a.raw.isNull() | (pstrip(a.raw) == "")
     # Each branch: (condition, format, first, middle, last, organization)
     branches = [
