@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.ages import clean_ages
-from .operators.names import clean_names
+from .operators.names import clean_names, observe_exclusion
 from .operators.roster import RosterResult, standardize_roster
 from .sinks import write_name_jsonl, write_records_json, write_roster, write_table
 from .sources.workbook import cells_to_table, check_sheet, read_sheet, read_workbooks
@@ -42,10 +42,15 @@ def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile
     all columns otherwise)."""
     df = load_sheet_table(spark, input_path, sheet)
     kw = {"value_col": value_col} if value_col else {}
+    obs = None
     if profile in ("credential_list", "credential_clean"):
         kw["exclude"] = exclude
+        if "file_name" in df.columns:
+            df, obs = observe_exclusion(df, "file_name", exclude)
     out = clean_names(df, profile, **kw)
     write_table(out, f"{output_path}/table", fmt=fmt)
+    if obs is not None:
+        print(f"name job: {obs.get}")  # rows in / rows excluded by file name
     if profile in ("degree_caps", "degree_dict"):
         write_name_jsonl(out, f"{output_path}/jsonl")
     else:

@@ -52,6 +52,19 @@ def exclude_files(df: DataFrame, file_col: str = "file_name", names: Iterable[st
     return df.filter(protected | ~key.isin(*lowered))
 
 
+def observe_exclusion(df: DataFrame, file_col: str = "file_name", names: Iterable[str] = (),
+                      roster_file: str = N.ROSTER_FILENAME, name: str = "name_job"):
+    """G4 as in-flight metrics: returns (observed DataFrame, Observation); the
+    counts of input rows and rows the exclusion will drop are filled in when
+    an action on the returned DataFrame (e.g. the write) completes."""
+    from pyspark.sql import Observation
+    key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
+    lowered = sorted({str(n).strip().lower() for n in names})
+    excluded = (key != roster_file.lower()) & key.isin(*lowered) if lowered else F.lit(False)
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("n_input"), F.count_if(excluded).alias("n_excluded")), obs
+
+
 def exclusion_counts(df: DataFrame, file_col: str = "file_name", names: Iterable[str] = (),
                      roster_file: str = N.ROSTER_FILENAME) -> DataFrame:
     """Rows in, rows excluded by file name, rows out (one global aggregate)."""

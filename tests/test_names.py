@@ -93,3 +93,12 @@ def test_unicode_spaces_and_letters(spark):
           for r in clean_names(df, "format_detect").collect()}
     assert n6[1] == ("last_name,first_name", "John", "Doe")
     assert n6[2] == ("first_name last_name", "élodie", "dupont")
+
+
+def test_observed_exclusion_counts(spark):
+    from rostrum.operators.names import observe_exclusion
+    df = spark.createDataFrame([(1, "a", "old.xlsx"), (2, "b", "new.xlsx"), (3, "c", " OLD.xlsx")],
+                               "id int, header_col_value string, file_name string")
+    observed, obs = observe_exclusion(df, "file_name", ["old.xlsx"])
+    clean_names(observed, "credential_clean", exclude=["old.xlsx"]).write.format("noop").mode("overwrite").save()
+    assert obs.get == {"n_input": 3, "n_excluded": 2}
