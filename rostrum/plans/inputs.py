@@ -235,8 +235,10 @@ _CUST_VALUE_SPECS = {
 }
 
 
-# Sheet layout per region key: (header row index, [(header text, value kind)]).
-ROSTER_WORKBOOK = "providers.xlsx"
+# Customers are spread over ROSTER_WORKBOOKS workbooks "providers_<c_custkey % n>.xlsx",
+# each with one sheet per region laid out as below:
+# region key -> (header row index, [(header text, value kind)]).
+ROSTER_WORKBOOKS = 4
 ROSTER_SHEETS = {
     0: (1, [("Provider Name", "name"), ("Degree", "degree"), ("Primary Specialty", "specialty"),
             ("Tax ID", "taxid"), ("Phone Number", "phone")]),
@@ -253,7 +255,7 @@ ROSTER_DATA_ROW0 = 20   # data row of customer k sits at row 20 + k
 
 
 def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw_cells of one workbook: one sheet per region, one data row per customer."""
+    """raw_cells of ROSTER_WORKBOOKS workbooks: one sheet per region, one data row per customer."""
     region = read_table(spark, sf_dir, "region")
     nation = read_table(spark, sf_dir, "nation")
     cust = read_table(spark, sf_dir, "customer")
@@ -270,10 +272,12 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         cells.append(F.struct(F.lit(j).alias("col_idx"), expr.alias("value")))
     data = (cust.join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
+            .select(F.concat(F.lit("providers_"), (F.col("c_custkey") % ROSTER_WORKBOOKS).cast("string"),
+                             F.lit(".xlsx")).alias("workbook"),
+                    F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
                     (F.lit(ROSTER_DATA_ROW0) + F.col("c_custkey")).alias("row_idx"),
                     F.explode(F.array(*cells)).alias("c"))
-            .select("sheet", "sheet_idx", "row_idx", "c.col_idx", "c.value"))
+            .select("workbook", "sheet", "sheet_idx", "row_idx", "c.col_idx", "c.value"))
     # title, note and header rows per sheet (derived from the region table)
     top = []
     for r, (hrow, cols) in ROSTER_SHEETS.items():
@@ -282,11 +286,12 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             top += [(r, 1, 0, "Confidential"), (r, 1, 1, "Internal use")]
         top += [(r, hrow, j, h) for j, (h, _) in enumerate(cols)]
     top_df = spark.createDataFrame(top, "rk int, row_idx int, col_idx int, value string")
+    books = F.explode(F.array(*[F.lit(f"providers_{i}.xlsx") for i in range(ROSTER_WORKBOOKS)]))
     heads = (region.join(top_df, F.col("r_regionkey") == F.col("rk"))
-             .select(F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
-                     "row_idx", "col_idx", "value"))
+             .select(books.alias("workbook"), F.col("r_name").alias("sheet"),
+                     F.col("r_regionkey").alias("sheet_idx"), "row_idx", "col_idx", "value"))
     allc = heads.unionByName(data).filter(F.col("value").isNotNull())
-    return allc.select(F.lit(ROSTER_WORKBOOK).alias("workbook"), "sheet",
+    return allc.select("workbook", "sheet",
                        F.col("sheet_idx").cast("int").alias("sheet_idx"),
                        F.col("row_idx").cast("int").alias("row_idx"),
                        F.col("col_idx").cast("int").alias("col_idx"), "value")
@@ -299,7 +304,8 @@ def roster_cells_sql() -> str:
     for j in range(ncols):
         whens = " ".join(f"WHEN {r} THEN {vals[cols[j][1]][1]}" for r, (_, cols) in ROSTER_SHEETS.items()
                          if j < len(cols))
-        parts.append(f"SELECT r_name AS sheet, r_regionkey AS sheet_idx, {ROSTER_DATA_ROW0} + c_custkey AS row_idx, "
+        parts.append(f"SELECT 'providers_' || CAST(c_custkey % {ROSTER_WORKBOOKS} AS VARCHAR) || '.xlsx' AS workbook, "
+                     f"r_name AS sheet, r_regionkey AS sheet_idx, {ROSTER_DATA_ROW0} + c_custkey AS row_idx, "
                      f"{j} AS col_idx, CASE n_regionkey {whens} END AS value FROM cr")
     top = []
     for r, (hrow, cols) in ROSTER_SHEETS.items():
@@ -309,14 +315,15 @@ def roster_cells_sql() -> str:
         top += [(r, hrow, j, h) for j, (h, _) in enumerate(cols)]
     top_vals = ", ".join(f"({r}, {ri}, {ci}, {_sql_lit(v)})" for r, ri, ci, v in top)
     return f"""
-SELECT {_sql_lit(ROSTER_WORKBOOK)} AS workbook, sheet, CAST(sheet_idx AS INTEGER) AS sheet_idx,
+SELECT workbook, sheet, CAST(sheet_idx AS INTEGER) AS sheet_idx,
        CAST(row_idx AS INTEGER) AS row_idx, CAST(col_idx AS INTEGER) AS col_idx, value
 FROM (
   WITH cr AS (SELECT c.*, n.n_regionkey, r.r_name, r.r_regionkey FROM customer c
               JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
   {' UNION ALL '.join(parts)}
   UNION ALL
-  SELECT r.r_name, r.r_regionkey, t.ri, t.ci, t.v
+  SELECT 'providers_' || CAST(unnest(range({ROSTER_WORKBOOKS})) AS VARCHAR) || '.xlsx', r.r_name, r.r_regionkey,
+         t.ri, t.ci, t.v
   FROM region r JOIN (VALUES {top_vals}) AS t(rk, ri, ci, v) ON r.r_regionkey = t.rk
 ) WHERE value IS NOT NULL
 """
