@@ -49,3 +49,35 @@ def strip_chars(c: Column, chars: str) -> Column:
     """``str.strip(chars)`` for a set of literal characters."""
     cls = "".join("\\" + ch if ch in r"\^-]." else ch for ch in chars)
     return F.regexp_replace(c, f"^[{cls}]+|[{cls}]+$", "")
+
+
+_SPLIT = 134217729.0  # 2**27 + 1 (Veltkamp split of a double into two 26-bit halves)
+
+
+def _split_const(v: float) -> tuple[float, float]:
+    c = _SPLIT * v
+    hi = c - (c - v)
+    return hi, v - hi
+
+
+def py_round(x: Column, ndigits: int) -> Column:
+    """Python's ``round(x, n)`` for doubles: half-even rounding of the *exact*
+    binary value (``round(129.515, 2) == 129.51`` because 129.515 is stored as
+    129.51499...).  ``F.bround`` rounds the shortest decimal text instead and
+    would give 129.52.
+
+    p = x * 10**n is computed with its exact rounding error (Dekker's
+    error-free product); the error only matters when p lands exactly on a half.
+    ``x`` should be a column reference (it is used several times)."""
+    f = 10.0 ** ndigits
+    bh, bl = _split_const(f)
+    p = x * F.lit(f)
+    c = x * F.lit(_SPLIT)
+    ah = c - (c - x)
+    al = x - ah
+    err = ((ah * F.lit(bh) - p) + ah * F.lit(bl) + al * F.lit(bh)) + al * F.lit(bl)
+    fl = F.floor(p).cast("double")
+    tie = (p - fl) == F.lit(0.5)
+    k = F.when(tie, F.when(err > 0, fl + 1).when(err < 0, fl).when(fl % 2 == 0, fl).otherwise(fl + 1)) \
+        .otherwise(F.rint(p))
+    return k / F.lit(f)

@@ -10,6 +10,13 @@ from . import inputs
 
 NUM = r"(\d+(?:\.\d+)?)"
 
+# Optional replacement of the input CTEs (tests point the same rules at other tables).
+SOURCES: dict[str, str] = {}
+
+
+def source(name: str, default) -> str:
+    return SOURCES.get(name) or default()
+
 
 def q(p: str) -> str:
     """SQL string literal."""
@@ -36,6 +43,24 @@ def sub(x: str, needle: str) -> str:
     return f"contains({x}, {q(needle)})"
 
 
+def py_round_sql(x: str, nd: int) -> str:
+    """Python round(x, nd) on doubles: half-even on the exact binary value, via the
+    error-free product x * 10**nd (Veltkamp split); x must be a plain column."""
+    f = float(10 ** nd)
+    split = 134217729.0
+    c = split * f
+    bh = c - (c - f)
+    bl = f - bh
+    p = f"({x} * {f!r})"
+    ah = f"(({x} * {split!r}) - (({x} * {split!r}) - {x}))"
+    al = f"({x} - {ah})"
+    err = f"((({ah} * {bh!r} - {p}) + {ah} * {bl!r} + {al} * {bh!r}) + {al} * {bl!r})"
+    fl = f"floor({p})"
+    k = (f"CASE WHEN {p} - {fl} = 0.5 THEN (CASE WHEN {err} > 0 THEN {fl} + 1 WHEN {err} < 0 THEN {fl} "
+         f"WHEN {fl} % 2 = 0 THEN {fl} ELSE {fl} + 1 END) ELSE round_even({p}, 0) END")
+    return f"(({k}) / {f!r})"
+
+
 def case(rules, idx: int, default: str = "NULL") -> str:
     body = " ".join(f"WHEN {r[0]} THEN {r[idx]}" for r in rules)
     return f"CASE {body} ELSE {default} END"
@@ -84,7 +109,7 @@ def age_label_map() -> str:
         ("len(ns) >= 2", "least(ns[1], ns[2])", "least(greatest(ns[1], ns[2]), 150.0)"),
     ]
     return f"""
-WITH src AS ({inputs.age_text_sql()}),
+WITH src AS ({source('age_text', inputs.age_text_sql)}),
 a AS (SELECT *, header_col_value AS v,
         regexp_replace(replace(replace(lower({strip('header_col_value')}), '&', 'and'), '–', '-'),
                        '\\s+', ' ', 'g') AS s FROM src),
@@ -189,7 +214,7 @@ s4 AS (SELECT *,
         step2 = """,
 s4 AS (SELECT *, CASE WHEN is_min AND mn1 IS NULL THEN fnum ELSE mn1 END AS mn3, mx1 AS mx3 FROM s1)"""
     return f"""
-WITH src AS ({inputs.age_text_sql()}),
+WITH src AS ({source('age_text', inputs.age_text_sql)}),
 a AS (SELECT *, header_col_value AS v, header_col_name AS h,
              {strip('header_col_value')} AS t FROM src),
 b AS (SELECT *, lower(t) AS tl,
@@ -204,12 +229,13 @@ s1 AS (SELECT *,
          CASE WHEN r0 = 'single_ambiguous' AND cnt = 1 AND NOT is_min THEN 0.0 ELSE mn0 END AS mn1,
          CASE WHEN r0 = 'single_ambiguous' AND cnt = 1 AND NOT is_min THEN fnum ELSE mx0 END AS mx1,
          CASE WHEN r0 = 'single_ambiguous' AND cnt = 1 AND NOT is_min THEN 'assumed' ELSE r0 END AS r1
-       FROM p){step2}
+       FROM p){step2},
+s5 AS (SELECT *, CAST(coalesce(mn3, 0.0) AS DOUBLE) AS mn_f,
+              CAST(coalesce(CASE WHEN is_max AND mx3 IS NULL THEN fnum ELSE mx3 END, 150.0) AS DOUBLE) AS mx_f
+       FROM s4)
 SELECT id, header_col_value, header_col_name,
-       round_even(CAST(coalesce(mn3, 0.0) AS DOUBLE), 2) AS min_age,
-       round_even(CAST(coalesce(CASE WHEN is_max AND mx3 IS NULL THEN fnum ELSE mx3 END, 150.0) AS DOUBLE), 2)
-         AS max_age
-FROM s4
+       {py_round_sql('mn_f', 2)} AS min_age, {py_round_sql('mx_f', 2)} AS max_age
+FROM s5
 """
 
 
@@ -261,7 +287,7 @@ def age_band() -> str:
     ]
     hdr_vals = ", ".join(f"({q(k)}, {q('Min_age' if v == 'min' else 'Max_age')})" for k, v in _A4_HEADERS)
     return f"""
-WITH src AS ({inputs.age_text_sql()}),
+WITH src AS ({source('age_text', inputs.age_text_sql)}),
 a AS (SELECT id, header_col_value, header_col_name AS "header_colName", header_col_value AS v,
              lower({strip('header_col_value')}) AS s FROM src),
 b AS (SELECT *, {nums('s')} AS ns,
@@ -294,7 +320,7 @@ def age_simple120() -> str:
         ("len(ns) >= 2", "greatest(0, least(ns[1], ns[2]))", "least(greatest(ns[1], ns[2]), 120)"),
     ]
     return f"""
-WITH src AS ({inputs.age_text_sql()}),
+WITH src AS ({source('age_text', inputs.age_text_sql)}),
 a AS (SELECT *, header_col_value AS v, {strip('header_col_value')} AS t FROM src),
 b AS (SELECT *, lower(t) AS sl, {nums('lower(t)', r'\d{1,3}')} AS ns FROM a)
 SELECT id, header_col_value, header_col_name,
@@ -386,7 +412,7 @@ def age_two_col() -> str:
     def nb(x):
         return f"CASE WHEN {x} IS NOT NULL AND {strip(x)} <> '' THEN {x} END"
     return f"""
-WITH src AS ({inputs.age_two_col_sql()}),
+WITH src AS ({source('age_two_col', inputs.age_two_col_sql)}),
 a AS (SELECT p_partkey, {vmin} AS vmin, {vmax} AS vmax,
              coalesce({nb(vmin)}, {nb(vmax)}, {nb(vgrp)}) AS vage FROM src),
 b AS (SELECT *, {pure('vmin')} AS pmin, {pure('vmax')} AS pmax,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from . import inputs
-from .oracle_ages import q
+from .oracle_ages import q, source
 
 DASH = "('-', '–', '—')"
 COMMON = ["CEO", "CTO", "CFO", "COO", "VP", "SVP", "AVP", "MD", "HR", "QA", "QA LEAD", "TEAM LEAD", "LEAD",
@@ -114,7 +114,7 @@ def degree_names(profile: str) -> str:
                  f"lambda r_: r_ <> '' AND r_ NOT IN {DASH})")
     org = r"(?i)\b(health|MedCare|Medicine|Clinic|Hospital|Medical|University|WakeMed)\b"
     return f"""
-WITH src AS ({inputs.provider_text_sql()}),
+WITH src AS ({source('provider_text', inputs.provider_text_sql)}),
 a AS (SELECT id, header_col_value AS raw, replace({strip('header_col_value')}, ';', '') AS s FROM src),
 b AS (SELECT *, list_filter(list_transform(string_split_regex(s, '\\s*,\\s*'), lambda p_: {strip('p_')}),
                             lambda p_: p_ <> '') AS parts FROM a),
@@ -251,7 +251,7 @@ SELECT coalesce(header_col_value, '') AS header_col_value,
          AS designation, {org} AS organization, id, file_name
 FROM (SELECT *, {rm('first')} AS f0, {rm('middle')} AS m0, {rm('last')} AS l0 FROM z)"""
     return f"""
-WITH src AS ({inputs.provider_text_sql()}),
+WITH src AS ({source('provider_text', inputs.provider_text_sql)}),
 a AS (SELECT *, {name0} AS name0 FROM src),
 b AS (SELECT *, regexp_replace(name0, '\\s+', ' ', 'g') AS name FROM a),
 c AS (SELECT *, list_transform(string_split(name, ','), lambda sp_: {strip('sp_')}) AS pa,
@@ -324,7 +324,7 @@ def format_detect() -> str:
     def chain(idx, default):
         return "CASE " + " ".join(f"WHEN {b[0]} THEN {b[idx]}" for b in branches) + f" ELSE {default} END"
     return f"""
-WITH src AS ({inputs.provider_text_sql()}),
+WITH src AS ({source('provider_text', inputs.provider_text_sql)}),
 a AS (SELECT *, regexp_replace({strip('header_col_value')}, '\\s+', ' ', 'g') AS s FROM src),
 b AS (SELECT *, {odistinct(f"list_transform(regexp_extract_all(s, {q(DEG6)}), lambda f_: upper(replace(f_, '.', '')))")}
                AS degs,
