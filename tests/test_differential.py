@@ -156,3 +156,38 @@ def test_names_agree(fuzz_tables, profile):
     tables, con = fuzz_tables
     kw = {"keep": ["id"]} if profile.startswith("degree") else {}
     _check(clean_names(tables["names"], profile, **kw), con, NAME_SQL[profile]())
+
+
+HEADER_WORDS = ["Degree", "Degrees", "degree(s)", "credential", "Credentials", "MD", "M.D", "DO", "D.O", "PhD", "Dr",
+                "DMD", "PA-C", "NP", "RN", "MS", "Taxonomy", "Tax", "Code", "tax code", "Specialty", "Speciality",
+                "Special", "Specialist", "Specialization", "Primary", "Secondary", "Third", "3rd", "Care",
+                "primary care", "PCP", "Role", "Spec", "Name", "First", "Last", "Middle", "Given", "Group", "DOB",
+                "Date of Birth", "DEA", "License", "Lic", "Policy", "Board", "Cert", "Certified", "Fax", "Fx",
+                "Phone", "Tel", "Telephone", "Email", "E-mail", "Mail", "Contact", "Provider", "ID", "Number",
+                "#", "(", ")", "_", ".", "-", "/", ":", "DEGREE_EARNED.TRAINING_PROG_DEGREE", "x", "Indicator"]
+
+
+def header_text(r):
+    if r.random() < 0.03:
+        return r.choice(["", " ", None])
+    parts = [r.choice(HEADER_WORDS) for _ in range(r.randint(1, 5))]
+    s = r.choice([" ", " ", "", "_"]).join(parts)
+    return r.choice([s, s.upper(), s.lower(), " " + s + " "])
+
+
+@pytest.mark.parametrize("profile", ["general", "three", "four", "four_regex", "four_list"])
+def test_header_profiles_agree(spark, profile):
+    from pyspark.sql import functions as F
+
+    from rostrum.functions.headers import standard_name
+    from rostrum.plans.oracle_roster import base_sql
+    r = random.Random(int(os.environ.get("FUZZ_SEED", "7")) + len(profile))
+    rows = [(i, header_text(r)) for i in range(N_ROWS)]
+    df = spark.createDataFrame(rows, "id bigint, h string").filter(F.col("h").isNotNull())
+    got = {x["id"]: x["b"] for x in df.select("id", standard_name(F.col("h"), profile).alias("b")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE hdr (id BIGINT, h VARCHAR)")
+    con.executemany("INSERT INTO hdr VALUES (?, ?)", [x for x in rows if x[1] is not None])
+    exp = dict(con.execute(f"SELECT id, {base_sql('h', profile)} FROM hdr").fetchall())
+    bad = [(rows[i][1], got[i], exp[i]) for i in got if got[i] != exp[i]]
+    assert not bad, bad[:8]
