@@ -39,12 +39,17 @@ FROM src
 
 
 def _norm(x: str) -> str:
-    # collapse slashes, drop '.' segments, drop a trailing slash (not the root);
-    # the page paths hold no '..' segments, so the parent rule is not restated here
-    c = f"regexp_replace({x}, '/+', '/', 'g')"
-    c = f"regexp_replace(regexp_replace({c}, '^\\./|/\\.$', '/', 'g'), '/\\./', '/', 'g')"
-    c = f"regexp_replace({c}, '/+', '/', 'g')"
-    return f"(CASE WHEN length({c}) > 1 AND ends_with({c}, '/') THEN left({c}, length({c}) - 1) ELSE {c} END)"
+    """POSIX normpath: '' and '.' segments dropped, '..' pops the previous segment
+    (kept on a relative path with nothing to pop, dropped at an absolute root),
+    exactly two leading slashes kept, '' -> '.'."""
+    absolute = f"starts_with({x}, '/')"
+    comps = (f"list_reduce(string_split({x}, '/'), lambda acc, c: CASE WHEN c IN ('', '.') THEN acc "
+             f"WHEN c <> '..' OR (NOT {absolute} AND len(acc) = 0) OR (len(acc) > 0 AND acc[-1] = '..') "
+             f"THEN list_append(acc, c) WHEN len(acc) > 0 THEN acc[1:len(acc) - 1] ELSE acc END, []::VARCHAR[])")
+    init = (f"CASE WHEN starts_with({x}, '//') AND NOT starts_with({x}, '///') THEN '//' "
+            f"WHEN {absolute} THEN '/' ELSE '' END")
+    out = f"({init} || array_to_string({comps}, '/'))"
+    return f"(CASE WHEN {out} = '' THEN '.' ELSE {out} END)"
 
 
 def _dirname(x: str) -> str:
@@ -57,15 +62,19 @@ def _slash(x: str) -> str:
     return f"(CASE WHEN ends_with({x}, '/') THEN {x} ELSE {x} || '/' END)"
 
 
+def prefix_sql(p: str) -> str:
+    """Storage prefix of an already normalised path column ``p``."""
+    return f"""CASE WHEN starts_with({p}, '/home/airflow/gcs') THEN {_slash(_dirname(f"substr({p}, 19)"))}
+       WHEN strpos({p}, '/dags/') > 0 THEN {_slash(_dirname(f"substr({p}, strpos({p}, '/dags/') + 1)"))}
+       WHEN strpos({p}, '/gcs/') > 0 THEN {_slash(_dirname(f"substr({p}, strpos({p}, '/gcs/') + 1)"))}
+       ELSE {_slash(_dirname(p))} END"""
+
+
 def path_prefix() -> str:
     return f"""
 WITH src AS ({inputs.page_objects_sql()}),
 n AS (SELECT page_id, path, {_norm('path')} AS p FROM src)
-SELECT page_id, path,
-  CASE WHEN starts_with(p, '/home/airflow/gcs') THEN {_slash(_dirname("substr(p, 19)"))}
-       WHEN strpos(p, '/dags/') > 0 THEN {_slash(_dirname("substr(p, strpos(p, '/dags/') + 1)"))}
-       WHEN strpos(p, '/gcs/') > 0 THEN {_slash(_dirname("substr(p, strpos(p, '/gcs/') + 1)"))}
-       ELSE {_slash(_dirname('p'))} END AS prefix
+SELECT page_id, path, {prefix_sql('p')} AS prefix
 FROM n
 """
 

@@ -191,3 +191,43 @@ def test_header_profiles_agree(spark, profile):
     exp = dict(con.execute(f"SELECT id, {base_sql('h', profile)} FROM hdr").fetchall())
     bad = [(rows[i][1], got[i], exp[i]) for i in got if got[i] != exp[i]]
     assert not bad, bad[:8]
+
+
+def path_text(r):
+    segs = ["", ".", "..", "home", "airflow", "gcs", "dags", "team", "x", "job.py", "a", "b", "gcs2", "data"]
+    s = "/".join(r.choice(segs) for _ in range(r.randint(1, 7)))
+    return r.choice(["", "/", "//", "///", "/home/airflow/gcs/", "/srv/", "x/"]) + s
+
+
+def test_path_prefix_agrees(spark):
+    from pyspark.sql import functions as F
+
+    from rostrum.functions.paths import storage_prefix
+    from rostrum.plans.oracle_misc import _norm, prefix_sql
+    r = random.Random(int(os.environ.get("FUZZ_SEED", "5")))
+    rows = [(i, path_text(r)) for i in range(N_ROWS)]
+    got = {x["id"]: x["p"] for x in spark.createDataFrame(rows, "id bigint, path string")
+           .select("id", storage_prefix(F.col("path")).alias("p")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE paths (id BIGINT, path VARCHAR)")
+    con.executemany("INSERT INTO paths VALUES (?, ?)", rows)
+    exp = dict(con.execute(f"SELECT id, {prefix_sql('np')} FROM (SELECT id, {_norm('path')} AS np FROM paths)")
+               .fetchall())
+    bad = [(rows[i][1], got[i], exp[i]) for i in got if got[i] != exp[i]]
+    assert not bad, bad[:8]
+
+
+def test_normpath_dirname_match_posixpath(spark):
+    import posixpath
+
+    from pyspark.sql import functions as F
+
+    from rostrum.functions.paths import dirname, normpath
+    r = random.Random(99)
+    rows = [(i, path_text(r)) for i in range(N_ROWS)]
+    df = spark.createDataFrame(rows, "id bigint, path string")
+    got = {x["id"]: (x["n"], x["d"]) for x in df.select("id", normpath(F.col("path")).alias("n"),
+                                                           dirname(F.col("path")).alias("d")).collect()}
+    bad = [(p, got[i], (posixpath.normpath(p), posixpath.dirname(p))) for i, p in rows
+           if got[i] != (posixpath.normpath(p), posixpath.dirname(p))]
+    assert not bad, bad[:8]
