@@ -12,6 +12,7 @@ is the reference's unit of work); many workbooks parse in parallel.
 """
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -49,6 +50,42 @@ def _number_text(v: str) -> str:
     return str(int(f)) if f.is_integer() else repr(f)
 
 
+# Built-in number formats that display dates / times (ECMA-376 numFmtId).
+_DATE_FMT_IDS = set(range(14, 18)) | {22} | set(range(27, 37)) | set(range(50, 59))
+_TIME_FMT_IDS = set(range(18, 22)) | {45, 46, 47}
+
+
+def _is_date_code(code: str) -> bool:
+    """Custom format code shows a date/time: d, m, y, h or s outside quoted text,
+    escapes and [colour/condition] sections."""
+    bare = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", code or "")
+    return bool(re.search(r"[dmyhs]", bare, re.I)) and "general" not in bare.lower()
+
+
+def _date_styles(zf: zipfile.ZipFile, names: set) -> tuple[set, set]:
+    """Indices of cell styles (``s`` attribute) that show dates and times."""
+    if "xl/styles.xml" not in names:
+        return set(), set()
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    custom = {int(n.get("numFmtId")): n.get("formatCode", "") for n in root.findall("m:numFmts/m:numFmt", _NS)}
+    dates, times = set(), set()
+    xfs = root.find("m:cellXfs", _NS)
+    for i, xf in enumerate(xfs.findall("m:xf", _NS) if xfs is not None else []):
+        fid = int(xf.get("numFmtId", "0"))
+        if fid in _TIME_FMT_IDS:
+            times.add(i)
+        elif fid in _DATE_FMT_IDS or (fid in custom and _is_date_code(custom[fid])):
+            dates.add(i)
+    return dates, times
+
+
+def _serial_to_text(v: str, epoch: dt.datetime, time_only: bool) -> str:
+    """Spreadsheet serial day number -> the text a datetime/time value prints as."""
+    ts = epoch + dt.timedelta(days=float(v))
+    ts = ts.replace(microsecond=0) if ts.microsecond < 500 else ts
+    return str(ts.time()) if time_only else str(ts)
+
+
 def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
     """Yield (workbook, sheet, sheet_idx, row_idx, col_idx, value) for one file."""
     zf = zipfile.ZipFile(io.BytesIO(content))
@@ -63,6 +100,10 @@ def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
             target = rel.get("Target")
             rels[rel.get("Id")] = target if target.startswith("xl/") else "xl/" + target.lstrip("/")
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
+    pr = wb.find("m:workbookPr", _NS)
+    epoch = dt.datetime(1904, 1, 1) if pr is not None and pr.get("date1904") in ("1", "true") \
+        else dt.datetime(1899, 12, 30)
+    date_styles, time_styles = _date_styles(zf, names)
     for sheet_idx, sh in enumerate(wb.findall("m:sheets/m:sheet", _NS)):
         sheet_name = sh.get("name")
         target = rels.get(sh.get(f"{{{_NS['r']}}}id"), f"xl/worksheets/sheet{sheet_idx + 1}.xml")
@@ -88,7 +129,11 @@ def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
                 elif t in ("str", "e"):
                     value = v.text
                 else:
-                    value = _number_text(v.text)
+                    style = int(c.get("s", "-1"))
+                    if style in date_styles or style in time_styles:
+                        value = _serial_to_text(v.text, epoch, style in time_styles)
+                    else:
+                        value = _number_text(v.text)
             if value is None or value == "":
                 continue
             yield (workbook, sheet_name, sheet_idx, int(m.group(2)) - 1, _col_index(m.group(1)), value)
@@ -162,6 +207,9 @@ def write_xlsx(rows_by_sheet: dict[str, list[list]], path: str) -> None:
         z.writestr("[Content_Types].xml",
                    '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
                    '<Default Extension="xml" ContentType="application/xml"/></Types>')
+        z.writestr("xl/styles.xml",
+                   f'<styleSheet xmlns="{_NS["m"]}"><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/>'
+                   '</cellXfs></styleSheet>')
         z.writestr("xl/workbook.xml",
                    f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
                    + "".join(f'<sheet name="{esc(n)}" sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, (n, _) in enumerate(sheets))
@@ -176,7 +224,11 @@ def write_xlsx(rows_by_sheet: dict[str, list[list]], path: str) -> None:
                 for c, v in enumerate(row):
                     if v is None:
                         continue
-                    if isinstance(v, (int, float)) and not isinstance(v, bool):
+                    if isinstance(v, (dt.date, dt.datetime)):
+                        d = v if isinstance(v, dt.datetime) else dt.datetime(v.year, v.month, v.day)
+                        serial = (d - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)
+                        cells.append(f'<c r="{ref(r, c)}" s="1"><v>{serial!r}</v></c>')
+                    elif isinstance(v, (int, float)) and not isinstance(v, bool):
                         cells.append(f'<c r="{ref(r, c)}"><v>{v}</v></c>')
                     else:
                         cells.append(f'<c r="{ref(r, c)}" t="inlineStr"><is><t>{esc(v)}</t></is></c>')

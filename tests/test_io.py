@@ -47,3 +47,13 @@ def test_stream_ages(spark):
     q.awaitTermination(120)
     got = {r["id"]: (r["min_age"], r["max_age"]) for r in spark.read.parquet(sink).collect()}
     assert got == {1: (18.0, 150.0), 2: (0.0, 18.0)}
+
+
+def test_xlsx_dates_read_as_datetime_text(spark):
+    import datetime as dt
+    d = tempfile.mkdtemp(prefix="rostrum-xlsx-dates-")
+    write_xlsx({"S": [["Name", "DOB", "N"], ["Doe", dt.date(1980, 2, 29), 12.5], ["Roe", dt.datetime(2023, 1, 5, 10, 30), 3]]},
+               os.path.join(d, "d.xlsx"))
+    got = {(r["row_idx"], r["col_idx"]): r["value"] for r in read_workbooks(spark, d).collect()}
+    assert got[(1, 1)] == "1980-02-29 00:00:00" and got[(2, 1)] == "2023-01-05 10:30:00"
+    assert got[(1, 2)] == "12.5" and got[(2, 2)] == "3"
