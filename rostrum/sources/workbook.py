@@ -24,6 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL_SCHEMA = "workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, value string"
+
+# Cell texts a spreadsheet reader treats as missing by default
+# (the documented default ``na_values`` of pandas' reader, which the reference's
+# jobs relied on).  Such text cells are not emitted (= NULL).
+DEFAULT_NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -86,8 +92,9 @@ def _serial_to_text(v: str, epoch: dt.datetime, time_only: bool) -> str:
     return str(ts.time()) if time_only else str(ts)
 
 
-def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
-    """Yield (workbook, sheet, sheet_idx, row_idx, col_idx, value) for one file."""
+def parse_xlsx(content: bytes, workbook: str, na_strings=frozenset(DEFAULT_NA_STRINGS)) -> Iterator[tuple]:
+    """Yield (workbook, sheet, sheet_idx, row_idx, col_idx, value) for one file;
+    text cells whose whole text is in ``na_strings`` are missing."""
     zf = zipfile.ZipFile(io.BytesIO(content))
     names = set(zf.namelist())
     shared = []
@@ -118,16 +125,22 @@ def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
             if t == "inlineStr":
                 is_ = c.find("m:is", _NS)
                 value = _text(is_) if is_ is not None else None
+                if value in na_strings:
+                    continue
             else:
                 v = c.find("m:v", _NS)
                 if v is None or v.text is None:
                     continue
                 if t == "s":
                     value = shared[int(v.text)]
+                    if value in na_strings:
+                        continue
                 elif t == "b":
                     value = "True" if v.text == "1" else "False"
                 elif t in ("str", "e"):
                     value = v.text
+                    if value in na_strings:
+                        continue
                 else:
                     style = int(c.get("s", "-1"))
                     if style in date_styles or style in time_styles:
@@ -139,21 +152,32 @@ def parse_xlsx(content: bytes, workbook: str) -> Iterator[tuple]:
             yield (workbook, sheet_name, sheet_idx, int(m.group(2)) - 1, _col_index(m.group(1)), value)
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batch_parser(na_strings: frozenset):
     cols = ["workbook", "sheet", "sheet_idx", "row_idx", "col_idx", "value"]
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            name = path.rsplit("/", 1)[-1]
-            rows = list(parse_xlsx(bytes(content), name))
-            # emit in bounded chunks so a large workbook never builds one huge frame
-            for i in range(0, len(rows), 100_000):
-                yield pd.DataFrame(rows[i:i + 100_000], columns=cols)
-
 
-def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """S3: every sheet of every workbook under ``path`` as cells."""
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                name = path.rsplit("/", 1)[-1]
+                chunk = []
+                # emit in bounded chunks so a large workbook never builds one huge frame
+                for row in parse_xlsx(bytes(content), name, na_strings):
+                    chunk.append(row)
+                    if len(chunk) == 100_000:
+                        yield pd.DataFrame(chunk, columns=cols)
+                        chunk = []
+                if chunk:
+                    yield pd.DataFrame(chunk, columns=cols)
+    return parse
+
+
+def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx",
+                   na_values=DEFAULT_NA_STRINGS) -> DataFrame:
+    """S3: every sheet of every workbook under ``path`` as cells.  ``na_values``:
+    cell texts treated as missing (default: the spreadsheet reader defaults;
+    pass ``()`` to keep every text)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInPandas(_parse_batches, CELL_SCHEMA)
+    return files.mapInPandas(_batch_parser(frozenset(na_values)), CELL_SCHEMA)
 
 
 def read_sheet(cells: DataFrame, sheet: str | None = None) -> DataFrame:

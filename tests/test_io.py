@@ -57,3 +57,10 @@ def test_xlsx_dates_read_as_datetime_text(spark):
     got = {(r["row_idx"], r["col_idx"]): r["value"] for r in read_workbooks(spark, d).collect()}
     assert got[(1, 1)] == "1980-02-29 00:00:00" and got[(2, 1)] == "2023-01-05 10:30:00"
     assert got[(1, 2)] == "12.5" and got[(2, 2)] == "3"
+
+
+def test_xlsx_default_missing_texts(spark):
+    d = tempfile.mkdtemp(prefix="rostrum-xlsx-na-")
+    write_xlsx({"S": [["A", "B"], ["None", "NA"], ["x", "n/a"]]}, os.path.join(d, "na.xlsx"))
+    assert sorted(r["value"] for r in read_workbooks(spark, d).collect()) == ["A", "B", "x"]
+    assert len(read_workbooks(spark, d, na_values=()).collect()) == 6
