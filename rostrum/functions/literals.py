@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark import SparkContext
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _CACHE: dict = {}
@@ -21,7 +20,8 @@ def _sql_str(s: str) -> str:
 
 
 def _key(*parts):
-    return (id(SparkContext._active_spark_context),) + parts
+    # one cache per active session (a Column belongs to the JVM that built it)
+    return (id(SparkSession.getActiveSession()),) + parts
 
 
 def str_array(values: Iterable[str]) -> Column:
