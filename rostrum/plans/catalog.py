@@ -16,6 +16,7 @@ from ..operators import roster as R
 from ..operators.ages import clean_ages
 from ..operators.names import clean_names, exclude_files, exclusion_counts, format_summary, kind_summary
 from ..functions.names import file_tag
+from ..functions.text import pstrip
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +130,29 @@ def q_name_kind_counts(spark, sf):
 EXCLUDED_FILES = ["roster_3.xlsx", " ROSTER_4.XLSX ", inputs.ROSTER_FILE]
 
 
+def q_json_rows(spark, sf):
+    """One JSON object per name row, five name fields, '' for missing."""
+    names = clean_names(inputs.provider_text(spark, sf), "degree_dict", keep=["id"])
+    fields = ["firstname", "lastname", "middlename", "medical_degree", "organization"]
+    obj = F.to_json(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in fields]))
+    return names.select("id", obj.alias("json_line"))
+
+
+def q_fill_blanks(spark, sf):
+    """The de-duplicated roster with every missing standard value written as ''."""
+    res = _roster(spark, sf, "three")
+    return res.combined.na.fill("", subset=res.std_names)
+
+
+def q_coalesce_first(spark, sf):
+    """First non-blank age cell among the age-like columns, and which column it came from."""
+    df = inputs.age_two_col(spark, sf)
+    cols = ["Accepts Minimum Patient Age", "Accepts Maximum Patient Age", "Age Group"]
+    nonblank = [F.when(pstrip(F.col(f"`{c}`")) != "", F.col(f"`{c}`")) for c in cols]
+    which = [F.when(pstrip(F.col(f"`{c}`")) != "", F.lit(c)) for c in cols]
+    return df.select("p_partkey", F.coalesce(*nonblank).alias("first_value"), F.coalesce(*which).alias("from_column"))
+
+
 def q_file_tag(spark, sf):
     df = inputs.provider_text(spark, sf)
     return df.select("id", "file_name", file_tag(F.col("file_name")).alias("organization"))
@@ -175,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "name_n6_format_detect": _name_query("format_detect"),
     "name_format_counts": q_name_format_counts,
     "name_kind_counts": q_name_kind_counts,
+    "json_rows": q_json_rows,
+    "fill_blanks": q_fill_blanks,
+    "coalesce_first": q_coalesce_first,
     "file_tag": q_file_tag,
     "file_exclude": q_file_exclude,
     "file_exclusion_counts": q_file_exclusion_counts,
@@ -208,6 +235,9 @@ ORACLE: dict[str, Callable[[], str]] = {
     "name_n6_format_detect": oracle_names.format_detect,
     "name_format_counts": oracle_names.format_counts,
     "name_kind_counts": oracle_names.kind_counts,
+    "json_rows": oracle_misc.json_rows,
+    "fill_blanks": lambda: oracle_misc.fill_blanks(),
+    "coalesce_first": oracle_misc.coalesce_first,
     "file_tag": oracle_misc.file_tag,
     "file_exclude": lambda: oracle_misc.file_exclude(EXCLUDED_FILES),
     "file_exclusion_counts": lambda: oracle_misc.file_exclusion_counts(EXCLUDED_FILES),

@@ -3,6 +3,34 @@ from __future__ import annotations
 
 from . import inputs
 from .oracle_ages import q
+from .oracle_ages import strip as _strip
+
+
+def json_rows() -> str:
+    from .oracle_names import degree_names
+    return f"""
+SELECT id, to_json({{'firstname': coalesce(firstname, ''), 'lastname': coalesce(lastname, ''),
+                     'middlename': coalesce(middlename, ''), 'medical_degree': coalesce(medical_degree, ''),
+                     'organization': coalesce(organization, '')}})::VARCHAR AS json_line
+FROM ({degree_names('degree_dict')})
+"""
+
+
+def fill_blanks() -> str:
+    from .oracle_roster import STD_COLUMNS, dedupe
+    cols = STD_COLUMNS["three"]
+    filled = ", ".join(f"coalesce(\"{c}\", '') AS \"{c}\"" for c in cols)
+    return f"SELECT {filled}, duplicate_count, header_row_number, source_sheets, workbook FROM ({dedupe('three')})"
+
+
+def coalesce_first() -> str:
+    cols = ["Accepts Minimum Patient Age", "Accepts Maximum Patient Age", "Age Group"]
+    vals = ", ".join(f"CASE WHEN {_strip(chr(34) + c + chr(34))} <> '' THEN \"{c}\" END" for c in cols)
+    which = ", ".join(f"CASE WHEN {_strip(chr(34) + c + chr(34))} <> '' THEN {q(c)} END" for c in cols)
+    return f"""
+SELECT p_partkey, coalesce({vals}) AS first_value, coalesce({which}) AS from_column
+FROM ({inputs.age_two_col_sql()})
+"""
 
 
 def file_tag() -> str:
