@@ -77,6 +77,67 @@ NO_VALUE_WORDS = ["none", "no", "unknown", "n/a"]
 # Word lists shared by the phrase profiles.
 UP_WORDS = r"(?:\+|\*|(?:and|&|or)\s*(?:up|over|older|above)|up|over|older|above)"
 
+# Rule patterns, per profile.  NUM = one integer or decimal number, N3 = a 1-3 digit number.
+N3 = r"(\d{1,3})"
+# label_map
+A1_RANGE = r"(\d+)\s*(?:to|-|–|—)\s*(\d+)"
+A1_AND_UP = r"(\d+)\s*(?:\+|and up|older|over|above)"
+A1_AND_YOUNGER = r"(\d+)\s*(?:and under|and younger)"
+A1_YEARS = r"^(\d+)\s*(?:yrs?|years?)"
+A1_MONTHS = r"^(\d+)\s*(?:months?)"
+A1_DAYS = r"^(\d+)\s*(?:days?)"
+A1_LEADING_NUMBER = r"^(\d+)"
+A1_NUMBER_ONLY = r"^\d+$"
+# phrase and phrase_hdr
+PH_PLUS_STRICT = r"^\s*" + NUM + r"\s*[\+\*]+\s*$"
+PH_PLUS_INLINE = NUM + r"\s*[\+\*]+"
+PH_RANGE = NUM + r"\s*[-~]\s*" + NUM
+PH_MAX_ONLY_BEFORE = r"(under|below|less than|up to)\s*" + NUM
+PH_MAX_ONLY_AFTER = NUM + r"\s*(and younger|younger)"
+A2_FUZZY_AND_UP = r"(?i)^\s*" + NUM + r"\s+(a\w*d)\s+(u\w*p)\b"
+A2_SPACED_AND_UP = r"(?i)^\s*" + NUM + r"\s+a\s*n\s*d\s+u\s+p\b"
+A2_OLDER = NUM + r"\s*(?:\+|\*|(?:and|&)\s*older|(?:and\s+above)|above|over)\b"
+A2_MONTHS = r"(?i)" + NUM + r"\s*(?:month|months)\b"
+A2_NO_RESTRICTION = ["none", "no restriction", "all ages"]
+A2_MONTHS_PLUS = ["and older", "older", "+", "& older"]
+A2_MONTHS_MAX = ["and younger", "younger", "under", "below", "less than", "up to"]
+A3_RANGE_PLUS = NUM + r"\s*[-~]\s*" + NUM + r"\s*[\+\*]\b"
+A3_UP_OVER = r"(?i)" + NUM + r"\s*(?:[a-z/]+\s*){0,3}?" + UP_WORDS + r"\b"
+A3_COLLAPSE_DROP = r"[^a-z0-9+*]"
+A3_UP_OVER_COLLAPSED = r"(?i)^" + NUM + r"((years?|yrs?|yr|yo|y/o)?)and(?:up|over|older|above)\b"
+A3_SPACED_AND_UP = r"(?i)" + NUM + r"\s*a\s*n\s*d\s+u\s*p\b"
+A3_MONTHS = r"(?i)" + NUM + r"\s*(?:month|months|mon|mons|mo|mos|mth|mths|m)\b"
+A3_MONTHS_UP = r"(?i)" + UP_WORDS + r"\b"
+A3_MONTHS_MAX = r"(?i)(and\s+younger|younger|under|below|less than|up to)\b"
+MIN_HEADER_HINTS = [" min", "minimum", "min ", "(min", ">=", "lower bound"]
+MIN_HEADER_WORDS = r"\b(min|minimum|from)\b"
+MAX_HEADER_HINTS = [" max", "maximum", "max ", "(max", "<=", "upper bound"]
+# band
+A4_MONTHS = r"^\s*" + NUM + r"\s*(month|months)\s*(?:and\s*older|and\s*up)?\s*$"
+A4_AND_UP = r"^\s*" + NUM + r"[\s\+&]*(\+|and\s*up|and\s*older|or\s*older|&\s*older)\s*$"
+A4_UNDER = r"^\s*(under|less\s*than)\s*" + NUM + r"\s*$"
+A4_YOUNGER = r"^\s*" + NUM + r"[\s]*(?:&|and)?\s*younger\s*$"
+A4_RANGE = r"^\s*" + NUM + r"[\s]*(?:-|–|to)[\s]*" + NUM + r"\s*$"
+A4_NUMBER_ONLY = r"^\s*" + NUM + r"\s*$"
+# two_col (whole-text patterns)
+A5_NEWBORN_NUMBER = r"\b(\d{1,3})\b"
+A5_DAYS = N3 + r"\s*(days?|d)"
+A5_DAYS_RANGE = N3 + r"\s*(days?|d)\s*(?:-|to)\s*" + N3 + r"\s*(days?|d)"
+A5_RANGE = N3 + r"\s*(?:-|to)\s*" + N3
+A5_BETWEEN = r"between\s+" + N3 + r"\s+and\s+" + N3
+A5_PLUS = N3 + r"\s*(\+|\*|and\s*(?:over|older|above|up)|&\s*older)"
+A5_GE_GT = r"(>=|≥|>)\s*" + N3
+A5_UNDER = r"(?:under|below|less\s*than)\s*" + N3
+A5_LE_TO = r"(?:<=|≤|up\s*to|upto|to)\s*" + N3
+A5_LT = r"<\s*" + N3
+A5_YEARS = N3 + r"\s*(years?|yrs?|ys?)"
+A5_MONTHS = N3 + r"\s*(months?|mos?|m)"
+A5_MONTHS_RANGE = N3 + r"\s*(months?|mos?|m)\s*(?:-|to)\s*" + N3 + r"\s*(months?|mos?|m|years?|yrs?)"
+A5_PURE_NUMBER = r"^[+-]?\d+(?:\.\d+)?$"
+A5_CELL_NUMBERS = r"\d{1,3}(?:\.\d+)?"
+# simple120
+A6_RANGE = r"(\d{1,3})\s*[-–]\s*(\d{1,3})"
+
 # ---------------------------------------------------------------------------
 
 
@@ -114,9 +175,7 @@ def _a1(v: Column) -> Column:
     labels = F.create_map(*[x for k, mn, mx in LABELS_EXACT
                             for x in (F.lit(k), F.struct(_d(mn).alias("a"), _d(mx).alias("b")))])
     hit = F.try_element_at(labels, s)
-    rng = r"(\d+)\s*(?:to|-|–|—)\s*(\d+)"
-    up = r"(\d+)\s*(?:\+|and up|older|over|above)"
-    younger = r"(\d+)\s*(?:and under|and younger)"
+    rng, up, younger, lead = A1_RANGE, A1_AND_UP, A1_AND_YOUNGER, A1_LEADING_NUMBER
     nums = nums_array(s, r"\d+")
     n0, n1 = F.try_element_at(nums, F.lit(1)), F.try_element_at(nums, F.lit(2))
     clamp = lambda c: F.least(c, F.lit(DEFAULT_MAX))
@@ -125,10 +184,10 @@ def _a1(v: Column) -> Column:
         (s.rlike(rng), _rec(_g(s, rng, 1), clamp(_g(s, rng, 2)), "range")),
         (s.rlike(up), _rec(_g(s, up), DEFAULT_MAX, "and_up")),
         (s.rlike(younger), _rec(F.lit(0.0), clamp(_g(s, younger)), "and_younger")),
-        (s.rlike(r"^(\d+)\s*(?:yrs?|years?)"), _rec(_g(s, r"^(\d+)"), _g(s, r"^(\d+)"), "years")),
-        (s.rlike(r"^(\d+)\s*(?:months?)"), _rec(F.lit(0.0), _g(s, r"^(\d+)") / 12, "months")),
-        (s.rlike(r"^(\d+)\s*(?:days?)"), _rec(F.lit(0.0), _g(s, r"^(\d+)") / 365, "days")),
-        (s.rlike(r"^\d+$"), _rec(s.try_cast("double"), s.try_cast("double"), "number")),
+        (s.rlike(A1_YEARS), _rec(_g(s, lead), _g(s, lead), "years")),
+        (s.rlike(A1_MONTHS), _rec(F.lit(0.0), _g(s, lead) / 12, "months")),
+        (s.rlike(A1_DAYS), _rec(F.lit(0.0), _g(s, lead) / 365, "days")),
+        (s.rlike(A1_NUMBER_ONLY), _rec(s.try_cast("double"), s.try_cast("double"), "number")),
         (s.contains("no restriction"), _rec(0.0, DEFAULT_MAX, "no_restriction")),
         (F.size(nums) == 1, _rec(F.lit(0.0), clamp(n0), "one_number")),
         (F.size(nums) >= 2, _rec(F.least(n0, n1), clamp(F.greatest(n0, n1)), "two_numbers")),
@@ -159,32 +218,29 @@ def _phrase_common(v: Column):
 
 def _a2(v: Column) -> Column:
     t, tl, tln, lex = _phrase_common(v)
-    strict = r"^\s*" + NUM + r"\s*[\+\*]+\s*$"
-    inline = NUM + r"\s*[\+\*]+"
+    strict, inline, rng, older, months = PH_PLUS_STRICT, PH_PLUS_INLINE, PH_RANGE, A2_OLDER, A2_MONTHS
     t1 = squash_ws(t)
-    fz1 = r"(?i)^\s*" + NUM + r"\s+(a\w*d)\s+(u\w*p)\b"
-    fz2 = r"(?i)^\s*" + NUM + r"\s+a\s*n\s*d\s+u\s+p\b"
-    older = NUM + r"\s*(?:\+|\*|(?:and|&)\s*older|(?:and\s+above)|above|over)\b"
-    months = r"(?i)" + NUM + r"\s*(?:month|months)\b"
+    fz1, fz2 = A2_FUZZY_AND_UP, A2_SPACED_AND_UP
     my = _g(t, months) / 12.0
-    rng = NUM + r"\s*[-~]\s*" + NUM
-    maxonly = (tln.rlike(r"(under|below|less than|up to)\s*" + NUM)
-               | tln.rlike(NUM + r"\s*(and younger|younger)"))
+    maxonly = tln.rlike(PH_MAX_ONLY_BEFORE) | tln.rlike(PH_MAX_ONLY_AFTER)
+
+    def any_of(c, words):
+        cond = F.lit(False)
+        for w in words:
+            cond = cond | c.contains(w)
+        return cond
     nums = nums_array(tln)
     rules = lex + [
         (t.rlike(strict), _rec(_g(t, strict), DEFAULT_MAX, "min_plus_or_star")),
         (t.rlike(inline), _rec(_g(t, inline), DEFAULT_MAX, "min_plus_or_star_inline")),
         (t1.rlike(fz1) | t1.rlike(fz2),
          _rec(F.coalesce(_g(t1, fz1), _g(t1, fz2)), DEFAULT_MAX, "and_up")),
-        (tln.contains("none") | tln.contains("no restriction") | tln.contains("all ages"),
+        (any_of(tln, A2_NO_RESTRICTION),
          _rec(0.0, DEFAULT_MAX, "no_restriction")),
         (tln.rlike(older), _rec(_g(tln, NUM), DEFAULT_MAX, "min_only_older")),
-        (t.rlike(months) & (tln.contains("and older") | tln.contains("older") | tln.contains("+")
-                            | tln.contains("& older")),
+        (t.rlike(months) & any_of(tln, A2_MONTHS_PLUS),
          _rec(my, DEFAULT_MAX, "months_plus")),
-        (t.rlike(months) & (tln.contains("and younger") | tln.contains("younger")
-                            | tln.contains("under") | tln.contains("below")
-                            | tln.contains("less than") | tln.contains("up to")),
+        (t.rlike(months) & any_of(tln, A2_MONTHS_MAX),
          _rec(F.lit(0.0), my, "months_max")),
         (t.rlike(months), _rec(my, DEFAULT_MAX, "months_as_min")),
         (tln.rlike(rng), _rec(F.least(_g(tln, rng, 1), _g(tln, rng, 2)),
@@ -198,18 +254,11 @@ def _a2(v: Column) -> Column:
 
 def _a3(v: Column) -> Column:
     t, tl, tln, lex = _phrase_common(v)
-    rng_plus = NUM + r"\s*[-~]\s*" + NUM + r"\s*[\+\*]\b"
-    strict = r"^\s*" + NUM + r"\s*[\+\*]+\s*$"
-    inline = NUM + r"\s*[\+\*]+"
-    up1 = r"(?i)" + NUM + r"\s*(?:[a-z/]+\s*){0,3}?" + UP_WORDS + r"\b"
-    collapsed = F.regexp_replace(tl, r"[^a-z0-9+*]", "")
-    up2 = r"(?i)^" + NUM + r"((years?|yrs?|yr|yo|y/o)?)and(?:up|over|older|above)\b"
-    up3 = r"(?i)" + NUM + r"\s*a\s*n\s*d\s+u\s*p\b"
-    months = r"(?i)" + NUM + r"\s*(?:month|months|mon|mons|mo|mos|mth|mths|m)\b"
+    rng_plus, strict, inline, rng = A3_RANGE_PLUS, PH_PLUS_STRICT, PH_PLUS_INLINE, PH_RANGE
+    up1, up2, up3, months = A3_UP_OVER, A3_UP_OVER_COLLAPSED, A3_SPACED_AND_UP, A3_MONTHS
+    collapsed = F.regexp_replace(tl, A3_COLLAPSE_DROP, "")
     my = _g(t, months) / 12.0
-    rng = NUM + r"\s*[-~]\s*" + NUM
-    maxonly = (tln.rlike(r"(under|below|less than|up to)\s*" + NUM)
-               | tln.rlike(NUM + r"\s*(and younger|younger)"))
+    maxonly = tln.rlike(PH_MAX_ONLY_BEFORE) | tln.rlike(PH_MAX_ONLY_AFTER)
     nums = nums_array(tln)
     rules = lex + [
         (tln.rlike(rng_plus), _rec(F.least(_g(tln, rng_plus, 1), _g(tln, rng_plus, 2)),
@@ -219,9 +268,9 @@ def _a3(v: Column) -> Column:
         (tl.rlike(up1) | collapsed.rlike(up2) | tl.rlike(up3),
          _rec(F.coalesce(_g(tl, up1), _g(collapsed, up2), _g(tl, up3)), DEFAULT_MAX,
               "min_only_up_over")),
-        (t.rlike(months) & tl.rlike(r"(?i)" + UP_WORDS + r"\b"),
+        (t.rlike(months) & tl.rlike(A3_MONTHS_UP),
          _rec(my, DEFAULT_MAX, "months_plus_or_up")),
-        (t.rlike(months) & tl.rlike(r"(?i)(and\s+younger|younger|under|below|less than|up to)\b"),
+        (t.rlike(months) & tl.rlike(A3_MONTHS_MAX),
          _rec(F.lit(0.0), my, "months_max")),
         (t.rlike(months), _rec(my, DEFAULT_MAX, "months_as_min")),
         (tln.rlike(rng), _rec(F.least(_g(tln, rng, 1), _g(tln, rng, 2)),
@@ -236,33 +285,31 @@ def _a3(v: Column) -> Column:
 def is_min_header_phrase(h: Column) -> Column:
     """Profile ``phrase``: min-like header by substrings."""
     hl = F.lower(F.coalesce(h, F.lit("")))
-    return (hl.contains(" min") | hl.contains("minimum") | hl.contains("min ") | hl.contains("(min")
-            | hl.contains(">=") | hl.contains("lower bound") | hl.endswith(" min")
-            | hl.startswith("min"))
+    cond = hl.endswith(" min") | hl.startswith("min")
+    for hint in MIN_HEADER_HINTS:
+        cond = cond | hl.contains(hint)
+    return cond
 
 
 def is_min_header_phrase_hdr(h: Column) -> Column:
     """Profile ``phrase_hdr``: adds the words min / minimum / from."""
     hl = F.lower(F.coalesce(h, F.lit("")))
-    return hl.rlike(r"\b(min|minimum|from)\b") | is_min_header_phrase(h)
+    return hl.rlike(MIN_HEADER_WORDS) | is_min_header_phrase(h)
 
 
 def is_max_header_phrase(h: Column) -> Column:
     hl = F.lower(F.coalesce(h, F.lit("")))
-    return (hl.endswith(" max") | hl.startswith("max") | hl.contains(" max") | hl.contains("maximum")
-            | hl.contains("max ") | hl.contains("(max") | hl.contains("<=")
-            | hl.contains("upper bound"))
+    cond = hl.endswith(" max") | hl.startswith("max")
+    for hint in MAX_HEADER_HINTS:
+        cond = cond | hl.contains(hint)
+    return cond
 
 
 # ------------------------------ band (A4) ----------------------------------
 def _a4(v: Column) -> Column:
     s = F.lower(pstrip(v))
-    months = r"^\s*" + NUM + r"\s*(month|months)\s*(?:and\s*older|and\s*up)?\s*$"
-    and_up = r"^\s*" + NUM + r"[\s\+&]*(\+|and\s*up|and\s*older|or\s*older|&\s*older)\s*$"
-    under = r"^\s*(under|less\s*than)\s*" + NUM + r"\s*$"
-    younger = r"^\s*" + NUM + r"[\s]*(?:&|and)?\s*younger\s*$"
-    rng = r"^\s*" + NUM + r"[\s]*(?:-|–|to)[\s]*" + NUM + r"\s*$"
-    only = r"^\s*" + NUM + r"\s*$"
+    months, and_up, under, younger = A4_MONTHS, A4_AND_UP, A4_UNDER, A4_YOUNGER
+    rng, only = A4_RANGE, A4_NUMBER_ONLY
     nums = nums_array(s)
     n0, n1 = F.try_element_at(nums, F.lit(1)), F.try_element_at(nums, F.lit(2))
     rules = [(s.contains(k), _rec(mn, mx, "label")) for k, mn, mx in LABELS_SUBSTRING] + [
@@ -307,23 +354,14 @@ def _days_to_years(c: Column) -> Column:
 def _a5(v: Column) -> Column:
     s = squash_ws(F.replace(F.replace(F.lower(pstrip(v)), F.lit("–"), F.lit("-")),
                             F.lit("—"), F.lit("-")))
-    n3 = r"(\d{1,3})"
-    nb_nums = find_all(s, r"\b(\d{1,3})\b", 1)
+    n3 = N3
+    nb_nums = find_all(s, A5_NEWBORN_NUMBER, 1)
     nb_hi = _last(nb_nums).try_cast("double")
     full = lambda p: s.rlike("^(?:" + p + ")$")
     gx = lambda p, i: _g(s, "^(?:" + p + ")$", i)
-    p_days = n3 + r"\s*(days?|d)"
-    p_days_rng = n3 + r"\s*(days?|d)\s*(?:-|to)\s*" + n3 + r"\s*(days?|d)"
-    p_rng = n3 + r"\s*(?:-|to)\s*" + n3
-    p_between = r"between\s+" + n3 + r"\s+and\s+" + n3
-    p_plus = n3 + r"\s*(\+|\*|and\s*(?:over|older|above|up)|&\s*older)"
-    p_ge = r"(>=|≥|>)\s*" + n3
-    p_under = r"(?:under|below|less\s*than)\s*" + n3
-    p_le = r"(?:<=|≤|up\s*to|upto|to)\s*" + n3
-    p_lt = r"<\s*" + n3
-    p_years = n3 + r"\s*(years?|yrs?|ys?)"
-    p_months = n3 + r"\s*(months?|mos?|m)"
-    p_months_rng = n3 + r"\s*(months?|mos?|m)\s*(?:-|to)\s*" + n3 + r"\s*(months?|mos?|m|years?|yrs?)"
+    p_days, p_days_rng, p_rng, p_between, p_plus = A5_DAYS, A5_DAYS_RANGE, A5_RANGE, A5_BETWEEN, A5_PLUS
+    p_ge, p_under, p_le, p_lt = A5_GE_GT, A5_UNDER, A5_LE_TO, A5_LT
+    p_years, p_months, p_months_rng = A5_YEARS, A5_MONTHS, A5_MONTHS_RANGE
     in_age = lambda lo, hi: (F.lit(0.0) <= lo) & (lo <= hi) & (hi <= F.lit(DEFAULT_MAX))
     d_lo, d_hi = _days_to_years(gx(p_days_rng, 1)), _days_to_years(gx(p_days_rng, 3))
     r_lo, r_hi = gx(p_rng, 1), gx(p_rng, 2)
@@ -367,7 +405,7 @@ def _a5(v: Column) -> Column:
 def _a6(v: Column) -> Column:
     s = pstrip(v)
     sl = F.lower(s)
-    rng = r"(\d{1,3})\s*[-–]\s*(\d{1,3})"
+    rng = A6_RANGE
     nums = nums_array(sl, r"\d{1,3}")
     n0, n1 = F.try_element_at(nums, F.lit(1)), F.try_element_at(nums, F.lit(2))
     cap = lambda c: F.least(c, F.lit(float(SIMPLE_MAX)))
@@ -404,7 +442,7 @@ def age_struct(value: Column, profile: str = "phrase_hdr") -> Column:
 
 def is_pure_numeric(v: Column) -> Column:
     """Whole (trimmed) text is a signed integer or decimal."""
-    return F.coalesce(pstrip(v).rlike(r"^[+-]?\d+(?:\.\d+)?$"), F.lit(False))
+    return F.coalesce(pstrip(v).rlike(A5_PURE_NUMBER), F.lit(False))
 
 
 def is_newborn_text(v: Column) -> Column:
@@ -413,7 +451,7 @@ def is_newborn_text(v: Column) -> Column:
 
 def nums_in_text(v: Column) -> Column:
     """All 1-3 digit numbers (with decimals) in a cell, as array<double>."""
-    return nums_array(v, r"\d{1,3}(?:\.\d+)?")
+    return nums_array(v, A5_CELL_NUMBERS)
 
 
 def count_numbers(v: Column) -> Column:
