@@ -79,6 +79,17 @@ ORG_WORDS_N6 = ["hospital", "clinic", "center", "centre", "institute", "school",
 ORG_STRONG_TOKENS_N6 = ["ltd", "pvt", "inc", "company", "co", "llc", "corp", "clinic", "hospital", "institute",
                         "college", "university", "trust"]
 SUFFIXES_N6 = ["jr", "sr", "ii", "iii", "iv"]
+
+# Patterns of the name rules.
+TOKEN_KEY_DROP = r"[\s\-.]"                 # dropped when normalising a degree token
+UPPERCASE_DEGREE = r"^[A-Z][A-Z\-]+$"       # ALL-CAPS token read as a degree (degree_caps)
+INITIAL = r"^[A-Za-z]\.$"                   # "J." -> upper-cased
+O_PREFIX = r"^O[Oo]+"                       # "Oo..." title-case rule
+ROMAN_UPPER = ["II", "III", "IV", "VI"]     # kept upper-case by the title-case rule
+SHORT_CREDENTIAL = r"^[A-Za-z]{2,4}$"
+UPPER_CREDENTIAL = r"^[A-Z]{2,4}$"
+COMMA_FORMAT = r"^\s*([^,]+)\s*,\s*(.+)$"   # "Last, First ..." (format_detect)
+PARENS_FORMAT = r"^(.+?)\s*\((.+)\)\s*$"    # "Name (Affiliation)" (format_detect)
 # ---------------------------------------------------------------------------
 
 def _e() -> Column:
@@ -139,14 +150,14 @@ def is_upper_py(c: Column) -> Column:
 # ------------------------------ N1 / N2 --------------------------------------
 def strip_leading_titles(c: Column) -> Column:
     t = pstrip(c)
-    t = F.regexp_replace(t, r"^(?:(?i:dr|mr|mrs|ms|prof|sir|madam|miss)\.?\s+)+", "")
+    t = F.regexp_replace(t, r"^(?:(?i:" + "|".join(TITLES) + r")\.?\s+)+", "")
     return pstrip(t)
 
 
 def _fix_token(t: Column, hyphen: bool = True) -> Column:
-    e = (F.when(F.upper(t).isin("II", "III", "IV", "VI"), F.upper(t))
-         .when(t.rlike(r"^[A-Za-z]\.$"), F.upper(t))
-         .when(t.rlike(r"^O[Oo]+"), F.concat(F.lit("O"), capitalize(F.substring(t, 3, 1 << 20)))))
+    e = (F.when(F.upper(t).isin(*ROMAN_UPPER), F.upper(t))
+         .when(t.rlike(INITIAL), F.upper(t))
+         .when(t.rlike(O_PREFIX), F.concat(F.lit("O"), capitalize(F.substring(t, 3, 1 << 20)))))
     if hyphen:
         e = e.when(t.contains("-"), F.array_join(
             F.transform(F.split(t, "-", -1), lambda p: _fix_token(p, hyphen=False)), "-"))
@@ -189,12 +200,12 @@ def _deg_helpers(caps: bool):
     dmap = _degree_map()
 
     def key(t):
-        return F.lower(F.regexp_replace(t, r"[\s\-.]", ""))
+        return F.lower(F.regexp_replace(t, TOKEN_KEY_DROP, ""))
 
     def is_deg(t):
         cond = F.map_contains_key(dmap, key(t))
         if caps:
-            cond = cond | (t.rlike(r"^[A-Z][A-Z\-]+$") & ~in_list(F.upper(t), ROMAN_NUMERALS)
+            cond = cond | (t.rlike(UPPERCASE_DEGREE) & ~in_list(F.upper(t), ROMAN_NUMERALS)
                            & (F.length(t) >= 2))
         return cond
 
@@ -295,7 +306,7 @@ def normalize_designation_segment(seg: Column) -> Column:
     parts = F.filter(F.transform(parts, lambda p: strip_chars(pstrip(p), ".")), lambda p: p != "")
     keep = F.filter(parts, lambda p: is_designation(p, r"[,\s]+")
                     | (p.rlike(r"\p{L}") & (F.upper(p) == p) & (F.length(letters(p)) >= 2))
-                    | p.rlike(r"^[A-Za-z]{2,4}$"))
+                    | p.rlike(SHORT_CREDENTIAL))
     return F.array_distinct(keep)
 
 
@@ -325,7 +336,7 @@ def remove_designation_tokens(part: Column, designations: Column) -> Column:
     """Drop credential-like tokens from a name part."""
     norm = F.transform(designations, lambda d: F.lower(strip_chars(pstrip(d), ".")))
     toks = F.filter(_split_tokens_clean(part), lambda t: t != "")
-    keep = F.filter(toks, lambda t: ~(F.array_contains(norm, F.lower(t)) | t.rlike(r"^[A-Z]{2,4}$")
+    keep = F.filter(toks, lambda t: ~(F.array_contains(norm, F.lower(t)) | t.rlike(UPPER_CREDENTIAL)
                                       | in_list(F.upper(t), COMMON_DESIGNATIONS)))
     return _join(keep)
 
@@ -479,8 +490,7 @@ def detect_formats(df: DataFrame, src: str) -> Stager:
     b = st.add(degs=F.array_distinct(F.transform(F.regexp_extract_all(a.s, F.lit(_DEG6), F.lit(0)),
                                                  lambda f: F.upper(F.regexp_replace(f, r"\.", "")))),
                nd=squash_ws(pstrip(F.regexp_replace(a.s, _DEG6, ""))))
-    comma_re = r"^\s*([^,]+)\s*,\s*(.+)$"
-    paren_re = r"^(.+?)\s*\((.+)\)\s*$"
+    comma_re, paren_re = COMMA_FORMAT, PARENS_FORMAT
     c = st.add(desig=F.when(F.size(b.degs) > 0, F.array_join(b.degs, ", ")).otherwise(null),
                deg_sfx=F.when(F.size(b.degs) > 0, F.lit(",degree")).otherwise(_e()),
                left=pstrip(F.regexp_extract(b.nd, comma_re, 1)),
