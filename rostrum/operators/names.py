@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.text import pstrip
+from .barrier import fence
 
 # Candidate headers of the name column for profiles N1/N2 (fixed values).
 NAME_COL_CANDIDATES = ["header_col_value", "full name", "full_name", "orig full name", "provider_full_name"]
@@ -84,8 +85,8 @@ def clean_names(df: DataFrame, profile: str = "credential_clean", value_col: str
         src = value_col or resolve_name_column(cols)
         st = N.parse_degree_names(df, src, profile)
         outs = ["input_fullname", "firstname", "lastname", "middlename", "medical_degree", "organization"]
-        return st.result().select(*[F.col(f"`{c}`") for c in (keep or [])],
-                                  *[F.col(f"__nm_{o}").alias(o) for o in outs])
+        return fence(st.result().select(*[F.col(f"`{c}`") for c in (keep or [])],
+                                        *[F.col(f"__nm_{o}").alias(o) for o in outs]), outs)
     if profile == "format_detect":
         src = value_col or "header_col_value"
         if src not in cols:
@@ -93,8 +94,8 @@ def clean_names(df: DataFrame, profile: str = "credential_clean", value_col: str
         st = N.detect_formats(df, src)
         outs = ["detected_format", "first_name_parsed", "middle_name_parsed", "last_name_parsed",
                 "designation_parsed", "organization_parsed"]
-        return st.result().select(*[F.col(f"`{c}`") for c in cols],
-                                  *[F.col(f"__fm_{o}").alias(o) for o in outs])
+        return fence(st.result().select(*[F.col(f"`{c}`") for c in cols],
+                                        *[F.col(f"__fm_{o}").alias(o) for o in outs]), outs)
     if profile not in ("credential_org", "credential_list", "credential_clean"):
         raise ValueError(f"unknown name profile {profile!r}; expected one of {N.PROFILES}")
     src = resolve_case_insensitive(cols, value_col or "header_col_value")
@@ -104,8 +105,8 @@ def clean_names(df: DataFrame, profile: str = "credential_clean", value_col: str
     if profile == "credential_org":
         st = N.parse_credential_names(df, src, profile)
         others = [c for c in cols if c != src and c not in N_OUT]
-        return st.result().select(*[F.col(f"__cr_{o}").alias(o) for o in outs],
-                                  *[F.col(f"`{c}`") for c in others])
+        return fence(st.result().select(*[F.col(f"__cr_{o}").alias(o) for o in outs],
+                                        *[F.col(f"`{c}`") for c in others]), outs)
     # credential_list / credential_clean: file-based organization + exclusion
     if file_col not in cols:
         df = df.withColumn(file_col, F.lit(""))
@@ -115,9 +116,10 @@ def clean_names(df: DataFrame, profile: str = "credential_clean", value_col: str
     others = [c for c in cols if c != src and c not in N_OUT]
     parsed = [F.col(f"__cr_{o}").alias(o) for o in outs]
     if profile == "credential_list":
-        return st.result().select(*parsed, *[F.col(f"`{c}`") for c in others])
+        return fence(st.result().select(*parsed, *[F.col(f"`{c}`") for c in others]), outs)
     value = F.coalesce(F.col(f"`{src}`").cast("string"), F.lit("")).alias("header_col_value")
-    return st.result().select(value, *parsed, *[F.col(f"`{c}`") for c in others if c != "header_col_value"])
+    return fence(st.result().select(value, *parsed,
+                                    *[F.col(f"`{c}`") for c in others if c != "header_col_value"]), outs)
 
 
 N_OUT = {"first_name", "middle_name", "last_name", "designation", "organization"}
@@ -134,3 +136,20 @@ def kind_summary(parsed: DataFrame) -> DataFrame:
             .when((F.col("first_name") != "") | (F.col("last_name") != ""), F.lit("person"))
             .otherwise(F.lit("ambiguous")))
     return parsed.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def parse_issues(parsed: DataFrame, value_col: str = "header_col_value") -> DataFrame:
+    """Rows to review by hand, with a short reason (the "parsing issues" output
+    the name job's specification asks for): empty input; neither a person name
+    nor an organization found; punctuation left inside a name part.  Works on
+    the output of the credential profiles (first/middle/last/organization)."""
+    v = F.coalesce(F.col(f"`{value_col}`").cast("string"), F.lit(""))
+    parts = [F.col("first_name"), F.col("middle_name"), F.col("last_name")]
+    punct = F.lit(False)
+    for c in parts:
+        punct = punct | c.rlike(r"[,;/]")
+    reason = (F.when(pstrip(v) == "", F.lit("empty input"))
+              .when((F.col("first_name") == "") & (F.col("last_name") == "") & (F.col("organization") == ""),
+                    F.lit("no person name or organization found"))
+              .when(punct, F.lit("punctuation left in a name part")))
+    return parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..operators import paths as P
 from ..operators import roster as R
 from ..operators.ages import clean_ages
-from ..operators.names import clean_names, exclude_files, exclusion_counts, format_summary, kind_summary
+from ..operators.names import (clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
+                               parse_issues)
 from ..functions.names import file_tag
 from ..functions.text import pstrip
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
@@ -123,6 +124,11 @@ def q_name_format_counts(spark, sf):
     return format_summary(clean_names(inputs.provider_text(spark, sf), "format_detect"))
 
 
+def q_name_issues(spark, sf):
+    parsed = clean_names(inputs.provider_text(spark, sf), "credential_clean")
+    return parse_issues(parsed).select("id", "header_col_value", "reason")
+
+
 def q_name_kind_counts(spark, sf):
     return kind_summary(clean_names(inputs.provider_text(spark, sf), "credential_org"))
 
@@ -199,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "name_n6_format_detect": _name_query("format_detect"),
     "name_format_counts": q_name_format_counts,
     "name_kind_counts": q_name_kind_counts,
+    "name_issues": q_name_issues,
     "json_rows": q_json_rows,
     "fill_blanks": q_fill_blanks,
     "coalesce_first": q_coalesce_first,
@@ -235,6 +242,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "name_n6_format_detect": oracle_names.format_detect,
     "name_format_counts": oracle_names.format_counts,
     "name_kind_counts": oracle_names.kind_counts,
+    "name_issues": oracle_names.issues,
     "json_rows": oracle_misc.json_rows,
     "fill_blanks": lambda: oracle_misc.fill_blanks(),
     "coalesce_first": oracle_misc.coalesce_first,

@@ -362,4 +362,17 @@ FROM ({credential_names('credential_org')}) GROUP BY 1
 """
 
 
+def issues() -> str:
+    punct = " OR ".join(f"regexp_matches({c}, '[,;/]')" for c in ["first_name", "middle_name", "last_name"])
+    return f"""
+SELECT id, header_col_value, reason FROM (
+  SELECT *, CASE WHEN {strip("coalesce(header_col_value, '')")} = '' THEN 'empty input'
+                 WHEN first_name = '' AND last_name = '' AND organization = ''
+                   THEN 'no person name or organization found'
+                 WHEN {punct} THEN 'punctuation left in a name part' END AS reason
+  FROM ({credential_names('credential_clean')}))
+WHERE reason IS NOT NULL
+"""
+
+
 _ = re

@@ -102,3 +102,22 @@ def test_observed_exclusion_counts(spark):
     observed, obs = observe_exclusion(df, "file_name", ["old.xlsx"])
     clean_names(observed, "credential_clean", exclude=["old.xlsx"]).write.format("noop").mode("overwrite").save()
     assert obs.get == {"n_input": 3, "n_excluded": 2}
+
+
+def test_user_filters_on_outputs_stay_small(spark):
+    """Filters on parsed columns must not be pushed into the staged rule
+    projections (that multiplies the predicate; see operators/barrier.py)."""
+    from pyspark.sql import functions as F
+
+    from rostrum.operators.ages import clean_ages
+    df = spark.createDataFrame([(1, "Doe, John, MD", "18+", "Min Age"), (2, "St Mary Hospital", "", None)],
+                               "id int, header_col_value string, Age_Band string, header_col_name string")
+    for prof, col in [("degree_caps", "firstname"), ("credential_org", "first_name"),
+                      ("credential_clean", "first_name"), ("format_detect", "first_name_parsed")]:
+        out = clean_names(df.drop("Age_Band"), prof, keep=["id"] if prof.startswith("degree") else None)
+        assert out.filter(F.col(col).startswith("John")).count() == 1
+    for prof, col in [("phrase_hdr", "min_age"), ("label_map", "min_Age"), ("simple120", "Min_Age")]:
+        src = df.drop("header_col_value").withColumnRenamed("Age_Band", "header_col_value") \
+            if prof != "label_map" else df
+        out = clean_ages(src, prof)
+        assert out.filter(F.col(col) == 18).count() == 1
