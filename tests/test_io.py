@@ -64,3 +64,17 @@ def test_xlsx_default_missing_texts(spark):
     write_xlsx({"S": [["A", "B"], ["None", "NA"], ["x", "n/a"]]}, os.path.join(d, "na.xlsx"))
     assert sorted(r["value"] for r in read_workbooks(spark, d).collect()) == ["A", "B", "x"]
     assert len(read_workbooks(spark, d, na_values=()).collect()) == 6
+
+
+def test_stream_names(spark):
+    from rostrum.streaming import stream_names
+    src = tempfile.mkdtemp(prefix="rostrum-nsrc-")
+    spark.createDataFrame([(1, "Doe, John, MD", "a.xlsx"), (2, "St Mary Hospital", "a.xlsx")],
+                          "id int, header_col_value string, file_name string").write.mode("append").parquet(src)
+    sink, ck = tempfile.mkdtemp(prefix="rostrum-nsink-"), tempfile.mkdtemp(prefix="rostrum-nck-")
+    q = run_file_stream(spark, src, "id int, header_col_value string, file_name string",
+                        lambda s: stream_names(s, "credential_org"), sink, ck)
+    q.awaitTermination(120)
+    got = {r["id"]: (r["first_name"], r["last_name"], r["designation"], r["organization"])
+           for r in spark.read.parquet(sink).collect()}
+    assert got == {1: ("John", "Doe", "MD", ""), 2: ("", "", "", "St Mary Hospital")}
