@@ -19,8 +19,8 @@ Plan (each step a DataFrame operator; shuffles noted):
 5. wide table: pivot cells to one row per sheet row  [shuffle by row key]
 6. dedupe: group by all standard columns  [partial aggregation, skew-safe]
 7. audit: every repeat occurrence of a group with its occurrence number,
-   computed in fixed-size blocks so a hot duplicate group never lands in one
-   task  [aggregate + small window + join]
+   computed only for groups with repeats, in fixed-size blocks so a hot
+   duplicate group never lands in one task  [aggregates + small window + join]
 """
 from __future__ import annotations
 
@@ -268,7 +268,12 @@ def audit(wide: DataFrame, data_cols: Sequence[str], block_rows: int = 1 << 16)
                             "occurrence_index int", "removed_reason string", "workbook string"])
         return wide.sparkSession.createDataFrame([], schema)
     keyed = wide.withColumn("group_key", group_key(data_cols))
-    occ = occurrence_index(keyed, ["workbook", "group_key"], block_rows)
+    # Only groups with repeats can contribute audit rows: count per key (partial
+    # aggregation, skew-safe), keep keys seen more than once, and number just those rows.
+    repeated = (keyed.groupBy("workbook", "group_key").agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") > 1).select("workbook", "group_key"))
+    candidates = keyed.join(repeated, ["workbook", "group_key"], "left_semi")
+    occ = occurrence_index(candidates, ["workbook", "group_key"], block_rows)
     return (occ.filter(F.col("occurrence_index") > 1)
             .select(*[F.col(f"`{c}`") for c in data_cols], "source_sheet", "header_row_number",
                     "group_key", "occurrence_index", F.lit("duplicate_of_group").alias("removed_reason"),
