@@ -55,8 +55,9 @@ def header_rows(column_map: DataFrame, std_names: list[str]) -> DataFrame:
 
 def write_roster(result: RosterResult, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """S7 + S8: ``path/combined`` (data, NULL -> ''), ``path/header`` (the two
-    header rows), ``path/column_map``, ``path/duplicates_removed`` (audit) and
-    ``path/note`` (one 'No duplicates removed' row when the audit is empty)."""
+    header rows), ``path/column_map``, ``path/duplicates_removed`` (audit),
+    ``path/note`` (one 'No duplicates removed' row when the audit is empty) and
+    ``path/skipped_sheets`` (sheets without data rows)."""
     cols = result.std_names + TRACKING
     # sorted by the standard columns, NULLs last (a distributed range sort; the
     # combined table has one row per distinct key, so no key is hot)
@@ -72,9 +73,13 @@ def write_roster(result: RosterResult, path: str, fmt: str = "csv", mode: str =
         result.column_map.write.mode(mode).option("header", True).csv(f"{path}/column_map")
         audit.write.mode(mode).option("header", True).csv(f"{path}/duplicates_removed")
         note.write.mode(mode).option("header", True).csv(f"{path}/note")
+        if result.skipped_sheets is not None:
+            result.skipped_sheets.write.mode(mode).option("header", True).csv(f"{path}/skipped_sheets")
     else:
         combined.write.mode(mode).parquet(f"{path}/combined")
         hdr.write.mode(mode).parquet(f"{path}/header")
         result.column_map.write.mode(mode).parquet(f"{path}/column_map")
         audit.write.mode(mode).parquet(f"{path}/duplicates_removed")
         note.write.mode(mode).parquet(f"{path}/note")
+        if result.skipped_sheets is not None:
+            result.skipped_sheets.write.mode(mode).parquet(f"{path}/skipped_sheets")
