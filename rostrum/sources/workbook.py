@@ -202,6 +202,20 @@ def check_sheet(cells: DataFrame, sheet: str | None) -> str:
     return sheet
 
 
+def sheet_check_report(cells: DataFrame, sheet: str | None = None) -> DataFrame:
+    """S2 for many workbooks at once: (workbook, problem) rows, no driver collect.
+    Problems: the named sheet is missing, or no sheet was named and the workbook
+    has several.  An empty result means every workbook passes."""
+    per_book = cells.groupBy("workbook").agg(
+        F.countDistinct("sheet").alias("n_sheets"),
+        F.max(F.when(F.col("sheet") == (sheet if sheet is not None else ""), 1)).alias("has_sheet"))
+    if sheet is None:
+        problem = F.when(F.col("n_sheets") > 1, F.lit("several sheets; specify the sheet name"))
+    else:
+        problem = F.when(F.col("has_sheet").isNull(), F.lit(f"sheet {sheet!r} not found"))
+    return per_book.select("workbook", problem.alias("problem")).filter(F.col("problem").isNotNull())
+
+
 def cells_to_table(cells: DataFrame, header_row: int = 0) -> DataFrame:
     """A single sheet with its header in ``header_row`` -> wide DataFrame
     (header texts as column names; one driver collect of the header row)."""

@@ -78,3 +78,13 @@ def test_stream_names(spark):
     got = {r["id"]: (r["first_name"], r["last_name"], r["designation"], r["organization"])
            for r in spark.read.parquet(sink).collect()}
     assert got == {1: ("John", "Doe", "MD", ""), 2: ("", "", "", "St Mary Hospital")}
+
+
+def test_sheet_check_report(spark):
+    from rostrum.sources.workbook import sheet_check_report
+    cells = spark.createDataFrame([("a.xlsx", "S", 0, 0, 0, "x"), ("a.xlsx", "T", 1, 0, 0, "y"),
+                                   ("b.xlsx", "S", 0, 0, 0, "z")],
+                                  "workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, value string")
+    assert [r["workbook"] for r in sheet_check_report(cells).collect()] == ["a.xlsx"]
+    assert sorted(r["workbook"] for r in sheet_check_report(cells, "T").collect()) == ["b.xlsx"]
+    assert sheet_check_report(cells, "S").count() == 0
