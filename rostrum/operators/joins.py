@@ -1,33 +1,11 @@
-"""Size-checked broadcast joins.
-
-A side is broadcast only after its row count has been measured on a
-materialised (checkpointed) table; beyond the bound the join stays a
-shuffle join, so nothing that grows with the data is ever shipped whole to
-every executor.
-"""
+"""Materialised intermediate tables."""
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..session import ensure_checkpoint_dir
 
-# ~100 bytes per mapping row -> about 50 MB at the bound.
-BROADCAST_MAX_ROWS = 500_000
+from ..session import land
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared ``spark.checkpoint.dir``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def join_checked(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS, small_rows: int | None = None) -> DataFrame:
-    """``big.join(small)``, broadcasting ``small`` only when it has at most
-    ``max_rows`` rows.  ``small`` should be materialised so the count is cheap."""
-    n = small.count() if small_rows is None else small_rows
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    """``df`` as a Parquet table in the shared folder (see ``session.shared_folder``)."""
+    return land(df)

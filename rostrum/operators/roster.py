@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from ..functions import headers as H
 from ..functions.text import pstrip
-from .joins import join_checked
 from .joins import materialize as materialize_df
 
 TRACKING = ["duplicate_count", "header_row_number", "source_sheets"]
@@ -106,18 +105,17 @@ def strip_dup_suffix(name: Column) -> Column:
 
 
 # ------------------------------- step 3 -------------------------------------
-def data_cells(cells: DataFrame, header_map: DataFrame, checked: bool = False,
-               small_rows: int | None = None) -> DataFrame:
+def data_cells(cells: DataFrame, header_map: DataFrame) -> DataFrame:
     """Cells below their sheet's header row with a non-null normalised value,
     tagged with every column of ``header_map`` (joined on sheet + col_idx).
-    ``checked=True``: ``header_map`` is materialised and is broadcast when its
-    measured size allows (see ``joins.join_checked``)."""
+    No join hint: Spark knows the bytes of the materialised ``header_map`` and
+    broadcasts it only below its own threshold; beyond, skewed sheets are
+    split by the adaptive skew join."""
     v = normalize_cell(F.col("value"))
     body = (cells.select(*ROW_KEYS, "col_idx", v.alias("v"))
             .filter(F.col("v").isNotNull()))
     keys = SHEET_KEYS + ["col_idx"]
-    joined = (join_checked(body, header_map, keys, small_rows=small_rows) if checked
-              else body.join(header_map, keys))
+    joined = body.join(header_map, keys)
     extra = [c for c in header_map.columns if c not in keys]
     return (joined.filter(F.col("row_idx") > F.col("header_row"))
             .select(*ROW_KEYS, "col_idx", *extra, "v"))
@@ -307,8 +305,8 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
     Passes over the cell table: one partial aggregate (sheet extents), the
     ``row_idx < max_header_rows`` slice (header rows and header texts) and one
     scan of the body.  The per-sheet header map and the column map are tiny,
-    materialised to the shared checkpoint folder, and joined to the body by a
-    size-checked broadcast; the body is shuffled once for the pivot and once
+    materialised to the shared checkpoint folder, and joined to the body
+    (Spark broadcasts them by their bytes); the body is shuffled once for the pivot and once
     for de-duplication.
 
     ``materialize_input=True`` checkpoints the cell table first (when it is an
@@ -328,9 +326,7 @@ def standardize_roster(cells: DataFrame, profile: str = "four_list", max_header_
     hm = materialize_df(build_header_map(cells, hr, info, max_header_rows))
     cmap = materialize_df(build_column_map(hm, with_data, profile, include, exclude))
     names = std_column_names(cmap)
-    # one mapping row per grid column: its size is the (materialised) header map's
-    mapping = cell_mapping(hm, cmap)
-    below = data_cells(cells, mapping, checked=True, small_rows=hm.count())
+    below = data_cells(cells, cell_mapping(hm, cmap))
     wide = pivot_wide(below, None, names, profile)
     if materialize:
         wide = materialize_df(wide)

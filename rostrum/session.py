@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -31,19 +32,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share for intermediate tables.
 
-    On a cluster this is set by the deployment and is only read here. When it
-    is unset (local tests) a private scratch folder is created and registered.
+    In this order: ``spark.checkpoint.dir`` of the session, then the folder
+    that the user gave to ``sc.setCheckpointDir``. Neither is ever changed.
+    Where both are unset, a local master (tests) gets one temporary folder for
+    its life; on a cluster that is an error, because executors would not see
+    a machine-local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="rostrum-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir (or call sc.setCheckpointDir) to a folder that "
+                           "the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="rostrum-shared-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def land(df: DataFrame, label: str = "t") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage: the files outlive any executor, are compressed, and are
+    read with column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rostrum-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
