@@ -250,6 +250,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     id_type = docs.schema[id_col].dataType.simpleString()
     ddl = f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     ddl += ", ids array<bigint>" * keep_ids + ", decoded string" * keep_text
+    schema = arrow_schema(ddl)
 
     def encode(batches):
         model = load_model(model_path)
@@ -261,6 +262,6 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                 if keep_ids:
                     row += (list(struct.unpack(f"<{len(ids) // 4}I", ids)),)
                 yield row + (decoded,) * keep_text
-        yield from as_batches(results(), arrow_schema(ddl), 200 if keep_ids or keep_text else 2000)
+        yield from as_batches(results(), schema, 200 if keep_ids or keep_text else 2000)
 
     return docs.select(id_col, text_col).mapInArrow(encode, ddl)
