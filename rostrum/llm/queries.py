@@ -4,17 +4,23 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import table
+from .packing import pack_documents
 from .sentencepiece_bpe import encode_documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_nnls_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 def op10_sentencepiece(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 QUERIES = {
+    "op6_nnls_packing": op6_nnls_packing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
