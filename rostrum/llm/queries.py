@@ -5,6 +5,7 @@ import public_tokenizers
 
 from .common import table
 from .packing import pack_documents
+from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -15,12 +16,17 @@ def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
 
+def op9_secret_scan(spark, sf_dir):
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 QUERIES = {
     "op6_nnls_packing": op6_nnls_packing,
+    "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
