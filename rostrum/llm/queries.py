@@ -3,7 +3,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from .common import table
+from .common import in_bucket, table
+from .langid import predict_documents, train
 from .packing import pack_documents
 from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
@@ -12,6 +13,12 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", in_bucket("doc_id", 5, 0))
+    model = train(docs.filter("not held_out"))
+    return predict_documents(docs, model, keep=("held_out",))
+
+
 def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
@@ -25,6 +32,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op6_nnls_packing": op6_nnls_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
