@@ -4,6 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import in_bucket, table
+from .html_text import extract_pages
 from .langid import predict_documents, train
 from .packing import pack_documents
 from .secrets import scan_documents
@@ -19,6 +20,10 @@ def op1_language_id(spark, sf_dir):
     return predict_documents(docs, model, keep=("held_out",))
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
@@ -33,6 +38,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_html_extraction": op2_html_extraction,
     "op6_nnls_packing": op6_nnls_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
