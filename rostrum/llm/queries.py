@@ -9,6 +9,7 @@ from .langid import predict_documents, train
 from .packing import pack_documents
 from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
+from .simhash import near_duplicates
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,10 @@ def op2_html_extraction(spark, sf_dir):
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
@@ -39,6 +44,7 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
+    "op4_simhash": op4_simhash,
     "op6_nnls_packing": op6_nnls_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
