@@ -4,6 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import in_bucket, table
+from .fingerprints import fingerprint_documents
 from .html_text import extract_pages
 from .langid import predict_documents, train
 from .packing import pack_documents
@@ -33,6 +34,10 @@ def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
 
+def op8_weighted_sampling(spark, sf_dir):
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark, sf_dir):
     return scan_documents(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_html_extraction": op2_html_extraction,
     "op4_simhash": op4_simhash,
     "op6_nnls_packing": op6_nnls_packing,
+    "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
 }
