@@ -11,6 +11,7 @@ from .packing import pack_documents
 from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
 from .simhash import near_duplicates
+from .suffix_dedup import dedup_documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +31,10 @@ def op4_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return dedup_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
     "op4_simhash": op4_simhash,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_nnls_packing": op6_nnls_packing,
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
