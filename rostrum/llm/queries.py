@@ -12,6 +12,8 @@ from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
 from .simhash import near_duplicates
 from .suffix_dedup import dedup_documents
+from .suffix_tree_lm import score_documents
+from .suffix_tree_lm import train as train_tree
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +41,12 @@ def op6_nnls_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
 
+def op7_suffix_tree_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", in_bucket("doc_id", 5, 1))
+    tree, counts = train_tree(docs.filter("not held_out"))
+    return score_documents(docs, tree, counts, keep=("held_out",))
+
+
 def op8_weighted_sampling(spark, sf_dir):
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +65,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_nnls_packing": op6_nnls_packing,
+    "op7_suffix_tree_lm": op7_suffix_tree_lm,
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
