@@ -4,6 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import in_bucket, table
+from .cover_tree import top_k
 from .fingerprints import fingerprint_documents
 from .html_text import extract_pages
 from .langid import predict_documents, train
@@ -29,6 +30,11 @@ def op2_html_extraction(spark, sf_dir):
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_cover_tree(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.filter("vec_id % 100 = 0"))
+
+
 def op4_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
+    "op3_cover_tree": op3_cover_tree,
     "op4_simhash": op4_simhash,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_nnls_packing": op6_nnls_packing,
