@@ -168,16 +168,33 @@ def link_fingerprints(prints: DataFrame, distance: int = DISTANCE, block: int =
             .mapInArrow(search, "u long, v long"))
 
 
+def classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(simhash, component) of distinct fingerprints ``simhash``: all that close pairs connect is one component."""
+    of = components(link_fingerprints(prints.select(F.col("simhash").alias("print")), distance))
+    joined = prints.select("simhash").join(of, prints["simhash"] == of["node"], "left")
+    return joined.select("simhash", F.coalesce("component", "simhash").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, seed: int = SEED,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id of every row."""
     found = land(with_fingerprints(docs.select(id_col, text_col), words, seed, text_col), "simhash")
-    prints = found.groupBy("simhash").agg(F.min(id_col).alias("least"))
-    links = link_fingerprints(prints.select(F.col("simhash").alias("print")), distance)
-    of = components(links)
-    classes = prints.join(of, prints["simhash"] == of["node"], "left").select(
-        "simhash", "least", F.coalesce("component", "simhash").alias("component"))
-    ids = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(ids, "component").select("simhash", "component_id")
+    prints = land(found.groupBy("simhash").agg(F.min(id_col).alias("least")), "prints")
+    named = classes(prints, distance).join(prints, "simhash")
+    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(ids, "component").select("simhash", "component_id")
     return found.join(named, "simhash").select(
         id_col, F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, seed: int = SEED,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component, all columns as they are; of rows with that id, one."""
+    names = docs.columns
+    numbered = docs.withColumn("simhash_row", F.monotonically_increasing_id()).withColumn("simhash_text", F.col(text_col))
+    held = land(with_fingerprints(numbered, words, seed, "simhash_text"), "simhash")      # written, so row numbers stay
+    first = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("simhash_row").alias("row"))
+    prints = land(held.groupBy("simhash").agg(F.min(first).alias("first")), "prints")
+    kept = (classes(prints, distance).join(prints, "simhash").groupBy("component").agg(F.min("first").alias("first"))
+            .select(F.col("first.row").alias("simhash_row")))
+    return held.join(kept, "simhash_row", "left_semi").select(*names)
