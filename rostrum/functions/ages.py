@@ -188,7 +188,8 @@ def _a1(v: Column) -> Column:
         (s.rlike(A1_MONTHS), _rec(F.lit(0.0), _g(s, lead) / 12, "months")),
         (s.rlike(A1_DAYS), _rec(F.lit(0.0), _g(s, lead) / 365, "days")),
         (s.rlike(A1_NUMBER_ONLY), _rec(s.try_cast("double"), s.try_cast("double"), "number")),
-        (s.contains("no restriction"), _rec(0.0, DEFAULT_MAX, "no_restriction")),
+        (s.contains("no restriction") | s.contains("no age restriction"),
+         _rec(0.0, DEFAULT_MAX, "no_restriction")),
         (F.size(nums) == 1, _rec(F.lit(0.0), clamp(n0), "one_number")),
         (F.size(nums) >= 2, _rec(F.least(n0, n1), clamp(F.greatest(n0, n1)), "two_numbers")),
     ]
@@ -292,9 +293,14 @@ def is_min_header_phrase(h: Column) -> Column:
 
 
 def is_min_header_phrase_hdr(h: Column) -> Column:
-    """Profile ``phrase_hdr``: adds the words min / minimum / from."""
+    """Profile ``phrase_hdr``: the words min / minimum / from (whole words, where
+    ``phrase`` takes "minimum" anywhere), else the other hints of ``phrase``."""
     hl = F.lower(F.coalesce(h, F.lit("")))
-    return hl.rlike(MIN_HEADER_WORDS) | is_min_header_phrase(h)
+    cond = hl.rlike(MIN_HEADER_WORDS) | hl.startswith("min")
+    for hint in MIN_HEADER_HINTS:
+        if hint != "minimum":
+            cond = cond | hl.contains(hint)
+    return cond
 
 
 def is_max_header_phrase(h: Column) -> Column:

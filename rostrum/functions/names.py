@@ -157,7 +157,7 @@ def strip_leading_titles(c: Column) -> Column:
 def _fix_token(t: Column, hyphen: bool = True) -> Column:
     e = (F.when(F.upper(t).isin(*ROMAN_UPPER), F.upper(t))
          .when(t.rlike(INITIAL), F.upper(t))
-         .when(t.rlike(O_PREFIX), F.concat(F.lit("O"), capitalize(F.substring(t, 3, 1 << 20)))))
+         .when(t.rlike(O_PREFIX), F.concat(F.lit("O"), capitalize(F.substr(t, F.lit(3))))))
     if hyphen:
         e = e.when(t.contains("-"), F.array_join(
             F.transform(F.split(t, "-", -1), lambda p: _fix_token(p, hyphen=False)), "-"))
@@ -192,8 +192,6 @@ class Stager:
     def result(self) -> DataFrame:
         return self.df
 
-    def drop_temps(self, df: DataFrame) -> DataFrame:
-        return df.drop(*[t for t in self.temps if t in df.columns])
 
 
 def _deg_helpers(caps: bool):

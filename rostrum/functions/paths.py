@@ -53,11 +53,11 @@ def storage_prefix(path: Column) -> Column:
     after the mount point, else from 'dags/', else from 'gcs/', else the
     path's own directory."""
     p = normpath(path)
-    after_mount = F.substring(p, len(MOUNT) + 2, 1 << 30)
+    after_mount = F.substr(p, F.lit(len(MOUNT) + 2))
     i_dags = F.instr(p, DAGS_MARKER)
     i_gcs = F.instr(p, GCS_MARKER)
-    from_dags = F.substring(p, i_dags + 1, 1 << 30)
-    from_gcs = F.substring(p, i_gcs + 1, 1 << 30)
+    from_dags = F.substr(p, i_dags + 1)
+    from_gcs = F.substr(p, i_gcs + 1)
     return (F.when(p.startswith(MOUNT), _with_slash(dirname(after_mount)))
             .when(i_dags > 0, _with_slash(dirname(from_dags)))
             .when(i_gcs > 0, _with_slash(dirname(from_gcs)))

@@ -42,7 +42,7 @@ def nums_array(c: Column, pattern: str = r"\d+(?:\.\d+)?") -> Column:
 
 def capitalize(c: Column) -> Column:
     """``str.capitalize()``: first character upper, the rest lower."""
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def strip_chars(c: Column, chars: str) -> Column:

@@ -12,7 +12,8 @@ from .operators.ages import clean_ages
 from .operators.names import clean_names, observe_exclusion
 from .operators.roster import RosterResult, standardize_roster
 from .sinks import write_name_jsonl, write_records_json, write_roster, write_table
-from .sources.workbook import cells_to_table, check_sheet, read_sheet, read_workbooks
+from .session import land
+from .sources.workbook import ORDER_COLUMNS, cells_to_table, check_sheet, read_sheet, read_workbooks
 
 
 def load_sheet_table(spark: SparkSession, input_path: str, sheet: str | None = None,
@@ -20,7 +21,7 @@ def load_sheet_table(spark: SparkSession, input_path: str, sheet: str | None = N
     """One sheet (by name, else the first) of the workbook(s) under ``input_path``
     as a table whose header is the sheet's first row (all values as text).
     ``checked=True`` applies the single-workbook checks (missing / ambiguous sheet)."""
-    cells = read_workbooks(spark, input_path)
+    cells = land(read_workbooks(spark, input_path), "cells")       # files are parsed once
     if checked:
         sheet = check_sheet(cells, sheet)
     return cells_to_table(read_sheet(cells, sheet), header_row=0)
@@ -30,7 +31,7 @@ def run_roster_job(spark: SparkSession, input_path: str, output_path: str, profi
                    fmt: str = "csv", **kw) -> RosterResult:
     """All sheets of all workbooks -> combined standard table, header rows,
     column map, duplicates audit (+ note)."""
-    res = standardize_roster(read_workbooks(spark, input_path), profile, materialize=True, **kw)
+    res = standardize_roster(read_workbooks(spark, input_path), profile, materialize=True, materialize_input=True, **kw)
     write_roster(res, output_path, fmt=fmt)
     return res
 
@@ -42,12 +43,14 @@ def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile
     all columns otherwise)."""
     df = load_sheet_table(spark, input_path, sheet)
     kw = {"value_col": value_col} if value_col else {}
+    if profile in ("degree_caps", "degree_dict"):
+        kw["keep"] = ORDER_COLUMNS
     obs = None
     if profile in ("credential_list", "credential_clean"):
         kw["exclude"] = exclude
         if "file_name" in df.columns:
             df, obs = observe_exclusion(df, "file_name", exclude)
-    out = clean_names(df, profile, **kw)
+    out = land(clean_names(df, profile, **kw), "names").orderBy(*ORDER_COLUMNS)
     write_table(out, f"{output_path}/table", fmt=fmt)
     if obs is not None:
         print(f"name job: {obs.get}")  # rows in / rows excluded by file name
@@ -64,7 +67,7 @@ def run_age_job(spark: SparkSession, input_path: str, output_path: str, profile:
     df = load_sheet_table(spark, input_path, sheet, checked=profile == "label_map")
     kw = {"value_col": value_col} if value_col else {}
     out = clean_ages(df, profile, **kw)
-    write_table(out.drop("row_idx") if "row_idx" in out.columns else out, output_path, fmt=fmt)
+    write_table(out.orderBy(*ORDER_COLUMNS), output_path, fmt=fmt)
     return out
 
 

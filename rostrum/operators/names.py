@@ -42,11 +42,10 @@ def exclude_files(df: DataFrame, file_col: str = "file_name", names: Iterable[st
     key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
     protected = key == roster_file.lower()
     if isinstance(names, DataFrame):
-        ex = names.select(F.lower(pstrip(F.col("file_name"))).alias("__ex")).distinct()
+        ex = names.select(F.lower(pstrip(F.col("file_name"))).alias("__ex"))
+        ex = ex.filter(F.col("__ex") != roster_file.lower()).distinct()      # so its rows never match
         tagged = df.withColumn("__key", key)
-        kept = tagged.join(ex, tagged["__key"] == ex["__ex"], "left_anti")
-        back = tagged.filter(protected)  # protected rows are never removed
-        return kept.unionByName(back.join(ex, back["__key"] == ex["__ex"], "left_semi")).drop("__key")
+        return tagged.join(ex, tagged["__key"] == ex["__ex"], "left_anti").drop("__key")
     lowered = sorted({str(n).strip().lower() for n in names})
     if not lowered:
         return df

@@ -32,10 +32,3 @@ def list_prefixes(paths: DataFrame, prefixes: DataFrame, path_col: str = "path",
     return (hit.select(prefix_col, F.when(is_file, F.lit("file")).otherwise(F.lit("folder")).alias("entry_type"),
                     entry.alias("entry"))
             .distinct())
-
-
-def listing_summary(listing: DataFrame, prefix_col: str = "prefix") -> DataFrame:
-    """Per prefix: number of files and folders (aggregate, no lists)."""
-    return listing.groupBy(prefix_col).agg(
-        F.count(F.when(F.col("entry_type") == "file", 1)).alias("n_files"),
-        F.count(F.when(F.col("entry_type") == "folder", 1)).alias("n_folders"))

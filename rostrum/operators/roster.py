@@ -18,9 +18,9 @@ Plan (each step a DataFrame operator; shuffles noted):
    the standard column names, needed for the pivot schema]
 5. wide table: pivot cells to one row per sheet row  [shuffle by row key]
 6. dedupe: group by all standard columns  [partial aggregation, skew-safe]
-7. audit: every repeat occurrence of a group with its occurrence number,
-   computed only for groups with repeats, in fixed-size blocks so a hot
-   duplicate group never lands in one task  [aggregates + small window + join]
+7. audit: every repeat occurrence of a group with its occurrence number, in
+   blocks of bounded size so a hot duplicate group never lands in one task
+   [one shuffle by key and block; small window over block sizes; join by block]
 """
 from __future__ import annotations
 
@@ -95,13 +95,6 @@ def build_header_map(cells: DataFrame, header_rows: DataFrame, extents: DataFram
                      F.row_number().over(w).alias("dup_n"))
 
 
-def unique_header(header_text: Column, dup_n: Column) -> Column:
-    """Display header -> unique column name (``name__dupN`` for repeats)."""
-    return F.when(dup_n > 1, F.concat(header_text, F.lit("__dup"), dup_n.cast("string"))).otherwise(header_text)
-
-
-def strip_dup_suffix(name: Column) -> Column:
-    return F.regexp_replace(name, r"__dup\d+$", "")
 
 
 # ------------------------------- step 3 -------------------------------------
@@ -238,40 +231,37 @@ def dedupe(wide: DataFrame, data_cols: Sequence[str]) -> DataFrame:
 
 
 def occurrence_index(rows: DataFrame, key_cols: Sequence[str], block_rows: int = 1 << 16) -> DataFrame:
-    """Add ``occurrence_index``: 1-based position of each row inside its key
-    group in (sheet_idx, row_idx) order.
-
-    Skew-safe: rows are cut into blocks of at most ``block_rows`` consecutive
-    rows of one sheet; block sizes are aggregated (map-side combine), turned
-    into running offsets per group (one row per block), and rows are numbered
-    inside their block.  No task ever holds more than one block of a group.
+    """Add ``occurrence_index`` (1-based position of each row inside its key
+    group in (sheet_idx, row_idx) order) and ``group_rows`` (the group's size).
+
+    Skew-safe: rows are shuffled by key and block, a block being at most
+    ``block_rows`` consecutive rows of one sheet, and numbered inside it. Only
+    block sizes (summed before their shuffle, one row per block) meet by key
+    alone; they become the offsets and the group's size. ``rows`` is read
+    twice, so pass a written table where it is expensive.
     """
     blk = F.floor(F.col("row_idx") / block_rows).cast("long")
     b = rows.withColumn("__blk", blk)
-    bkeys = list(key_cols) + ["sheet_idx", "__blk"]
+    bkeys = [*key_cols, "sheet_idx", "__blk"]
     sizes = b.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy(*key_cols).orderBy("sheet_idx", "__blk")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    group = Window.partitionBy(*key_cols)
+    before = group.orderBy("sheet_idx", "__blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*bkeys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                           F.sum("__n").over(group).alias("group_rows"))
     inner = F.row_number().over(Window.partitionBy(*bkeys).orderBy("row_idx"))
     return (b.withColumn("__in", inner).join(offsets, bkeys)
-            .withColumn("occurrence_index", (F.col("__off") + F.col("__in")).cast("int"))
+            .withColumn("occurrence_index", F.col("__off") + F.col("__in"))
             .drop("__blk", "__off", "__in"))
 
 
 def audit(wide: DataFrame, data_cols: Sequence[str], block_rows: int = 1 << 16) -> DataFrame:
     """Rows removed as duplicates: every occurrence after the first."""
     if not data_cols:
-        schema = ", ".join(["source_sheet string", "header_row_number int", "group_key string",
-                            "occurrence_index int", "removed_reason string", "workbook string"])
+        schema = ", ".join(["source_sheet string", "header_row_number long", "group_key string",
+                            "occurrence_index long", "removed_reason string", "workbook string"])
         return wide.sparkSession.createDataFrame([], schema)
     keyed = wide.withColumn("group_key", group_key(data_cols))
-    # Only groups with repeats can contribute audit rows: count per key (partial
-    # aggregation, skew-safe), keep keys seen more than once, and number just those rows.
-    repeated = (keyed.groupBy("workbook", "group_key").agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > 1).select("workbook", "group_key"))
-    candidates = keyed.join(repeated, ["workbook", "group_key"], "left_semi")
-    occ = occurrence_index(candidates, ["workbook", "group_key"], block_rows)
+    occ = occurrence_index(keyed, ["workbook", "group_key"], block_rows)
     return (occ.filter(F.col("occurrence_index") > 1)
             .select(*[F.col(f"`{c}`") for c in data_cols], "source_sheet", "header_row_number",
                     "group_key", "occurrence_index", F.lit("duplicate_of_group").alias("removed_reason"),
@@ -349,9 +339,9 @@ def table_to_cells(df: DataFrame, workbook: str, sheet: str, sheet_idx: int = 0,
     cols = [c for c in df.columns if c != order_col]
     spark = df.sparkSession
     header = spark.createDataFrame([(workbook, sheet, sheet_idx, 0, i, c) for i, c in enumerate(cols)],
-                                   "workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, "
+                                   "workbook string, sheet string, sheet_idx int, row_idx long, col_idx int, "
                                    "value string")
-    numbered = df.select((F.col(f"`{order_col}`").cast("int") + 1).alias("row_idx"),
+    numbered = df.select((F.col(f"`{order_col}`").cast("long") + 1).alias("row_idx"),
                          *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
     long = numbered.unpivot("row_idx", [f"c{i}" for i in range(len(cols))], "col", "value")
     body = long.filter(F.col("value").isNotNull()).select(

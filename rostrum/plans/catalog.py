@@ -49,8 +49,8 @@ def q_age_a6(spark, sf):
 
 
 # --------------------------------- roster -----------------------------------
-def _roster(spark, sf, profile):
-    return R.standardize_roster(inputs.roster_cells(spark, sf), profile, materialize_input=True)
+def _roster(spark, sf, profile, **kw):
+    return R.standardize_roster(inputs.roster_cells(spark, sf), profile, materialize_input=True, **kw)
 
 
 def q_roster_header_rows(spark, sf):
@@ -106,7 +106,7 @@ def _dedupe_query(profile):
 
 
 def _audit_query(profile):
-    return lambda spark, sf: _roster(spark, sf, profile).audit
+    return lambda spark, sf: _roster(spark, sf, profile, materialize=True).audit
 
 
 # ---------------------------------- names -----------------------------------

@@ -109,7 +109,7 @@ def _part_env():
     m = (F.col("p_size") + F.col("p_partkey") % 30).cast("string")
     first = F.split(F.col("p_name"), " ").getItem(0)
     last = F.split(F.col("p_name"), " ").getItem(1)
-    cap = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))  # noqa
+    cap = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))  # noqa
     return {"n": n, "m": m, "f": first, "l": last, "F": F.upper(first), "L": F.upper(last),
             "fc": cap(first), "lc": cap(last)}
 

@@ -104,7 +104,7 @@ def age_label_map() -> str:
         (has(s, r"^(\d+)\s*months?"), "0.0", f"{grab(s, r'^(\d+)')} / 12.0"),
         (has(s, r"^(\d+)\s*days?"), "0.0", f"{grab(s, r'^(\d+)')} / 365.0"),
         (has(s, r"^\d+$"), f"TRY_CAST({s} AS DOUBLE)", f"TRY_CAST({s} AS DOUBLE)"),
-        (sub(s, "no restriction"), "0.0", "150.0"),
+        (f"({sub(s, 'no restriction')} OR {sub(s, 'no age restriction')})", "0.0", "150.0"),
         ("len(ns) = 1", "0.0", "least(ns[1], 150.0)"),
         ("len(ns) >= 2", "least(ns[1], ns[2])", "least(greatest(ns[1], ns[2]), 150.0)"),
     ]
@@ -192,7 +192,8 @@ def _phrase_sql(profile: str) -> str:
         ]
     rules = [("v IS NULL", "NULL", "NULL", "'empty'")] + _lexicon(t) + body + tail
     hl = "lower(coalesce(h, ''))"
-    min_sub = " OR ".join([sub(hl, k) for k in [" min", "minimum", "min ", "(min", ">=", "lower bound"]]
+    hints = [" min", "min ", "(min", ">=", "lower bound"] + ["minimum"] * (profile != "phrase_hdr")
+    min_sub = " OR ".join([sub(hl, k) for k in hints]
                           + [f"ends_with({hl}, ' min')", f"starts_with({hl}, 'min')"])
     if profile == "phrase_hdr":
         min_sub = f"{has(hl, r'\b(min|minimum|from)\b')} OR {min_sub}"

@@ -222,7 +222,7 @@ def audit(profile: str) -> str:
     key = " || '||' || ".join(f"coalesce({c}, '')" for c in cols)
     return _wide(profile) + f"""
 SELECT {', '.join(cols)}, source_sheet, header_row_number, group_key,
-       CAST(occurrence_index AS INTEGER) AS occurrence_index, 'duplicate_of_group' AS removed_reason, workbook
+       CAST(occurrence_index AS BIGINT) AS occurrence_index, 'duplicate_of_group' AS removed_reason, workbook
 FROM (SELECT *, row_number() OVER (PARTITION BY workbook, group_key ORDER BY sheet_idx, row_idx)
                 AS occurrence_index
       FROM (SELECT *, {key} AS group_key FROM wide))

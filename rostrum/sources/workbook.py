@@ -8,19 +8,22 @@ needed on the executors.  Output schema::
     workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, value string
 
 Empty cells are not emitted.  One workbook is parsed by one task (a workbook
-is the reference's unit of work); many workbooks parse in parallel.
+is the unit of work); many workbooks parse in parallel. Sheets and shared
+strings are read as streams. Files and sheets that can't be read, and sheets
+without cells, are reported (``read_workbooks_checked``), not dropped in silence.
 """
 from __future__ import annotations
 
 import datetime as dt
 import io
+import posixpath
 import re
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CELL_SCHEMA = "workbook string, sheet string, sheet_idx int, row_idx int, col_idx int, value string"
@@ -92,92 +95,147 @@ def _serial_to_text(v: str, epoch: dt.datetime, time_only: bool) -> str:
     return str(ts.time()) if time_only else str(ts)
 
 
-def parse_xlsx(content: bytes, workbook: str, na_strings=frozenset(DEFAULT_NA_STRINGS)) -> Iterator[tuple]:
-    """Yield (workbook, sheet, sheet_idx, row_idx, col_idx, value) for one file;
-    text cells whose whole text is in ``na_strings`` are missing."""
-    zf = zipfile.ZipFile(io.BytesIO(content))
-    names = set(zf.namelist())
-    shared = []
-    if "xl/sharedStrings.xml" in names:
-        root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-        shared = [_text(si) for si in root.findall("m:si", _NS)]
-    rels = {}
-    if "xl/_rels/workbook.xml.rels" in names:
-        for rel in ET.fromstring(zf.read("xl/_rels/workbook.xml.rels")).findall("rel:Relationship", _NS):
-            target = rel.get("Target")
-            rels[rel.get("Id")] = target if target.startswith("xl/") else "xl/" + target.lstrip("/")
-    wb = ET.fromstring(zf.read("xl/workbook.xml"))
-    pr = wb.find("m:workbookPr", _NS)
-    epoch = dt.datetime(1904, 1, 1) if pr is not None and pr.get("date1904") in ("1", "true") \
-        else dt.datetime(1899, 12, 30)
-    date_styles, time_styles = _date_styles(zf, names)
-    for sheet_idx, sh in enumerate(wb.findall("m:sheets/m:sheet", _NS)):
-        sheet_name = sh.get("name")
-        target = rels.get(sh.get(f"{{{_NS['r']}}}id"), f"xl/worksheets/sheet{sheet_idx + 1}.xml")
-        if target not in names:
-            continue
-        root = ET.fromstring(zf.read(target))
-        for c in root.iter(f"{{{_NS['m']}}}c"):
-            m = _REF.fullmatch(c.get("r", ""))
-            if not m:
-                continue
-            t = c.get("t", "n")
-            if t == "inlineStr":
-                is_ = c.find("m:is", _NS)
-                value = _text(is_) if is_ is not None else None
-                if value in na_strings:
-                    continue
-            else:
-                v = c.find("m:v", _NS)
-                if v is None or v.text is None:
-                    continue
-                if t == "s":
-                    value = shared[int(v.text)]
-                    if value in na_strings:
-                        continue
-                elif t == "b":
-                    value = "True" if v.text == "1" else "False"
-                elif t in ("str", "e"):
-                    value = v.text
-                    if value in na_strings:
-                        continue
-                else:
-                    style = int(c.get("s", "-1"))
-                    if style in date_styles or style in time_styles:
-                        value = _serial_to_text(v.text, epoch, style in time_styles)
-                    else:
-                        value = _number_text(v.text)
-            if value is None or value == "":
+def _elements(zf: zipfile.ZipFile, part: str, tag: str) -> Iterator:
+    """Elements of a part, read as a stream; each is emptied after use."""
+    name = f"{{{_NS['m']}}}{tag}"
+    with zf.open(part) as stream:
+        events = ET.iterparse(stream, events=("start", "end"))
+        _, root = next(events)
+        depth = 0
+        for event, el in events:
+            if el.tag != name:
                 continue
-            yield (workbook, sheet_name, sheet_idx, int(m.group(2)) - 1, _col_index(m.group(1)), value)
+            depth += 1 if event == "start" else -1
+            if event == "end" and depth == 0:
+                yield el
+                el.clear()
+                root.clear()
+
+
+def _sheet_part(target: str) -> str:
+    """Part name of a relationship target: absolute, or relative to the workbook part."""
+    return posixpath.normpath(target.lstrip("/") if target.startswith("/") else posixpath.join("xl", target))
+
+
+def _sheet_cells(zf: zipfile.ZipFile, part: str) -> Iterator[tuple]:
+    """(row_idx, col_idx, cell element); cells and rows without a reference follow the one before."""
+    row_idx = -1
+    for row in _elements(zf, part, "row"):
+        number = row.get("r", "")
+        row_idx = int(number) - 1 if number.isdigit() else row_idx + 1
+        col_idx = -1
+        for c in row.iter(f"{{{_NS['m']}}}c"):
+            m = _REF.fullmatch(c.get("r", ""))
+            col_idx = _col_index(m.group(1)) if m else col_idx + 1
+            yield (int(m.group(2)) - 1 if m else row_idx), col_idx, c
+
+
+def parse_xlsx(content: bytes, workbook: str, na_strings=frozenset(DEFAULT_NA_STRINGS)) -> Iterator[tuple]:
+    """Yield (workbook, sheet, sheet_idx, row_idx, col_idx, value, problem) for one file.
+
+    Text cells whose whole text is in ``na_strings`` are missing. A sheet that
+    can't be read or has no cells, and a file that can't be read, give one row
+    with a ``problem`` and no cell; what was read before stays."""
+    try:
+        zf = zipfile.ZipFile(io.BytesIO(content))
+        names = set(zf.namelist())
+        rels = {}
+        if "xl/_rels/workbook.xml.rels" in names:
+            for rel in ET.fromstring(zf.read("xl/_rels/workbook.xml.rels")).findall("rel:Relationship", _NS):
+                rels[rel.get("Id")] = _sheet_part(rel.get("Target"))
+        wb = ET.fromstring(zf.read("xl/workbook.xml"))
+        pr = wb.find("m:workbookPr", _NS)
+        epoch = dt.datetime(1904, 1, 1) if pr is not None and pr.get("date1904") in ("1", "true") \
+            else dt.datetime(1899, 12, 30)
+        styles = _date_styles(zf, names)
+        strings = next((n for n in names if n.lower() == "xl/sharedstrings.xml"), None)
+        shared = [_text(si) for si in _elements(zf, strings, "si")] if strings else []
+        sheets = wb.findall("m:sheets/m:sheet", _NS)
+    except Exception as error:  # any damage of the file: reported, and the other files go on
+        yield workbook, None, None, None, None, None, f"file not read: {type(error).__name__}: {error}"
+        return
+    for sheet_idx, sh in enumerate(sheets):
+        sheet = sh.get("name")
+        part = rels.get(sh.get(f"{{{_NS['r']}}}id"), f"xl/worksheets/sheet{sheet_idx + 1}.xml")
+        empty = True
+        try:
+            for row_idx, col_idx, c in _sheet_cells(zf, part):
+                value = _cell_text(c, shared, styles, epoch, na_strings)
+                if value is not None and value != "":
+                    empty = False
+                    yield workbook, sheet, sheet_idx, row_idx, col_idx, value, None
+        except Exception as error:
+            yield workbook, sheet, sheet_idx, None, None, None, f"sheet not read: {type(error).__name__}: {error}"
+        else:
+            if empty:
+                yield workbook, sheet, sheet_idx, None, None, None, "sheet has no cells"
+
+
+def _cell_text(c, shared: list, styles: tuple[set, set], epoch: dt.datetime, na_strings) -> str | None:
+    """Text of a cell; None where it is missing."""
+    kind = c.get("t", "n")
+    if kind == "inlineStr":
+        inline = c.find("m:is", _NS)
+        value = _text(inline) if inline is not None else None
+        return None if value in na_strings else value
+    v = c.find("m:v", _NS)
+    if v is None or v.text is None:
+        return None
+    if kind in ("s", "str", "e"):
+        value = shared[int(v.text)] if kind == "s" else v.text
+        return None if value in na_strings else value
+    if kind == "b":
+        return "True" if v.text == "1" else "False"
+    dates, times = styles
+    style = int(c.get("s", "-1"))
+    if style in dates or style in times:
+        return _serial_to_text(v.text, epoch, style in times)
+    return _number_text(v.text)
 
 
 def _batch_parser(na_strings: frozenset):
-    cols = ["workbook", "sheet", "sheet_idx", "row_idx", "col_idx", "value"]
+    cols = ["workbook", "sheet", "sheet_idx", "row_idx", "col_idx", "value", "problem"]
+
+    def frame(rows):
+        out = pd.DataFrame(rows, columns=cols)
+        return out.astype({c: "Int32" for c in ("sheet_idx", "row_idx", "col_idx")})
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                name = path.rsplit("/", 1)[-1]
                 chunk = []
                 # emit in bounded chunks so a large workbook never builds one huge frame
-                for row in parse_xlsx(bytes(content), name, na_strings):
+                for row in parse_xlsx(bytes(content), path, na_strings):
                     chunk.append(row)
                     if len(chunk) == 100_000:
-                        yield pd.DataFrame(chunk, columns=cols)
+                        yield frame(chunk)
                         chunk = []
                 if chunk:
-                    yield pd.DataFrame(chunk, columns=cols)
+                    yield frame(chunk)
     return parse
 
 
-def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx",
+def read_workbooks_checked(spark: SparkSession, path: str, glob: str = "*.xls[xm]",
+                           na_values=DEFAULT_NA_STRINGS) -> DataFrame:
+    """Cells of every sheet of every workbook under ``path``, and a row with a
+    ``problem`` for each file and sheet that couldn't be read or is empty.
+    ``workbook`` is the full path, so equal file names in two folders are two
+    workbooks. Write the result (``session.land``) to parse the files once."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    return files.mapInPandas(_batch_parser(frozenset(na_values)), CELL_SCHEMA + ", problem string")
+
+
+def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xls[xm]",
                    na_values=DEFAULT_NA_STRINGS) -> DataFrame:
     """S3: every sheet of every workbook under ``path`` as cells.  ``na_values``:
     cell texts treated as missing (default: the spreadsheet reader defaults;
     pass ``()`` to keep every text)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInPandas(_batch_parser(frozenset(na_values)), CELL_SCHEMA)
+    return read_workbooks_checked(spark, path, glob, na_values).filter(F.col("problem").isNull()).drop("problem")
+
+
+def workbook_problems(checked: DataFrame) -> DataFrame:
+    """(workbook, sheet, sheet_idx, problem) of files and sheets that were skipped."""
+    return checked.filter(F.col("problem").isNotNull()).select("workbook", "sheet", "sheet_idx", "problem")
 
 
 def read_sheet(cells: DataFrame, sheet: str | None = None) -> DataFrame:
@@ -216,16 +274,34 @@ def sheet_check_report(cells: DataFrame, sheet: str | None = None) -> DataFrame:
     return per_book.select("workbook", problem.alias("problem")).filter(F.col("problem").isNotNull())
 
 
+ORDER_COLUMNS = ["source_workbook", "source_sheet", "source_row"]
+
+
 def cells_to_table(cells: DataFrame, header_row: int = 0) -> DataFrame:
-    """A single sheet with its header in ``header_row`` -> wide DataFrame
-    (header texts as column names; one driver collect of the header row)."""
-    hdr = (cells.filter(F.col("row_idx") == header_row).select("col_idx", "value")
-           .orderBy("col_idx").collect())
-    names = [(r["col_idx"], str(r["value"]).strip()) for r in hdr]
-    body = cells.filter(F.col("row_idx") > header_row)
-    wide = body.groupBy("workbook", "sheet", "row_idx").pivot("col_idx", [c for c, _ in names]).agg(
-        F.first("value"))
-    return wide.select("row_idx", *[F.col(f"`{c}`").alias(n) for c, n in names])
+    """Sheets with their header in ``header_row`` -> one wide table of all
+    workbooks and sheets, united by header name; then the ``ORDER_COLUMNS``.
+
+    Blank headers are ``Column_<i+1>``, a header that repeats in a sheet gets
+    ``__dup1`` and so on, rows without a value are kept up to the sheet's last
+    row. Only the distinct header names reach the driver."""
+    keys = ["workbook", "sheet", "sheet_idx"]
+    extent = cells.groupBy(*keys).agg(F.max("col_idx").alias("width"), F.max("row_idx").alias("last"))
+    header = cells.filter(F.col("row_idx") == header_row).select(*keys, "col_idx", F.trim("value").alias("text"))
+    grid = extent.select(*keys, F.explode(F.sequence(F.lit(0), "width")).alias("col_idx")).join(
+        header, [*keys, "col_idx"], "left")
+    blank = F.coalesce("text", F.lit("")) == ""
+    grid = grid.withColumn("text", F.when(blank, F.concat(F.lit("Column_"), F.col("col_idx") + 1)).otherwise(F.col("text")))
+    again = F.row_number().over(Window.partitionBy(*keys, "text").orderBy("col_idx")) - 1
+    again = again + F.col("text").isin(*ORDER_COLUMNS).cast("int")
+    grid = grid.withColumn("name", F.when(again > 0, F.concat("text", F.lit("__dup"), again)).otherwise(F.col("text")))
+    names = [r["name"] for r in grid.groupBy("name").agg(F.min("col_idx").alias("at")).orderBy("at", "name").collect()]
+    body = (cells.filter(F.col("row_idx") > header_row).join(grid.select(*keys, "col_idx", "name"), [*keys, "col_idx"])
+            .groupBy(*keys, "row_idx").pivot("name", names).agg(F.first("value")))
+    rows = extent.filter(F.col("last") > header_row).select(
+        *keys, F.explode(F.sequence(F.lit(header_row + 1), "last")).alias("row_idx"))
+    wide = rows.join(body, [*keys, "row_idx"], "left")
+    return wide.select(*[F.col(f"`{n}`") for n in names], F.col("workbook").alias("source_workbook"),
+                       F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"))
 
 
 def write_xlsx(rows_by_sheet: dict[str, list[list]], path: str) -> None:
@@ -259,6 +335,7 @@ def write_xlsx(rows_by_sheet: dict[str, list[list]], path: str) -> None:
         for i, (_, rows) in enumerate(sheets):
             cells = []
             for r, row in enumerate(rows):
+                cells.append(f'<row r="{r + 1}">')
                 for c, v in enumerate(row):
                     if v is None:
                         continue
@@ -270,5 +347,6 @@ def write_xlsx(rows_by_sheet: dict[str, list[list]], path: str) -> None:
                         cells.append(f'<c r="{ref(r, c)}"><v>{v}</v></c>')
                     else:
                         cells.append(f'<c r="{ref(r, c)}" t="inlineStr"><is><t>{esc(v)}</t></is></c>')
+                cells.append("</row>")
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml",
                        f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(cells) + "</sheetData></worksheet>")
