@@ -13,6 +13,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _CACHE: dict = {}
+_OWNER: list = [None]       # the session whose literals are kept
 
 
 def _sql_str(s: str) -> str:
@@ -20,8 +21,12 @@ def _sql_str(s: str) -> str:
 
 
 def _key(*parts):
-    # one cache per active session (a Column belongs to the JVM that built it)
-    return (id(SparkSession.getActiveSession()),) + parts
+    # a Column belongs to the JVM that built it: another session starts the cache anew
+    session = SparkSession.getActiveSession()
+    if _OWNER[0] is not session:
+        _CACHE.clear()
+        _OWNER[0] = session
+    return parts
 
 
 def str_array(values: Iterable[str]) -> Column:

@@ -4,7 +4,8 @@ The reference cleans text with Python ``str`` methods and ``re``; Spark's
 built-ins differ in small ways (``trim`` only removes spaces, ``split`` keeps a
 leading empty token, ``regexp_extract`` returns '' on a miss, ``round`` is
 half-up).  The helpers below close those gaps once so every rule set can use
-them; Python's half-even ``round`` is ``F.bround``.
+them. ``py_round`` is Python's ``round`` (half-even on the binary value; ``F.bround``
+rounds the shortest decimal text).
 """
 from __future__ import annotations
 

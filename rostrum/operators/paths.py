@@ -21,9 +21,10 @@ def with_storage_prefix(df: DataFrame, path_col: str = "path", out_col: str = "p
 
 def list_prefixes(paths: DataFrame, prefixes: DataFrame, path_col: str = "path",
                   prefix_col: str = "prefix") -> DataFrame:
-    """(prefix, entry_type in {'file','folder'}, entry): direct children of each prefix."""
-    anc = paths.select(F.col(path_col).alias("__path"),
-                       F.explode(ancestor_prefixes(F.col(path_col))).alias(prefix_col))
+    """(prefix, entry_type in {'file','folder'}, entry): direct children of each
+    prefix; '' is the root, the parent of every path."""
+    above = F.array_distinct(F.concat(F.array(F.lit("")), ancestor_prefixes(F.col(path_col))))
+    anc = paths.select(F.col(path_col).alias("__path"), F.explode(above).alias(prefix_col))
     hit = anc.join(prefixes.select(prefix_col).distinct(), prefix_col)
     rest = F.expr(f"substring(__path, length({prefix_col}) + 1)")
     is_file = ~rest.contains("/")

@@ -211,6 +211,15 @@ def pivot_wide(cells_below: DataFrame, column_map: DataFrame | None, std_names:
                        F.col("sheet").alias("source_sheet"), "workbook", "sheet_idx", "row_idx")
 
 
+def standard_long(cells_below: DataFrame, column_map: DataFrame) -> DataFrame:
+    """(workbook, sheet, sheet_idx, row_idx, std_name, value): the data cells under
+    their standard names. For ``general``, whose names grow with the headers: no
+    column and nothing on the driver grows with the input."""
+    mapped = cells_below.join(column_map.select("workbook", "header_text", "dup_n", "std_name"),
+                              ["workbook", "header_text", "dup_n"])
+    return mapped.select(*ROW_KEYS, "std_name", F.col("v").alias("value"))
+
+
 # ------------------------------ steps 6-7 -----------------------------------
 def group_key(cols: Sequence[str]) -> Column:
     """Values joined by '||', NULL as ''."""

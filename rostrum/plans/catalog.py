@@ -15,6 +15,7 @@ from ..functions.text import pstrip
 from ..operators import paths as P
 from ..operators import roster as R
 from ..operators.ages import clean_ages
+from ..operators.joins import materialize
 from ..operators.names import (clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
                                parse_issues)
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
@@ -97,6 +98,38 @@ def q_file_exclusion_counts(spark, sf):
     return exclusion_counts(inputs.provider_text(spark, sf), "file_name", EXCLUDED_FILES)
 
 
+def q_roster_long_general(spark, sf):
+    cells = materialize(inputs.roster_cells(spark, sf))
+    ext = R.sheet_extents(cells)
+    hr = R.detect_header_rows(cells, 20, ext)
+    hm = materialize(R.build_header_map(cells, hr, ext))
+    cmap = R.build_column_map(hm, R.sheets_with_data(ext, hr), "general")
+    return R.standard_long(R.data_cells(cells, hm), cmap)
+
+
+def q_roster_dedupe_no_columns(spark, sf):
+    """Without a standard column every row stays."""
+    return R.dedupe(_roster(spark, sf, "three").wide, [])
+
+
+def q_roster_flat_headers(spark, sf):
+    """Two header rows of every sheet as one text per column."""
+    return R.flatten_header_rows(inputs.roster_cells(spark, sf), [1, 2])
+
+
+def q_roster_skipped_sheets(spark, sf):
+    """Two regions' sheets lose their data rows and are reported."""
+    cells = inputs.roster_cells(spark, sf)
+    cut = cells.filter(~F.col("sheet_idx").isin(1, 3) | (F.col("row_idx") < inputs.ROSTER_DATA_ROW0))
+    return R.standardize_roster(cut, "four_list", materialize_input=True).skipped_sheets
+
+
+def q_table_cells(spark, sf):
+    """A wide table as the cells of one sheet."""
+    cust = inputs.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return R.table_to_cells(cust, "customers", "all", order_col="c_custkey")
+
+
 def _wide_query(profile):
     return lambda spark, sf: _roster(spark, sf, profile).wide
 
@@ -167,6 +200,14 @@ def q_file_exclude(spark, sf):
     return exclude_files(inputs.provider_text(spark, sf), "file_name", EXCLUDED_FILES).select("id", "file_name")
 
 
+def q_file_exclude_table(spark, sf):
+    """Exclusion by a table of file names, as one anti join; the roster file in it is never excluded."""
+    nation = inputs.read_table(spark, sf, "nation")
+    names = nation.select(F.concat(F.lit("ROSTER_"), (F.col("n_nationkey") % 4).cast("string"), F.lit(".xlsx")).alias("file_name"))
+    names = names.unionByName(names.limit(1).select(F.lit(inputs.ROSTER_FILE).alias("file_name")))
+    return exclude_files(inputs.provider_text(spark, sf), "file_name", names).select("id", "file_name")
+
+
 # ---------------------------------- paths -----------------------------------
 def q_path_prefix(spark, sf):
     return P.with_storage_prefix(inputs.page_objects(spark, sf).select("page_id", "path"))
@@ -175,8 +216,11 @@ def q_path_prefix(spark, sf):
 def q_path_listing(spark, sf):
     objs = inputs.page_objects(spark, sf).select(F.col("object").alias("path"))
     hosts = objs.select(F.concat(F.substring_index("path", "/", 1), F.lit("/")).alias("prefix")).distinct()
-    return P.list_prefixes(objs, hosts)
+    root = spark.range(1).select(F.lit("").alias("prefix"))
+    return P.list_prefixes(objs, hosts.unionByName(root))
+
 
+WIDE_PROFILES = ("three", "four", "four_regex", "four_list")
 
 QUERIES: dict[str, Query] = {
     "age_a1_label_map": q_age_a1,
@@ -191,11 +235,15 @@ QUERIES: dict[str, Query] = {
        for p in ("general", "three", "four", "four_regex", "four_list")},
     "roster_column_map_four_regex_custom": _column_map_custom("four_regex", REGEX_INCLUDE, REGEX_EXCLUDE),
     "roster_column_map_four_list_custom": _column_map_custom("four_list", LIST_INCLUDE, LIST_EXCLUDE),
-    "roster_wide_four_list": _wide_query("four_list"),
-    "roster_dedupe_three": _dedupe_query("three"),
-    "roster_dedupe_four_list": _dedupe_query("four_list"),
-    "roster_audit_three": _audit_query("three"),
-    "roster_audit_four_list": _audit_query("four_list"),
+    **{f"roster_wide_{p}": _wide_query(p) for p in WIDE_PROFILES},
+    **{f"roster_dedupe_{p}": _dedupe_query(p) for p in WIDE_PROFILES},
+    **{f"roster_audit_{p}": _audit_query(p) for p in WIDE_PROFILES},
+    "roster_long_general": q_roster_long_general,
+    "roster_dedupe_no_columns": q_roster_dedupe_no_columns,
+    "roster_flat_headers": q_roster_flat_headers,
+    "roster_skipped_sheets": q_roster_skipped_sheets,
+    "table_cells": q_table_cells,
+    "file_exclude_table": q_file_exclude_table,
     "name_n1_degree_caps": _name_query("degree_caps"),
     "name_n2_degree_dict": _name_query("degree_dict"),
     "name_n3_credential_org": _name_query("credential_org"),
@@ -228,11 +276,15 @@ ORACLE: dict[str, Callable[[], str]] = {
        for p in ("general", "three", "four", "four_regex", "four_list")},
     "roster_column_map_four_regex_custom": lambda: oracle_roster.column_map("four_regex_custom"),
     "roster_column_map_four_list_custom": lambda: oracle_roster.column_map("four_list_custom"),
-    "roster_wide_four_list": lambda: oracle_roster.wide("four_list"),
-    "roster_dedupe_three": lambda: oracle_roster.dedupe("three"),
-    "roster_dedupe_four_list": lambda: oracle_roster.dedupe("four_list"),
-    "roster_audit_three": lambda: oracle_roster.audit("three"),
-    "roster_audit_four_list": lambda: oracle_roster.audit("four_list"),
+    **{f"roster_wide_{p}": (lambda p=p: oracle_roster.wide(p)) for p in WIDE_PROFILES},
+    **{f"roster_dedupe_{p}": (lambda p=p: oracle_roster.dedupe(p)) for p in WIDE_PROFILES},
+    **{f"roster_audit_{p}": (lambda p=p: oracle_roster.audit(p)) for p in WIDE_PROFILES},
+    "roster_long_general": lambda: oracle_roster.long("general"),
+    "roster_dedupe_no_columns": oracle_roster.dedupe_no_columns,
+    "roster_flat_headers": oracle_roster.flat_headers,
+    "roster_skipped_sheets": oracle_roster.skipped_sheets,
+    "table_cells": oracle_misc.table_cells,
+    "file_exclude_table": oracle_misc.file_exclude_table,
     "name_n1_degree_caps": lambda: oracle_names.degree_names("degree_caps"),
     "name_n2_degree_dict": lambda: oracle_names.degree_names("degree_dict"),
     "name_n3_credential_org": lambda: oracle_names.credential_names("credential_org"),

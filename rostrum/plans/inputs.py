@@ -30,7 +30,7 @@ AGE_TEMPLATES = [
     "adolescents to adult", "{n} or older", "{n} & under", "birth to {n}", "all ages", "{n} and over",
 ]
 AGE_HEADERS = ["Minimum Age", "Maximum Age", "Age Range From", "Age", None, "Max Age (<=)",
-               "Practice limitations: Min Age", "PATIENT MAX AGE"]
+               "Practice limitations: Min Age", "PATIENT MAX AGE", "AGE_MINIMUM", "PatientAgeMinimum", "MinAge"]
 
 TWO_COL_MIN = ["{n}", "newborn", "{n}+", "28 days", None, "fetal", "{n} months", "", "Adults",
                "{n}-{m}", "Newborns", "{n} years", "> {n}", "kids"]

@@ -107,10 +107,31 @@ FROM n
 """
 
 
+def file_exclude_table() -> str:
+    return f"""
+WITH src AS ({inputs.provider_text_sql()}),
+ex AS (SELECT DISTINCT lower('ROSTER_' || CAST(n_nationkey % 4 AS VARCHAR) || '.xlsx') AS name FROM nation
+       UNION SELECT lower({q(inputs.ROSTER_FILE)}))
+SELECT id, file_name FROM src
+WHERE lower(trim(coalesce(file_name, ''))) = lower({q(inputs.ROSTER_FILE)})
+   OR lower(trim(coalesce(file_name, ''))) NOT IN (SELECT name FROM ex)
+"""
+
+
+def table_cells() -> str:
+    columns = ["c_name", "c_nationkey", "c_mktsegment"]
+    heads = ", ".join(f"(0, {i}, {q(c)})" for i, c in enumerate(columns))
+    body = " UNION ALL ".join(f"SELECT c_custkey + 1, {i}, CAST({c} AS VARCHAR) FROM customer" for i, c in enumerate(columns))
+    return f"""
+SELECT 'customers' AS workbook, 'all' AS sheet, 0 AS sheet_idx, row_idx, col_idx, value
+FROM (SELECT * FROM (VALUES {heads}) AS h(row_idx, col_idx, value) UNION ALL {body}) WHERE value IS NOT NULL
+"""
+
+
 def path_listing() -> str:
     return f"""
 WITH objs AS (SELECT object AS path FROM ({inputs.page_objects_sql()})),
-hosts AS (SELECT DISTINCT split_part(path, '/', 1) || '/' AS prefix FROM objs),
+hosts AS (SELECT DISTINCT split_part(path, '/', 1) || '/' AS prefix FROM objs UNION SELECT ''),
 m AS (SELECT h.prefix, o.path, substr(o.path, length(h.prefix) + 1) AS rest
       FROM objs o JOIN hosts h ON starts_with(o.path, h.prefix))
 SELECT DISTINCT prefix,

@@ -13,6 +13,10 @@ from .oracle_ages import has, q, strip, sub
 
 # Expected standard columns of the derived workbook, per profile (hand-derived).
 STD_COLUMNS = {
+    "four": ["Degree 1", "Degree 2", "Degree 3", "Speciality 1", "Speciality 2", "Speciality 3",
+             "Taxonomy 1", "Taxonomy 2", "Role 1", "Role 2"],
+    "four_regex": ["Degree 1", "Degree 2", "Degree 3", "Speciality 1", "Speciality 2", "Speciality 3",
+                   "Taxonomy 1", "Taxonomy 2", "Role 1", "Role 2"],
     "three": ["Degree 1", "Degree 2", "Degree 3", "Speciality 1", "Speciality 2", "Speciality 3",
               "Taxonomy 1", "Taxonomy 2", "Taxonomy 3"],
     "four_list": ["Degree 1", "Degree 2", "Degree 3", "Degree 4", "Speciality 1", "Speciality 2",
@@ -204,6 +208,37 @@ def wide(profile: str) -> str:
     return _wide(profile) + "\nSELECT * FROM wide\n"
 
 
+def long(profile: str) -> str:
+    return f"""
+WITH {_pipeline(profile)}
+SELECT b.workbook, b.sheet, b.sheet_idx, b.row_idx, m.base || ' ' || CAST(m.slot AS VARCHAR) AS std_name, b.v AS value
+FROM below b JOIN cmap m ON b.workbook = m.workbook AND b.header_text = m.header_text AND b.dup_n = m.dup_n
+"""
+
+
+def dedupe_no_columns() -> str:
+    return _wide("three") + """
+SELECT CAST(1 AS BIGINT) AS duplicate_count, header_row_number, sheet AS source_sheets, workbook
+FROM (SELECT header_row_number, source_sheet AS sheet, workbook FROM wide)
+"""
+
+
+def flat_headers() -> str:
+    return f"""
+WITH cells AS ({inputs.roster_cells_sql()})
+SELECT workbook, sheet, sheet_idx, col_idx, string_agg(value, '_' ORDER BY row_idx) AS header_text
+FROM cells WHERE row_idx IN (1, 2) GROUP BY workbook, sheet, sheet_idx, col_idx
+"""
+
+
+def skipped_sheets() -> str:
+    return f"""
+WITH cells AS ({inputs.roster_cells_sql()}),
+cut AS (SELECT * FROM cells WHERE sheet_idx NOT IN (1, 3) OR row_idx < {inputs.ROSTER_DATA_ROW0})
+SELECT workbook, sheet, sheet_idx FROM cut GROUP BY ALL HAVING max(row_idx) < {inputs.ROSTER_DATA_ROW0}
+"""
+
+
 def _qcols(profile):
     return [q(c).replace("'", '"') for c in STD_COLUMNS[profile]]
 
