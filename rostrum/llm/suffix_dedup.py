@@ -9,10 +9,10 @@ else in the corpus is removed (in all places, judged on the input).
    can repeat; all others are settled without sorting. This loses nothing and
    leaves a few hundredths of ordinary text.
 2. *Extents.* An anchor with the bytes of all its windows is an extent. Equal
-   extents are counted before anything else (all their windows repeat), and
-   only distinct ones go on, dealt by the anchor's gram.
-3. *Suffix sort* of the extents of a batch of grams by the difference cover
-   modulo 3: triples at positions not divisible by 3 are sorted and named, the
+   extents are counted by 128-bit hashes before anything else (all their windows
+   repeat), and only distinct ones go on, dealt by the anchor's gram.
+3. *Suffix sort* of the extents of a batch of grams (the gram that all windows
+   share being one symbol) by the difference cover modulo 3: triples at positions not divisible by 3 are sorted and named, the
    names are sorted by recursion until they cover ``length`` bytes, the
    remaining suffixes are sorted by their first byte and the rank behind, and
    the two orders are merged. Windows that are neighbours in the order are
@@ -34,11 +34,10 @@ Memory of a task: a batch of extents, or one document.
 """
 from __future__ import annotations
 
-import hashlib
 import struct
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import land
@@ -46,7 +45,7 @@ from .common import arrow_schema, as_batches, rows_of
 
 LENGTH = 200
 BLOCK = 4096             # distinct extents of a gram that are sorted together
-BATCH_BYTES = 2_000_000  # extents sorted at once
+BATCH_BYTES = 500_000    # extents sorted at once
 STEP = 1 << 19           # windows of a long text looked at together
 
 _ODD = 0x9E3779B97F4A7C15
@@ -159,31 +158,56 @@ def suffix_ranks(s: np.ndarray, reach: int, cover: int = 1) -> np.ndarray:
     return merged[:n]
 
 
-def repeated_windows(extents: list[tuple[int, int, bytes]], length: int) -> list[np.ndarray]:
-    """Of each extent (group, windows, bytes) which of its windows are in another extent of its group.
+def repeated_windows(groups: np.ndarray, counts: np.ndarray, sizes: np.ndarray, symbols: np.ndarray,
+                     reach: int) -> list[np.ndarray]:
+    """Of each extent, which of its windows of ``reach`` symbols are in another extent of its group.
 
-    The windows start at the extent's first bytes, one after another.
+    The extents lie one after another in ``symbols`` (from 1), ``sizes`` long;
+    the ``counts`` windows of an extent start at its first symbols.
     """
-    sizes = np.array([len(e) for _, _, e in extents])
-    joined = np.frombuffer(b"".join(e for _, _, e in extents), np.uint8)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    counts = np.array([k for _, k, _ in extents])
-    own = np.repeat(np.arange(len(extents)), counts)
+    starts = np.cumsum(sizes) - sizes
+    own = np.repeat(np.arange(len(sizes)), counts)
     at = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[own]
-    ranks = suffix_ranks(joined.astype(np.int64) + 1, length)
-    group = np.array([g for g, _, _ in extents])[own]
+    ranks = suffix_ranks(symbols, reach)
+    group = groups[own]
     order = np.lexsort((ranks[at], group))
-    windows = np.lib.stride_tricks.sliding_window_view(joined, length)
+    windows = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int32), reach)
     same = np.zeros(len(order) + 1, bool)                # is a window equal to the one before it
-    for a in range(0, len(order) - 1, 50_000):
-        x, y = order[a:a + 50_000], order[a + 1:a + 50_001]
+    for a in range(0, len(order) - 1, 20_000):
+        x, y = order[a:a + 20_000], order[a + 1:a + 20_001]
         x = x[:len(y)]
-        same[a + 1:a + 1 + len(y)] = (group[x] == group[y]) & (windows[at[x]] == windows[at[y]]).all(1)
+        near = np.flatnonzero(group[x] == group[y])
+        x, y = at[x[near]], at[y[near]]
+        near = near[(symbols[x] == symbols[y]) & (symbols[x + reach - 1] == symbols[y + reach - 1])]
+        x, y = at[order[a:a + 20_000][near]], at[order[a + 1:a + 20_001][near]]
+        same[a + 1 + near] = (windows[x] == windows[y]).all(1)
     found = np.zeros(len(order), bool)
     found[order] = same[:-1] | same[1:]
     return np.split(found, np.cumsum(counts)[:-1])
 
 
+def sort_extents(extents: list[tuple[int, int, int, bytes]], length: int) -> list[np.ndarray]:
+    """Of each extent (gram hash, low, high, bytes), its windows in page order: are they in another one of its gram?
+
+    All windows hold the gram itself, so it is one symbol of the sorted strings.
+    """
+    size = (length + 1) // 2
+    grams: dict[tuple[int, bytes], int] = {}
+    parts, sizes, marks, symbols_, counts = [], [], [], [], []
+    at = 0
+    for gram, low, high, data in extents:
+        key = gram, data[high:high + size]
+        symbols_.append(257 + grams.setdefault(key, len(grams)))
+        marks.append(at + high)
+        parts += [data[:high], b"\0", data[high + size:]]
+        sizes.append(len(data) - size + 1)
+        counts.append(high - low + 1)
+        at += sizes[-1]
+    symbols = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1
+    symbols[marks] = symbols_
+    return repeated_windows(np.array(symbols_), np.array(counts), np.array(sizes), symbols, length - size + 1)
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """(start, end) of the runs of true flags."""
     edges = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0))
@@ -206,108 +230,143 @@ def _anchor_table(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("text_key", "text").mapInArrow(find, "gram long, text_key long, at long, near long")
 
 
-def _extents(docs: DataFrame, length: int) -> DataFrame:
-    """Extents (gram, low, high, extent, text_key, at) from texts with their repeated anchors."""
-    schema = arrow_schema("gram long, low int, high int, extent binary, text_key long, at long")
+def _candidates(table: DataFrame) -> DataFrame:
+    """(text_key, found): anchors whose gram occurs again in other text or elsewhere in the same one."""
+    again = (table.groupBy("gram").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"),
+                                       F.min("at").alias("c"), F.max("at").alias("d"))
+             .filter("a <> b or c <> d").select("gram"))
+    return table.join(again, "gram")
+
+
+def _per_text(rows: DataFrame) -> DataFrame:
+    """Rows (gram, at, near) of a text as one list; it is no longer than the text."""
+    return rows.groupBy("text_key").agg(F.collect_set(F.struct("gram", "at", "near")).alias("found"))
+
+
+def _gram_hashes_at(data: bytes, places: list[int], size: int) -> np.ndarray:
+    """The gram hashes at some places of a text."""
+    whole = np.frombuffer(data, np.uint8)
+    grams = whole[np.array(places)[:, None] + np.arange(size)]
+    h = ((grams.astype(np.uint64) + np.uint64(1)) * _powers(size)[0][:size]).sum(1, dtype=np.uint64)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h.view(np.int64)
+
+
+def _references(texts: DataFrame, length: int, parts: int) -> DataFrame:
+    """A row per extent, without its bytes: bucket, a 128-bit hash of the extent, its place.
+
+    ``parts`` over 1 deals the windows of an anchor to that many ranges of
+    their distance, each in a bucket of the bytes that the range's windows share.
+    """
+    ddl = "bucket long, key1 long, key2 long, text_key long, gram long, at long, near long"
+    schema = arrow_schema(ddl)
     size = (length + 1) // 2
+    width = length - size + 1
+
+    def refer(batches):
+        from xxhash import xxh3_128_digest
 
-    def cut(batches):
         def results():
             for key, text, found in rows_of(batches, ["text_key", "text", "found"]):
                 data = text.encode()
-                for f in found:
-                    where, high, low = f["at"], f["near"] >> 16, f["near"] & 0xFFFF
-                    gram = np.frombuffer(data[where:where + size], np.uint8)
-                    if len(gram) == size and gram_hashes(gram, size).view(np.int64)[0] == f["gram"]:     # the key's own text
-                        yield f["gram"], low, high, data[where - high:where - low + length], key, where
-        yield from as_batches(results(), schema)
+                found = [f for f in found if f["at"] + size <= len(data)]
+                true = _gram_hashes_at(data, [f["at"] for f in found], size) if found else []
+                for f, gram in zip(found, true, strict=True):
+                    if gram != f["gram"]:           # the place is another text's, whose key is the same
+                        continue
+                    at, high, low = f["at"], f["near"] >> 16, f["near"] & 0xFFFF
+                    for k in range(parts):
+                        a, b = width * k // parts, width * (k + 1) // parts - 1
+                        lo, hi = max(low, a), min(high, b)
+                        if lo > hi or a > b:
+                            continue
+                        bucket = f["gram"]
+                        if parts > 1:
+                            shared = data[at - a:at - b + length]
+                            bucket = struct.unpack("<q", xxh3_128_digest(shared, seed=k)[:8])[0]
+                        code = xxh3_128_digest(data[at - hi:at - lo + length], seed=lo << 16 | hi)
+                        yield (bucket, *struct.unpack("<2q", code), key, f["gram"], at, hi << 16 | lo)
+        yield from as_batches(results(), schema, 20_000)
 
-    return docs.mapInArrow(cut, "gram long, low int, high int, extent binary, text_key long, at long")
+    return texts.select("text_key", "text", "found").mapInArrow(refer, ddl)
 
 
-def _sorted(distinct: DataFrame, length: int) -> DataFrame:
-    """(gram, extent_key, runs): repeated windows of distinct extents, sorted gram by gram in batches."""
-    ddl = "gram long, extent_key long, first int, last int"
+def _sorted(texts: DataFrame, length: int) -> DataFrame:
+    """(bucket, key1, key2, first, last): repeated windows of distinct extents, sorted in batches of whole buckets."""
+    ddl = "bucket long, key1 long, key2 long, near long, extent binary"
     schema = arrow_schema(ddl)
 
-    def results(rows):
+    def cut(batches):
+        def results():
+            for text, wanted in rows_of(batches, ["text", "wanted"]):
+                data = text.encode()
+                for w in wanted:
+                    high, low = w["near"] >> 16, w["near"] & 0xFFFF
+                    yield w["bucket"], w["key1"], w["key2"], w["near"], data[w["at"] - high:w["at"] - low + length]
+        yield from as_batches(results(), schema)
+
+    out_ddl = "bucket long, key1 long, key2 long, first int, last int"
+    out_schema = arrow_schema(out_ddl)
+
+    def batched(rows):
         batch, weight, seen = [], 0, None
         for row in rows:
             if row[0] != seen and weight >= BATCH_BYTES:
-                yield from flush(batch)
+                yield batch
                 batch, weight = [], 0
             seen = row[0]
             batch.append(row)
             weight += len(row[4])
         if batch:
-            yield from flush(batch)
-
-    def flush(batch):
-        flags = repeated_windows([(gram, high - low + 1, extent) for gram, _, low, high, extent in batch], length)
-        for (gram, key, _, high, _), found in zip(batch, flags, strict=True):
-            for a, b in _runs(found):
-                yield gram, key, high - a, high - b + 1          # distances from the anchor
+            yield batch
 
     def sort(batches):
-        yield from as_batches(results(rows_of(batches, ["gram", "extent_key", "low", "high", "extent"])), schema)
-
-    return (distinct.select("gram", "extent_key", "low", "high", "extent").repartition("gram")
-            .sortWithinPartitions("gram").mapInArrow(sort, ddl))
-
-
-def _halved(extents: DataFrame, length: int, parts: int) -> DataFrame:
-    """Extents dealt anew: one row for each part of the distances, its gram hashed with the bytes that the part shares."""
-    ddl = "gram long, low int, high int, extent binary, text_key long, at long"
-    schema = arrow_schema(ddl)
-    width = length - (length + 1) // 2 + 1
-
-    def split(batches):
         def results():
-            for gram, low, high, extent, key, at in rows_of(batches, ["gram", "low", "high", "extent", "text_key", "at"]):
-                for k in range(parts):
-                    a, b = width * k // parts, width * (k + 1) // parts - 1
-                    lo, hi = max(low, a), min(high, b)
-                    if lo > hi or a > b:
-                        continue
-                    shared = extent[high - a:high - b + length]
-                    code = hashlib.blake2b(struct.pack("<qii", gram, a, b) + shared, digest_size=8).digest()
-                    yield int.from_bytes(code, "little", signed=True), lo, hi, extent[high - hi:high - lo + length], key, at
-        yield from as_batches(results(), schema)
+            for batch in batched(rows_of(batches, ["bucket", "key1", "key2", "near", "extent"])):
+                flags = sort_extents([(bucket, near & 0xFFFF, near >> 16, extent) for bucket, _, _, near, extent in batch], length)
+                for (bucket, key1, key2, near, _), found in zip(batch, flags, strict=True):
+                    for a, b in _runs(found):
+                        yield bucket, key1, key2, (near >> 16) - a, (near >> 16) - b + 1       # distances from the anchor
+        yield from as_batches(results(), out_schema)
 
-    return extents.mapInArrow(split, ddl)
+    return (texts.mapInArrow(cut, ddl).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, out_ddl))
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(texts with candidates, (text_key, start, end) of repeated bytes) from distinct ``text_key`` and ``text``."""
+    """(texts with candidates, (text_key, start, end) of repeated bytes) from ``text_key`` and ``text``."""
     if not 16 <= length < 1 << 16:
         raise ValueError("length must be 16 to 65535 bytes")
-    table = _anchor_table(texts, length)
-    again = (table.groupBy("gram").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"),
-                                       F.min("at").alias("c"), F.max("at").alias("d"))
-             .filter("a <> b or c <> d").select("gram"))
-    found = (table.join(again, "gram").groupBy("text_key")
-             .agg(F.collect_set(F.struct("gram", "at", "near")).alias("found")))       # as long as the text at most
-    held = land(texts.join(found, "text_key"), "candidates")
-    extents = land(_extents(held, length).distinct(), "extents")
-    marks, parts = None, 1
+    table = land(_anchor_table(texts, length), "anchors")
+    found = _per_text(_candidates(table))
+    first = F.row_number().over(Window.partitionBy("text_key").orderBy(F.lit(1)))
+    # Equal texts meet in the join; one of them goes on.
+    held = texts.join(found, "text_key").withColumn("n", first).filter("n = 1").drop("n")
+    held = land(held, "candidates")
+    marks, parts, asked = None, 1, held
     while True:
-        keyed = extents.withColumn("extent_key", F.xxhash64("low", "high", "extent"))
-        distinct = keyed.groupBy("gram", "low", "high", "extent", "extent_key").agg(F.count(F.lit(1)).alias("copies"))
-        distinct = land(distinct, "distinct")
-        sizes = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        several = distinct.join(sizes.filter(f"n between 2 and {block}"), "gram")
-        runs = _sorted(several, length)
-        copied = distinct.filter("copies > 1").select("gram", "extent_key", F.col("high").alias("first"), F.col("low").alias("last"))
-        met = (keyed.select("gram", "extent_key", "text_key", "at").join(runs.unionByName(copied), ["gram", "extent_key"])
+        refs = land(_references(asked, length, parts), "extents")
+        keys = ["bucket", "key1", "key2"]
+        distinct = land(refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.first("text_key").alias("text_key"),
+                                                F.first("at").alias("at"), F.first("near").alias("near")), "distinct")
+        sizes = distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        several = distinct.join(sizes.filter(F.col("n") <= block), "bucket")
+        wanted = several.groupBy("text_key").agg(F.collect_list(F.struct(*keys, "at", "near")).alias("wanted"))
+        runs = _sorted(held.select("text_key", "text").join(wanted, "text_key").select("text", "wanted"), length)
+        copied = distinct.filter("copies > 1").select(*keys, F.shiftright("near", 16).cast("int").alias("first"),
+                                                      F.col("near").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("last"))
+        met = (refs.select(*keys, "text_key", "at").join(runs.unionByName(copied), keys)
                .select("text_key", (F.col("at") - F.col("first")).alias("start"),
                        (F.col("at") - F.col("last") + length).alias("end")))
         met = land(met, "marks")
         marks = met if marks is None else marks.unionByName(met)
-        large = sizes.filter(F.col("n") > block).select("gram")
+        large = sizes.filter(F.col("n") > block).select("bucket")
         if large.isEmpty():
             return held, marks
         parts *= 2
-        extents = land(_halved(extents.join(large, "gram"), length, parts), "extents")
+        again = _per_text(refs.join(large, "bucket").select("text_key", "gram", "at", "near"))
+        asked = held.drop("found").join(again, "text_key")
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -344,8 +403,7 @@ def _kept(docs: DataFrame, length: int, block: int, text_col: str) -> DataFrame:
                 yield key, b"".join([*kept, data[at:]]), sum(b - a for a, b in spans), len(spans)
         yield from as_batches(results(), schema, 200)
 
-    one = held.drop("found").dropDuplicates(["text_key"])        # equal texts, once
-    return land(one.join(per_text, "text_key").mapInArrow(cut, ddl), "kept")
+    return land(held.drop("found").join(per_text, "text_key").mapInArrow(cut, ddl), "kept")
 
 
 def dedup_documents(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, id_col: str = "doc_id",
