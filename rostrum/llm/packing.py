@@ -32,12 +32,11 @@ from pyspark.sql import functions as F
 
 from ..session import land
 from .byte_bpe import load_tokenizer
-from .common import arrow_schema, as_batches, in_chunks, rows_of
+from .common import arrow_schema, as_batches, rows_of
 
 WINDOW = 2048
 DEPTH = 3
 ROUNDS = 300
-AT_ONCE = 100      # documents tokenized together
 
 
 # ------------------------------------------------------------------ the plan
@@ -177,17 +176,15 @@ def _measured(docs: DataFrame, tokenizer: str, window: int, end_id: int, id_col:
 
         def results():
             ranks, full_before = Counter(), 0
-            for part in in_chunks(rows_of(batches, ["doc_id", "text", "text_key"]), AT_ONCE):
-                for (key, _, text_key), ids in zip(part, encode([t for _, t, _ in part]), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    full, rest = divmod(n, window)
-                    view = memoryview(ids)
-                    crcs = [zlib.crc32(view[k * window * 4:(k + 1) * window * 4]) for k in range(full)]
-                    yield (key, text_key, block, n, rest, ranks[rest], full_before, np.array(crcs, "<u4").tobytes(),
-                           zlib.crc32(view[full * window * 4:]))
-                    ranks[rest] += 1
-                    full_before += full
+            for key, text, text_key in rows_of(batches, ["doc_id", "text", "text_key"]):
+                ids = memoryview(encode(text) + end)
+                n = len(ids) // 4
+                full, rest = divmod(n, window)
+                crcs = [zlib.crc32(ids[k * window * 4:(k + 1) * window * 4]) for k in range(full)]
+                yield (key, text_key, block, n, rest, ranks[rest], full_before, np.array(crcs, "<u4").tobytes(),
+                       zlib.crc32(ids[full * window * 4:]))
+                ranks[rest] += 1
+                full_before += full
         yield from as_batches(results(), schema)
 
     text = F.col(text_col)
@@ -255,12 +252,11 @@ def _with_checksums(pieces: DataFrame, docs: DataFrame, tokenizer: str, end_id:
         encode = load_tokenizer(tokenizer).encode
 
         def results():
-            for part in in_chunks(rows_of(batches, ["doc_id", "text_key", "text", "cuts"]), AT_ONCE):
-                for (key, text_key, _, wanted), ids in zip(part, encode([t for _, _, t, _ in part]), strict=True):
-                    ids += end
-                    for c in wanted:
-                        a = c["start"] * 4
-                        yield key, text_key, c["start"], c["length"], zlib.crc32(ids[a:a + c["length"] * 4])
+            for key, text_key, text, cuts_ in rows_of(batches, ["doc_id", "text_key", "text", "cuts"]):
+                ids = memoryview(encode(text) + end)
+                for c in cuts_:
+                    a = c["start"] * 4
+                    yield key, text_key, c["start"], c["length"], zlib.crc32(ids[a:a + c["length"] * 4])
         yield from as_batches(results(), schema)
 
     sums = (found.select("doc_id", "text_key", "text", "cuts").mapInArrow(checksums, ddl)
