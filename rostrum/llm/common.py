@@ -17,11 +17,25 @@ def in_bucket(doc_id_col: str, modulus: int, remainder: int):
     return F.coalesce(code % modulus == remainder, F.lit(False))
 
 
+ROWS_AT_ONCE = 256      # rows that are Python objects at a time
+
+
 def rows_of(batches: Iterable, columns: Sequence[str]) -> Iterator[tuple]:
-    """Rows of Arrow record batches as tuples of Python values, batch by batch."""
+    """Rows of Arrow record batches as tuples of Python values, few at a time."""
     for batch in batches:
-        lists = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
-        yield from zip(*lists, strict=True)
+        places = [batch.schema.get_field_index(c) for c in columns]
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(at, ROWS_AT_ONCE)
+            yield from zip(*[part.column(k).to_pylist() for k in places], strict=True)
+
+
+def array_batches(columns: Sequence, schema, size: int = 50_000):
+    """Arrow record batches of at most ``size`` rows from equally long numpy arrays."""
+    import pyarrow as pa
+
+    for at in range(0, len(columns[0]), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at:at + size], type=f.type) for c, f in zip(columns, schema, strict=True)],
+                                         schema=schema)
 
 
 def in_chunks(rows: Iterable, size: int) -> Iterator[list]:

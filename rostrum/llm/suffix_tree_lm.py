@@ -30,7 +30,6 @@ and V are 0 and every token has probability 1. Words are told apart by
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import land
-from .common import arrow_schema, as_batches, rows_of
+from .common import array_batches, arrow_schema, as_batches, in_chunks, rows_of
 
 SHARE = 2e-6
 LEAST = 2             # a pair that occurs once says nothing about a context
 GAIN = 8.0
 WEIGHT = 2.0
-FLUSH = 300_000       # distinct keys that a task gathers before it hands them on
+FLUSH = 1_500_000     # keys that a task gathers before it hands on their counts
+WORDS_KEPT = 300_000  # words whose hash a task remembers before it starts anew
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = 0               # the end token; words hash to other values
 
@@ -61,7 +61,7 @@ class Words:
     def tokens(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > WORDS_KEPT:
             known.clear()
         for w in set(words).difference(known):
             known[w] = self.digest(w) >> 1 or 1          # 63 bits, not END
@@ -101,25 +101,25 @@ def _counted(texts: DataFrame, text_col: str, ddl: str, keys_of) -> DataFrame:
 
         def flush(parts):
             codes = np.concatenate([c for c, _ in parts])
-            columns = [np.concatenate([p[k] for _, p in parts]) for k in range(len(names))]
             _, first, n = np.unique(codes, return_index=True, return_counts=True)
-            yield from zip(*[c[first].tolist() for c in columns], n.tolist(), strict=True)
-
-        def results():
-            parts, size = [], 0
-            for (text,) in rows_of(batches, [text_col]):
-                codes, columns = keys_of(words.tokens(text))
-                if len(codes):
-                    parts.append((codes, columns))
-                    size += len(codes)
-                if size >= 8 * FLUSH:
-                    yield from flush(parts)
-                    parts, size = [], 0
-            if parts:
+            columns = [np.concatenate([p[k] for _, p in parts])[first] for k in range(len(names))]
+            yield from array_batches([*columns, n], schema)
+
+        parts, size = [], 0
+        for (text,) in rows_of(batches, [text_col]):
+            codes, columns = keys_of(words.tokens(text))
+            if len(codes):
+                parts.append((codes, columns))
+                size += len(codes)
+            if size >= FLUSH:
                 yield from flush(parts)
-        yield from as_batches(results(), schema, 50_000)
+                parts, size = [], 0
+        if parts:
+            yield from flush(parts)
 
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy(*names).agg(F.sum("n").alias("n"))
+    keys = [c for c in names if c in ("token", "context", "next")]       # the others follow from these
+    others = [F.min(c).alias(c) for c in names if c not in keys]
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy(*keys).agg(*others, F.sum("n").alias("n"))
 
 
 def _pairs(tokens: np.ndarray, order: int, lower: list[np.ndarray]):
@@ -285,11 +285,11 @@ def score_documents(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep:
     rare_schema = arrow_schema(ddl)
 
     def rare_tokens(batches):
-        def results():
-            for row, data in rows_of(batches, ["row", "rare"]):
-                for token, times in Counter(np.frombuffer(data, "<i8").tolist()).items():
-                    yield row, token, times
-        yield from as_batches(results(), rare_schema, 50_000)
+        for part in in_chunks(rows_of(batches, ["row", "rare"]), 500):
+            found = [np.unique(np.frombuffer(data, "<i8"), return_counts=True) for _, data in part]
+            rows = np.repeat(np.array([row for row, _ in part]), [len(t) for t, _ in found])
+            if len(rows):
+                yield from array_batches([rows, np.concatenate([t for t, _ in found]), np.concatenate([n for _, n in found])], rare_schema)
 
     rest = scored.select("row", "rare").mapInArrow(rare_tokens, ddl).join(counts, "token", "left")
     ln = F.log((F.coalesce("n", F.lit(0)) + 0.5) / (tree.total + 0.5 * (tree.vocabulary + 1)))
