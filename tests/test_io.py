@@ -88,3 +88,38 @@ def test_sheet_check_report(spark):
     assert [r["workbook"] for r in sheet_check_report(cells).collect()] == ["a.xlsx"]
     assert sorted(r["workbook"] for r in sheet_check_report(cells, "T").collect()) == ["b.xlsx"]
     assert sheet_check_report(cells, "S").count() == 0
+
+
+def _raw_book(path, sheets, rels):
+    """A workbook from (name, sheet xml) and relationship targets, as other writers lay it out."""
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rns = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w") as z:
+        names = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="r{i}"/>' for i, (n, _) in enumerate(sheets))
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{rns}"><sheets>{names}</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   + "".join(f'<Relationship Id="r{i}" Target="{t}"/>' for i, t in enumerate(rels)) + "</Relationships>")
+        for i, (_, xml) in enumerate(sheets):
+            if xml is not None:
+                z.writestr(f"xl/worksheets/sheet{i + 1}.xml", f"<worksheet {ns}><sheetData>{xml}</sheetData></worksheet>")
+
+
+def test_workbooks_of_other_writers_and_problems(spark, tmp_path):
+    from rostrum.sources.workbook import cells_to_table, read_workbooks, read_workbooks_checked, workbook_problems
+    cell = '<row><c t="inlineStr"><is><t>h</t></is></c><c t="inlineStr"><is><t>g</t></is></c></row><row r="3"><c><v>7</v></c></row>'
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        _raw_book(tmp_path / folder / "x.xlsx", [("S", cell), ("E", ""), ("M", None)],
+                  ["/xl/worksheets/sheet1.xml", "worksheets/sheet2.xml", "worksheets/gone.xml"])
+    (tmp_path / "a" / "bad.xlsm").write_bytes(b"no zip")
+    checked = read_workbooks_checked(spark, str(tmp_path / "*"))
+    problems = sorted((r.workbook.rsplit("/", 2)[-2], r.sheet or "", r.problem.split(":")[0]) for r in workbook_problems(checked).collect())
+    assert problems == [("a", "", "file not read"), ("a", "E", "sheet has no cells"), ("a", "M", "sheet not read"),
+                        ("b", "E", "sheet has no cells"), ("b", "M", "sheet not read")]
+    cells = read_workbooks(spark, str(tmp_path / "*"))
+    assert cells.select("workbook").distinct().count() == 2
+    assert {(r.row_idx, r.col_idx, r.value) for r in cells.collect()} == {(0, 0, "h"), (0, 1, "g"), (2, 0, "7")}
+    table = cells_to_table(cells)
+    assert table.columns == ["h", "g", "source_workbook", "source_sheet", "source_row"]
+    assert sorted((r.source_row, r.h or "") for r in table.collect()) == [(1, ""), (1, ""), (2, "7"), (2, "7")]

@@ -33,3 +33,17 @@ def test_scan_reads_only_needed_columns(spark, name, table, cols):
     for s in scans:
         read = {re.sub(r"#\d+L?$", "", c.strip()) for c in s.split(",")}
         assert read <= cols, (name, read)
+
+
+def test_audit_numbers_rows_by_key_and_block(spark):
+    """A third of the rows in one group: no join or window of all rows by the group key alone."""
+    import re
+
+    from rostrum.operators.roster import audit
+    rows = [("A" if k % 3 == 0 else f"B{k % 500}", "s", 1, "w", 0, k) for k in range(3000)]
+    wide = spark.createDataFrame(rows, "`Degree 1` string, source_sheet string, header_row_number int, workbook string, sheet_idx int, row_idx long")
+    out = audit(wide, ["Degree 1"], block_rows=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in plan and "__blk" in re.search(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)[1]
+    seen = [(r["group_key"], r["occurrence_index"]) for r in out.collect()]
+    assert sum(k == "A" for k, _ in seen) == 999 and max(i for k, i in seen if k == "A") == 1000
