@@ -428,10 +428,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, t
     """All rows and columns; repeated strings are cut out of the text. Characters cut in two go whole."""
     kept = _kept(docs, length, block, text_col).select("text_key", "kept")
     keyed = _keyed(docs, text_col)
-    copies = keyed.groupBy("text_key", "text_key2").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    copies = keyed.groupBy("text_key", "text_key2").agg(F.count(F.lit(1)).alias("copies"))
     schema = keyed.schema
     names = docs.columns
-    joined = keyed.join(copies, ["text_key", "text_key2"], "left").join(kept, "text_key", "left")
+    # One table of changes, so that the texts are shuffled once.
+    changes = copies.join(kept, "text_key", "left").filter("copies > 1 or kept is not null").withColumn(
+        "copies", F.when(F.col("copies") > 1, F.col("copies")))
+    joined = keyed.join(changes, ["text_key", "text_key2"], "left")
 
     def rebuild(batches):
         import pyarrow as pa
