@@ -3,11 +3,8 @@
 Tokens are words and one end token a text. The tree's contexts are the last
 0, 1 or 2 tokens (never over a text's start):
 
-* Counting. An order's (context, next) pairs are counted only where both shorter
-  pairs inside are frequent, level by level, because a pair is never more
-  frequent than its parts. ``share`` is the least share of all training tokens of
-  a pair that is kept, so an order keeps at most 1 / share pairs whatever the
-  input; counts themselves are exact and cover every training text.
+* Counting. Every (context, next) pair that occurs at least twice in the
+  training texts is kept with its exact count, at any size of the input.
 * Divergence test. A context is kept as a state where its next-token
   distribution says more than that of its suffix: count * KL divergence (over the
   kept pairs and the rest) is at least ``gain`` nats. The suffix of a state is
@@ -19,9 +16,11 @@ Tokens are words and one end token a text. The tree's contexts are the last
 * Scoring. Each token is scored in the longest suffix of the text so far that
   is a state.
 
-Frequent tokens and the tree are bounded by ``share`` and are sent to every
-task. All other tokens are scored by a join on the token with the exact counts;
-each of them has fewer than share * N occurrences, so no key is hot.
+The tree is a written table that grows with the input. Its entries that make up
+at least ``share`` of all training tokens, 1 / share an order at most, are sent to
+every task. A text asks for what isn't among them, each entry once, by a join on
+its code; an entry left to the join has fewer than share * N occurrences, so no key
+is hot. ``share`` decides only which way an entry takes, never a score.
 
 Defined results: a null text is empty (one end token); without training texts N
 and V are 0 and every token has probability 1. Words are told apart by
@@ -30,7 +29,7 @@ and V are 0 and every token has probability 1. Words are told apart by
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -117,107 +116,148 @@ def _counted(texts: DataFrame, text_col: str, ddl: str, keys_of) -> DataFrame:
         if parts:
             yield from flush(parts)
 
-    keys = [c for c in names if c in ("token", "context", "next")]       # the others follow from these
-    others = [F.min(c).alias(c) for c in names if c not in keys]
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy(*keys).agg(*others, F.sum("n").alias("n"))
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def _pairs(tokens: np.ndarray, order: int, lower: list[np.ndarray]):
-    """(code, (context, suffix, next, suffix pair)) of the pairs whose shorter parts are frequent."""
-    if order == 1:
-        context, after, parent = tokens[:-1], tokens[1:], tokens[1:]
-        fine = within(context, lower[0]) & within(after, lower[0])
-        suffix = np.zeros_like(context)
-    else:
-        front = pair(tokens[:-1], tokens[1:])
-        context, after, parent, suffix = front[:-1], tokens[2:], front[1:], tokens[1:-1]
-        fine = within(context, lower[1]) & within(parent, lower[1])
-    context, after, parent, suffix = context[fine], after[fine], parent[fine], suffix[fine]
-    return pair(context, after), (context, suffix, after, parent)
+def codes_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of each two and each three tokens in a row."""
+    two = pair(tokens[:-1], tokens[1:])
+    return two, pair(two[:-1], two[1:])
+
+
+def _twos(tokens: np.ndarray):
+    return codes_of(tokens)[0], (tokens[:-1], tokens[1:])
+
+
+def _threes(tokens: np.ndarray):
+    two, three = codes_of(tokens)
+    return three, (two[:-1], two[1:])
+
+
+def _coded(pairs: DataFrame) -> DataFrame:
+    """With the code of (context, next)."""
+    ddl = "context long, next long, n long, code long"
+    schema = arrow_schema(ddl)
+
+    def code(batches):
+        for batch in batches:
+            if batch.num_rows:
+                context, after, n = (batch.column(k).to_numpy() for k in range(3))
+                yield from array_batches([context, after, n, pair(context, after)], schema)
+
+    return pairs.select("context", "next", "n").mapInArrow(code, ddl)
+
+
+def _matched(rows: DataFrame, entries: DataFrame, key: str, hot: int) -> DataFrame:
+    """Inner join on ``key``, unique in ``entries``; rows of keys with a total of ``hot`` (few keys) stay where they are."""
+    frequent = F.broadcast(entries.filter(F.col("total") >= hot))
+    rare = entries.filter(F.col("total") < hot)
+    return rows.join(frequent, key).unionByName(rows.join(frequent.select(key), key, "left_anti").join(rare, key))
 
 
 # ------------------------------------------------------------------ the tree
+def _nothing(kind=np.float64):
+    return field(default_factory=lambda: np.zeros(0, kind))
+
+
+def _at(keys: np.ndarray, sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of keys, NaN where a key isn't there."""
+    out = np.full(len(keys), np.nan)
+    if len(sorted_):
+        k = np.minimum(np.searchsorted(sorted_, keys), len(sorted_) - 1)
+        held = sorted_[k] == keys
+        out[held] = values[k[held]]
+    return out
+
+
+@dataclass
+class Entries:
+    """Tokens, pairs or triples by their sorted codes."""
+
+    codes: np.ndarray = _nothing(np.int64)
+    counts: np.ndarray = _nothing()
+    logs: np.ndarray = _nothing()       # ln P(last token | the ones before), NaN where those are no state
+    shares: np.ndarray = _nothing()     # as a context: ln of the factor of tokens without a pair, NaN where it is no state
+
+    @staticmethod
+    def of(codes, counts, logs, shares) -> Entries:
+        by = np.argsort(codes, kind="stable")
+        return Entries(codes[by], counts[by], logs[by], shares[by])
+
+
 @dataclass
 class SuffixTree:
-    """A trained model; bounded by 1 / share entries an order."""
+    """The entries of a trained model that are sent to every task, and the table of the others."""
 
     total: int = 0
     vocabulary: int = 0
-    frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))     # sorted tokens
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    states: list[np.ndarray] = field(default_factory=list)     # sorted contexts of order 1 and 2
-    shares: list[np.ndarray] = field(default_factory=list)     # ln of the factor of tokens without a pair
-    pairs: list[np.ndarray] = field(default_factory=list)      # sorted codes of (context, next)
-    logs: list[np.ndarray] = field(default_factory=list)       # ln P(next | context)
+    orders: list[Entries] = field(default_factory=list)        # tokens, pairs, triples
+    others: DataFrame | None = None
+
+    @property
+    def states(self) -> list[np.ndarray]:
+        """Contexts of one and two tokens among the entries."""
+        return [e.codes[~np.isnan(e.shares)] for e in self.orders[:2]]
 
     def root(self, counts: np.ndarray) -> np.ndarray:
         return np.log((counts + 0.5) / (self.total + 0.5 * (self.vocabulary + 1)))
 
-    def score(self, tokens: np.ndarray) -> tuple[float, float, int, np.ndarray]:
-        """(ln P, base ln P, known tokens) without the root's part of rare tokens, and those tokens."""
-        k = np.minimum(np.searchsorted(self.frequent, tokens), max(len(self.frequent) - 1, 0))
-        common = within(tokens, self.frequent)
+    def asked(self, tokens: np.ndarray) -> list[np.ndarray]:
+        """Codes of the tokens, pairs and triples that only the table can tell about."""
+        two, three = codes_of(tokens)
+        one, both, last = self.orders
+        # of a context sent to every task it is known whether it is a state
+        open_one = ~within(tokens, one.codes)
+        fine_one = open_one | ~np.isnan(_at(tokens, one.codes, one.shares))
+        open_two = ~within(two, both.codes)
+        fine_two = open_two & fine_one[1:] | ~np.isnan(_at(two, both.codes, both.shares))
+        # a pair matters by its own probability or as a context, whose suffix is a state too
+        ask_two = open_two & (fine_one[:-1] | fine_one[1:])
+        ask_three = fine_two[:-1] & ~within(three, last.codes)
+        return [np.unique(tokens[open_one]), np.unique(two[ask_two]), np.unique(three[ask_three])]
+
+    def score(self, tokens: np.ndarray, own: list[Entries] | None = None) -> tuple[float, float, int, np.ndarray]:
+        """(ln P, base ln P, known tokens), and the tokens without an entry.
+
+        ``own`` has the text's entries of the table; without it the root's part of tokens without an entry is left out."""
+        def of(order, codes, name):
+            entries = self.orders[order]
+            out = _at(codes, entries.codes, getattr(entries, name))
+            if own is not None:
+                out = np.where(np.isnan(out), _at(codes, own[order].codes, getattr(own[order], name)), out)
+            return out
+
+        n = of(0, tokens, "counts")
+        common = ~np.isnan(n)
         root = np.zeros(len(tokens))
-        root[common] = self.root(self.counts[k[common]])
-        base = root.sum()
-        logs = root
-        context = tokens[:-1]
-        codes = [context, pair(tokens[:-2], tokens[1:-1])] if len(tokens) > 2 else [context]
-        for order, context in enumerate(codes, 1):
-            if order > len(self.states) or not len(context):
+        root[common] = self.root(n[common])
+        if own is not None:
+            root[~common] = self.root(np.zeros(int((~common).sum())))
+        logs = root.copy()
+        two, three = codes_of(tokens)
+        for order, context, code in ((1, tokens[:-1], two), (2, two[:-1], three)):
+            if not len(code):
                 break
-            after = tokens[order:]
-            state = within(context, self.states[order - 1])
-            code = pair(context[state], after[state])
-            held = within(code, self.pairs[order - 1])
-            new = logs[order:][state] + self.shares[order - 1][np.searchsorted(self.states[order - 1], context[state])]
-            new[held] = self.logs[order - 1][np.searchsorted(self.pairs[order - 1], code[held])]
-            logs = logs.copy()
-            logs[order:][state] = new
-        return float(logs.sum()), float(base), int(common.sum()), tokens[~common]
-
-
-def grow(tree: SuffixTree, order: int, context, suffix, after, parent, n, context_counts, gain: float, weight: float) -> None:
-    """Add the states of ``order`` that pass the divergence test."""
-    # ln P(next | suffix) of each pair, from the level above
-    if order == 1:
-        above = tree.root(tree.counts[np.searchsorted(tree.frequent, after)])
-    else:
-        above = tree.root(tree.counts[np.searchsorted(tree.frequent, after)])
-        state = within(suffix, tree.states[0])
-        code = pair(suffix, after)
-        held = within(code, tree.pairs[0]) & state
-        above[state] += tree.shares[0][np.searchsorted(tree.states[0], suffix[state])]
-        above[held] = tree.logs[0][np.searchsorted(tree.pairs[0], code[held])]
-    by = np.argsort(context, kind="stable")
-    context, after, n, above, suffix = context[by], after[by], n[by].astype(float), above[by], suffix[by]
-    states, first = np.unique(context, return_index=True)
-    if not len(states):
-        tree.states.append(states)
-        tree.shares.append(np.zeros(0))
-        tree.pairs.append(states)
-        tree.logs.append(np.zeros(0))
-        return
-    of = np.repeat(np.arange(len(states)), np.diff(np.append(first, len(context))))
-    count = context_counts(states).astype(float)
-    seen, expected = np.add.reduceat(n, first), np.add.reduceat(np.exp(above), first)
-    p = n / count[of]
-    divergence = np.add.reduceat(p * (np.log(p) - above), first)
-    rest, rest_above = np.maximum(1 - seen / count, 0), np.maximum(1 - expected, 1e-12)
-    divergence += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-12) / rest_above), 0)
-    keep = count * divergence >= gain
-    if order == 2:
-        keep &= within(suffix[first], tree.states[0])
-    log = np.log((n + weight * np.exp(above)) / (count[of] + weight))
-    held = np.add.reduceat(np.exp(log), first)
+            log, share = of(order, code, "logs"), of(order - 1, context, "shares")
+            logs[order:] = np.where(np.isnan(log), logs[order:] + np.nan_to_num(share), log)
+        return float(logs.sum()), float(root.sum()), int(common.sum()), tokens[~common]
+
+
+def _states(pairs: DataFrame, totals: DataFrame, gain: float, weight: float) -> DataFrame:
+    """(``totals``, share) of the contexts that pass the divergence test.
+
+    ``pairs`` has context, n and above = ln P(next | suffix of the context); ``totals`` the contexts' counts."""
+    n, above, seen, total = F.col("n"), F.col("above"), F.col("seen"), F.col("total")
+    sums = pairs.groupBy("context").agg(F.sum("n").alias("seen"), F.sum(n * (F.log(n) - above)).alias("gained"),
+                                        F.sum(F.exp(above)).alias("expected"))
+    rest = F.greatest(1 - seen / total, F.lit(0.0))
+    rest_above = F.greatest(1 - F.col("expected"), F.lit(1e-12))
+    divergence = (F.col("gained") - seen * F.log(total)) / total + F.when(
+        rest > 0, rest * F.log(F.greatest(rest, F.lit(1e-12)) / rest_above)).otherwise(0.0)
     # what the kept pairs leave, for all other tokens in proportion to the suffix's distribution
-    left = np.maximum(1 - held, 1e-12) / np.maximum(1 - expected, 1e-12)
-    codes = pair(context, after)[keep[of]]
-    order_ = np.argsort(codes)
-    tree.states.append(states[keep])
-    tree.shares.append(np.log(left[keep]))
-    tree.pairs.append(codes[order_])
-    tree.logs.append(log[keep[of]][order_])
+    left = (total - seen + weight * (1 - F.col("expected"))) / (total + weight)
+    share = F.log(F.greatest(left, F.lit(1e-12)) / rest_above)
+    return sums.join(totals, "context").filter(total * divergence >= gain).select(*totals.columns, share.alias("share"))
 
 
 def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain: float = GAIN,
@@ -226,78 +266,90 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
     def single(tokens):
         return tokens, (tokens,)
 
+    def log(total):        # of a pair in a state
+        return F.log(F.col("n") + weight * F.exp("above")) - F.log(total + weight)
+
     counts = land(_counted(texts, text_col, "token long, n long", single), "tokens")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(LEAST, math.ceil(share * total))
-    common = counts.filter(F.col("n") >= least).toPandas().sort_values("token")       # 1 / share rows at most
-    tree = SuffixTree(total, vocabulary, common["token"].to_numpy(np.int64), common["n"].to_numpy(np.int64))
-    lower = [tree.frequent]
-    known = tree.frequent, tree.counts
-    for order in (1, 2):
-        sent = texts.sparkSession.sparkContext.broadcast(lower)
-
-        def keys(tokens, order=order, sent=sent):
-            return _pairs(tokens, order, sent.value)
-
-        ddl = "context long, suffix long, next long, parent long, n long"
-        found = _counted(texts, text_col, ddl, keys).filter(F.col("n") >= least).toPandas()   # 1 / share rows at most
-        context, suffix, after, parent, n = (found[c].to_numpy(np.int64) for c in ("context", "suffix", "next", "parent", "n"))
-
-        def context_counts(states, known=known):
-            return known[1][np.searchsorted(known[0], states)]
-
-        grow(tree, order, context, suffix, after, parent, n, context_counts, gain, weight)
-        codes = pair(context, after)
-        by = np.argsort(codes)
-        lower = [tree.frequent, codes[by]]
-        known = codes[by], n[by]
-    return tree, counts
+    hot = max(LEAST, math.ceil(share * total))
+    totals = counts.select(F.col("token").alias("context"), F.col("n").alias("total"))
+
+    def repeated(keys_of, label):
+        found = _counted(texts, text_col, "context long, next long, n long", keys_of).filter(F.col("n") >= LEAST)
+        return land(_coded(found), label)
+
+    root = F.log((F.col("total") + 0.5) / (total + 0.5 * (vocabulary + 1)))
+    pairs = (_matched(repeated(_twos, "pairs"), totals.withColumnRenamed("context", "next"), "next", hot)
+             .select("context", "next", "n", "code", root.alias("above")))
+    tokens = land(totals.join(_states(pairs, totals, gain, weight).select("context", "share"), "context", "left"), "contexts")
+    in_state = F.when(F.col("share").isNotNull(), log(F.col("total")))
+    pairs = land(_matched(pairs, tokens, "context", hot).select(
+        "code", "next", F.col("n").alias("total"), in_state.alias("log"), F.coalesce(in_state, "above").alias("above")), "pairs")
+
+    # A triple is the pair of its first two tokens as the context, and that of its last two.
+    triples = land(_matched(repeated(_threes, "triples"), pairs.select(F.col("code").alias("next"), "total", "above"), "next", hot)
+                   .select("context", "n", "code", "above"), "triples")
+    passed = _states(triples, pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix")), gain, weight)
+    suffixes = tokens.filter("share is not null").select(F.col("context").alias("suffix"), "total")
+    states = land(_matched(passed.withColumnRenamed("total", "n"), suffixes, "suffix", hot)
+                  .select("context", F.col("n").alias("total"), "share"), "contexts")
+    triples = _matched(triples, states, "context", hot)
+
+    none = F.lit(None).cast("double")
+    columns = ["kind", "code", "total", "log", "share"]
+    model = land(tokens.select(F.lit(0).alias("kind"), F.col("context").alias("code"), "total", none.alias("log"), "share").unionByName(
+        pairs.join(states.select(F.col("context").alias("code"), "share"), "code", "left").select(F.lit(1).alias("kind"), *columns[1:]))
+        .unionByName(triples.select(F.lit(2).alias("kind"), "code", F.col("n").alias("total"), log(F.col("total")).alias("log"),
+                                    none.alias("share"))), "model")
+    sent = model.filter(F.col("total") >= hot).toArrow()       # 1 / share rows an order at most
+    kind, code, n, logs, shares = (sent.column(c).to_numpy() for c in columns)
+    orders = [Entries.of(*(c[kind == k] for c in (code, n.astype(float), logs.astype(float), shares.astype(float)))) for k in range(3)]
+    others = model.filter((F.col("total") < hot) & ((F.col("kind") == 0) | F.col("log").isNotNull() | F.col("share").isNotNull()))
+    return SuffixTree(total, vocabulary, orders, others), counts
 
 
 def score_documents(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep: tuple[str, ...] = (),
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``keep``, n_tokens, n_known, train_tokens, base_score, score of every row (log10)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
+    sent = docs.sparkSession.sparkContext.broadcast(replace(tree, others=None))
     held = StructType([docs.schema[c] for c in (id_col, *keep)])
-    extra = StructType.fromDDL("row long, n_tokens long, ln double, base double, known long, rare binary")
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out = StructType(held.fields + extra.fields)
+    # Own names for the columns that are carried along: theirs may be any.
+    carried = [f"held{k}" for k in range(len(held))]
+    columns = docs.select(*[F.col(c).alias(h) for c, h in zip((id_col, *keep), carried)], F.col(text_col).alias("text"))
+    rows = land(columns.withColumn("row", F.monotonically_increasing_id()), "texts")
+    ddl = "row long, kind int, code long"
+    asked_schema = arrow_schema(ddl)
+
+    def ask(batches):
+        own, words = sent.value, Words()
+        for part in in_chunks(rows_of(batches, ["row", "text"]), 100):
+            found = [(row, kind, codes) for row, text in part for kind, codes in enumerate(own.asked(words.tokens(text)))]
+            sizes = [len(c) for _, _, c in found]
+            if sum(sizes):
+                yield from array_batches([np.repeat(np.array([f[0] for f in found]), sizes), np.repeat(np.array([f[1] for f in found]), sizes),
+                                          np.concatenate([f[2] for f in found])], asked_schema)
+
+    told = rows.select("row", "text").mapInArrow(ask, ddl).join(tree.others, ["kind", "code"])
+    told = told.groupBy("row").agg(F.collect_list(F.struct("kind", "code", "total", "log", "share")).alias("told"))
+    told = told.select("row", *[F.col(f"told.{c}").alias(c) for c in ("kind", "code", "total", "log", "share")])
+    out = StructType(held.fields + StructType.fromDDL(
+        "n_tokens long, n_known long, train_tokens long, base_score double, score double").fields)
     schema = to_arrow_schema(out)
 
     def score(batches):
-        from pyspark import TaskContext
-
-        own, words, task = sent.value, Words(), TaskContext.get().partitionId()
+        own, words, ten = sent.value, Words(), 1 / math.log(10)
 
         def results():
-            for k, (*held_, text) in enumerate(rows_of(batches, [id_col, *keep, text_col])):
+            for *held_, text, kind, code, total, log, share in rows_of(batches, [*carried, "text", "kind", "code", "total", "log", "share"]):
                 tokens = words.tokens(text)
-                ln, base, known, rare = own.score(tokens)
-                yield (*held_, task << 40 | k, len(tokens), ln, base, known, rare.astype("<i8").tobytes())
+                kind, code = np.array(kind or [], int), np.array(code or [], np.int64)
+                numbers = [np.array(c or [], float) for c in (total, log, share)]
+                entries = [Entries.of(code[kind == k], *(c[kind == k] for c in numbers)) for k in range(3)]
+                ln, base, known, _ = own.score(tokens, entries)
+                yield (*held_, len(tokens), known, own.total, base * ten, ln * ten)
         yield from as_batches(results(), schema, 500)
 
-    columns = list(dict.fromkeys([id_col, *keep, text_col]))
-    scored = land(docs.select(*columns).mapInArrow(score, out), "scored")
-    ddl = "row long, token long, times long"
-    rare_schema = arrow_schema(ddl)
-
-    def rare_tokens(batches):
-        for part in in_chunks(rows_of(batches, ["row", "rare"]), 500):
-            found = [np.unique(np.frombuffer(data, "<i8"), return_counts=True) for _, data in part]
-            rows = np.repeat(np.array([row for row, _ in part]), [len(t) for t, _ in found])
-            if len(rows):
-                yield from array_batches([rows, np.concatenate([t for t, _ in found]), np.concatenate([n for _, n in found])], rare_schema)
-
-    rest = scored.select("row", "rare").mapInArrow(rare_tokens, ddl).join(counts, "token", "left")
-    ln = F.log((F.coalesce("n", F.lit(0)) + 0.5) / (tree.total + 0.5 * (tree.vocabulary + 1)))
-    sums = rest.groupBy("row").agg(F.sum(F.col("times") * ln).alias("more"),
-                                   F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known_more"))
-    ten = 1 / math.log(10)
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(sums, "row", "left").select(
-        id_col, *keep, "n_tokens", (F.col("known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"),
-        ((F.col("base") + more) * ten).alias("base_score"), ((F.col("ln") + more) * ten).alias("score"))
+    return rows.join(told, "row", "left").drop("row").mapInArrow(score, out)

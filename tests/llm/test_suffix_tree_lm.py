@@ -74,6 +74,17 @@ def test_tree_equals_its_definition(spark, docs):
     assert [r.score for r in rows] == pytest.approx(want, rel=1e-9)
 
 
+def test_share_decides_no_score(spark, docs):
+    sf = "/root/testdata/sf0.001"
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()][:60]
+    want = plain_scores(texts[:45], texts, 3.0, 2.0)
+    for share in (2e-3, 0.5):       # pairs under the share are asked for, not forgotten
+        tree, counts = train(docs(list(enumerate(texts[:45]))), share=share, gain=3.0, weight=2.0)
+        assert tree.others.filter("kind > 0").count()
+        rows = sorted(score_documents(docs(list(enumerate(texts))), tree, counts).collect(), key=lambda r: r.doc_id)
+        assert [r.score for r in rows] == pytest.approx(want, rel=1e-9)
+
+
 def test_probabilities_sum_to_one(spark, docs):
     sf = "/root/testdata/sf0.001"
     texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()][:40]
