@@ -4,14 +4,15 @@
    becomes lines in page order. Lines of scripts, styles, menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments (by element,
    or by the words of class, id and role) keep their place but have length 0;
-   so has every line outside ``article`` or ``main`` where the page has one,
-   and lines that are mostly links.
-2. Text lengths are summed over windows of ``window`` lines. A surge point is
-   where the sum rises above the threshold, the dive point after it is where
-   the sum falls to 0. On a page whose article is marked the threshold is 0;
-   elsewhere it is a share of the highest sum.
-3. The lines with text between a surge and its dive are kept; on pages without
-   marks, regions much smaller than the largest one are left out.
+   so have lines outside ``article`` and ``main`` that are mostly links.
+2. Where the page has an ``article`` or ``main`` that holds at least ``MARKED_SHARE``
+   of the text that is left, its lines are the result; the distribution decides
+   nothing there. A mark around less (a teaser, an empty frame) counts for nothing.
+3. Elsewhere text lengths are summed over windows of ``window`` lines. A surge
+   point is where the sum rises above ``SURGE`` characters, the dive point after it
+   is where the sum falls to 0. All lines with a length from the first surge, or a
+   main heading before it, to the last dive are kept, however far apart the parts
+   are and whatever their sizes; on a page without a surge all lines are.
 
 Character references are decoded, white space inside a line is one space.
 
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame
 from .common import arrow_schema, as_batches, rows_of
 
 WINDOW = 3
-SURGE_SHARE = 0.15       # of the highest window sum, on pages without a marked article
-REGION_SHARE = 0.2       # of the largest region
+SURGE = 40               # characters in a window, on pages without a marked article
+MARKED_SHARE = 0.2       # of the page's text that a marked article has at least
 LINK_SHARE = 0.6
 
 # Elements of HTML.
@@ -80,9 +81,9 @@ def is_aside(name: str, attributes: str, inside_main: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
-    """Lines in page order as (text, beside the article, in a marked article, characters in links); is one marked?"""
-    lines: list[tuple[str, bool, bool, int]] = []
+def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int, bool]], bool]:
+    """Lines in page order as (text, beside the article, in a marked article, characters in links, in h1); is one marked?"""
+    lines: list[tuple[str, bool, bool, int, bool]] = []
     parts: list[str] = []
     links: list[str] = []
     stack: list[tuple[str, bool]] = []       # open elements: name, does it begin something beside the article
@@ -94,7 +95,8 @@ def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                lines.append((text, aside > 0, main > 0, len(" ".join(html_lib.unescape("".join(links)).split()))))
+                heading = any(open_ == "h1" for open_, _ in stack[-8:])
+                lines.append((text, aside > 0, main > 0, len(" ".join(html_lib.unescape("".join(links)).split())), heading))
             parts, links = [], []
 
     def pop():
@@ -174,31 +176,26 @@ def _closes(stack: list, name: str) -> bool:
 
 
 def main_text(page: str | None, window: int = WINDOW) -> str:
-    """The lines between surge and dive points, joined by line ends."""
+    """The lines of the marked article, else those between the first surge and the last dive, joined by line ends."""
     if not page:
         return ""
     lines, marked = page_lines(page)
-    lengths = []
-    for text, beside, inside, links in lines:
-        off = beside or marked and not inside or not marked and links > LINK_SHARE * len(text)
-        lengths.append(0 if off else len(text))
+    lengths = [0 if beside or not inside and links > LINK_SHARE * len(text) else len(text)
+               for text, beside, inside, links, _ in lines]
+    if marked:
+        held = [n if line[2] else 0 for n, line in zip(lengths, lines, strict=True)]
+        if sum(held) >= MARKED_SHARE * sum(lengths):
+            return "\n".join(line[0] for n, line in zip(held, lines, strict=True) if n)
     n = len(lengths)
     sums = [sum(lengths[i:i + window]) for i in range(n)]
-    surge_above = 0 if marked else SURGE_SHARE * max(sums, default=0)
-    regions, i = [], 0
-    while i < n:
-        if sums[i] > surge_above:
-            j = i
-            while j < n and sums[j] > 0:
-                j += 1
-            regions.append((i, j))
-            i = j
-        else:
-            i += 1
-    if not marked:
-        sizes = [sum(lengths[a:b]) for a, b in regions]
-        regions = [r for r, s in zip(regions, sizes, strict=True) if s >= REGION_SHARE * max(sizes)]
-    return "\n".join(lines[k][0] for a, b in regions for k in range(a, b) if lengths[k])
+    surges = [i for i in range(n) if sums[i] > SURGE]
+    first, last = 0, n
+    if surges:
+        first, last = surges[0], surges[-1]
+        while last < n and sums[last] > 0:
+            last += 1
+        first = next((i for i in range(first) if lines[i][4] and lengths[i]), first)
+    return "\n".join(lines[k][0] for k in range(first, last) if lengths[k])
 
 
 def extract_pages(pages: DataFrame, window: int = WINDOW, id_col: str = "page_id", url_col: str = "url",

@@ -30,6 +30,22 @@ def test_awkward_pages():
     assert len(main_text("<article>" + "<p>word word</p>" * 5000)) == 5000 * 10 - 1
 
 
+def test_parts_of_unmarked_pages():
+    gap = '<div class="ad"><p>Buy</p><p>this</p><p>now</p></div>'
+    title, long, end = "A title of nine", "Words of the first part. " * 20, "The closing section says something. " * 5
+    page = (f'<div><p>Home</p>{gap}<h1>{title}</h1><div class="share"><p>a</p><p>b</p><p>c</p></div>' + f"<p>{long}</p>" * 20 + gap
+            + f"<p>{end}</p><ul>" + "<li><a href=1>See the other page</a></li>" * 3 + f"</ul><p>{end}</p>{gap}<p>Fin.</p>{gap}<p>{end}</p></div>")
+    assert main_text(page) == "\n".join([title, *[long.strip()] * 20, *[end.strip()] * 2, "Fin.", end.strip()])
+
+
+def test_marks_that_hold_little():
+    body = "<p>Text of the page that nobody marked, in a line.</p>" * 30
+    want = "\n".join(["Text of the page that nobody marked, in a line."] * 30)
+    assert main_text(f"<main></main><div>{body}</div>") == want
+    assert main_text(f"<article><p>A teaser of a few words</p></article><div>{body}</div>") == f"A teaser of a few words\n{want}"
+    assert main_text(f"<article>{body}</article><p>{'Beside the article. ' * 20}</p>") == want
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE % f"<article>{BODY}</article>"), (2, None, None), (None, "v", ""), (1, "u", PAGE % f"<article>{BODY}</article>")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text")
