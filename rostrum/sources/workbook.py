@@ -36,6 +36,8 @@ DEFAULT_NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-Na
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+#: The problem of a sheet that was read whole; any other one is damage.
+EMPTY = "sheet has no cells"
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -168,7 +170,7 @@ def parse_xlsx(content: bytes, workbook: str, na_strings=frozenset(DEFAULT_NA_ST
             yield workbook, sheet, sheet_idx, None, None, None, f"sheet not read: {type(error).__name__}: {error}"
         else:
             if empty:
-                yield workbook, sheet, sheet_idx, None, None, None, "sheet has no cells"
+                yield workbook, sheet, sheet_idx, None, None, None, EMPTY
 
 
 def _cell_text(c, shared: list, styles: tuple[set, set], epoch: dt.datetime, na_strings) -> str | None:
@@ -229,7 +231,8 @@ def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xls[xm]",
                    na_values=DEFAULT_NA_STRINGS) -> DataFrame:
     """S3: every sheet of every workbook under ``path`` as cells.  ``na_values``:
     cell texts treated as missing (default: the spreadsheet reader defaults;
-    pass ``()`` to keep every text)."""
+    pass ``()`` to keep every text). Tells nothing of what couldn't be read;
+    ``read_workbooks_checked`` and the jobs do."""
     return read_workbooks_checked(spark, path, glob, na_values).filter(F.col("problem").isNull()).drop("problem")
 
 
@@ -238,6 +241,14 @@ def workbook_problems(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("problem").isNotNull()).select("workbook", "sheet", "sheet_idx", "problem")
 
 
+def whole_sheets(checked: DataFrame) -> DataFrame:
+    """Cells of the sheets that were read to their end."""
+    cells = checked.filter(F.col("problem").isNull()).drop("problem")
+    broken = workbook_problems(checked).filter((F.col("problem") != EMPTY) & F.col("sheet_idx").isNotNull())
+    keys = ["workbook", "sheet_idx"]
+    return cells.join(broken.select(*keys), keys, "left_anti").select(*cells.columns)
+
+
 def read_sheet(cells: DataFrame, sheet: str | None = None) -> DataFrame:
     """One sheet per workbook, by name or the first (sheet_idx 0)."""
     if sheet is None:
