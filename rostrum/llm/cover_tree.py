@@ -23,7 +23,8 @@ Defined results: vectors that are null, or hold a null or a non-finite
 component, take no part; shorter vectors are filled with zeros; an empty vector
 is all zeros; queries with fewer candidates get all; ties go to the smaller id,
 rows with a null id take no part. A query's own row, found by its id, is no
-candidate for it (with repeated ids, none of them is).
+candidate for it (with repeated ids, none of them is). Equal query rows are
+asked once; query rows with one id and other vectors each get their k best.
 """
 from __future__ import annotations
 
@@ -192,18 +193,20 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, scale: float = 1024.0
         out = frame.select(F.col(id_col).cast("long").alias("id"), whole(F.col(vector_col), scale).alias("v"))
         return out.filter("id is not null and v is not null")
 
-    data, asked = ready(rows), ready(queries)
+    data, asked = ready(rows), ready(queries).distinct().withColumn("ask", F.xxhash64("v"))
     n_data, n_asked = data.count(), asked.count()
     data_blocks, query_blocks = max(1, math.ceil(n_data / data_block)), max(1, math.ceil(n_asked / query_block))
-    # Repeated ids would meet in one block of a hash of the id alone, so the vector takes part.
-    deal = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
+    # Repeated rows would meet in one block of a hash of the id and vector; data rows are dealt by a row number.
+    data = data.withColumn("ask", F.monotonically_increasing_id())
+    deal = lambda n: F.pmod(F.xxhash64("id", "ask"), F.lit(n)).cast("int")
     # A task searches one data block for the queries of one wave, so neither side of it grows with the tables.
     waves = math.ceil(query_blocks / WAVE)
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     blocks = (_packed(asked.withColumn("block", deal(query_blocks))).withColumn("wave", F.floor(F.col("block") / WAVE).cast("int"))
               .withColumn("block", upto(data_blocks)))
     tables = _packed(data.withColumn("block", deal(data_blocks))).withColumn("wave", upto(waves))
-    schema = arrow_schema("query_id long, vec_id long, score long")
+    ddl = "query_id long, ask long, vec_id long, score long"
+    schema = arrow_schema(ddl)
 
     def join(key, left, right):
         import pandas as pd
@@ -213,34 +216,34 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, scale: float = 1024.0
             parts = [_unpack(i, v, d) for i, v, d in zip(left["ids"], left["vectors"], left["dims"], strict=True)]
             ids, vectors = np.concatenate([p[0] for p in parts]), _stack([p[1] for p in parts])
             trees: dict[int, Node] = {}
-            for qi, qv, qd in zip(right["ids"], right["vectors"], right["dims"], strict=True):
+            for qi, qa, qv, qd in zip(right["ids"], right["asks"], right["vectors"], right["dims"], strict=True):
                 query_ids, asked_ = _unpack(qi, qv, qd)
-                results += _pairs(query_ids, asked_, ids, vectors, k, trees)
+                results += _pairs(query_ids, np.frombuffer(qa, "<i8"), asked_, ids, vectors, k, trees)
         return pd.DataFrame(results, columns=schema.names).astype("int64")
 
     found = (tables.groupBy("block", "wave").cogroup(blocks.groupBy("block", "wave"))
-             .applyInPandas(join, "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    # Pairs of repeated rows are candidates of their own; a query id that repeats is asked once.
+             .applyInPandas(join, ddl))
+    rank = F.row_number().over(Window.partitionBy("query_id", "ask").orderBy(F.col("score").desc(), "vec_id"))
+    # Repeated data rows are candidates of their own.
     return (land(found, "found").withColumn("rank", rank).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
 def _packed(frame: DataFrame) -> DataFrame:
-    """Rows of a block packed by the task that read them: (block, ids, vectors, dims)."""
-    ddl = "block int, ids binary, vectors binary, dims binary"
+    """Rows of a block packed by the task that read them: (block, ids, asks, vectors, dims)."""
+    ddl = "block int, ids binary, asks binary, vectors binary, dims binary"
     schema = arrow_schema(ddl)
 
     def pack(batches):
         held: dict[int, list] = {}
-        for i, v, block in rows_of(batches, ["id", "v", "block"]):
-            held.setdefault(block, []).append((i, v))
+        for i, ask, v, block in rows_of(batches, ["id", "ask", "v", "block"]):
+            held.setdefault(block, []).append((i, ask, v))
 
         def results():
             for block, part in held.items():
-                flat = [c for _, v in part for c in v]
-                yield (block, np.array([i for i, _ in part], "<i8").tobytes(), np.array(flat, "<f8").tobytes(),
-                       np.array([len(v) for _, v in part], "<i4").tobytes())
+                flat = [c for _, _, v in part for c in v]
+                yield (block, np.array([i for i, _, _ in part], "<i8").tobytes(), np.array([a for _, a, _ in part], "<i8").tobytes(),
+                       np.array(flat, "<f8").tobytes(), np.array([len(v) for _, _, v in part], "<i4").tobytes())
         yield from as_batches(results(), schema, 4)
 
     return frame.mapInArrow(pack, ddl)
@@ -269,14 +272,14 @@ def _widened(rows: np.ndarray, width: int) -> np.ndarray:
     return rows if rows.shape[1] == width else np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
 
-def _pairs(query_ids, queries, ids, data, k, trees):
+def _pairs(query_ids, asks, queries, ids, data, k, trees):
     width = max(queries.shape[1], data.shape[1])
     queries, data = _widened(queries, width), _widened(data, width)
     if queries.size and data.size and np.abs(queries).max() * np.abs(data).max() * width >= EXACT:
         best = search_wide(queries.tolist(), query_ids, data.tolist(), ids, k)
-        return [(int(q), i, s) for q, rows in zip(query_ids, best, strict=True) for s, i in rows]
+        return [(int(q), int(a), i, s) for q, a, rows in zip(query_ids, asks, best, strict=True) for s, i in rows]
     if width not in trees:
         trees[width] = build(data)
     scores, found = search(queries, query_ids, data, ids, k, data_tree=trees[width])
-    return [(int(q), int(i), int(s)) for q, row, row_ids in zip(query_ids, scores, found, strict=True)
+    return [(int(q), int(a), int(i), int(s)) for q, a, row, row_ids in zip(query_ids, asks, scores, found, strict=True)
             for s, i in zip(row, row_ids, strict=True) if s > -np.inf]

@@ -73,6 +73,16 @@ def test_awkward_rows(spark):
     assert top_k(frame.filter("vec_id < 0"), queries).count() == 0 and top_k(frame, frame.filter("vec_id < 0")).count() == 0
 
 
+def test_repeated_query_rows(spark):
+    draw = random.Random(5)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(4)]) for i in range(40)]
+    asked = [*rows[:3], *[rows[0]] * 30, (1, rows[7][1])]
+    frame, queries = (spark.createDataFrame([(*r, 1) for r in rs], SCHEMA) for rs in (rows, asked))
+    for blocks in ((8192, 512), (7, 3)):
+        got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(frame, queries, data_block=blocks[0], query_block=blocks[1]).collect()]
+        assert len(got) == 40 and set(got) == plain(rows, asked)
+
+
 def test_numbers_beyond_float(spark):
     rows = [(0, [1e30, 3.0]), (1, [1e30, 1.0]), (2, [-1e30, 2.0]), (3, [2.0 ** 25, 1.0]), (4, [1.0, 2.0 ** 25])]
     frame = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
