@@ -34,17 +34,19 @@ KINDS = {kind: k for k, kind in enumerate(["assign", "access", "hex", "literal"]
 
 THRESHOLD = 0.6
 #: Words of a target name and how sensitive they make it.
-NAME_WORDS = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
-              "credential": 0.9, "credentials": 0.9, "bearer": 0.8, "authorization": 0.8, "auth": 0.6, "signature": 0.5,
-              "salt": 0.5, "dsn": 0.5}
+NAME_WORDS = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.8, "secret": 1.0, "token": 0.9, "apikey": 1.0,
+              "credential": 0.9, "credentials": 0.9, "bearer": 0.8, "authorization": 0.8, "auth": 0.6, "signature": 0.7,
+              "salt": 0.7, "dsn": 0.7}
+#: Words of names whose literals may hold spaces.
+PHRASE_WORDS = {"passphrase", "password", "passwd", "pwd", "pass"}
 #: Pairs of neighbouring words.
 NAME_PAIRS = {("api", "key"): 1.0, ("access", "key"): 1.0, ("private", "key"): 1.0, ("secret", "key"): 1.0,
               ("signing", "key"): 0.9, ("encryption", "key"): 0.9, ("connection", "string"): 0.7}
 PLACEHOLDERS = {"changeme", "password", "passwd", "secret", "token", "example", "placeholder", "none", "null", "true",
                 "false", "default", "undefined", "required", "optional", "string", "your", "todo", "redacted", "test"}
 
-# A target: a name or quoted name at the start of a word, then an operator. Possessive, so each start is read once.
-TARGET = re.compile(r"""(?<![\w.\-])["']?(?P<name>[A-Za-z_$][\w.$\-]*+)["'\]]*+[ \t]*+(?P<op>:=|=>|==|=|:)(?![=/])[ \t]*+""", re.A)
+# A target: a name (dashes may lead it) or quoted name at the start of a word, then an operator. Possessive, so each start is read once.
+TARGET = re.compile(r"""(?<![\w.\-])-*+["']?(?P<name>[A-Za-z_$][\w.$\-]*+)["'\]]*+[ \t]*+(?P<op>:=|=>|==|=|:)(?![=/])[ \t]*+""", re.A)
 # An operand of the right side: a quoted literal with escapes, or a bare word.
 OPERAND = re.compile(r"""(?:[rbfuRBFU]{1,2})?(?:"(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|`(?P<t>[^`\n]*+)`)|(?P<bare>[^\s"'`,;(){}\[\]<>]++)""")
 JOINED = re.compile(r"[ \t]*+\+[ \t]*+")
@@ -59,10 +61,15 @@ def name_score(name: str) -> float:
     return max([best, *(NAME_PAIRS.get(p, 0.0) for p in zip(words, words[1:]))])
 
 
-def literal_score(literal: str) -> float:
-    """How much a literal looks like a secret, 0 to 1."""
+def names_phrase(name: str) -> bool:
+    """Can the literal of a target be a phrase?"""
+    return any(w.lower() in PHRASE_WORDS for w in CAMEL.findall(name))
+
+
+def literal_score(literal: str, phrase: bool = False) -> float:
+    """How much a literal looks like a secret, 0 to 1; white space is fine in a phrase only."""
     n = len(literal)
-    if n < 6 or any(c.isspace() for c in literal):
+    if n < 6 or not phrase and any(c.isspace() for c in literal):
         return 0.0
     words = [w.lower() for w in CAMEL.findall(literal)]
     if words and all(w in PLACEHOLDERS for w in words) or len(set(literal)) <= 2 or literal[0] in "<$%{":
@@ -88,6 +95,7 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
         return []
     given: dict[str, list[tuple[int, int]]] = {}       # name: spans of the literals that it stands for
     best: dict[tuple[int, int], float] = {}            # literal: the most sensitive name that it reaches
+    phrases: set[tuple[int, int]] = set()              # literals that reach a name of phrases
     at = 0
     while target := TARGET.search(text, at):
         name, at = target["name"], target.end()
@@ -117,8 +125,10 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
         if sensitive:
             for span in values:
                 best[span] = max(best.get(span, 0.0), sensitive)
+            if names_phrase(name):
+                phrases.update(values)
     return [(a, b, "literal") for (a, b), sensitive in best.items()
-            if sensitive * literal_score(text[a:b]) >= threshold]
+            if sensitive * literal_score(text[a:b], (a, b) in phrases) >= threshold]
 
 
 def scan(text: str | None, threshold: float = THRESHOLD) -> tuple[list, list]:

@@ -38,6 +38,17 @@ def test_literals_through_assignments():
     assert name_score("getApiKey") == 1.0 and name_score("keyboard") == 0.0 and literal_score("aaaaaaaa") == 0.0
 
 
+def test_every_listed_name_can_be_reported():
+    from rostrum.llm.secrets import NAME_PAIRS, NAME_WORDS
+    literal = "x9Qm2LpR-7vTzKw4Bn8s"
+    for name in [*NAME_WORDS, *["_".join(p) for p in NAME_PAIRS]]:
+        assert scan(f"{name} := {literal!r}")[1], name
+        assert scan(f"--my-{name}={literal}")[1], name
+    assert found('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert found("--db-pwd=Tr0ub4dor&3x") == found("DB_PASS=Tr0ub4dor&3x") == ["Tr0ub4dor&3x"]
+    assert found('auth = "all of these words"') == [] and found('passphrase = "secret example"') == []
+
+
 def test_redaction():
     assert redact('x password = "abcdef123" y') == 'x [secret]" y' and redact(None) is None and redact("plain text") == "plain text"
     assert redact(TEXTS[0]) == "[secret]\" x"
