@@ -8,7 +8,9 @@ from .cover_tree import top_k
 from .fingerprints import fingerprint_documents
 from .html_text import extract_pages
 from .langid import predict_documents, train
+from .oracle import OP13_SQL
 from .packing import pack_documents
+from .prefix_trie import trie_of_conversations
 from .secrets import scan_documents
 from .sentencepiece_bpe import encode_documents
 from .simhash import near_duplicates
@@ -65,6 +67,10 @@ def op10_sentencepiece(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return trie_of_conversations(table(spark, sf_dir, "conversations"), heads=True).drop("path")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
@@ -76,7 +82,10 @@ QUERIES = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_prefix_trie": OP13_SQL,
+}
