@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from . import compression
 from .common import in_bucket, table
 from .cover_tree import top_k
 from .fingerprints import fingerprint_documents
@@ -67,6 +68,12 @@ def op10_sentencepiece(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op12_compression_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", in_bucket("doc_id", 5, 0))
+    labelled = compression.labelled_texts(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
+    return compression.score_documents(docs, compression.train(labelled), keep=("held_out",))
+
+
 def op13_prefix_trie(spark, sf_dir):
     return trie_of_conversations(table(spark, sf_dir, "conversations"), heads=True).drop("path")
 
@@ -82,6 +89,7 @@ QUERIES = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_compression_quality": op12_compression_quality,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
