@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from ..session import land
 from . import compression
 from .common import in_bucket, table
 from .cover_tree import top_k
@@ -70,8 +71,10 @@ def op10_sentencepiece(spark, sf_dir):
 
 def op12_compression_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", in_bucket("doc_id", 5, 0))
-    labelled = compression.labelled_texts(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
-    return compression.score_documents(docs, compression.train(labelled), keep=("held_out",))
+    training, labels = docs.filter("not held_out"), table(spark, sf_dir, "labels")
+    model = compression.learn(training, labels)
+    gaps = land(compression.differences(docs, model, keep=("held_out",)), "differences")
+    return compression.scored(gaps, compression.calibrated(model, gaps.filter("not held_out"), labels))
 
 
 def op13_prefix_trie(spark, sf_dir):
