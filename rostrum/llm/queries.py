@@ -19,6 +19,7 @@ from .simhash import near_duplicates
 from .suffix_dedup import dedup_documents
 from .suffix_tree_lm import score_documents
 from .suffix_tree_lm import train as train_tree
+from .token_alignment import align_documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +70,10 @@ def op10_sentencepiece(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_token_alignment(spark, sf_dir):
+    return align_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 def op12_compression_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", in_bucket("doc_id", 5, 0))
     training, labels = docs.filter("not held_out"), table(spark, sf_dir, "labels")
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_token_alignment": op11_token_alignment,
     "op12_compression_quality": op12_compression_quality,
     "op13_prefix_trie": op13_prefix_trie,
 }
