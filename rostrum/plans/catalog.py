@@ -16,9 +16,9 @@ from ..operators import paths as P
 from ..operators import roster as R
 from ..operators.ages import clean_ages
 from ..operators.joins import materialize
-from ..operators.names import (clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
+from ..operators.names import (NAME_PARTS, clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
                                parse_issues)
-from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster
+from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster, oracle_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +161,33 @@ def q_name_issues(spark, sf):
     return parse_issues(parsed).select("id", "header_col_value", "reason")
 
 
+def q_name_spec(spark, sf):
+    """People and organizations in one value, with a confidence."""
+    return clean_names(inputs.spec_text(spark, sf), "spec")
+
+
+def q_name_spec_table(spark, sf):
+    """The same with designations, keywords and titles from a table that grows."""
+    return clean_names(inputs.spec_text(spark, sf), "spec", designations=inputs.token_table(spark, sf))
+
+
+REVIEW_BELOW = 0.7
+
+
+def q_name_spec_issues(spark, sf):
+    return parse_issues(q_name_spec(spark, sf), threshold=REVIEW_BELOW).select("id", "header_col_value", "reason")
+
+
+def q_name_confidence(spark, sf):
+    """Rule and confidence of every name under each of the six other profiles."""
+    names, out = inputs.provider_text(spark, sf), None
+    for profile in NAME_PARTS:
+        keep = ["id"] if profile.startswith("degree") else None
+        one = clean_names(names, profile, keep=keep, confidence=True).select("id", F.lit(profile).alias("profile"), "parse_rule", "parse_confidence")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_name_kind_counts(spark, sf):
     return kind_summary(clean_names(inputs.provider_text(spark, sf), "credential_org"))
 
@@ -253,6 +280,10 @@ QUERIES: dict[str, Query] = {
     "name_format_counts": q_name_format_counts,
     "name_kind_counts": q_name_kind_counts,
     "name_issues": q_name_issues,
+    "name_spec": q_name_spec,
+    "name_spec_table": q_name_spec_table,
+    "name_spec_issues": q_name_spec_issues,
+    "name_confidence": q_name_confidence,
     "json_rows": q_json_rows,
     "fill_blanks": q_fill_blanks,
     "coalesce_first": q_coalesce_first,
@@ -294,6 +325,10 @@ ORACLE: dict[str, Callable[[], str]] = {
     "name_format_counts": oracle_names.format_counts,
     "name_kind_counts": oracle_names.kind_counts,
     "name_issues": oracle_names.issues,
+    "name_spec": oracle_spec.spec,
+    "name_spec_table": oracle_spec.spec_table,
+    "name_spec_issues": lambda: oracle_spec.spec_issues(REVIEW_BELOW),
+    "name_confidence": oracle_spec.confidence,
     "json_rows": oracle_misc.json_rows,
     "fill_blanks": lambda: oracle_misc.fill_blanks(),
     "coalesce_first": oracle_misc.coalesce_first,

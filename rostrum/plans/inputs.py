@@ -50,6 +50,15 @@ NAME_TEMPLATES = [
     "{fc} {lc} (friend)", "{lc}, {fc}, D.O.", "Oo{l} {fc}",
 ]
 
+# Names with people and organizations in one value (profile spec).
+SPEC_TEMPLATES = [
+    "{lc}, {fc}", "{lc}, {fc} A.", "{fc} A {lc}", "{lc}, {fc}, MD", "{lc}, {fc} MD", "St {fc} Hospital", "{fc} Clinic / Community {lc}",
+    "{lc}, {fc}, MD, City Hospital", "{fc}", "{lc} {fc} MI", "{lc}, {fc}, PhD", "{fc} Pharmacy Pvt Ltd", "Dr. {fc} {lc} Jr.",
+    "{lc}, Dr. {fc}, M.D., III", "MD", None, " , ", "Yo Ma", "{lc}, {fc}, {fc} {lc}, RN", "{fc} {lc}, PhD", "{fc} (other)",
+    "{lc}, {fc}, City Clinic, North College", "Do {lc} DO", "{f} {l}  Ann  md", "{fc} {lc} DO RN;", "{F}, {L} X., mba", "{fc} Trust, MD", "MD, RN",
+    "Mr. Dr. {lc}", "{lc} de la {fc}, Esq.", "{fc} {lc} II, University of {lc}",
+]
+
 ROSTER_FILE = "Roster Files - top 20 entities_desensitized.xlsx"
 
 
@@ -190,6 +199,41 @@ def provider_text_sql() -> str:
     )
 
 
+def spec_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, header_col_value: names of people and organizations, mixed."""
+    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    return part.select(F.col("p_partkey").alias("id"),
+                       template_column(SPEC_TEMPLATES, F.col("p_partkey"), _part_env()).alias("header_col_value"))
+
+
+def spec_text_sql() -> str:
+    return f"SELECT p_partkey AS id, {template_sql(SPEC_TEMPLATES, 'p_partkey', PART_ENV_SQL)} AS header_col_value FROM part"
+
+
+def token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """token, kind, canonical: a user's dictionary that grows with ``part``: first words of names as organization keywords or,
+    in capitals, as designations, beside a few fixed rows."""
+    word = F.split(F.col("p_name"), " ").getItem(0)
+    words = read_table(spark, sf_dir, "part").groupBy(word.alias("w")).agg(F.min("p_partkey").alias("k"))
+    made = words.filter("k % 3 <> 2").select(
+        F.col("w").alias("token"), F.when(F.col("k") % 3 == 0, "organization").otherwise("Designation ").alias("kind"),
+        F.when(F.col("k") % 3 == 1, F.upper("w")).alias("canonical"))
+    fixed = spark.createDataFrame(TOKEN_ROWS, "token string, kind string, canonical string")
+    return made.unionByName(fixed)
+
+
+TOKEN_ROWS = [("MD", "designation", None), ("M.D.", "designation", "MD"), ("ph.d", "designation", "PhD"), ("RN", "designation", None),
+              ("Hospital", "organization", None), ("Dr", "title", None), ("Dr", "designation", None), ("", "designation", "x")]
+
+
+def token_table_sql() -> str:
+    rows = ", ".join("(" + ", ".join("NULL" if x is None else _sql_lit(x) for x in row) + ")" for row in TOKEN_ROWS)
+    return f"""SELECT w AS token, CASE WHEN k % 3 = 0 THEN 'organization' ELSE 'designation' END AS kind,
+                      CASE WHEN k % 3 = 1 THEN upper(w) END AS canonical
+               FROM (SELECT split_part(p_name, ' ', 1) AS w, min(p_partkey) AS k FROM part GROUP BY 1) WHERE k % 3 <> 2
+               UNION ALL SELECT * FROM (VALUES {rows}) AS fixed(token, kind, canonical)"""
+
+
 # ------------------------------ roster cells --------------------------------
 # Value kinds -> (Spark column over customer c + nation n, DuckDB SQL).
 def _cust_values():
