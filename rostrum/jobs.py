@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .operators.ages import clean_ages
 from .operators.names import clean_names, observe_exclusion
 from .operators.roster import RosterResult, standardize_roster
-from .sinks import write_name_jsonl, write_records_json, write_roster, write_table
+from .operators.roster_map import standardize_as_map
+from .sinks import write_json_array, write_name_jsonl, write_records_json, write_roster, write_roster_map, write_table
 from .session import land
 from .sources.workbook import (EMPTY, ORDER_COLUMNS, cells_to_table, check_sheet, read_sheet, read_workbooks_checked,
                                whole_sheets, workbook_problems)
@@ -53,8 +54,13 @@ def load_sheet_table(spark: SparkSession, input_path: str, sheet: str | None = N
 def run_roster_job(spark: SparkSession, input_path: str, output_path: str, profile: str = "four_list",
                    fmt: str = "csv", on_damage: str = "fail", **kw) -> RosterResult:
     """All sheets of all workbooks -> combined standard table, header rows,
-    column map, duplicates audit (+ note)."""
+    column map, duplicates audit (+ note). Profile ``general``, whose names grow with
+    the workbooks, is written with maps (``roster_map``)."""
     cells = load_cells(spark, input_path, output_path, on_damage)
+    if profile == "general":
+        res = standardize_as_map(cells, profile, materialize=True, materialize_input=True, **kw)
+        write_roster_map(res, output_path, fmt=fmt)
+        return res
     res = standardize_roster(cells, profile, materialize=True, materialize_input=True, **kw)
     write_roster(res, output_path, fmt=fmt)
     return res
@@ -62,10 +68,10 @@ def run_roster_job(spark: SparkSession, input_path: str, output_path: str, profi
 
 def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile: str = "credential_clean",
                  sheet: str | None = None, value_col: str | None = None, exclude=(), fmt: str = "csv",
-                 on_damage: str = "fail") -> DataFrame:
+                 on_damage: str = "fail", json: str = "lines") -> DataFrame:
     """R2: provider names of one sheet -> parsed name columns, written as a
-    table plus JSON (JSON lines of the five name fields for the degree profiles,
-    all columns otherwise)."""
+    table plus JSON: JSON lines of the five name fields for the degree profiles,
+    otherwise all columns, as ``json`` says: "lines" or one "array"."""
     df = load_sheet_table(spark, input_path, sheet, output_path=output_path, on_damage=on_damage)
     kw = {"value_col": value_col} if value_col else {}
     if profile in ("degree_caps", "degree_dict"):
@@ -82,7 +88,7 @@ def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile
     if profile in ("degree_caps", "degree_dict"):
         write_name_jsonl(out, f"{output_path}/jsonl")
     else:
-        write_records_json(out, f"{output_path}/json")
+        (write_json_array if json == "array" else write_records_json)(out, f"{output_path}/json")
     return out
 
 

@@ -14,10 +14,12 @@ from ..functions.names import file_tag
 from ..functions.text import pstrip
 from ..operators import paths as P
 from ..operators import roster as R
+from ..operators import roster_map as M
 from ..operators.ages import clean_ages
 from ..operators.joins import materialize
 from ..operators.names import (NAME_PARTS, clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
                                parse_issues)
+from ..sinks import header_rows
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster, oracle_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,10 +120,9 @@ def q_roster_flat_headers(spark, sf):
 
 
 def q_roster_skipped_sheets(spark, sf):
-    """Two regions' sheets lose their data rows and are reported."""
-    cells = inputs.roster_cells(spark, sf)
-    cut = cells.filter(~F.col("sheet_idx").isin(1, 3) | (F.col("row_idx") < inputs.ROSTER_DATA_ROW0))
-    return R.standardize_roster(cut, "four_list", materialize_input=True).skipped_sheets
+    """Beside all sheets with data, a header-only sheet in every workbook is left out and reported."""
+    cells = inputs.roster_cells(spark, sf).unionByName(inputs.header_only_sheets(spark, sf))
+    return R.standardize_roster(cells, "four_list", materialize_input=True).skipped_sheets
 
 
 def q_table_cells(spark, sf):
@@ -142,6 +143,33 @@ def _audit_query(profile):
     return lambda spark, sf: _roster(spark, sf, profile, materialize=True).audit
 
 
+def _general(spark, sf, **kw):
+    return M.standardize_as_map(inputs.roster_cells(spark, sf), materialize_input=True, **kw)
+
+
+def _map_as_text(df):
+    """``row_values`` as text: DuckDB and Spark order the entries of a map differently."""
+    return df.withColumn(M.VALUES, M.text_of(F.col(M.VALUES)))
+
+
+def q_roster_wide_general(spark, sf):
+    return _map_as_text(_general(spark, sf).wide)
+
+
+def q_roster_dedupe_general(spark, sf):
+    return _map_as_text(_general(spark, sf).combined)
+
+
+def q_roster_audit_general(spark, sf):
+    return _map_as_text(_general(spark, sf, materialize=True).audit)
+
+
+def q_roster_header_block(spark, sf):
+    """The two header rows of every workbook."""
+    res = _roster(spark, sf, "four_list")
+    return header_rows(res.column_map, res.std_names)
+
+
 # ---------------------------------- names -----------------------------------
 def _name_query(profile):
     def run(spark, sf):
@@ -266,6 +294,10 @@ QUERIES: dict[str, Query] = {
     **{f"roster_dedupe_{p}": _dedupe_query(p) for p in WIDE_PROFILES},
     **{f"roster_audit_{p}": _audit_query(p) for p in WIDE_PROFILES},
     "roster_long_general": q_roster_long_general,
+    "roster_wide_general": q_roster_wide_general,
+    "roster_dedupe_general": q_roster_dedupe_general,
+    "roster_audit_general": q_roster_audit_general,
+    "roster_header_block": q_roster_header_block,
     "roster_dedupe_no_columns": q_roster_dedupe_no_columns,
     "roster_flat_headers": q_roster_flat_headers,
     "roster_skipped_sheets": q_roster_skipped_sheets,
@@ -311,6 +343,10 @@ ORACLE: dict[str, Callable[[], str]] = {
     **{f"roster_dedupe_{p}": (lambda p=p: oracle_roster.dedupe(p)) for p in WIDE_PROFILES},
     **{f"roster_audit_{p}": (lambda p=p: oracle_roster.audit(p)) for p in WIDE_PROFILES},
     "roster_long_general": lambda: oracle_roster.long("general"),
+    "roster_wide_general": lambda: oracle_roster.general_map() + "SELECT * FROM rows_",
+    "roster_dedupe_general": oracle_roster.dedupe_general,
+    "roster_audit_general": oracle_roster.audit_general,
+    "roster_header_block": oracle_roster.header_block,
     "roster_dedupe_no_columns": oracle_roster.dedupe_no_columns,
     "roster_flat_headers": oracle_roster.flat_headers,
     "roster_skipped_sheets": oracle_roster.skipped_sheets,

@@ -137,7 +137,11 @@ PART_ENV_SQL = {
 
 def age_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, header_col_value (age text), header_col_name (header it came from)."""
-    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    return age_text_of(spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_size")))
+
+
+def age_text_of(part: DataFrame) -> DataFrame:
+    """The same of a table or stream of parts."""
     env = _part_env()
     return part.select(
         F.col("p_partkey").alias("id"),
@@ -178,7 +182,11 @@ def age_two_col_sql() -> str:
 
 def provider_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, header_col_value (provider name text), file_name."""
-    part = spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    return provider_text_of(spread_for_cpu(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")))
+
+
+def provider_text_of(part: DataFrame) -> DataFrame:
+    """The same of a table or stream of parts."""
     env = _part_env()
     fname = F.when(F.col("p_partkey") % 5 == 0, F.lit(ROSTER_FILE)).otherwise(
         F.concat(F.lit("roster_"), (F.col("p_partkey") % 7).cast("string"), F.lit(".xlsx")))
@@ -279,10 +287,10 @@ _CUST_VALUE_SPECS = {
 }
 
 
-# Customers are spread over ROSTER_WORKBOOKS workbooks "providers_<c_custkey % n>.xlsx",
-# each with one sheet per region laid out as below:
+# A workbook "providers_<number>.xlsx" for every WORKBOOK_CUSTOMERS customer keys, so that
+# workbooks and headers grow with the table, each with one sheet per region laid out as below:
 # region key -> (header row index, [(header text, value kind)]).
-ROSTER_WORKBOOKS = 4
+WORKBOOK_CUSTOMERS = 500
 ROSTER_SHEETS = {
     0: (1, [("Provider Name", "name"), ("Degree", "degree"), ("Primary Specialty", "specialty"),
             ("Tax ID", "taxid"), ("Phone Number", "phone")]),
@@ -298,8 +306,18 @@ ROSTER_SHEETS = {
 ROSTER_DATA_ROW0 = 20   # data row of customer k sits at row 20 + k
 
 
+def _workbook() -> Column:
+    number = F.floor(F.col("c_custkey") / WORKBOOK_CUSTOMERS).cast("string")
+    return F.concat(F.lit("providers_"), number, F.lit(".xlsx"))
+
+
+WORKBOOK_SQL = f"'providers_' || CAST(c_custkey // {WORKBOOK_CUSTOMERS} AS VARCHAR) || '.xlsx'"
+
+
 def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw_cells of ROSTER_WORKBOOKS workbooks: one sheet per region, one data row per customer."""
+    """raw_cells of a workbook per WORKBOOK_CUSTOMERS customers: one sheet per region, one data row per customer.
+
+    A workbook has the headers of all regions; sheets without a customer are header-only."""
     region = read_table(spark, sf_dir, "region")
     nation = read_table(spark, sf_dir, "nation")
     cust = read_table(spark, sf_dir, "customer")
@@ -316,8 +334,7 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         cells.append(F.struct(F.lit(j).alias("col_idx"), expr.alias("value")))
     data = (cust.join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.concat(F.lit("providers_"), (F.col("c_custkey") % ROSTER_WORKBOOKS).cast("string"),
-                             F.lit(".xlsx")).alias("workbook"),
+            .select(_workbook().alias("workbook"),
                     F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"),
                     (F.lit(ROSTER_DATA_ROW0) + F.col("c_custkey")).alias("row_idx"),
                     F.explode(F.array(*cells)).alias("c"))
@@ -329,11 +346,10 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         if hrow == 2:
             top += [(r, 1, 0, "Confidential"), (r, 1, 1, "Internal use")]
         top += [(r, hrow, j, h) for j, (h, _) in enumerate(cols)]
-    top_df = spark.createDataFrame(top, "rk int, row_idx int, col_idx int, value string")
-    books = F.explode(F.array(*[F.lit(f"providers_{i}.xlsx") for i in range(ROSTER_WORKBOOKS)]))
-    heads = (region.join(top_df, F.col("r_regionkey") == F.col("rk"))
-             .select(books.alias("workbook"), F.col("r_name").alias("sheet"),
-                     F.col("r_regionkey").alias("sheet_idx"), "row_idx", "col_idx", "value"))
+    lines = [F.struct(F.lit(r).alias("rk"), F.lit(i).alias("row_idx"), F.lit(j).alias("col_idx"), F.lit(v).alias("value")) for r, i, j, v in top]
+    heads = (cust.select(_workbook().alias("workbook")).distinct().select("workbook", F.explode(F.array(*lines)).alias("t"))
+             .select("workbook", "t.*").join(region, F.col("r_regionkey") == F.col("rk"))
+             .select("workbook", F.col("r_name").alias("sheet"), F.col("r_regionkey").alias("sheet_idx"), "row_idx", "col_idx", "value"))
     allc = heads.unionByName(data).filter(F.col("value").isNotNull())
     return allc.select("workbook", "sheet",
                        F.col("sheet_idx").cast("int").alias("sheet_idx"),
@@ -341,6 +357,22 @@ def roster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("col_idx").cast("int").alias("col_idx"), "value")
 
 
+EMPTY_SHEET, EMPTY_SHEET_IDX, EMPTY_HEADERS = "PLANNED", 9, ["Degree", "Specialty", "Fax Number"]
+
+
+def header_only_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet more for every workbook, with headers and no data row."""
+    books = read_table(spark, sf_dir, "customer").select(_workbook().alias("workbook")).distinct()
+    return books.select("workbook", F.lit(EMPTY_SHEET).alias("sheet"), F.lit(EMPTY_SHEET_IDX).alias("sheet_idx"), F.lit(0).alias("row_idx"),
+                        F.posexplode(F.array(*map(F.lit, EMPTY_HEADERS))).alias("col_idx", "value"))
+
+
+def header_only_sheets_sql() -> str:
+    values = ", ".join(f"({k}, {_sql_lit(v)})" for k, v in enumerate(EMPTY_HEADERS))
+    return f"""SELECT workbook, '{EMPTY_SHEET}' AS sheet, {EMPTY_SHEET_IDX} AS sheet_idx, 0 AS row_idx, h.col_idx, h.value
+               FROM (SELECT DISTINCT {WORKBOOK_SQL} AS workbook FROM customer), (VALUES {values}) AS h(col_idx, value)"""
+
+
 def roster_cells_sql() -> str:
     vals = _cust_values()
     ncols = max(len(cols) for _, cols in ROSTER_SHEETS.values())
@@ -348,7 +380,7 @@ def roster_cells_sql() -> str:
     for j in range(ncols):
         whens = " ".join(f"WHEN {r} THEN {vals[cols[j][1]][1]}" for r, (_, cols) in ROSTER_SHEETS.items()
                          if j < len(cols))
-        parts.append(f"SELECT 'providers_' || CAST(c_custkey % {ROSTER_WORKBOOKS} AS VARCHAR) || '.xlsx' AS workbook, "
+        parts.append(f"SELECT {WORKBOOK_SQL} AS workbook, "
                      f"r_name AS sheet, r_regionkey AS sheet_idx, {ROSTER_DATA_ROW0} + c_custkey AS row_idx, "
                      f"{j} AS col_idx, CASE n_regionkey {whens} END AS value FROM cr")
     top = []
@@ -366,9 +398,9 @@ FROM (
               JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
   {' UNION ALL '.join(parts)}
   UNION ALL
-  SELECT 'providers_' || CAST(unnest(range({ROSTER_WORKBOOKS})) AS VARCHAR) || '.xlsx', r.r_name, r.r_regionkey,
-         t.ri, t.ci, t.v
-  FROM region r JOIN (VALUES {top_vals}) AS t(rk, ri, ci, v) ON r.r_regionkey = t.rk
+  SELECT w.workbook, r.r_name, r.r_regionkey, t.ri, t.ci, t.v
+  FROM (SELECT DISTINCT {WORKBOOK_SQL} AS workbook FROM customer) w, region r
+  JOIN (VALUES {top_vals}) AS t(rk, ri, ci, v) ON r.r_regionkey = t.rk
 ) WHERE value IS NOT NULL
 """
 

@@ -233,9 +233,8 @@ FROM cells WHERE row_idx IN (1, 2) GROUP BY workbook, sheet, sheet_idx, col_idx
 
 def skipped_sheets() -> str:
     return f"""
-WITH cells AS ({inputs.roster_cells_sql()}),
-cut AS (SELECT * FROM cells WHERE sheet_idx NOT IN (1, 3) OR row_idx < {inputs.ROSTER_DATA_ROW0})
-SELECT workbook, sheet, sheet_idx FROM cut GROUP BY ALL HAVING max(row_idx) < {inputs.ROSTER_DATA_ROW0}
+WITH cells AS (SELECT * FROM ({inputs.roster_cells_sql()}) UNION ALL SELECT * FROM ({inputs.header_only_sheets_sql()}))
+SELECT workbook, sheet, sheet_idx FROM cells GROUP BY ALL HAVING max(row_idx) < {inputs.ROSTER_DATA_ROW0}
 """
 
 
@@ -263,3 +262,45 @@ FROM (SELECT *, row_number() OVER (PARTITION BY workbook, group_key ORDER BY she
       FROM (SELECT *, {key} AS group_key FROM wide))
 WHERE occurrence_index > 1
 """
+
+
+def general_map() -> str:
+    """Rows of profile general, the standard values as text by name."""
+    return f"""
+WITH {_pipeline('general')},
+rows_ AS (
+  SELECT coalesce(string_agg(m.base || ' ' || CAST(m.slot AS VARCHAR) || '=' || b.v, '||' ORDER BY m.base || ' ' || CAST(m.slot AS VARCHAR)), '')
+           AS row_values, b.header_row + 1 AS header_row_number, b.sheet AS source_sheet, b.workbook, b.sheet_idx, b.row_idx
+  FROM below b LEFT JOIN cmap m ON b.workbook = m.workbook AND b.header_text = m.header_text AND b.dup_n = m.dup_n
+  GROUP BY b.workbook, b.sheet, b.sheet_idx, b.row_idx, b.header_row)
+"""
+
+
+def dedupe_general() -> str:
+    return general_map() + """
+SELECT row_values, count(*) AS duplicate_count, min(header_row_number) AS header_row_number,
+       array_to_string(list_sort(list_distinct(list(source_sheet))), ',') AS source_sheets, workbook
+FROM rows_ GROUP BY workbook, row_values
+"""
+
+
+def audit_general() -> str:
+    return general_map() + """
+SELECT row_values, source_sheet, header_row_number, row_values AS group_key, CAST(n AS BIGINT) AS occurrence_index,
+       'duplicate_of_group' AS removed_reason, workbook
+FROM (SELECT *, row_number() OVER (PARTITION BY workbook, row_values ORDER BY sheet_idx, row_idx) AS n FROM rows_) WHERE n > 1
+"""
+
+
+def header_block() -> str:
+    cols = STD_COLUMNS["four_list"]
+    tracking = ["duplicate_count", "header_row_number", "source_sheets"]
+    first = ", ".join(f'{q(c)} AS "{c}"' for c in (*cols, *tracking))
+    second = ", ".join([*[f"""coalesce(max(CASE WHEN base || ' ' || CAST(slot AS VARCHAR) = {q(c)} THEN header_text END), '') AS "{c}\"""" for c in cols],
+                        *[f'{q(c)} AS "{c}"' for c in tracking]])
+    return f"""
+WITH {_pipeline('four_list')}
+SELECT workbook, 1 AS header_line, {first} FROM cmap GROUP BY workbook
+UNION ALL
+SELECT workbook, 2 AS header_line, {second} FROM cmap GROUP BY workbook
+"""
