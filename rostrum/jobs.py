@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.ages import clean_ages
-from .operators.names import clean_names, observe_exclusion
+from .operators.names import NAME_COL_CANDIDATES, clean_names, observe_exclusion
 from .operators.roster import RosterResult, standardize_roster
 from .operators.roster_map import standardize_as_map
 from .sinks import write_json_array, write_name_jsonl, write_records_json, write_roster, write_roster_map, write_table
 from .session import land
-from .sources.workbook import (EMPTY, ORDER_COLUMNS, cells_to_table, check_sheet, read_sheet, read_workbooks_checked,
+from .sources.workbook import (EMPTY, ORDER_COLUMNS, cells_to_records, cells_to_table, check_sheet, read_sheet, read_workbooks_checked,
                                whole_sheets, workbook_problems)
 
 
@@ -66,16 +66,31 @@ def run_roster_job(spark: SparkSession, input_path: str, output_path: str, profi
     return res
 
 
+def load_sheet_records(spark: SparkSession, input_path: str, candidates, sheet: str | None = None,
+                       output_path: str | None = None, on_damage: str = "fail") -> DataFrame:
+    """One sheet of each workbook as records (``cells_to_records``): for any number of workbooks and headers. The other cells
+    are JSON text by header in ``columns``."""
+    cells = load_cells(spark, input_path, output_path, on_damage)
+    records = cells_to_records(read_sheet(cells, sheet), candidates)
+    return records.withColumn("columns", F.to_json("columns"))
+
+
 def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile: str = "credential_clean",
                  sheet: str | None = None, value_col: str | None = None, exclude=(), fmt: str = "csv",
-                 on_damage: str = "fail", json: str = "lines") -> DataFrame:
+                 on_damage: str = "fail", json: str = "lines", layout: str = "table") -> DataFrame:
     """R2: provider names of one sheet -> parsed name columns, written as a
     table plus JSON: JSON lines of the five name fields for the degree profiles,
-    otherwise all columns, as ``json`` says: "lines" or one "array"."""
-    df = load_sheet_table(spark, input_path, sheet, output_path=output_path, on_damage=on_damage)
+    otherwise all columns, as ``json`` says: "lines" or one "array". With ``layout="records"`` the other cells are one
+    column, whatever the workbooks' headers; the name column is ``value_col`` or a known header of each sheet. What was
+    excluded is written as a row of counts to ``<output_path>/summary``."""
+    if layout == "records":
+        candidates = [value_col] if value_col else NAME_COL_CANDIDATES
+        df, value_col = load_sheet_records(spark, input_path, candidates, sheet, output_path, on_damage), "header_col_value"
+    else:
+        df = load_sheet_table(spark, input_path, sheet, output_path=output_path, on_damage=on_damage)
     kw = {"value_col": value_col} if value_col else {}
     if profile in ("degree_caps", "degree_dict"):
-        kw["keep"] = ORDER_COLUMNS
+        kw["keep"] = [*ORDER_COLUMNS, *(["columns"] if layout == "records" else [])]
     obs = None
     if profile in ("credential_list", "credential_clean"):
         kw["exclude"] = exclude
@@ -84,7 +99,8 @@ def run_name_job(spark: SparkSession, input_path: str, output_path: str, profile
     out = land(clean_names(df, profile, **kw), "names").orderBy(*ORDER_COLUMNS)
     write_table(out, f"{output_path}/table", fmt=fmt)
     if obs is not None:
-        print(f"name job: {obs.get}")  # rows in / rows excluded by file name
+        counts = {**obs.get, "n_output": obs.get["n_input"] - obs.get["n_excluded"]}
+        write_table(spark.createDataFrame([counts], "n_input long, n_excluded long, n_output long"), f"{output_path}/summary", fmt="json")
     if profile in ("degree_caps", "degree_dict"):
         write_name_jsonl(out, f"{output_path}/jsonl")
     else:
@@ -104,4 +120,4 @@ def run_age_job(spark: SparkSession, input_path: str, output_path: str, profile:
     return out
 
 
-__all__ = ["load_cells", "load_sheet_table", "run_roster_job", "run_name_job", "run_age_job"]
+__all__ = ["load_cells", "load_sheet_records", "load_sheet_table", "run_roster_job", "run_name_job", "run_age_job"]

@@ -35,17 +35,37 @@ def resolve_case_insensitive(columns: Sequence[str], wanted: str) -> str | None:
     return by_lower.get(wanted.lower())
 
 
+def _file_key(file_col: str) -> Column:
+    return F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
+
+
+def _excluded_table(names: DataFrame, roster_file: str) -> DataFrame:
+    """Distinct keys of a table of file names; the roster file is never among them."""
+    keys = names.select(F.lower(pstrip(F.col("file_name"))).alias("__ex"))
+    return keys.filter(F.col("__ex") != roster_file.lower()).distinct()
+
+
+def _flagged(df: DataFrame, file_col: str, names: Iterable[str] | DataFrame, roster_file: str) -> DataFrame:
+    """``df`` with ``__excluded``: whether ``exclude_files`` drops the row."""
+    key = _file_key(file_col)
+    if isinstance(names, DataFrame):
+        ex = _excluded_table(names, roster_file)
+        joined = df.withColumn("__key", key).join(ex, F.col("__key") == F.col("__ex"), "left")
+        return joined.withColumn("__excluded", F.col("__ex").isNotNull()).drop("__key", "__ex")
+    lowered = sorted({str(n).strip().lower() for n in names})
+    return df.withColumn("__excluded", (key != roster_file.lower()) & key.isin(*lowered) if lowered else F.lit(False))
+
+
 def exclude_files(df: DataFrame, file_col: str = "file_name", names: Iterable[str] | DataFrame = (),
                   roster_file: str = N.ROSTER_FILENAME) -> DataFrame:
     """Drop rows whose (trimmed, lower-case) file name is excluded; the roster
     file itself is never excluded.  ``names`` is a literal list (``isin``) or a
     DataFrame with a ``file_name`` column (``left_anti`` join; Spark broadcasts
     it when AQE measures it small)."""
-    key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
+    key = _file_key(file_col)
     protected = key == roster_file.lower()
     if isinstance(names, DataFrame):
-        ex = names.select(F.lower(pstrip(F.col("file_name"))).alias("__ex"))
-        ex = ex.filter(F.col("__ex") != roster_file.lower()).distinct()      # so its rows never match
+        ex = _excluded_table(names, roster_file)
         tagged = df.withColumn("__key", key)
         return tagged.join(ex, tagged["__key"] == ex["__ex"], "left_anti").drop("__key")
     lowered = sorted({str(n).strip().lower() for n in names})
@@ -54,26 +74,23 @@ def exclude_files(df: DataFrame, file_col: str = "file_name", names: Iterable[st
     return df.filter(protected | ~key.isin(*lowered))
 
 
-def observe_exclusion(df: DataFrame, file_col: str = "file_name", names: Iterable[str] = (),
+def observe_exclusion(df: DataFrame, file_col: str = "file_name", names: Iterable[str] | DataFrame = (),
                       roster_file: str = N.ROSTER_FILENAME, name: str = "name_job"):
     """G4 as in-flight metrics: returns (observed DataFrame, Observation); the
     counts of input rows and rows the exclusion will drop are filled in when
-    an action on the returned DataFrame (e.g. the write) completes."""
+    an action on the returned DataFrame (e.g. the write) completes. ``names`` as in ``exclude_files``."""
     from pyspark.sql import Observation
-    key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
-    lowered = sorted({str(n).strip().lower() for n in names})
-    excluded = (key != roster_file.lower()) & key.isin(*lowered) if lowered else F.lit(False)
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("n_input"), F.count_if(excluded).alias("n_excluded")), obs
+    seen = _flagged(df, file_col, names, roster_file).observe(
+        obs, F.count(F.lit(1)).alias("n_input"), F.count_if(F.col("__excluded")).alias("n_excluded"))
+    return seen.drop("__excluded"), obs
 
 
-def exclusion_counts(df: DataFrame, file_col: str = "file_name", names: Iterable[str] = (),
+def exclusion_counts(df: DataFrame, file_col: str = "file_name", names: Iterable[str] | DataFrame = (),
                      roster_file: str = N.ROSTER_FILENAME) -> DataFrame:
-    """Rows in, rows excluded by file name, rows out (one global aggregate)."""
-    key = F.lower(pstrip(F.coalesce(F.col(file_col).cast("string"), F.lit(""))))
-    lowered = sorted({str(n).strip().lower() for n in names})
-    excluded = (key != roster_file.lower()) & key.isin(*lowered) if lowered else F.lit(False)
-    agg = df.agg(F.count(F.lit(1)).alias("n_input"), F.count_if(excluded).alias("n_excluded"))
+    """Rows in, rows excluded by file name, rows out (one global aggregate). ``names`` as in ``exclude_files``."""
+    agg = _flagged(df, file_col, names, roster_file).agg(
+        F.count(F.lit(1)).alias("n_input"), F.count_if(F.col("__excluded")).alias("n_excluded"))
     return agg.select("n_input", "n_excluded", (F.col("n_input") - F.col("n_excluded")).alias("n_output"))
 
 

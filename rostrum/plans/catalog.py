@@ -5,6 +5,7 @@ roster-like inputs from them deterministically (see ``inputs``).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ from ..operators.ages import clean_ages
 from ..operators.joins import materialize
 from ..operators.names import (NAME_PARTS, clean_names, exclude_files, exclusion_counts, format_summary, kind_summary,
                                parse_issues)
+from ..session import shared_folder
 from ..sinks import header_rows
+from ..sources.workbook import cells_to_records
+from ..streaming import clean_available
 from . import inputs, oracle_ages, oracle_misc, oracle_names, oracle_roster, oracle_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +220,32 @@ def q_name_confidence(spark, sf):
     return out
 
 
+def _streamed(transform):
+    """ST: a file stream over the table ``part`` with a fresh checkpoint, its sink read back."""
+    def run(spark, sf):
+        table = f"{sf.rstrip('/')}/part.parquet"
+        schema = spark.read.parquet(table).schema
+        # a file stream takes a folder or a pattern; this one names the table whether it is a file or a folder
+        return clean_available(spark, table[:-1] + f"[{table[-1]}]", schema, transform, f"{shared_folder(spark)}/rostrum-stream-{uuid.uuid4().hex}")
+    return run
+
+
+def q_file_exclusion_counts_table(spark, sf):
+    """The counts with a table of file names."""
+    return exclusion_counts(inputs.provider_text(spark, sf), "file_name", _excluded_names(spark, sf))
+
+
+NAME_HEADERS = ["provider name", "last name"]
+
+
+def q_names_from_cells(spark, sf):
+    """R2: cells of growing workbooks -> the name column of each sheet -> parsed names, other cells in a map."""
+    cells = materialize(inputs.roster_cells(spark, sf))
+    records = cells_to_records(cells, NAME_HEADERS, header_rows=R.detect_header_rows(cells), keep_blank_rows=False)
+    named = clean_names(records.withColumnRenamed("source_workbook", "file_name"), "credential_clean")
+    return named.withColumn("columns", M.text_of(F.col("columns")))
+
+
 def q_name_kind_counts(spark, sf):
     return kind_summary(clean_names(inputs.provider_text(spark, sf), "credential_org"))
 
@@ -257,10 +287,13 @@ def q_file_exclude(spark, sf):
 
 def q_file_exclude_table(spark, sf):
     """Exclusion by a table of file names, as one anti join; the roster file in it is never excluded."""
+    return exclude_files(inputs.provider_text(spark, sf), "file_name", _excluded_names(spark, sf)).select("id", "file_name")
+
+
+def _excluded_names(spark, sf):
     nation = inputs.read_table(spark, sf, "nation")
     names = nation.select(F.concat(F.lit("ROSTER_"), (F.col("n_nationkey") % 4).cast("string"), F.lit(".xlsx")).alias("file_name"))
-    names = names.unionByName(names.limit(1).select(F.lit(inputs.ROSTER_FILE).alias("file_name")))
-    return exclude_files(inputs.provider_text(spark, sf), "file_name", names).select("id", "file_name")
+    return names.unionByName(names.limit(1).select(F.lit(inputs.ROSTER_FILE).alias("file_name")))
 
 
 # ---------------------------------- paths -----------------------------------
@@ -311,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "name_n6_format_detect": _name_query("format_detect"),
     "name_format_counts": q_name_format_counts,
     "name_kind_counts": q_name_kind_counts,
+    "names_from_cells": q_names_from_cells,
     "name_issues": q_name_issues,
     "name_spec": q_name_spec,
     "name_spec_table": q_name_spec_table,
@@ -322,6 +356,9 @@ QUERIES: dict[str, Query] = {
     "file_tag": q_file_tag,
     "file_exclude": q_file_exclude,
     "file_exclusion_counts": q_file_exclusion_counts,
+    "file_exclusion_counts_table": q_file_exclusion_counts_table,
+    "stream_ages": _streamed(lambda part: clean_ages(inputs.age_text_of(part), "phrase_hdr")),
+    "stream_names": _streamed(lambda part: clean_names(inputs.provider_text_of(part), "credential_clean")),
     "path_prefix": q_path_prefix,
     "path_listing": q_path_listing,
 }
@@ -360,6 +397,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "name_n6_format_detect": oracle_names.format_detect,
     "name_format_counts": oracle_names.format_counts,
     "name_kind_counts": oracle_names.kind_counts,
+    "names_from_cells": lambda: oracle_roster.names_from_cells(NAME_HEADERS),
     "name_issues": oracle_names.issues,
     "name_spec": oracle_spec.spec,
     "name_spec_table": oracle_spec.spec_table,
@@ -371,6 +409,9 @@ ORACLE: dict[str, Callable[[], str]] = {
     "file_tag": oracle_misc.file_tag,
     "file_exclude": lambda: oracle_misc.file_exclude(EXCLUDED_FILES),
     "file_exclusion_counts": lambda: oracle_misc.file_exclusion_counts(EXCLUDED_FILES),
+    "file_exclusion_counts_table": oracle_misc.file_exclusion_counts_table,
+    "stream_ages": oracle_ages.age_phrase_hdr,
+    "stream_names": lambda: oracle_names.credential_names("credential_clean"),
     "path_prefix": oracle_misc.path_prefix,
     "path_listing": oracle_misc.path_listing,
 }

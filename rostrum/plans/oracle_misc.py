@@ -118,6 +118,13 @@ WHERE lower(trim(coalesce(file_name, ''))) = lower({q(inputs.ROSTER_FILE)})
 """
 
 
+def file_exclusion_counts_table() -> str:
+    return f"""
+SELECT n_input, n_input - n_output AS n_excluded, n_output
+FROM (SELECT count(*) AS n_input FROM ({inputs.provider_text_sql()})), (SELECT count(*) AS n_output FROM ({file_exclude_table()}))
+"""
+
+
 def table_cells() -> str:
     columns = ["c_name", "c_nationkey", "c_mktsegment"]
     heads = ", ".join(f"(0, {i}, {q(c)})" for i, c in enumerate(columns))

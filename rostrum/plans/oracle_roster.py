@@ -8,7 +8,7 @@ columns expected for the derived workbook (worked out by hand below).
 """
 from __future__ import annotations
 
-from . import inputs
+from . import inputs, oracle_names
 from .oracle_ages import has, q, strip, sub
 
 # Expected standard columns of the derived workbook, per profile (hand-derived).
@@ -304,3 +304,27 @@ SELECT workbook, 1 AS header_line, {first} FROM cmap GROUP BY workbook
 UNION ALL
 SELECT workbook, 2 AS header_line, {second} FROM cmap GROUP BY workbook
 """
+
+
+def names_from_cells(candidates: list[str]) -> str:
+    """The cells of each sheet's name column, parsed by the rules of profile credential_clean; the other cells as text by header."""
+    ranked = " ".join(f"WHEN {q(c)} THEN {k}" for k, c in enumerate(candidates))
+    records = f"""
+SELECT r.workbook || '|' || r.sheet || '|' || r.row_idx AS id, r.value AS header_col_value, r.workbook AS file_name
+FROM record r"""
+    prefix = f"""
+WITH {_pipeline('general')},
+named AS (SELECT workbook, sheet, col_idx, header_row, header_text || CASE WHEN dup_n > 1 THEN '__dup' || (dup_n - 1) ELSE '' END AS name FROM hm),
+chosen AS (SELECT workbook, sheet, arg_min(col_idx, (CASE lower(trim(name)) {ranked} ELSE {len(candidates)} END) * 10000 + col_idx) AS value_col,
+                  arg_min(name, (CASE lower(trim(name)) {ranked} ELSE {len(candidates)} END) * 10000 + col_idx) AS value_header
+           FROM named GROUP BY workbook, sheet),
+record AS (SELECT c.workbook, c.sheet, c.row_idx, max(CASE WHEN c.col_idx = k.value_col THEN c.value END) AS value, k.value_header,
+                  coalesce(string_agg(n.name || '=' || c.value, '||' ORDER BY n.name) FILTER (c.col_idx <> k.value_col), '') AS columns
+           FROM cells c JOIN named n ON n.workbook = c.workbook AND n.sheet = c.sheet AND n.col_idx = c.col_idx
+           JOIN chosen k ON k.workbook = c.workbook AND k.sheet = c.sheet
+           WHERE c.row_idx > n.header_row GROUP BY c.workbook, c.sheet, c.row_idx, k.value_header)"""
+    parsed = oracle_names.credential_names("credential_clean").replace(inputs.provider_text_sql(), records)
+    return prefix + f"""
+SELECT p.* EXCLUDE (id), r.sheet AS source_sheet, CAST(r.row_idx AS INTEGER) AS source_row, r.value_header AS header_col_name, r.columns
+FROM ({parsed}) p JOIN record r ON p.id = r.workbook || '|' || r.sheet || '|' || r.row_idx
+"""

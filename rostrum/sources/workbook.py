@@ -20,7 +20,7 @@ import posixpath
 import re
 import zipfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -285,26 +285,70 @@ def sheet_check_report(cells: DataFrame, sheet: str | None = None) -> DataFrame:
     return per_book.select("workbook", problem.alias("problem")).filter(F.col("problem").isNotNull())
 
 
+SHEET = ["workbook", "sheet", "sheet_idx"]
 ORDER_COLUMNS = ["source_workbook", "source_sheet", "source_row"]
 
 
+def _named_grid(cells: DataFrame, extent: DataFrame, header: DataFrame, taken: Sequence[str] = ()) -> DataFrame:
+    """(sheet keys, col_idx, name): every column of every sheet under its header.
+
+    Blank headers are ``Column_<i+1>``, a header that repeats in a sheet gets ``__dup1`` and so on; so does one of ``taken``."""
+    grid = extent.select(*SHEET, F.explode(F.sequence(F.lit(0), "width")).alias("col_idx")).join(header, [*SHEET, "col_idx"], "left")
+    blank = F.coalesce("text", F.lit("")) == ""
+    grid = grid.withColumn("text", F.when(blank, F.concat(F.lit("Column_"), F.col("col_idx") + 1)).otherwise(F.col("text")))
+    again = F.row_number().over(Window.partitionBy(*SHEET, "text").orderBy("col_idx")) - 1
+    if taken:
+        again = again + F.col("text").isin(*taken).cast("int")
+    return grid.withColumn("name", F.when(again > 0, F.concat("text", F.lit("__dup"), again)).otherwise(F.col("text")))
+
+
+def cells_to_records(cells: DataFrame, candidates: Sequence[str], value_name: str = "header_col_value",
+                     header_rows: DataFrame | None = None, keep_blank_rows: bool = True) -> DataFrame:
+    """Sheets -> one row a data row: ``ORDER_COLUMNS``, ``value_name`` and its header in header_col_name, and ``columns``, a map
+    of the row's other cells by header.
+
+    The value's column is found per sheet, in the sheet's own headers: the first of ``candidates`` (in their order, case and
+    outer blanks ignored) that the sheet has, else its first column. Headers stay in a table: none reaches the driver and no
+    column of the result grows with the workbooks. ``header_rows`` (sheet keys, header_row) names the header row of each sheet,
+    row 0 otherwise; a sheet's rows without a value up to its last row are kept unless ``keep_blank_rows`` is off."""
+    if header_rows is None:
+        header_rows = cells.select(*SHEET).distinct().withColumn("header_row", F.lit(0))
+    extent = cells.groupBy(*SHEET).agg(F.max("col_idx").alias("width"), F.max("row_idx").alias("last")).join(header_rows, SHEET)
+    header = (cells.join(header_rows, SHEET).filter(F.col("row_idx") == F.col("header_row"))
+              .select(*SHEET, "col_idx", F.trim("value").alias("text")))
+    grid = _named_grid(cells, extent, header)
+    wanted = F.array(*[F.lit(c.strip().lower()) for c in candidates]) if candidates else F.array().cast("array<string>")
+    rank = F.array_position(wanted, F.lower(F.trim("name")))
+    rank = F.when(rank > 0, rank).otherwise(len(candidates) + 1)
+    chosen = grid.groupBy(*SHEET).agg(F.min(F.struct(rank.alias("rank"), F.col("col_idx").alias("value_col"),
+                                                     F.col("name").alias("value_header"))).alias("best"))
+    grid = grid.join(chosen.select(*SHEET, "best.value_col", "best.value_header"), SHEET)
+    mine = F.col("col_idx") == F.col("value_col")
+    body = (cells.join(grid.select(*SHEET, "col_idx", "name", "value_col"), [*SHEET, "col_idx"])
+            .join(header_rows, SHEET).filter(F.col("row_idx") > F.col("header_row"))
+            .groupBy(*SHEET, "row_idx").agg(F.max(F.when(mine, F.col("value"))).alias(value_name), F.map_from_entries(
+                F.array_sort(F.collect_list(F.when(~mine & F.col("value").isNotNull(), F.struct("name", "value"))))).alias("columns")))
+    if keep_blank_rows:
+        rows = extent.filter(F.col("last") > F.col("header_row")).select(
+            *SHEET, F.explode(F.sequence(F.col("header_row") + 1, F.col("last"))).alias("row_idx"))
+        body = rows.join(body, [*SHEET, "row_idx"], "left")
+    body = body.join(chosen.select(*SHEET, "best.value_header"), SHEET)
+    return body.select(F.col("workbook").alias("source_workbook"), F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"),
+                       value_name, F.col("value_header").alias("header_col_name"), "columns")
+
+
 def cells_to_table(cells: DataFrame, header_row: int = 0) -> DataFrame:
     """Sheets with their header in ``header_row`` -> one wide table of all
     workbooks and sheets, united by header name; then the ``ORDER_COLUMNS``.
 
     Blank headers are ``Column_<i+1>``, a header that repeats in a sheet gets
     ``__dup1`` and so on, rows without a value are kept up to the sheet's last
-    row. Only the distinct header names reach the driver."""
-    keys = ["workbook", "sheet", "sheet_idx"]
+    row. The distinct header names reach the driver and are columns: for few
+    workbooks; ``cells_to_records`` holds for any number."""
+    keys = SHEET
     extent = cells.groupBy(*keys).agg(F.max("col_idx").alias("width"), F.max("row_idx").alias("last"))
     header = cells.filter(F.col("row_idx") == header_row).select(*keys, "col_idx", F.trim("value").alias("text"))
-    grid = extent.select(*keys, F.explode(F.sequence(F.lit(0), "width")).alias("col_idx")).join(
-        header, [*keys, "col_idx"], "left")
-    blank = F.coalesce("text", F.lit("")) == ""
-    grid = grid.withColumn("text", F.when(blank, F.concat(F.lit("Column_"), F.col("col_idx") + 1)).otherwise(F.col("text")))
-    again = F.row_number().over(Window.partitionBy(*keys, "text").orderBy("col_idx")) - 1
-    again = again + F.col("text").isin(*ORDER_COLUMNS).cast("int")
-    grid = grid.withColumn("name", F.when(again > 0, F.concat("text", F.lit("__dup"), again)).otherwise(F.col("text")))
+    grid = _named_grid(cells, extent, header, ORDER_COLUMNS)
     names = [r["name"] for r in grid.groupBy("name").agg(F.min("col_idx").alias("at")).orderBy("at", "name").collect()]
     body = (cells.filter(F.col("row_idx") > header_row).join(grid.select(*keys, "col_idx", "name"), [*keys, "col_idx"])
             .groupBy(*keys, "row_idx").pivot("name", names).agg(F.first("value")))

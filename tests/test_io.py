@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from rostrum.operators.roster import standardize_roster
 from rostrum.sinks import write_name_jsonl, write_roster
 from rostrum.sources.workbook import check_sheet, read_workbooks, write_xlsx
-from rostrum.streaming import run_file_stream, stream_ages
+from rostrum.operators.ages import clean_ages
+from rostrum.operators.names import clean_names
+from rostrum.streaming import run_file_stream
 
 
 def test_xlsx_roundtrip_and_roster(spark):
@@ -43,7 +45,7 @@ def test_stream_ages(spark):
                           "id int, header_col_value string, header_col_name string").write.mode("append").parquet(src)
     sink, ck = tempfile.mkdtemp(prefix="rostrum-sink-"), tempfile.mkdtemp(prefix="rostrum-ck-")
     q = run_file_stream(spark, src, "id int, header_col_value string, header_col_name string",
-                        lambda s: stream_ages(s, "phrase_hdr"), sink, ck)
+                        lambda s: clean_ages(s, "phrase_hdr"), sink, ck)
     q.awaitTermination(120)
     got = {r["id"]: (r["min_age"], r["max_age"]) for r in spark.read.parquet(sink).collect()}
     assert got == {1: (18.0, 150.0), 2: (0.0, 18.0)}
@@ -67,13 +69,12 @@ def test_xlsx_default_missing_texts(spark):
 
 
 def test_stream_names(spark):
-    from rostrum.streaming import stream_names
     src = tempfile.mkdtemp(prefix="rostrum-nsrc-")
     spark.createDataFrame([(1, "Doe, John, MD", "a.xlsx"), (2, "St Mary Hospital", "a.xlsx")],
                           "id int, header_col_value string, file_name string").write.mode("append").parquet(src)
     sink, ck = tempfile.mkdtemp(prefix="rostrum-nsink-"), tempfile.mkdtemp(prefix="rostrum-nck-")
     q = run_file_stream(spark, src, "id int, header_col_value string, file_name string",
-                        lambda s: stream_names(s, "credential_org"), sink, ck)
+                        lambda s: clean_names(s, "credential_org"), sink, ck)
     q.awaitTermination(120)
     got = {r["id"]: (r["first_name"], r["last_name"], r["designation"], r["organization"])
            for r in spark.read.parquet(sink).collect()}
