@@ -31,7 +31,6 @@ import hashlib
 import math
 from collections import Counter
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,7 +42,7 @@ from .common import array_batches, arrow_schema, as_batches, rows_of
 
 SHARE = 2e-6
 FLUSH = 1_500_000       # pairs that a task gathers before it hands on their counts
-KNOWN = 300_000         # groups whose text and pairs a task remembers before it starts anew
+KNOWN = 300_000         # groups that a task remembers before it starts anew
 PART = 50_000           # distinct pairs of a document in one row
 HALF = 32               # bits of an id in a pair
 
@@ -56,41 +55,54 @@ class Sides:
 
         self.a = load_tokenizer(a_path)
         to_byte = byte_characters()
-        self.a_bytes = {}
-        for entry, i in self.a.tokenizer.get_vocab().items():
-            known = all(c in to_byte for c in entry)
-            self.a_bytes[i] = bytes(to_byte[c] for c in entry) if known else entry.encode()
+        vocabulary = self.a.tokenizer.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for entry, i in vocabulary.items():
+            self.a_bytes[i] = bytes(map(to_byte.__getitem__, entry)) if all(c in to_byte for c in entry) else entry.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
-        self.a_sizes = {i: len(x) for i, x in self.a_bytes.items()}
-        self.b_sizes = [len(x) for x in self.b_bytes]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in entries], np.int64) for entries in (self.a_bytes, self.b_bytes))
 
-    def ids(self, text: str) -> tuple[list[int], list[int]]:
-        spaced = " " + text
+    def a_ids(self, text: str) -> np.ndarray:
         if self.a.fast is not None:
-            a = self.a.fast.encode_ordinary(spaced)
-        else:
-            self.a.tokenizer.encode_special_tokens = True
-            a = self.a.tokenizer.encode(spaced, add_special_tokens=False).ids
-            self.a.tokenizer.encode_special_tokens = False
-        return a, self.b.encode(text)
-
-    def groups(self, text: str | None) -> tuple[list[int], list[int], list[tuple[tuple[int, ...], tuple[int, ...]]]]:
-        """Ids of both sides and the groups; nothing where the text has no tokens by definition."""
+            return self.a.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        self.a.tokenizer.encode_special_tokens = True
+        ids = self.a.tokenizer.encode(text, add_special_tokens=False).ids
+        self.a.tokenizer.encode_special_tokens = False
+        return np.array(ids, np.int64)
+
+    def b_ids(self, text: str) -> list[int]:
+        """Ids of side B, none where they don't join to a space and the text."""
+        ids = self.b.encode(text)
+        return ids if b"".join(map(self.b_bytes.__getitem__, ids)) == (" " + text).encode("utf-8", "surrogatepass") else []
+
+    def cuts(self, text: str | None):
+        """Ids of both sides, and how many of each side lie before the end of each group; None where the text has no tokens by definition."""
         if not text:
-            return [], [], []
-        a, b = self.ids(text)
-        raw = (" " + text).encode("utf-8", "surrogatepass")
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], [], []
+            return None
+        a_ids, b = self.a_ids(" " + text), self.b_ids(text)
+        raw, a, b_ids = (" " + text).encode("utf-8", "surrogatepass"), a_ids.tolist(), np.array(b, np.int64)
+        a_ends, b_ends = (np.cumsum(sizes[ids]).tolist() for sizes, ids in ((self.a_sizes, a_ids), (self.b_sizes, b_ids)))
+        if not a or not b or not a_ends[-1] == b_ends[-1] == len(raw):
+            return None
+        # byte-level ids of the fast way join to the text where they are as long
+        if self.a.fast is None and b"".join(map(self.a_bytes.__getitem__, a)) != raw:
+            return None
         # end of each token -> number of tokens up to it; of tokens without bytes the last one counts
-        a_at = dict(zip(accumulate(map(self.a_sizes.__getitem__, a)), range(1, len(a) + 1)))
-        b_at = dict(zip(accumulate(map(self.b_sizes.__getitem__, b)), range(1, len(b) + 1)))
+        a_at, b_at = dict(zip(a_ends, range(1, len(a) + 1))), dict(zip(b_ends, range(1, len(b) + 1)))
         both = sorted(a_at.keys() & b_at.keys())
-        a_cuts, b_cuts = [a_at[end] for end in both], [b_at[end] for end in both]
-        a_ids, b_ids = tuple(a), tuple(b)
-        return a, b, [(a_ids[i:j], b_ids[k:m]) for i, j, k, m in zip([0, *a_cuts], a_cuts, [0, *b_cuts], b_cuts)]
+        a_cuts, b_cuts = (np.fromiter(map(at.__getitem__, both), np.int64, len(both)) for at in (a_at, b_at))
+        return a, b, a_ids, b_ids, a_cuts, b_cuts
+
+    def groups(self, text: str | None) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+        """Ids of both sides in each group."""
+        cut = self.cuts(text)
+        if cut is None:
+            return []
+        a, b, _, _, a_cuts, b_cuts = cut
+        a_cuts, b_cuts = a_cuts.tolist(), b_cuts.tolist()
+        return [(tuple(a[i:j]), tuple(b[k:m])) for i, j, k, m in zip([0, *a_cuts], a_cuts, [0, *b_cuts], b_cuts)]
 
 
 @lru_cache(maxsize=1)
@@ -101,43 +113,67 @@ def load_sides(a_path: str, b_path: str) -> Sides:
 def pairs_of(group) -> tuple[list[int], list[int], int]:
     """Distinct pairs of a group, the occurrences of each, and the number of links."""
     a, b = group
-    if len(a) == 1 == len(b):
-        return [a[0] << HALF | b[0]], [1], 1
     left, right = Counter(a), Counter(b)
     pairs = [x << HALF | y for x in left for y in right]
     return pairs, [n * m for n in left.values() for m in right.values()], len(a) * len(b)
 
 
 class Links:
-    """The distinct linked pairs of texts; remembers the pairs of a bounded number of groups."""
+    """The distinct linked pairs of texts; remembers a bounded number of groups.
+
+    A group of one token a side goes by its pair, every other one by a negative number of its own."""
 
     def __init__(self, sides: Sides):
-        self.sides, self.known = sides, {}
+        self.sides = sides
+        self.forget()
+
+    def forget(self):
+        self.texts: dict[int, str] = {}          # of every known group, by its number
+        self.numbers: dict[tuple, int] = {}      # of groups with more tokens
+        self.pairs: dict[int, tuple] = {}        # of the same
 
     def of(self, text: str | None):
         """(n_a, n_b, n_groups, n_links, digest, pairs, times): sorted distinct pairs and how often each is linked."""
-        a, b, groups = self.sides.groups(text)
-        if not groups:
+        cut = self.sides.cuts(text)
+        if cut is None:
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        distinct = Counter(groups)
-        for group in distinct:
-            if group not in known:
-                known[group] = (",".join(map(str, group[0])) + "|" + ",".join(map(str, group[1])), *pairs_of(group))
-        digest = hashlib.sha256(";".join([known[g][0] for g in groups]).encode()).hexdigest()
-        pairs, times, links = [], [], 0
-        for group, n in distinct.items():
-            _, own, often, size = known[group]
+        if len(self.texts) > KNOWN:
+            self.forget()
+        a, b, a_ids, b_ids, a_cuts, b_cuts = cut
+        a_from, b_from = np.append(0, a_cuts[:-1]), np.append(0, b_cuts[:-1])
+        numbers = a_ids[a_from] << HALF | b_ids[b_from]
+        wide = np.flatnonzero((a_cuts - a_from > 1) | (b_cuts - b_from > 1))
+        a_all, b_all = tuple(a), tuple(b)
+        numbers[wide] = [self.number((a_all[i:j], b_all[k:m])) for i, j, k, m in
+                         zip(*(x[wide].tolist() for x in (a_from, a_cuts, b_from, b_cuts)))]
+        distinct, often = np.unique(numbers, return_counts=True)
+        known = self.texts
+        for number in distinct.tolist():
+            if number not in known:
+                known[number] = f"{number >> HALF}|{number & (2 ** HALF - 1)}"
+        digest = hashlib.sha256(";".join(map(known.__getitem__, numbers.tolist())).encode()).hexdigest()
+        more = int(np.searchsorted(distinct, 0))         # groups with more tokens come first
+        links = int(often[more:].sum())
+        pairs, times = [], []
+        for number, n in zip(distinct[:more].tolist(), often[:more].tolist()):
+            own, each, size = self.pairs[number]
             pairs += own
-            times += often if n == 1 else [n * m for m in often]
+            times += each if n == 1 else [n * m for m in each]
             links += n * size
-        codes, at = np.unique(np.array(pairs, np.int64), return_inverse=True)
-        # whole numbers: exact where doubles would round
-        summed = np.zeros(len(codes), np.int64)
-        np.add.at(summed, at, np.array(times, np.int64))
-        return len(a), len(b), len(groups), links, digest, codes, summed
+        codes = np.concatenate([distinct[more:], np.array(pairs, np.int64)])
+        order = np.argsort(codes, kind="stable")
+        codes, summed = codes[order], np.concatenate([often[more:], np.array(times, np.int64)])[order]
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        codes, summed = codes[first], np.add.reduceat(summed, first)     # whole numbers: doubles would round
+        return len(a), len(b), len(numbers), links, digest, codes, summed
+
+    def number(self, group: tuple) -> int:
+        found = self.numbers.get(group)
+        if found is None:
+            found = self.numbers[group] = -1 - len(self.numbers)
+            self.texts[found] = "|".join(",".join(map(str, side)) for side in group)
+            self.pairs[found] = pairs_of(group)
+        return found
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,7 +186,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
 
     def align(batches):
         sides = load_sides(a_path, b_path)
-        yield from as_batches(((i, [{"a": list(a), "b": list(b)} for a, b in sides.groups(text)[2]])
+        yield from as_batches(((i, [{"a": list(a), "b": list(b)} for a, b in sides.groups(text)])
                                for i, text in rows_of(batches, ["id", "text"])), schema, 200)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(align, out)
