@@ -93,13 +93,16 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
     """Literals that sensitive names are given, straight or through other names."""
     if "=" not in text and ":" not in text:
         return []
-    given: dict[str, list[tuple[int, int]]] = {}       # name: spans of the literals that it stands for
-    best: dict[tuple[int, int], float] = {}            # literal: the most sensitive name that it reaches
-    phrases: set[tuple[int, int]] = set()              # literals that reach a name of phrases
+    # An assignment is a node with its own literals and the earlier assignments that it takes over: what it stands for
+    # is never copied, so a name that is built up over many lines costs no more than its lines.
+    given: dict[str, int] = {}                         # name: the assignment that it stands for
+    nodes: list[tuple[list[tuple[int, int]], list[int]]] = []
+    best: list[float] = []                             # the most sensitive name that an assignment reaches
+    phrase: list[bool] = []                            # whether it reaches a name of phrases
     at = 0
     while target := TARGET.search(text, at):
         name, at = target["name"], target.end()
-        values = []
+        values, taken = [], []
         while operand := OPERAND.match(text, at):
             group = operand.lastgroup
             a, b = operand.span(group)
@@ -110,7 +113,7 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
                     b -= 1
                 word = text[a:b]
                 if word in given:
-                    values += given[word]
+                    taken.append(given[word])
                 elif group == "bare" and b > a and (not NAME.fullmatch(word) or target["op"] in ("=", ":=", ":")):
                     values.append((a, b))
             at = operand.end()
@@ -118,17 +121,22 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
             if not more:
                 break
             at = more.end()
-        if not values:
+        if not values and not taken:
             continue
-        given[name] = values
+        given[name] = len(nodes)
         sensitive = name_score(name)
-        if sensitive:
-            for span in values:
-                best[span] = max(best.get(span, 0.0), sensitive)
-            if names_phrase(name):
-                phrases.update(values)
-    return [(a, b, "literal") for (a, b), sensitive in best.items()
-            if sensitive * literal_score(text[a:b], (a, b) in phrases) >= threshold]
+        nodes.append((values, taken))
+        best.append(sensitive)
+        phrase.append(bool(sensitive) and names_phrase(name))
+    found = []
+    for k in range(len(nodes) - 1, -1, -1):            # an assignment takes over earlier ones only
+        values, taken = nodes[k]
+        for earlier in taken:
+            best[earlier] = max(best[earlier], best[k])
+            phrase[earlier] |= phrase[k]
+        if best[k]:
+            found += [(a, b, "literal") for a, b in values if best[k] * literal_score(text[a:b], phrase[k]) >= threshold]
+    return found
 
 
 def scan(text: str | None, threshold: float = THRESHOLD) -> tuple[list, list]:
