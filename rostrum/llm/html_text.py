@@ -26,14 +26,15 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
 from .common import arrow_schema, as_batches, rows_of
 
 WINDOW = 3
-SURGE = 40               # characters in a window, on pages without a marked article
-MARKED_SHARE = 0.2       # of the page's text that a marked article has at least
+SURGE = 40               # characters in a window
 LINK_SHARE = 0.6
 
 # Elements of HTML.
@@ -54,7 +55,7 @@ skip hidden outbrain taboola""".split())
 
 TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"""
-    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
+    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>"']|"[^"]*"|'[^']*')*+)>"""
     r"""|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?][^>]*>""", re.S | re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -102,17 +103,23 @@ def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int, bool]], bool
     def pop():
         nonlocal aside, main, link
         name, beside = stack.pop()
+        open_names[name] -= 1
         aside -= beside
         main -= name in ("article", "main")
         link -= name == "a"
 
+    open_names: Counter = Counter()
     at = 0
-    for token in TOKEN.finditer(page):
+    # behind the last ">" no tag can end: what looks like one there is text, unless a comment or script is still open
+    tags_end = page.rfind(">") + 1
+    for token in TOKEN.finditer(page, 0, tags_end):
         if token.start() > at:
             parts.append(page[at:token.start()])
             if link:
                 links.append(parts[-1])
         at = token.end()
+        if at == tags_end and _unclosed(token):
+            at = len(page)
         name = (token["name"] or token["name2"] or "").lower()
         if not name:
             continue
@@ -120,7 +127,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int, bool]], bool
         if token["close"] or token["close2"]:
             if name not in INLINE:
                 end_line()
-            if any(open_ == name for open_, _ in stack):
+            if open_names[name] > 0:
                 # An inline end tag doesn't reach out of its block.
                 if name in INLINE and not _open_in_block(stack, name):
                     continue
@@ -150,14 +157,23 @@ def page_lines(page: str) -> tuple[list[tuple[str, bool, bool, int, bool]], bool
         if name in ("article", "main") and not aside:
             marked = True
         stack.append((name, beside))
+        open_names[name] += 1
         aside += beside
         main += name in ("article", "main")
         link += name == "a"
-    parts.append(page[at:])
+    parts.append(page[at:].partition("<!--")[0])
     end_line()
     return lines, marked
 
 
+def _unclosed(token: re.Match) -> bool:
+    """Does a comment or an element of raw text go on to the end of the page?"""
+    text = token[0]
+    if token["raw"]:
+        return not re.search(rf"</{token['raw']}\s*>\Z", text, re.I)
+    return text.startswith("<!--") and (len(text) < 7 or not text.endswith("-->"))
+
+
 def _open_in_block(stack: list, name: str) -> bool:
     for open_, _ in reversed(stack):
         if open_ == name:
@@ -175,26 +191,35 @@ def _closes(stack: list, name: str) -> bool:
     return False
 
 
+def surge_and_dive(lengths: list[int], window: int) -> tuple[int, int] | None:
+    """The lines from the first window that surges to the dive behind the last one; None where none surges."""
+    n = len(lengths)
+    ends = [0, *accumulate(lengths)]
+    sums = [ends[min(n, i + window)] - ends[i] for i in range(n)]
+    surges = [i for i in range(n) if sums[i] > SURGE]
+    if not surges:
+        return None
+    last = surges[-1]
+    while last < n and sums[last] > 0:
+        last += 1
+    return surges[0], last
+
+
 def main_text(page: str | None, window: int = WINDOW) -> str:
-    """The lines of the marked article, else those between the first surge and the last dive, joined by line ends."""
+    """The lines between the first surge and the last dive, joined by line ends.
+
+    On a page with a marked article only its lines weigh when the points are located, unless they never surge; an h1 before
+    the first surge belongs to the text; a page without a surge is kept whole."""
     if not page:
         return ""
     lines, marked = page_lines(page)
     lengths = [0 if beside or not inside and links > LINK_SHARE * len(text) else len(text)
                for text, beside, inside, links, _ in lines]
+    points = None
     if marked:
-        held = [n if line[2] else 0 for n, line in zip(lengths, lines, strict=True)]
-        if sum(held) >= MARKED_SHARE * sum(lengths):
-            return "\n".join(line[0] for n, line in zip(held, lines, strict=True) if n)
-    n = len(lengths)
-    sums = [sum(lengths[i:i + window]) for i in range(n)]
-    surges = [i for i in range(n) if sums[i] > SURGE]
-    first, last = 0, n
-    if surges:
-        first, last = surges[0], surges[-1]
-        while last < n and sums[last] > 0:
-            last += 1
-        first = next((i for i in range(first) if lines[i][4] and lengths[i]), first)
+        points = surge_and_dive([n if line[2] else 0 for n, line in zip(lengths, lines, strict=True)], window)
+    first, last = points or surge_and_dive(lengths, window) or (0, len(lengths))
+    first = next((i for i in range(first) if lines[i][4] and lengths[i]), first)
     return "\n".join(lines[k][0] for k in range(first, last) if lengths[k])
 
 
