@@ -191,10 +191,13 @@ def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, s
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the smallest id of each component, all columns as they are; of rows with that id, one."""
     names = docs.columns
-    numbered = docs.withColumn("simhash_row", F.monotonically_increasing_id()).withColumn("simhash_text", F.col(text_col))
-    held = land(with_fingerprints(numbered, words, seed, "simhash_text"), "simhash")      # written, so row numbers stay
-    first = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("simhash_row").alias("row"))
+    # own names inside: a user's column may have any
+    held_ = [f"c{k}" for k in range(len(names))]
+    key, text = held_[names.index(id_col)], held_[names.index(text_col)]
+    numbered = docs.toDF(*held_).withColumn("row", F.monotonically_increasing_id()).withColumn("words", F.col(text))
+    held = land(with_fingerprints(numbered, words, seed, "words"), "simhash")      # written, so row numbers stay
+    first = F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col("row").alias("row"))
     prints = land(held.groupBy("simhash").agg(F.min(first).alias("first")), "prints")
     kept = (classes(prints, distance).join(prints, "simhash").groupBy("component").agg(F.min("first").alias("first"))
-            .select(F.col("first.row").alias("simhash_row")))
-    return held.join(kept, "simhash_row", "left_semi").select(*names)
+            .select(F.col("first.row").alias("row")))
+    return held.join(kept, "row", "left_semi").select(*held_).toDF(*names)

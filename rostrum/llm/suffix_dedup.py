@@ -426,11 +426,13 @@ def dedup_documents(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, i
 def without_repeats(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, text_col: str = "text",
                     length_col: str | None = "n_chars") -> DataFrame:
     """All rows and columns; repeated strings are cut out of the text. Characters cut in two go whole."""
-    kept = _kept(docs, length, block, text_col).select("text_key", "kept")
-    keyed = _keyed(docs, text_col)
+    # own names inside: a user's column may have any
+    names, kinds = docs.columns, docs.schema
+    held = [f"c{k}" for k in range(len(names))]
+    docs, text = docs.toDF(*held), held[names.index(text_col)]
+    kept = _kept(docs, length, block, text).select("text_key", "kept")
+    keyed = _keyed(docs, text)
     copies = keyed.groupBy("text_key", "text_key2").agg(F.count(F.lit(1)).alias("copies"))
-    schema = keyed.schema
-    names = docs.columns
     # One table of changes, so that the texts are shuffled once.
     changes = copies.join(kept, "text_key", "left").filter("copies > 1 or kept is not null").withColumn(
         "copies", F.when(F.col("copies") > 1, F.col("copies")))
@@ -440,18 +442,19 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, t
         import pyarrow as pa
 
         for batch in batches:
-            col = {f.name: batch.column(k).to_pylist() for k, f in enumerate(batch.schema) if f.name in (text_col, "copies", "kept")}
+            col = {f.name: batch.column(k).to_pylist() for k, f in enumerate(batch.schema) if f.name in (text, "copies", "kept")}
             texts = []
-            for text, copies_, data in zip(col[text_col], col["copies"], col["kept"], strict=True):
-                if copies_ and text and len(text.encode()) >= length:
-                    text = ""
+            for whole, copies_, data in zip(col[text], col["copies"], col["kept"], strict=True):
+                if copies_ and whole and len(whole.encode()) >= length:
+                    whole = ""
                 elif data is not None:
-                    text = data.decode("utf-8", "ignore")
-                texts.append(text)
-            out = [pa.array(texts, pa.string()) if n == text_col else batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                    whole = data.decode("utf-8", "ignore")
+                texts.append(whole)
+            out = [pa.array(texts, pa.string()) if n == text else batch.column(batch.schema.get_field_index(n)) for n in held]
+            yield pa.RecordBatch.from_arrays(out, names=held)
 
-    out = joined.select(*names, "copies", "kept").mapInArrow(rebuild, docs.schema)
+    out = joined.select(*held, "copies", "kept").mapInArrow(rebuild, docs.schema)
     if length_col in names:
-        out = out.withColumn(length_col, F.coalesce(F.length(text_col), F.lit(0)).cast(schema[length_col].dataType))
-    return out.select(*names)
+        place = held[names.index(length_col)]
+        out = out.withColumn(place, F.coalesce(F.length(text), F.lit(0)).cast(kinds[length_col].dataType))
+    return out.toDF(*names)
