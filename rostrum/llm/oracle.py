@@ -40,3 +40,18 @@ from families f join subtrees s on s.path = f.path
 left join nodes p on p.path = f.parent
 left join children c on c.path = f.path
 """
+
+#: Vectors with a null or non-finite component take no part; products are whole numbers below 2^53, exact as doubles.
+OP3_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+scored as (
+    select q.vec_id as query_id, d.vec_id, list_dot_product(q.v, d.v)::bigint as score
+    from whole q join whole d on q.vec_id <> d.vec_id where q.vec_id % 100 = 0),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""

@@ -10,7 +10,7 @@ from .cover_tree import top_k
 from .fingerprints import fingerprint_documents
 from .html_text import extract_pages
 from .langid import predict_documents, train
-from .oracle import OP13_SQL
+from .oracle import OP3_SQL, OP13_SQL
 from .packing import pack_documents
 from .prefix_trie import trie_of_conversations
 from .secrets import scan_documents
@@ -104,5 +104,6 @@ QUERIES = {
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {
+    "op3_cover_tree": OP3_SQL,
     "op13_prefix_trie": OP13_SQL,
 }
