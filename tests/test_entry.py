@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "pages", "documents"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels",
+          "conversations"]
 
 
 def test_entry(spark):
