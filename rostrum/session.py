@@ -67,4 +67,14 @@ def land(df: DataFrame, label: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/rostrum-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    landed = spark.read.schema(df.schema).parquet(path)
+    landed._landed = path
+    return landed
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``land`` returned (not frames made of them): when all that was made of them is written itself."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._landed)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
