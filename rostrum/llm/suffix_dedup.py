@@ -35,12 +35,13 @@ Memory of a task: a batch of extents, or one document.
 from __future__ import annotations
 
 import struct
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import land
+from ..session import forget, land
 from .common import arrow_schema, as_batches, rows_of
 
 LENGTH = 200
@@ -334,8 +335,8 @@ def _sorted(texts: DataFrame, length: int) -> DataFrame:
     return (texts.mapInArrow(cut, ddl).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, out_ddl))
 
 
-def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(texts with candidates, (text_key, start, end) of repeated bytes) from ``text_key`` and ``text``."""
+def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
+    """Texts with candidates, and tables (text_key, start, end) of repeated bytes, from ``text_key`` and ``text``; all are landed."""
     if not 16 <= length < 1 << 16:
         raise ValueError("length must be 16 to 65535 bytes")
     table = land(_anchor_table(texts, length), "anchors")
@@ -344,9 +345,11 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK)
     # Equal texts meet in the join; one of them goes on.
     held = texts.join(found, "text_key").withColumn("n", first).filter("n = 1").drop("n")
     held = land(held, "candidates")
-    marks, parts, asked = None, 1, held
+    forget(table)
+    marks, parts, asked, before = [], 1, held, []
     while True:
         refs = land(_references(asked, length, parts), "extents")
+        forget(*before)
         keys = ["bucket", "key1", "key2"]
         distinct = land(refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.first("text_key").alias("text_key"),
                                                 F.first("at").alias("at"), F.first("near").alias("near")), "distinct")
@@ -359,10 +362,11 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK)
         met = (refs.select(*keys, "text_key", "at").join(runs.unionByName(copied), keys)
                .select("text_key", (F.col("at") - F.col("first")).alias("start"),
                        (F.col("at") - F.col("last") + length).alias("end")))
-        met = land(met, "marks")
-        marks = met if marks is None else marks.unionByName(met)
+        marks.append(land(met, "marks"))
+        before = [refs, distinct]
         large = sizes.filter(F.col("n") > block).select("bucket")
         if large.isEmpty():
+            forget(*before)
             return held, marks
         parts *= 2
         again = _per_text(refs.join(large, "bucket").select("text_key", "gram", "at", "near"))
@@ -388,7 +392,8 @@ def _kept(docs: DataFrame, length: int, block: int, text_col: str) -> DataFrame:
     """(text_key, copies, kept binary, n_removed, n_spans) of the texts of which something is removed."""
     keyed = _keyed(docs.select(text_col), text_col).select(F.col(text_col).alias("text"), "text_key")
     held, marks = repeated_ranges(keyed, length, block)
-    per_text = marks.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    found = reduce(DataFrame.unionByName, marks)
+    per_text = found.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     ddl = "text_key long, kept binary, n_removed long, n_spans long"
     schema = arrow_schema(ddl)
 
@@ -403,7 +408,9 @@ def _kept(docs: DataFrame, length: int, block: int, text_col: str) -> DataFrame:
                 yield key, b"".join([*kept, data[at:]]), sum(b - a for a, b in spans), len(spans)
         yield from as_batches(results(), schema, 200)
 
-    return land(held.drop("found").join(per_text, "text_key").mapInArrow(cut, ddl), "kept")
+    kept = land(held.drop("found").join(per_text, "text_key").mapInArrow(cut, ddl), "kept")
+    forget(held, *marks)
+    return kept
 
 
 def dedup_documents(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, id_col: str = "doc_id",
