@@ -231,12 +231,15 @@ def _anchor_table(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("text_key", "text").mapInArrow(find, "gram long, text_key long, at long, near long")
 
 
-def _candidates(table: DataFrame) -> DataFrame:
-    """(text_key, found): anchors whose gram occurs again in other text or elsewhere in the same one."""
+def _candidates(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Anchors whose gram occurs again in other text or elsewhere in the same one, and the table of these grams.
+
+    The grams are landed, so that the join's sides are plain and Spark can split a gram that holds many of the rows."""
     again = (table.groupBy("gram").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"),
                                        F.min("at").alias("c"), F.max("at").alias("d"))
              .filter("a <> b or c <> d").select("gram"))
-    return table.join(again, "gram")
+    again = land(again, "grams")
+    return table.join(again, "gram"), again
 
 
 def _per_text(rows: DataFrame) -> DataFrame:
@@ -340,12 +343,13 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, block: int = BLOCK)
     if not 16 <= length < 1 << 16:
         raise ValueError("length must be 16 to 65535 bytes")
     table = land(_anchor_table(texts, length), "anchors")
-    found = _per_text(_candidates(table))
+    candidates, grams = _candidates(table)
+    found = _per_text(candidates)
     first = F.row_number().over(Window.partitionBy("text_key").orderBy(F.lit(1)))
     # Equal texts meet in the join; one of them goes on.
     held = texts.join(found, "text_key").withColumn("n", first).filter("n = 1").drop("n")
     held = land(held, "candidates")
-    forget(table)
+    forget(table, grams)
     marks, parts, asked, before = [], 1, held, []
     while True:
         refs = land(_references(asked, length, parts), "extents")
