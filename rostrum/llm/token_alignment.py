@@ -1,9 +1,9 @@
 """Alignment of the tokens of two tokenizers over the same texts.
 
 Both tokenizers cut the bytes of a text, a space before it, into tokens. The
-cumulative ends of each side go into a dictionary from end to index; the
-intersection of the two key sets, sorted, holds the places where tokens of both
-sides end. Those places slice both id lists into groups, the smallest stretches
+cumulative ends of each side go into a table from end to index (an array with a
+place for every byte); the places that both tables hold, in order, are those
+where tokens of both sides end. Those places slice both id lists into groups, the smallest stretches
 that both sides cut alike, and every token of a group's one side is linked with
 every token of its other side.
 
@@ -72,27 +72,32 @@ class Sides:
         self.a.tokenizer.encode_special_tokens = False
         return np.array(ids, np.int64)
 
-    def b_ids(self, text: str) -> list[int]:
-        """Ids of side B, none where they don't join to a space and the text."""
+    def b_ids(self, text: str, raw: bytes) -> list[int]:
+        """Ids of side B, none where they don't join to ``raw``, the bytes of a space and the text."""
         ids = self.b.encode(text)
-        return ids if b"".join(map(self.b_bytes.__getitem__, ids)) == (" " + text).encode("utf-8", "surrogatepass") else []
+        return ids if b"".join(map(self.b_bytes.__getitem__, ids)) == raw else []
 
     def cuts(self, text: str | None):
         """Ids of both sides, and how many of each side lie before the end of each group; None where the text has no tokens by definition."""
         if not text:
             return None
-        a_ids, b = self.a_ids(" " + text), self.b_ids(text)
-        raw, a, b_ids = (" " + text).encode("utf-8", "surrogatepass"), a_ids.tolist(), np.array(b, np.int64)
-        a_ends, b_ends = (np.cumsum(sizes[ids]).tolist() for sizes, ids in ((self.a_sizes, a_ids), (self.b_sizes, b_ids)))
-        if not a or not b or not a_ends[-1] == b_ends[-1] == len(raw):
+        spaced = " " + text
+        raw = spaced.encode("utf-8", "surrogatepass")
+        a_ids, b = self.a_ids(spaced), self.b_ids(text, raw)
+        if not len(a_ids) or not b:
+            return None
+        a, b_ids = a_ids.tolist(), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        if not a_ends[-1] == b_ends[-1] == len(raw):
             return None
         # byte-level ids of the fast way join to the text where they are as long
         if self.a.fast is None and b"".join(map(self.a_bytes.__getitem__, a)) != raw:
             return None
         # end of each token -> number of tokens up to it; of tokens without bytes the last one counts
-        a_at, b_at = dict(zip(a_ends, range(1, len(a) + 1))), dict(zip(b_ends, range(1, len(b) + 1)))
-        both = sorted(a_at.keys() & b_at.keys())
-        a_cuts, b_cuts = (np.fromiter(map(at.__getitem__, both), np.int64, len(both)) for at in (a_at, b_at))
+        a_at, b_at = np.zeros(len(raw) + 1, np.int64), np.zeros(len(raw) + 1, np.int64)
+        a_at[a_ends], b_at[b_ends] = np.arange(1, len(a) + 1), np.arange(1, len(b) + 1)
+        both = np.flatnonzero((a_at > 0) & (b_at > 0))
+        a_cuts, b_cuts = a_at[both], b_at[both]
         return a, b, a_ids, b_ids, a_cuts, b_cuts
 
     def groups(self, text: str | None) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:

@@ -122,3 +122,23 @@ def test_registered_query(spark):
     assert [t for _, t in got.select(*COLUMNS).dtypes] == ["bigint"] * 7 + ["string"]
     assert found(got) == brute(rows)
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_TOKENIZER
+
+
+def test_common_ends_are_those_of_dictionaries():
+    sides = T.load_sides(BYTE_TOKENIZER, PIECE_MODEL)
+    for text in [t for _, t in HOSTILE if t]:
+        raw = (" " + text).encode()
+        a, b = sides.a_ids(" " + text).tolist(), sides.b_ids(text, raw)
+        cut = sides.cuts(text)
+        if cut is None:
+            assert not b or sum(len(sides.a_bytes[i]) for i in a) != len(raw)
+            continue
+        tables = []
+        for ids, sizes in ((a, sides.a_sizes), (b, sides.b_sizes)):
+            at, table = 0, {}
+            for k, i in enumerate(ids, 1):
+                at += int(sizes[i])
+                table[at] = k
+            tables.append(table)
+        both = sorted(tables[0].keys() & tables[1].keys())
+        assert [c.tolist() for c in cut[4:]] == [[table[e] for e in both] for table in tables]
