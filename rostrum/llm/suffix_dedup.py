@@ -34,7 +34,6 @@ Memory of a task: a batch of extents, or one document.
 """
 from __future__ import annotations
 
-import struct
 from functools import reduce
 
 import numpy as np
@@ -42,12 +41,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import forget, land
-from .common import arrow_schema, as_batches, rows_of
+from .common import ROWS_AT_ONCE, array_batches, arrow_schema, as_batches, rows_of
 
 LENGTH = 200
 BLOCK = 4096             # distinct extents of a gram that are sorted together
 BATCH_BYTES = 500_000    # extents sorted at once
 STEP = 1 << 19           # windows of a long text looked at together
+SHORT = 1 << 16          # texts of fewer bytes are looked at together, about as many bytes at once
+PLACE = (1 << 20) - 1    # bits of a hash that make room for its place; over STEP and any length
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -55,9 +56,10 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int):
-    """Powers of the odd base and of its inverse modulo 2^64."""
+    """At least n powers of the odd base and of its inverse modulo 2^64."""
     size = 1 << max(12, (n - 1).bit_length())
-    if size not in _POWERS:
+    held = max(_POWERS, default=0)
+    if held < size:
         both = []
         for base in (_ODD, _INVERSE):
             a = np.full(size, base, np.uint64)
@@ -65,7 +67,8 @@ def _powers(n: int):
             both.append(np.multiply.accumulate(a))
         _POWERS.clear()
         _POWERS[size] = tuple(both)
-    return _POWERS[size]
+        held = size
+    return _POWERS[held]
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -80,31 +83,45 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
-def anchors(text: bytes, length: int) -> list[tuple[int, int, int, int]]:
-    """(gram hash, anchor, first window, last window) of a text, windows in order."""
+def anchors_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Columns (number of the text, gram hash, anchor, first window, last window), windows in order.
+
+    Smallest is by the hash without its lowest bits, which hold the place; so equal windows still have equal anchors."""
     gram = (length + 1) // 2
     width = length - gram + 1           # grams of a window
+    whole = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+    inside = np.zeros(len(whole) + 1, bool)         # windows that don't run over their text
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        inside[start:max(start, end - length + 1)] = True
     out = []
-    for at in range(0, len(text) - length + 1, STEP):
-        part = np.frombuffer(text[at:at + STEP + length - 1], np.uint8)
-        h = gram_hashes(part, gram)
-        least, reach = np.arange(len(h)), 1      # leftmost smallest of `reach` grams from each on
+    for at in range(0, len(whole) - length + 1, STEP):
+        h = gram_hashes(whole[at:at + STEP + length - 1], gram)
+        least, reach = h & ~np.uint64(PLACE) | np.arange(len(h), dtype=np.uint64), 1      # leftmost smallest of `reach` grams from each on
         while reach < width:
             more = min(reach, width - reach)
-            a, b = least[:-more], least[more:]
-            least = np.where(h[a] <= h[b], a, b)
+            least = np.minimum(least[:-more], least[more:])
             reach += more
-        first = np.flatnonzero(np.diff(least, prepend=-1))
-        last = np.append(first[1:], len(least)) - 1
-        where = least[first]
-        out += zip(h[where].view(np.int64).tolist(), (where + at).tolist(), (first + at).tolist(), (last + at).tolist(), strict=True)
-    return out
+        least = (least & np.uint64(PLACE)).astype(np.int64)
+        ok = inside[at:at + len(least)]
+        new = np.append(True, (least[1:] != least[:-1]) | ~ok[:-1] | ~ok[1:])
+        first, last = np.flatnonzero(ok & new), np.flatnonzero(ok & np.append(new[1:], True))
+        where, text = least[first], np.searchsorted(starts, first + at, "right") - 1
+        shift = at - starts[text]
+        out.append((text, h[where].view(np.int64), where + shift, first + shift, last + shift))
+    return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, np.int64),) * 5
+
+
+def anchors(text: bytes, length: int) -> list[tuple[int, int, int, int]]:
+    """(gram hash, anchor, first window, last window) of a text, windows in order."""
+    return list(zip(*(c.tolist() for c in anchors_of([text], length)[1:]), strict=True))
 
 
 # ------------------------------------------------- the difference-cover sort
 def _names(*columns: np.ndarray) -> tuple[np.ndarray, int]:
     """Dense ranks from 0 of the rows of the columns, and how many there are."""
-    order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
+    order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0])
     new = np.zeros(len(order), bool)
     for c in columns:
         sorted_ = c[order]
@@ -139,12 +156,15 @@ def suffix_ranks(s: np.ndarray, reach: int, cover: int = 1) -> np.ndarray:
     rest_key = padded[rest] * behind + rank[rest + 1]
     # Merge: against positions 1 mod 3 by (value, rank behind), against 2 mod 3 by (value, value, rank behind).
     one_key = padded[one] * behind + rank[np.minimum(one + 1, n + 2)]
-    two_rank, _ = _names(np.concatenate([padded[two], padded[rest]]),
-                         np.concatenate([padded[np.minimum(two + 1, n)], padded[np.minimum(rest + 1, n)]]),
-                         np.concatenate([rank[np.minimum(two + 2, n + 2)], rank[np.minimum(rest + 2, n + 2)]]))
+    keys = (np.concatenate([padded[two], padded[rest]]),
+            np.concatenate([padded[np.minimum(two + 1, n)], padded[np.minimum(rest + 1, n)]]),
+            np.concatenate([rank[np.minimum(two + 2, n + 2)], rank[np.minimum(rest + 2, n + 2)]]))
+    if limit * limit * behind < 1 << 62:
+        two_rank = (keys[0] * limit + keys[1]) * behind + keys[2]
+    else:
+        two_rank, _ = _names(*keys)
     two_key, rest_key2 = two_rank[:len(two)], two_rank[len(two):]
-    by_key = np.argsort(rest_key, kind="stable")
-    sorted_rest, sorted_rest2 = rest_key[by_key], np.sort(rest_key2)
+    sorted_rest, sorted_rest2 = np.sort(rest_key), np.sort(rest_key2)
     before = np.empty(len(sample), np.int64)         # remaining suffixes before each sampled one
     before[:len(one)] = np.searchsorted(sorted_rest, one_key, "left")
     before[len(one):] = np.searchsorted(sorted_rest2, two_key, "left")
@@ -160,8 +180,8 @@ def suffix_ranks(s: np.ndarray, reach: int, cover: int = 1) -> np.ndarray:
 
 
 def repeated_windows(groups: np.ndarray, counts: np.ndarray, sizes: np.ndarray, symbols: np.ndarray,
-                     reach: int) -> list[np.ndarray]:
-    """Of each extent, which of its windows of ``reach`` symbols are in another extent of its group.
+                     reach: int) -> np.ndarray:
+    """Of all windows of ``reach`` symbols of the extents, one extent after another: which are in another extent of their group.
 
     The extents lie one after another in ``symbols`` (from 1), ``sizes`` long;
     the ``counts`` windows of an extent start at its first symbols.
@@ -171,7 +191,9 @@ def repeated_windows(groups: np.ndarray, counts: np.ndarray, sizes: np.ndarray,
     at = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[own]
     ranks = suffix_ranks(symbols, reach)
     group = groups[own]
-    order = np.lexsort((ranks[at], group))
+    limit = int(ranks.max(initial=0)) + 1
+    packed = int(group.max(initial=0)) < (1 << 62) // limit
+    order = np.argsort(group * limit + ranks[at]) if packed else np.lexsort((ranks[at], group))
     windows = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int32), reach)
     same = np.zeros(len(order) + 1, bool)                # is a window equal to the one before it
     for a in range(0, len(order) - 1, 20_000):
@@ -184,13 +206,14 @@ def repeated_windows(groups: np.ndarray, counts: np.ndarray, sizes: np.ndarray,
         same[a + 1 + near] = (windows[x] == windows[y]).all(1)
     found = np.zeros(len(order), bool)
     found[order] = same[:-1] | same[1:]
-    return np.split(found, np.cumsum(counts)[:-1])
+    return found
 
 
-def sort_extents(extents: list[tuple[int, int, int, bytes]], length: int) -> list[np.ndarray]:
-    """Of each extent (gram hash, low, high, bytes), its windows in page order: are they in another one of its gram?
+def sort_extents(extents: list[tuple[int, int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the extent, first, last) of the runs of windows that are in another extent of the same gram.
 
-    All windows hold the gram itself, so it is one symbol of the sorted strings.
+    ``extents`` are (gram hash, low, high, bytes); windows are numbered in page order. All windows hold the gram itself, so it is
+    one symbol of the sorted strings.
     """
     size = (length + 1) // 2
     grams: dict[tuple[int, bytes], int] = {}
@@ -206,29 +229,45 @@ def sort_extents(extents: list[tuple[int, int, int, bytes]], length: int) -> lis
         at += sizes[-1]
     symbols = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1
     symbols[marks] = symbols_
-    return repeated_windows(np.array(symbols_), np.array(counts), np.array(sizes), symbols, length - size + 1)
-
-
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of the runs of true flags."""
-    edges = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+    counts = np.array(counts)
+    found = repeated_windows(np.array(symbols_), counts, np.array(sizes), symbols, length - size + 1)
+    own = np.repeat(np.arange(len(counts)), counts)
+    apart = np.append(own[1:] != own[:-1], True)             # the last window of an extent
+    ends = np.flatnonzero(found & (apart | ~np.append(found[1:], False)))
+    begins = np.flatnonzero(found & (np.append(True, apart[:-1]) | ~np.append(False, found[:-1])))
+    place = (np.cumsum(counts) - counts)[own[begins]]
+    return own[begins], begins - place, ends - place
 
 
 # ------------------------------------------------------------------ the jobs
 def _anchor_table(texts: DataFrame, length: int) -> DataFrame:
     """(gram, text_key, at): a row per anchor; ``at`` packs its place and its windows."""
-    schema = arrow_schema("gram long, text_key long, at long, near long")
+    ddl = "gram long, text_key long, at long, near long"
+    schema = arrow_schema(ddl)
 
-    def find(batches):
-        def results():
-            for key, text in rows_of(batches, ["text_key", "text"]):
-                if text and len(text) * 4 >= length:
-                    for gram, where, first, last in anchors(text.encode(), length):
-                        yield gram, key, where, (where - first) << 16 | where - last
-        yield from as_batches(results(), schema, 20_000)
+    def rows(keys, texts):
+        text, gram, where, first, last = anchors_of(texts, length)
+        yield from array_batches([gram, np.array(keys, np.int64)[text], where, (where - first) << 16 | where - last], schema)
 
-    return texts.select("text_key", "text").mapInArrow(find, "gram long, text_key long, at long, near long")
+    def find(batches):
+        keys, short, size = [], [], 0
+        for key, text in rows_of(batches, ["text_key", "text"]):
+            if not text or len(text) * 4 < length:
+                continue
+            data = text.encode()
+            if len(data) >= SHORT:
+                yield from rows([key], [data])
+            elif len(data) >= length:
+                keys.append(key)
+                short.append(data)
+                size += len(data)
+            if size >= SHORT:
+                yield from rows(keys, short)
+                keys, short, size = [], [], 0
+        if keys:
+            yield from rows(keys, short)
+
+    return texts.select("text_key", "text").mapInArrow(find, ddl)
 
 
 def _candidates(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -247,17 +286,38 @@ def _per_text(rows: DataFrame) -> DataFrame:
     return rows.groupBy("text_key").agg(F.collect_set(F.struct("gram", "at", "near")).alias("found"))
 
 
-def _gram_hashes_at(data: bytes, places: list[int], size: int) -> np.ndarray:
+def _gram_hashes_at(data: bytes, places: np.ndarray, size: int) -> np.ndarray:
     """The gram hashes at some places of a text."""
     whole = np.frombuffer(data, np.uint8)
-    grams = whole[np.array(places)[:, None] + np.arange(size)]
-    h = ((grams.astype(np.uint64) + np.uint64(1)) * _powers(size)[0][:size]).sum(1, dtype=np.uint64)
+    if len(whole) <= size * len(places) and len(whole) <= STEP:
+        return gram_hashes(whole, size)[places].view(np.int64)
+    h = np.empty(len(places), np.uint64)
+    for a in range(0, len(places), 10_000):
+        grams = whole[places[a:a + 10_000, None] + np.arange(size)]
+        h[a:a + 10_000] = ((grams.astype(np.uint64) + np.uint64(1)) * _powers(size)[0][:size]).sum(1, dtype=np.uint64)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     return h.view(np.int64)
 
 
+def _listed(batches, text_col: str, list_col: str):
+    """Of each row its other columns' values as a tuple, the text's bytes and the list's fields as arrays."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(start, ROWS_AT_ONCE)
+            column = {f.name: part.column(k) for k, f in enumerate(part.schema)}
+            lists = column.pop(list_col)
+            texts = column.pop(text_col).to_pylist()
+            others = list(zip(*[c.to_pylist() for c in column.values()])) or [()] * len(texts)
+            edges = lists.offsets.to_numpy()
+            edges = (edges - edges[0]).tolist()
+            flat = lists.flatten()
+            fields = [c.to_numpy(zero_copy_only=False) for c in flat.flatten()]
+            for other, text, a, b in zip(others, texts, edges, edges[1:]):
+                yield other, text.encode(), [f[a:b] for f in fields]
+
+
 def _references(texts: DataFrame, length: int, parts: int) -> DataFrame:
     """A row per extent, without its bytes: bucket, a 128-bit hash of the extent, its place.
 
@@ -269,30 +329,44 @@ def _references(texts: DataFrame, length: int, parts: int) -> DataFrame:
     size = (length + 1) // 2
     width = length - size + 1
 
+    def of_text(key, data, found, digest):
+        gram, at, near = found
+        inside = at + size <= len(data)
+        gram, at, near = gram[inside], at[inside], near[inside]
+        if not len(at):
+            return
+        # other places are another text's, whose key is the same
+        true = _gram_hashes_at(data, at, size) == gram
+        gram, at, near = gram[true], at[true], near[true]
+        for k in range(parts):
+            a, b = width * k // parts, width * (k + 1) // parts - 1
+            lo, hi = np.maximum(near & 0xFFFF, a), np.minimum(near >> 16, b)
+            some = np.flatnonzero(lo <= hi)
+            if a > b or not len(some):
+                continue
+            lo, hi, where, bucket = lo[some], hi[some], at[some], gram[some]
+            if parts > 1:
+                shared = b"".join([digest(data[w - a:w - b + length], seed=k)[:8] for w in where.tolist()])
+                bucket = np.frombuffer(shared, "<i8")
+            span = hi << 16 | lo
+            codes = b"".join([digest(data[w - h:w - l + length], seed=l << 16 | h)
+                              for w, h, l in zip(where.tolist(), hi.tolist(), lo.tolist())])
+            codes = np.frombuffer(codes, "<i8").reshape(-1, 2)
+            yield bucket, codes[:, 0], codes[:, 1], np.full(len(some), key), gram[some], where, span
+
     def refer(batches):
         from xxhash import xxh3_128_digest
 
-        def results():
-            for key, text, found in rows_of(batches, ["text_key", "text", "found"]):
-                data = text.encode()
-                found = [f for f in found if f["at"] + size <= len(data)]
-                true = _gram_hashes_at(data, [f["at"] for f in found], size) if found else []
-                for f, gram in zip(found, true, strict=True):
-                    if gram != f["gram"]:           # the place is another text's, whose key is the same
-                        continue
-                    at, high, low = f["at"], f["near"] >> 16, f["near"] & 0xFFFF
-                    for k in range(parts):
-                        a, b = width * k // parts, width * (k + 1) // parts - 1
-                        lo, hi = max(low, a), min(high, b)
-                        if lo > hi or a > b:
-                            continue
-                        bucket = f["gram"]
-                        if parts > 1:
-                            shared = data[at - a:at - b + length]
-                            bucket = struct.unpack("<q", xxh3_128_digest(shared, seed=k)[:8])[0]
-                        code = xxh3_128_digest(data[at - hi:at - lo + length], seed=lo << 16 | hi)
-                        yield (bucket, *struct.unpack("<2q", code), key, f["gram"], at, hi << 16 | lo)
-        yield from as_batches(results(), schema, 20_000)
+        rows, n = [], 0
+        for (key,), data, found in _listed(batches, "text", "found"):
+            for columns in of_text(key, data, found, xxh3_128_digest):
+                rows.append(columns)
+                n += len(columns[0])
+            if n >= 20_000:
+                yield from array_batches(list(map(np.concatenate, zip(*rows))), schema)
+                rows, n = [], 0
+        if rows:
+            yield from array_batches(list(map(np.concatenate, zip(*rows))), schema)
 
     return texts.select("text_key", "text", "found").mapInArrow(refer, ddl)
 
@@ -304,11 +378,9 @@ def _sorted(texts: DataFrame, length: int) -> DataFrame:
 
     def cut(batches):
         def results():
-            for text, wanted in rows_of(batches, ["text", "wanted"]):
-                data = text.encode()
-                for w in wanted:
-                    high, low = w["near"] >> 16, w["near"] & 0xFFFF
-                    yield w["bucket"], w["key1"], w["key2"], w["near"], data[w["at"] - high:w["at"] - low + length]
+            for _, data, (bucket, key1, key2, at, near) in _listed(batches, "text", "wanted"):
+                first, last = (at - (near >> 16)).tolist(), (at - (near & 0xFFFF) + length).tolist()
+                yield from zip(bucket.tolist(), key1.tolist(), key2.tolist(), near.tolist(), [data[a:b] for a, b in zip(first, last)])
         yield from as_batches(results(), schema)
 
     out_ddl = "bucket long, key1 long, key2 long, first int, last int"
@@ -329,10 +401,10 @@ def _sorted(texts: DataFrame, length: int) -> DataFrame:
     def sort(batches):
         def results():
             for batch in batched(rows_of(batches, ["bucket", "key1", "key2", "near", "extent"])):
-                flags = sort_extents([(bucket, near & 0xFFFF, near >> 16, extent) for bucket, _, _, near, extent in batch], length)
-                for (bucket, key1, key2, near, _), found in zip(batch, flags, strict=True):
-                    for a, b in _runs(found):
-                        yield bucket, key1, key2, (near >> 16) - a, (near >> 16) - b + 1       # distances from the anchor
+                runs = sort_extents([(bucket, near & 0xFFFF, near >> 16, extent) for bucket, _, _, near, extent in batch], length)
+                for own, a, b in zip(*(c.tolist() for c in runs)):
+                    bucket, key1, key2, near, _ = batch[own]
+                    yield bucket, key1, key2, (near >> 16) - a, (near >> 16) - b       # distances from the anchor
         yield from as_batches(results(), out_schema)
 
     return (texts.mapInArrow(cut, ddl).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, out_ddl))
@@ -403,8 +475,8 @@ def _kept(docs: DataFrame, length: int, block: int, text_col: str) -> DataFrame:
 
     def cut(batches):
         def results():
-            for key, text, ranges in rows_of(batches, ["text_key", "text", "ranges"]):
-                data, spans = text.encode(), _merge([(r["start"], r["end"]) for r in ranges])
+            for (key,), data, (start, end) in _listed(batches, "text", "ranges"):
+                spans = _merge(list(zip(start.tolist(), end.tolist())))
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(data[at:a])

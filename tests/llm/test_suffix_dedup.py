@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from rostrum.llm.queries import QUERIES
-from rostrum.llm.suffix_dedup import anchors, dedup_documents, suffix_ranks, without_repeats
+from rostrum.llm.suffix_dedup import anchors, anchors_of, dedup_documents, sort_extents, suffix_ranks, without_repeats
 
 
 def plain(texts, length=200):
@@ -95,3 +95,29 @@ def test_registered_query(spark):
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     rows = sorted(QUERIES["op5_suffix_dedup"](spark, sf).collect(), key=lambda r: r.doc_id)
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == plain([texts[k] for k in sorted(texts)])
+
+
+def test_texts_looked_at_together_have_their_own_anchors():
+    draw = random.Random(4)
+    texts = [bytes(draw.choice(b"ab ") for _ in range(n)) for n in (500, 0, 199, 200, 16, 900)]
+    number, gram, at, first, last = (c.tolist() for c in anchors_of(texts, 200))
+    found = [list(zip(gram, at, first, last))[i] for k in range(len(texts)) for i in range(len(number)) if number[i] == k]
+    assert number == sorted(number) and found == [row for text in texts for row in anchors(text, 200)]
+
+
+def test_runs_of_sorted_extents():
+    draw = random.Random(6)
+    gram = bytes(draw.choice(b"xyz") for _ in range(10))
+    extents = []
+    for _ in range(60):
+        low = draw.randint(0, 3)
+        high = low + draw.randint(0, 6)
+        extents.append((7, low, high, bytes(draw.choice(b"ab") for _ in range(high)) + gram + bytes(draw.choice(b"ab") for _ in range(10 - low))))
+    windows = [[data[k:k + 20] for k in range(high - low + 1)] for _, low, high, data in extents]
+    seen = Counter(w for own in windows for w in set(own))
+    runs = [set() for _ in extents]
+    for own, a, b in zip(*(c.tolist() for c in sort_extents(extents, 20))):
+        assert a <= b and not runs[own] & set(range(a - 1, b + 2))
+        runs[own] |= set(range(a, b + 1))
+    again = [{k for k, w in enumerate(own) if seen[w] > 1 or own.count(w) > 1} for own in windows]
+    assert runs == again
