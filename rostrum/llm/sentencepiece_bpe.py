@@ -1,8 +1,8 @@
 """SentencePiece merge-type (BPE) encoding and decoding without the library's encoder.
 
-Method: exact encoding by backtracking. One Aho-Corasick scan of a word gives
-the longest piece at every position. From left to right the longest piece is
-taken; it is accepted when it may stand beside its left neighbour, which is
+Method: exact encoding by backtracking. From left to right the longest piece is
+taken, found by a walk down a trie of the pieces (a scan that reports all pieces at
+all positions costs several times as much); it is accepted when it may stand beside its left neighbour, which is
 checked by re-merging the text of the two (and remembered). Otherwise the next
 shorter prefix piece is tried, and when none is left the left neighbour is
 taken back. A bitfield marks positions from which no encoding continues, so
@@ -70,8 +70,6 @@ class PieceModel:
     """Pieces and settings of a merge-type model file, and its encoder."""
 
     def __init__(self, path: str):
-        import ahocorasick
-
         with open(path, "rb") as file:
             data = file.read()
         pieces, trainer, normalizer = [], {}, {}
@@ -89,7 +87,10 @@ class PieceModel:
             raise ValueError("user-defined and unused pieces aren't supported")
         self.pieces = pieces
         self.id_of = {text: i for i, (text, _, kind) in enumerate(pieces) if kind == NORMAL}
-        self.score = [score for _, score, _ in pieces]
+        #: Place of each piece by score, best first; equal scores have equal places.
+        scores = sorted({pieces[i][1] for i in self.id_of.values()}, reverse=True)
+        places = {score: k for k, score in enumerate(scores)}
+        self.order = {text: places[pieces[i][1]] for text, i in self.id_of.items()}
         if any(MARK in text.lstrip(MARK) for text in self.id_of):
             raise ValueError("a piece holds a space mark after another character")
         control = {text: i for i, (text, _, kind) in enumerate(pieces) if kind == CONTROL}
@@ -104,15 +105,21 @@ class PieceModel:
         if self.loose:
             raise ValueError("a piece holds a character that isn't a piece")
         self.known = known
-        self.automaton = ahocorasick.Automaton()
+        #: The pieces by their characters, the id of a piece under "".
+        self.trie: dict = {}
         for text, i in self.id_of.items():
-            self.automaton.add_word(text, (len(text), i))
-        self.automaton.make_automaton()
+            node = self.trie
+            for c in text:
+                node = node.setdefault(c, {})
+            node[""] = i
         #: The longest shorter piece that a piece begins with, or -1.
         self.shorter = [-1] * len(pieces)
         for text, i in self.id_of.items():
             self.shorter[i] = next((self.id_of[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.id_of), -1)
         self.length = [len(text) for text, _, _ in pieces]
+        self.reach = max(map(len, self.id_of), default=0)
+        self.packed = [struct.pack("<I", i) for i in range(len(pieces))]
+        self.shown = [text.replace(MARK, " ") for text, _, _ in pieces]
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[bytes, str]] = {}
         bars = "".join(c for c in "\n\t\r" if c not in known)   # stand alone, so they end a word
@@ -121,18 +128,21 @@ class PieceModel:
     # ------------------------------------------------------------- merging
     def merged(self, text: str) -> list[int]:
         """The definition: merge the best-scored adjacent pair, leftmost first, while there is one."""
-        parts = list(text)
-        ids = [self.id_of[c] for c in parts]
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.id_of.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.score[piece] > self.score[best]):
-                    best, at = piece, i
-            if best is None:
-                return ids
+        parts, order = list(text), self.order.get
+        none = len(self.pieces)
+        made = [order(a + b, none) for a, b in zip(parts, parts[1:])]     # what each part and the next would make
+        while made:
+            best = min(made)
+            if best == none:
+                break
+            at = made.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            ids[at:at + 2] = [best]
+            del made[at]
+            if at:
+                made[at - 1] = order(parts[at - 1] + parts[at], none)
+            if at < len(made):
+                made[at] = order(parts[at] + parts[at + 1], none)
+        return [self.id_of[part] for part in parts]
 
     def fits(self, left: int, right: int) -> bool:
         """May the two pieces stand side by side? By merging their text anew."""
@@ -148,37 +158,50 @@ class PieceModel:
             self.pairs[left, right] = got
         return got
 
+    def longest(self, text: str, at: int) -> int:
+        """The longest piece that the text goes on with; every character of the text is a piece."""
+        node, piece = self.trie, -1
+        for c in text[at:at + self.reach]:
+            node = node.get(c)
+            if node is None:
+                break
+            piece = node.get("", piece)
+        return piece
+
     def backtrack(self, text: str) -> list[int]:
         """Ids of a text of known characters."""
         n = len(text)
-        longest = [-1] * n
-        reach = [0] * n
-        for end, (size, piece) in self.automaton.iter(text):
-            start = end - size + 1
-            if size > reach[start]:
-                reach[start], longest[start] = size, piece
         open_ = bytearray(b"\1") * (n + 1)      # the bitfield of positions that haven't failed
         ids: list[int] = []
-        at, piece = 0, longest[0]
-        length, shorter, fits = self.length, self.shorter, self.fits
+        at, piece, last = 0, self.longest(text, 0), -1
+        longest, length, shorter, fits, known = self.longest, self.length, self.shorter, self.fits, self.pairs.get
         while at < n:
-            last = ids[-1] if ids else -1
-            while piece >= 0 and not (open_[at + length[piece]] and fits(last, piece)):
+            while piece >= 0:
+                after = at + length[piece]
+                if open_[after]:
+                    fit = known((last, piece))
+                    if fit or fit is None and fits(last, piece):
+                        break
                 piece = shorter[piece]
             if piece >= 0:
                 ids.append(piece)
-                at += length[piece]
-                piece = longest[at] if at < n else -1
+                at, last = after, piece
+                piece = longest(text, at) if at < n else -1
             elif ids:
                 open_[at] = 0
                 piece = ids.pop()
                 at -= length[piece]
+                last = ids[-1] if ids else -1
+                # the piece itself ends where nothing continues now
+                piece = shorter[piece]
             else:
                 raise AssertionError("no encoding")
         return ids
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of a word; characters outside the model are byte pieces."""
+        if self.known.issuperset(word):
+            return self.backtrack(word) if word else []
         ids: list[int] = []
         start = 0
         for i, c in enumerate(word):
@@ -193,6 +216,8 @@ class PieceModel:
 
     def pieces_text(self, ids: list[int]) -> str:
         """Text of ids: runs of byte pieces are UTF-8, space marks are spaces."""
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join(map(self.shown.__getitem__, ids))
         out, run = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -210,7 +235,7 @@ class PieceModel:
         if len(self.words) >= WORDS_KEPT:
             self.words.clear()
         ids = self.word_ids(word)
-        got = struct.pack(f"<{len(ids)}I", *ids), self.pieces_text(ids)
+        got = b"".join(map(self.packed.__getitem__, ids)), self.pieces_text(ids)
         if len(word) <= 64:
             self.words[word] = got
         return got

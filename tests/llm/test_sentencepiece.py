@@ -57,3 +57,20 @@ def test_registered_query(spark, library):
     for r in rows:
         ids = library.encode(texts[r.doc_id], add_bos=True, add_eos=True)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
+def test_longest_piece_and_merging_by_definition():
+    model, draw = load_model(PIECE_MODEL), random.Random(8)
+    for _ in range(300):
+        text = "".join(c for c in "".join(draw.choice(PARTS) for _ in range(6)).replace(" ", "▁") if c in model.known)
+        for at in range(len(text)):
+            best = max((text[at:end] for end in range(at + 1, len(text) + 1) if text[at:end] in model.id_of), key=len)
+            assert model.longest(text, at) == model.id_of[best]
+        parts = list(text)
+        while True:
+            pairs = [(-model.pieces[model.id_of[x + y]][1], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in model.id_of]
+            if not pairs:
+                break
+            at = min(pairs)[1]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        assert model.merged(text) == [model.id_of[p] for p in parts]
