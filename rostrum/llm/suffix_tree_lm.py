@@ -30,42 +30,81 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import land
-from .common import array_batches, arrow_schema, as_batches, in_chunks, rows_of
+from ..session import forget, land
+from .common import array_batches, arrow_schema, in_chunks, rows_of
 
 SHARE = 2e-6
 LEAST = 2             # a pair that occurs once says nothing about a context
 GAIN = 8.0
 WEIGHT = 2.0
-FLUSH = 1_500_000     # keys that a task gathers before it hands on their counts
-WORDS_KEPT = 300_000  # words whose hash a task remembers before it starts anew
+FLUSH = 1_500_000     # keys that a task gathers before it hands them on
+BUCKET = 3_000_000    # keys of a bucket
+LONGEST = 64          # bytes of a word that is hashed with others at once
+AT_ONCE = 1 << 18     # bytes of texts that are hashed at once
+TURNS = 2             # triples are counted by turns, by their code, so that fewer are on the disk at a time
+SLICES = 3            # so are the codes asked for
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 END = 0               # the end token; words hash to other values
 
 
+def _land(df: DataFrame, label: str) -> DataFrame:
+    return land(df, label, tidy=True)
+
+
 class Words:
-    """Hashes of the tokens of texts; remembers a bounded number of words."""
+    """Hashes of the tokens of texts: a word of up to ``LONGEST`` bytes is the sum of random numbers by place and byte."""
 
     def __init__(self):
         from xxhash import xxh64_intdigest
 
-        self.known: dict[bytes, int] = {}
         self.digest = xxh64_intdigest
+        self.numbers = np.random.default_rng(7).integers(0, 2**64, LONGEST * 256, np.uint64)
+
+    def hashes(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first byte) of each word."""
+        chars = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero(~BLANK[chars])
+        if not len(at):
+            return np.zeros(0, np.int64), at
+        first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+        sizes = np.diff(first, append=len(at))
+        place = np.minimum(np.arange(len(at)) - np.repeat(first, sizes), LONGEST - 1)
+        out = np.add.reduceat(self.numbers[place * 256 + chars[at]], first)
+        starts = at[first]
+        for k in np.flatnonzero(sizes > LONGEST):
+            out[k] = self.digest(data[starts[k]:starts[k] + sizes[k]])
+        return np.maximum(out >> np.uint64(1), np.uint64(1)).astype(np.int64), starts      # 63 bits, not END
+
+    def all_tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of texts one after another, and how many each has."""
+        parts, counts, held, size = [], [], [], 0
+
+        def flush():
+            found, starts = self.hashes(b" ".join(held))
+            ends = np.searchsorted(starts, np.cumsum([len(h) + 1 for h in held]))
+            parts.append(np.insert(found, ends, END))
+            counts.append(np.diff(ends, prepend=0) + 1)
+
+        for text in texts:
+            data = (text or "").encode("utf-8", "surrogatepass").translate(LOWER)
+            if held and size + len(data) > AT_ONCE:
+                flush()
+                held, size = [], 0
+            held.append(data)
+            size += len(data)
+        if held:
+            flush()
+        return (np.concatenate(parts), np.concatenate(counts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def tokens(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.digest(w) >> 1 or 1          # 63 bits, not END
-        out = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        return np.append(out, END)
+        return self.all_tokens([text])[0]
 
 
 def pair(context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -77,46 +116,32 @@ def pair(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(1)).astype(np.int64)
 
 
-def within(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
-    """Which values are in a sorted array."""
-    if not len(sorted_):
-        return np.zeros(len(values), bool)
-    k = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
-    return sorted_[k] == values
-
-
 # ------------------------------------------------------------------ counting
-def _counted(texts: DataFrame, text_col: str, ddl: str, keys_of) -> DataFrame:
-    """Summed counts of the key rows (columns of ``ddl`` but the last, n) that ``keys_of(tokens)`` gives for each text.
-
-    ``keys_of`` returns (code, columns); equal codes have equal columns. Tasks
-    sum before they hand on.
-    """
+def _gathered(batches, columns: list[str], size: int = FLUSH):
+    """Lists of rows (the last column a text) with about ``size`` tokens, and (tokens, how many each row has)."""
+    words, kept, parts, counts, n = Words(), [], [], [], 0
+    for part in in_chunks(rows_of(batches, columns), 256):
+        tokens, many = words.all_tokens([row[-1] for row in part])
+        kept += [row[:-1] for row in part]
+        parts.append(tokens), counts.append(many)
+        n += len(tokens)
+        if n >= size:
+            yield kept, np.concatenate(parts), np.concatenate(counts)
+            kept, parts, counts, n = [], [], [], 0
+    if parts:
+        yield kept, np.concatenate(parts), np.concatenate(counts)
+
+
+def _token_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """(token, n); tasks sum before they hand on."""
+    ddl = "token long, n long"
     schema = arrow_schema(ddl)
-    names = schema.names[:-1]
 
     def count(batches):
-        words = Words()
-
-        def flush(parts):
-            codes = np.concatenate([c for c, _ in parts])
-            _, first, n = np.unique(codes, return_index=True, return_counts=True)
-            columns = [np.concatenate([p[k] for _, p in parts])[first] for k in range(len(names))]
-            yield from array_batches([*columns, n], schema)
+        for _, tokens, _ in _gathered(batches, [text_col]):
+            yield from array_batches(np.unique(tokens, return_counts=True), schema)
 
-        parts, size = [], 0
-        for (text,) in rows_of(batches, [text_col]):
-            codes, columns = keys_of(words.tokens(text))
-            if len(codes):
-                parts.append((codes, columns))
-                size += len(codes)
-            if size >= FLUSH:
-                yield from flush(parts)
-                parts, size = [], 0
-        if parts:
-            yield from flush(parts)
-
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy(*names).agg(F.sum("n").alias("n"))
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def codes_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,27 +150,56 @@ def codes_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return two, pair(two[:-1], two[1:])
 
 
-def _twos(tokens: np.ndarray):
-    return codes_of(tokens)[0], (tokens[:-1], tokens[1:])
+def _inside(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which two and which three tokens in a row are of one text."""
+    two = tokens[:-1] != END
+    return two, two[:-1] & two[1:]
 
 
-def _threes(tokens: np.ndarray):
-    two, three = codes_of(tokens)
-    return three, (two[:-1], two[1:])
+def _dealt(key: np.ndarray, columns: list[np.ndarray], schema, *constants: int):
+    """Arrow record batches with a row per key: the key, the constants and the bytes of each column's part."""
+    import pyarrow as pa
 
+    by = np.argsort(key, kind="stable")
+    keys, first = np.unique(key[by], return_index=True)
+    ends = np.append(first[1:], len(key))
+    columns = [c[by] for c in columns]
+    for k, at, end in zip(keys.tolist(), first.tolist(), ends.tolist()):
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array([c], pa.int64()) for c in (k, *constants)], *[pa.array([c[at:end].tobytes()], pa.binary()) for c in columns]], schema=schema)
 
-def _coded(pairs: DataFrame) -> DataFrame:
-    """With the code of (context, next)."""
-    ddl = "context long, next long, n long, code long"
-    schema = arrow_schema(ddl)
 
-    def code(batches):
-        for batch in batches:
-            if batch.num_rows:
-                context, after, n = (batch.column(k).to_numpy() for k in range(3))
-                yield from array_batches([context, after, n, pair(context, after)], schema)
+def _joined(table, name: str, kind) -> np.ndarray:
+    """The numbers of a column of bytes."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    return pairs.select("context", "next", "n").mapInArrow(code, ddl)
+
+def _repeated(texts: DataFrame, text_col: str, order: int, buckets: int, turn: int, turns: int) -> DataFrame:
+    """(context, next, n, code) of the pairs (order 1) or triples (order 2) that occur at least ``LEAST`` times."""
+    import pyarrow as pa
+
+    ddl, out_ddl = "bucket long, context binary, next binary, n binary", "context long, next long, n long, code long"
+    schema, out = arrow_schema(ddl), arrow_schema(out_ddl)
+
+    def count(batches):
+        for _, tokens, _ in _gathered(batches, [text_col]):
+            last, code = [tokens, *codes_of(tokens)][order - 1:order + 1]
+            inside = _inside(tokens)[order - 1]
+            at = np.flatnonzero(inside & (code % turns == turn))
+            codes, first, n = np.unique(code[at], return_index=True, return_counts=True)
+            at = at[first]
+            yield from _dealt(codes // turns % buckets, [last[at], last[at + 1], n.astype(np.uint32)], schema)
+
+    def add(table):
+        context, after = _joined(table, "context", np.int64), _joined(table, "next", np.int64)
+        code = pair(context, after)
+        by = np.argsort(code, kind="stable")
+        first = np.flatnonzero(np.diff(code[by], prepend=-1))
+        n = np.add.reduceat(_joined(table, "n", np.uint32)[by].astype(np.int64), first)
+        at, n = by[first[n >= LEAST]], n[n >= LEAST]
+        return pa.Table.from_arrays([pa.array(c) for c in (context[at], after[at], n, code[at])], schema=out)
+
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy("bucket").applyInArrow(add, out_ddl)
 
 
 def _matched(rows: DataFrame, entries: DataFrame, key: str, hot: int) -> DataFrame:
@@ -160,29 +214,35 @@ def _nothing(kind=np.float64):
     return field(default_factory=lambda: np.zeros(0, kind))
 
 
-def _at(keys: np.ndarray, sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The values of keys, NaN where a key isn't there."""
-    out = np.full(len(keys), np.nan)
-    if len(sorted_):
-        k = np.minimum(np.searchsorted(sorted_, keys), len(sorted_) - 1)
-        held = sorted_[k] == keys
-        out[held] = values[k[held]]
-    return out
-
-
 @dataclass
 class Entries:
     """Tokens, pairs or triples by their sorted codes."""
 
     codes: np.ndarray = _nothing(np.int64)
     counts: np.ndarray = _nothing()
-    logs: np.ndarray = _nothing()       # ln P(last token | the ones before), NaN where those are no state
+    values: np.ndarray = _nothing()     # what an occurrence adds to ln P of its last token, besides the root's part
     shares: np.ndarray = _nothing()     # as a context: ln of the factor of tokens without a pair, NaN where it is no state
 
+    marks: np.ndarray = _nothing(bool)  # whether an entry's code ends in these bits; spares most others the search
+
     @staticmethod
-    def of(codes, counts, logs, shares) -> Entries:
+    def of(codes, counts, values, shares) -> Entries:
         by = np.argsort(codes, kind="stable")
-        return Entries(codes[by], counts[by], logs[by], shares[by])
+        marks = np.zeros(1 << (8 * len(codes)).bit_length(), bool)
+        marks[codes & (len(marks) - 1)] = True
+        return Entries(codes[by], counts[by], values[by], shares[by], marks)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes are entries, and the entries' places."""
+        held = np.zeros(len(codes), bool)
+        if not len(self.codes):
+            return held, np.zeros(0, int)
+        at = np.flatnonzero(self.marks[codes & (len(self.marks) - 1)])
+        sought = codes[at]
+        k = np.minimum(np.searchsorted(self.codes, sought), len(self.codes) - 1)
+        same = self.codes[k] == sought
+        held[at[same]] = True
+        return held, k[same]
 
 
 @dataclass
@@ -202,45 +262,37 @@ class SuffixTree:
     def root(self, counts: np.ndarray) -> np.ndarray:
         return np.log((counts + 0.5) / (self.total + 0.5 * (self.vocabulary + 1)))
 
-    def asked(self, tokens: np.ndarray) -> list[np.ndarray]:
-        """Codes of the tokens, pairs and triples that only the table can tell about."""
-        two, three = codes_of(tokens)
+    def told(self, tokens: np.ndarray):
+        """What the entries add to each token's ln P and base ln P, which tokens are entries, and by order
+        (codes, which of them only the table can tell about)."""
         one, both, last = self.orders
-        # of a context sent to every task it is known whether it is a state
-        open_one = ~within(tokens, one.codes)
-        fine_one = open_one | ~np.isnan(_at(tokens, one.codes, one.shares))
-        open_two = ~within(two, both.codes)
-        fine_two = open_two & fine_one[1:] | ~np.isnan(_at(two, both.codes, both.shares))
-        # a pair matters by its own probability or as a context, whose suffix is a state too
-        ask_two = open_two & (fine_one[:-1] | fine_one[1:])
-        ask_three = fine_two[:-1] & ~within(three, last.codes)
-        return [np.unique(tokens[open_one]), np.unique(two[ask_two]), np.unique(three[ask_three])]
-
-    def score(self, tokens: np.ndarray, own: list[Entries] | None = None) -> tuple[float, float, int, np.ndarray]:
-        """(ln P, base ln P, known tokens), and the tokens without an entry.
-
-        ``own`` has the text's entries of the table; without it the root's part of tokens without an entry is left out."""
-        def of(order, codes, name):
-            entries = self.orders[order]
-            out = _at(codes, entries.codes, getattr(entries, name))
-            if own is not None:
-                out = np.where(np.isnan(out), _at(codes, own[order].codes, getattr(own[order], name)), out)
-            return out
-
-        n = of(0, tokens, "counts")
-        common = ~np.isnan(n)
-        root = np.zeros(len(tokens))
-        root[common] = self.root(n[common])
-        if own is not None:
-            root[~common] = self.root(np.zeros(int((~common).sum())))
-        logs = root.copy()
         two, three = codes_of(tokens)
-        for order, context, code in ((1, tokens[:-1], two), (2, two[:-1], three)):
-            if not len(code):
-                break
-            log, share = of(order, code, "logs"), of(order - 1, context, "shares")
-            logs[order:] = np.where(np.isnan(log), logs[order:] + np.nan_to_num(share), log)
-        return float(logs.sum()), float(root.sum()), int(common.sum()), tokens[~common]
+        in_two, in_three = _inside(tokens)
+        held, at = one.find(tokens)
+        base = np.zeros(len(tokens))
+        base[held] = self.root(one.counts)[at]
+        logs = base.copy()
+        share = np.zeros(len(tokens))
+        share[held] = one.shares[at]
+        fine = ~np.isnan(share)            # also of tokens that aren't entries: it isn't known whether they are states
+        logs[1:] += np.where(in_two, np.nan_to_num(share[:-1]), 0.0)
+        held_two, at = both.find(two)
+        logs[1:][held_two] += both.values[at]
+        share = np.full(len(two), np.nan)
+        share[held_two] = both.shares[at]
+        logs[2:] += np.where(in_three, np.nan_to_num(share[:-1]), 0.0)
+        held_three, at = last.find(three)
+        logs[2:][held_three] += last.values[at]
+        # a pair matters by its own probability or as a context, whose suffix is a state too
+        open_two = in_two & ~held_two
+        fine_two = open_two & fine[1:] | ~np.isnan(share)
+        return logs, base, held, [(tokens, ~held), (two, open_two & (fine[:-1] | fine[1:])),
+                                  (three, in_three & fine_two[:-1] & ~held_three)]
+
+    def score(self, tokens: np.ndarray) -> tuple[float, float, int, np.ndarray]:
+        """(ln P, base ln P, known tokens), and the tokens without an entry, whose root's part is left out."""
+        logs, base, held, _ = self.told(tokens)
+        return float(logs.sum()), float(base.sum()), int(held.sum()), tokens[~held]
 
 
 def _states(pairs: DataFrame, totals: DataFrame, gain: float, weight: float) -> DataFrame:
@@ -263,93 +315,132 @@ def _states(pairs: DataFrame, totals: DataFrame, gain: float, weight: float) ->
 def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain: float = GAIN,
           weight: float = WEIGHT) -> tuple[SuffixTree, DataFrame]:
     """The tree, and the exact counts (token, n) of all training tokens."""
-    def single(tokens):
-        return tokens, (tokens,)
-
     def log(total):        # of a pair in a state
         return F.log(F.col("n") + weight * F.exp("above")) - F.log(total + weight)
 
-    counts = land(_counted(texts, text_col, "token long, n long", single), "tokens")
+    counts = _land(_token_counts(texts, text_col), "tokens")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot = max(LEAST, math.ceil(share * total))
     totals = counts.select(F.col("token").alias("context"), F.col("n").alias("total"))
-
-    def repeated(keys_of, label):
-        found = _counted(texts, text_col, "context long, next long, n long", keys_of).filter(F.col("n") >= LEAST)
-        return land(_coded(found), label)
+    buckets = _buckets(total)
 
     root = F.log((F.col("total") + 0.5) / (total + 0.5 * (vocabulary + 1)))
-    pairs = (_matched(repeated(_twos, "pairs"), totals.withColumnRenamed("context", "next"), "next", hot)
-             .select("context", "next", "n", "code", root.alias("above")))
-    tokens = land(totals.join(_states(pairs, totals, gain, weight).select("context", "share"), "context", "left"), "contexts")
+    found = _land(_repeated(texts, text_col, 1, buckets, 0, 1), "repeated")
+    pairs = _land(_matched(found, totals.withColumnRenamed("context", "next"), "next", hot)
+                 .select("context", "next", "n", "code", root.alias("above")), "pairs")
+    forget(found)
+    tokens = _land(totals.join(_states(pairs, totals, gain, weight).select("context", "share"), "context", "left"), "contexts")
     in_state = F.when(F.col("share").isNotNull(), log(F.col("total")))
-    pairs = land(_matched(pairs, tokens, "context", hot).select(
-        "code", "next", F.col("n").alias("total"), in_state.alias("log"), F.coalesce(in_state, "above").alias("above")), "pairs")
+    rooted = pairs
+    pairs = _land(_matched(rooted, tokens, "context", hot).select(
+        "code", "next", F.col("n").alias("total"), (in_state - F.col("above") - F.col("share")).alias("value"),
+        F.coalesce(in_state, "above").alias("above")), "pairs")
+    forget(rooted)
 
     # A triple is the pair of its first two tokens as the context, and that of its last two.
-    triples = land(_matched(repeated(_threes, "triples"), pairs.select(F.col("code").alias("next"), "total", "above"), "next", hot)
-                   .select("context", "n", "code", "above"), "triples")
+    triples = []
+    for turn in range(TURNS):
+        found = _land(_repeated(texts, text_col, 2, buckets, turn, TURNS), "repeated")
+        triples.append(_land(_matched(found, pairs.select(F.col("code").alias("next"), "total", "above"), "next", hot)
+                            .select("context", "n", "code", "above"), "triples"))
+        forget(found)
+    each, triples = triples, reduce(DataFrame.unionByName, triples)
     passed = _states(triples, pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix")), gain, weight)
     suffixes = tokens.filter("share is not null").select(F.col("context").alias("suffix"), "total")
-    states = land(_matched(passed.withColumnRenamed("total", "n"), suffixes, "suffix", hot)
+    states = _land(_matched(passed.withColumnRenamed("total", "n"), suffixes, "suffix", hot)
                   .select("context", F.col("n").alias("total"), "share"), "contexts")
     triples = _matched(triples, states, "context", hot)
 
     none = F.lit(None).cast("double")
-    columns = ["kind", "code", "total", "log", "share"]
-    model = land(tokens.select(F.lit(0).alias("kind"), F.col("context").alias("code"), "total", none.alias("log"), "share").unionByName(
-        pairs.join(states.select(F.col("context").alias("code"), "share"), "code", "left").select(F.lit(1).alias("kind"), *columns[1:]))
-        .unionByName(triples.select(F.lit(2).alias("kind"), "code", F.col("n").alias("total"), log(F.col("total")).alias("log"),
-                                    none.alias("share"))), "model")
+    columns = ["kind", "code", "total", "value", "share"]
+    ones = tokens.select(F.lit(0).alias("kind"), F.col("context").alias("code"), "total", none.alias("value"), "share")
+    twos = (pairs.join(states.select(F.col("context").alias("code"), "share"), "code", "left")
+            .filter((F.col("total") >= hot) | F.col("value").isNotNull() | F.col("share").isNotNull())
+            .select(F.lit(1).alias("kind"), *columns[1:]))
+    threes = triples.select(F.lit(2).alias("kind"), "code", F.col("n").alias("total"),
+                            (log(F.col("total")) - F.col("above") - F.col("share")).alias("value"), none.alias("share"))
+    model = _land(ones.unionByName(twos).unionByName(threes), "model")
+    forget(tokens, pairs, states, *each)
     sent = model.filter(F.col("total") >= hot).toArrow()       # 1 / share rows an order at most
-    kind, code, n, logs, shares = (sent.column(c).to_numpy() for c in columns)
-    orders = [Entries.of(*(c[kind == k] for c in (code, n.astype(float), logs.astype(float), shares.astype(float)))) for k in range(3)]
-    others = model.filter((F.col("total") < hot) & ((F.col("kind") == 0) | F.col("log").isNotNull() | F.col("share").isNotNull()))
-    return SuffixTree(total, vocabulary, orders, others), counts
+    kind, code, n, values, shares = (sent.column(c).to_numpy() for c in columns)
+    values = np.nan_to_num(values.astype(float))
+    orders = [Entries.of(*(c[kind == k] for c in (code, n.astype(float), values, shares.astype(float)))) for k in range(3)]
+    return SuffixTree(total, vocabulary, orders, model.filter(F.col("total") < hot)), counts
+
+
+def _buckets(total: int) -> int:
+    return max(32, math.ceil(total / BUCKET))
+
+
+def _answers(rows: DataFrame, sent, others: DataFrame, turn: int) -> DataFrame:
+    """Tokens, known tokens, ln P and base ln P of rows (row, text) in parts: what the table adds for the codes whose turn
+    it is, in the first turn also the rest; without the root's part of tokens that aren't known."""
+    import pyarrow as pa
+
+    total = sent.value.total
+    buckets = _buckets(total)
+    ddl, out_ddl = "key long, block long, codes binary, places binary", "row long, n_tokens long, known long, ln double, base double"
+    schema, out = arrow_schema(ddl), arrow_schema(out_ddl)
+
+    def ask(batches):
+        own = sent.value
+        for kept, tokens, many in _gathered(batches, ["row", "text"], FLUSH // 2):
+            rows = np.array([k for k, in kept])
+            logs, base, known, asked = own.told(tokens)
+            if not turn:        # known at once: goes by the rows' block, under keys of its own
+                first = np.cumsum(many) - many
+                parts = np.stack([many, *[np.add.reduceat(c, first) for c in (known.astype(float), logs, base)]], axis=1)
+                for block in np.unique(rows >> 16).tolist():
+                    at = np.flatnonzero(rows >> 16 == block)
+                    yield from _dealt(np.full(len(at), -1 - block), [parts[at], (rows[at] & 0xFFFF).astype(np.uint16)], schema, block)
+            row = np.repeat(rows, many)
+            found = [(kind, codes, np.flatnonzero(ask & (codes % SLICES == turn))) for kind, (codes, ask) in enumerate(asked)]
+            keys = np.concatenate([kind * buckets + codes[at] // SLICES % buckets for kind, codes, at in found])
+            codes = np.concatenate([codes[at] for _, codes, at in found])
+            row = np.concatenate([row[at] for _, _, at in found])
+            for block in np.unique(row >> 16).tolist():
+                at = np.flatnonzero(row >> 16 == block)
+                yield from _dealt(keys[at], [codes[at], (row[at] & 0xFFFF).astype(np.uint16)], schema, block)
+
+    def filled(*columns):
+        return pa.Table.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, out, strict=True)], schema=out)
+
+    def answer(asked, entries):
+        if not asked.num_rows or asked.column("key")[0].as_py() >= 0 and not entries.num_rows:
+            return out.empty_table()
+        places = _joined(asked, "places", np.uint16)
+        row = np.repeat(asked.column("block").to_numpy() << 16, [len(c) // 2 for c in asked.column("places").to_pylist()]) + places
+        if asked.column("key")[0].as_py() < 0:
+            return filled(row, *_joined(asked, "codes", float).reshape(-1, 4).T)
+        code, n, value = (entries.column(c).to_numpy() for c in ("code", "total", "value"))
+        table = Entries.of(code, n, value, value)
+        held, at = table.find(_joined(asked, "codes", np.int64))
+        row, which = np.unique(row[held], return_inverse=True)
+        ln, base, known = np.bincount(which, table.values[at], len(row)), np.zeros(len(row)), np.zeros(len(row))
+        if entries.column("kind")[0].as_py() == 0:
+            base, known = np.bincount(which, sent.value.root(table.counts[at]), len(row)), np.bincount(which, minlength=len(row))
+        return filled(row, np.zeros(len(row)), known, ln + base, base)
+
+    added = F.coalesce("value", F.lit(0.0)) + F.coalesce("share", F.lit(0.0))
+    entries = others.filter(F.col("code") % SLICES == turn).select(
+        F.expr(f"kind * {buckets} + (code div {SLICES}) % {buckets}").alias("key"), "kind", "code", "total", added.alias("value"))
+    return rows.select("row", "text").mapInArrow(ask, ddl).groupBy("key").cogroup(entries.groupBy("key")).applyInArrow(answer, out_ddl)
 
 
 def score_documents(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep: tuple[str, ...] = (),
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``keep``, n_tokens, n_known, train_tokens, base_score, score of every row (log10)."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     sent = docs.sparkSession.sparkContext.broadcast(replace(tree, others=None))
-    held = StructType([docs.schema[c] for c in (id_col, *keep)])
+    held = (id_col, *keep)
     # Own names for the columns that are carried along: theirs may be any.
     carried = [f"held{k}" for k in range(len(held))]
-    columns = docs.select(*[F.col(c).alias(h) for c, h in zip((id_col, *keep), carried)], F.col(text_col).alias("text"))
-    rows = land(columns.withColumn("row", F.monotonically_increasing_id()), "texts")
-    ddl = "row long, kind int, code long"
-    asked_schema = arrow_schema(ddl)
-
-    def ask(batches):
-        own, words = sent.value, Words()
-        for part in in_chunks(rows_of(batches, ["row", "text"]), 100):
-            found = [(row, kind, codes) for row, text in part for kind, codes in enumerate(own.asked(words.tokens(text)))]
-            sizes = [len(c) for _, _, c in found]
-            if sum(sizes):
-                yield from array_batches([np.repeat(np.array([f[0] for f in found]), sizes), np.repeat(np.array([f[1] for f in found]), sizes),
-                                          np.concatenate([f[2] for f in found])], asked_schema)
-
-    told = rows.select("row", "text").mapInArrow(ask, ddl).join(tree.others, ["kind", "code"])
-    told = told.groupBy("row").agg(F.collect_list(F.struct("kind", "code", "total", "log", "share")).alias("told"))
-    told = told.select("row", *[F.col(f"told.{c}").alias(c) for c in ("kind", "code", "total", "log", "share")])
-    out = StructType(held.fields + StructType.fromDDL(
-        "n_tokens long, n_known long, train_tokens long, base_score double, score double").fields)
-    schema = to_arrow_schema(out)
-
-    def score(batches):
-        own, words, ten = sent.value, Words(), 1 / math.log(10)
-
-        def results():
-            for *held_, text, kind, code, total, log, share in rows_of(batches, [*carried, "text", "kind", "code", "total", "log", "share"]):
-                tokens = words.tokens(text)
-                kind, code = np.array(kind or [], int), np.array(code or [], np.int64)
-                numbers = [np.array(c or [], float) for c in (total, log, share)]
-                entries = [Entries.of(code[kind == k], *(c[kind == k] for c in numbers)) for k in range(3)]
-                ln, base, known, _ = own.score(tokens, entries)
-                yield (*held_, len(tokens), known, own.total, base * ten, ln * ten)
-        yield from as_batches(results(), schema, 500)
-
-    return rows.join(told, "row", "left").drop("row").mapInArrow(score, out)
+    columns = docs.select(*[F.col(c).alias(h) for c, h in zip(held, carried)], F.col(text_col).alias("text"))
+    rows = _land(columns.withColumn("row", F.monotonically_increasing_id()), "texts")
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "known", "ln", "base")]
+    told = reduce(DataFrame.unionByName, [
+        _land(_answers(rows, sent, tree.others, turn).groupBy("row").agg(*sums), "told") for turn in range(SLICES)])
+    unknown = (F.col("n_tokens") - F.col("known")) * float(tree.root(np.zeros(1))[0])
+    scores = [((F.col(c) + unknown) / math.log(10)).alias(name) for c, name in (("base", "base_score"), ("ln", "score"))]
+    return rows.drop("text").join(told.groupBy("row").agg(*sums), "row").select(
+        *[F.col(h).alias(c) for h, c in zip(carried, held)], "n_tokens", F.col("known").alias("n_known"),
+        F.lit(tree.total).cast("long").alias("train_tokens"), *scores)

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from rostrum.llm.queries import QUERIES
-from rostrum.llm.suffix_tree_lm import Words, score_documents, train
+from rostrum.llm.suffix_tree_lm import END, Words, _repeated, score_documents, train
 
 
 def tokens(text):
@@ -133,3 +133,33 @@ def test_awkward_rows(spark, docs, awkward):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in score_documents(
         docs([(1, "a b")]), tree, counts).collect()] == [(3, 0, 0, 0.0, 0.0)]
     assert score_documents(docs([]), tree, counts).count() == 0
+
+
+def test_counting_hands_on_few_rows_and_all_counts(spark, docs):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, 400)) for _ in range(50)] + [None, "a", "x" * 100 + " b " + "x" * 100 + " b"]
+    two, three = Counter(), Counter()
+    for t in texts:
+        w = tokens(t)
+        two.update(zip(w, w[1:])), three.update(zip(w, w[1:], w[2:]))
+    frame, words = docs(list(enumerate(texts))), Words()
+    code = {t: int(words.tokens(t)[0]) for c in two for t in c if t} | {None: END}
+    pairs = {(r.context, r.next): r.n for r in _repeated(frame, "text", 1, 8, 0, 1).collect()}
+    assert pairs == {(code[a], code[b]): n for (a, b), n in two.items() if n >= 2}
+    found = [[r.n for r in _repeated(frame, "text", 2, 8, turn, 2).collect()] for turn in (0, 1)]
+    assert all(found) and Counter(found[0] + found[1]) == Counter(n for n in three.values() if n >= 2)
+    plan = _repeated(frame, "text", 1, 8, 0, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "next#" in plan and "HashAggregate" not in plan      # a row per task and bucket, not one per pair
+
+
+def test_tables_leave_no_shuffle_files(spark, docs, monkeypatch):
+    from rostrum import session
+    from rostrum.llm import suffix_tree_lm
+
+    seen = []
+    write = session.land
+    monkeypatch.setattr(suffix_tree_lm, "land", lambda df, label, tidy=False: seen.append(tidy) or write(df, label, tidy))
+    before = spark.conf.get(session.CLEANUP, None)
+    tree, counts = train(docs([(1, "a b a b a b a b"), (2, "a b c")]))
+    assert score_documents(docs([(1, "a b")]), tree, counts).count() == 1
+    assert len(seen) > 8 and all(seen) and spark.conf.get(session.CLEANUP, None) == before
