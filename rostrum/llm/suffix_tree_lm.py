@@ -16,11 +16,14 @@ Tokens are words and one end token a text. The tree's contexts are the last
 * Scoring. Each token is scored in the longest suffix of the text so far that
   is a state.
 
-The tree is a written table that grows with the input. Its entries that make up
+Counting hands on arrays, one a task and bucket of codes, and sums them bucket by
+bucket. The tree is a written table that grows with the input. Its entries that make up
 at least ``share`` of all training tokens, 1 / share an order at most, are sent to
-every task. A text asks for what isn't among them, each entry once, by a join on
-its code; an entry left to the join has fewer than share * N occurrences, so no key
-is hot. ``share`` decides only which way an entry takes, never a score.
+every task. What isn't among them is asked for by code, again in arrays by bucket;
+ln P is the sum of what its entries add, so answers are summed a row and texts stay
+where they are. ``share`` decides only which way an entry takes, never a score.
+Tables that are superseded are deleted, and Spark deletes the shuffle files of a
+table when it is written.
 
 Defined results: a null text is empty (one end token); without training texts N
 and V are 0 and every token has probability 1. Words are told apart by
