@@ -17,7 +17,7 @@ Tokens are words and one end token a text. The tree's contexts are the last
   is a state.
 
 Counting hands on arrays, one a task and bucket of codes, and sums them bucket by
-bucket. The tree is a written table that grows with the input. Its entries that make up
+bucket. The tree is a written table of arrays that grows with the input. Its entries that make up
 at least ``share`` of all training tokens, 1 / share an order at most, are sent to
 every task. What isn't among them is asked for by code, again in arrays by bucket;
 ln P is the sum of what its entries add, so answers are summed a row and texts stay
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import forget, land
-from .common import array_batches, arrow_schema, in_chunks, rows_of
+from .common import arrow_schema, in_chunks, rows_of
 
 SHARE = 2e-6
 LEAST = 2             # a pair that occurs once says nothing about a context
@@ -51,7 +51,8 @@ BUCKET = 3_000_000    # keys of a bucket
 LONGEST = 64          # bytes of a word that is hashed with others at once
 AT_ONCE = 1 << 18     # bytes of texts that are hashed at once
 TURNS = 2             # triples are counted by turns, by their code, so that fewer are on the disk at a time
-SLICES = 3            # so are the codes asked for
+SLICES = 4            # so are the rows that are scored
+TOKEN_BUCKETS = 512   # tokens are counted before their number is known
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 END = 0               # the end token; words hash to other values
@@ -73,14 +74,16 @@ class Words:
     def hashes(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first byte) of each word."""
         chars = np.frombuffer(data, np.uint8)
-        at = np.flatnonzero(~BLANK[chars])
-        if not len(at):
-            return np.zeros(0, np.int64), at
-        first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-        sizes = np.diff(first, append=len(at))
-        place = np.minimum(np.arange(len(at)) - np.repeat(first, sizes), LONGEST - 1)
-        out = np.add.reduceat(self.numbers[place * 256 + chars[at]], first)
-        starts = at[first]
+        inside = ~BLANK[chars]
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            return np.zeros(0, np.int64), starts
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(first[-1] + sizes[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+        if sizes.max() > LONGEST:
+            place = np.minimum(place, LONGEST - 1, out=place)
+        out = np.add.reduceat(self.numbers.take(place * 256 + chars[inside]), first)
         for k in np.flatnonzero(sizes > LONGEST):
             out[k] = self.digest(data[starts[k]:starts[k] + sizes[k]])
         return np.maximum(out >> np.uint64(1), np.uint64(1)).astype(np.int64), starts      # 63 bits, not END
@@ -137,14 +140,35 @@ def _gathered(batches, columns: list[str], size: int = FLUSH):
 
 def _token_counts(texts: DataFrame, text_col: str) -> DataFrame:
     """(token, n); tasks sum before they hand on."""
-    ddl = "token long, n long"
-    schema = arrow_schema(ddl)
+    import pyarrow as pa
+
+    ddl, out_ddl = "bucket long, tokens binary, n binary", "token long, n long"
+    schema, out = arrow_schema(ddl), arrow_schema(out_ddl)
 
     def count(batches):
         for _, tokens, _ in _gathered(batches, [text_col]):
-            yield from array_batches(np.unique(tokens, return_counts=True), schema)
+            token, n = np.unique(tokens, return_counts=True)
+            yield from _dealt(token % TOKEN_BUCKETS, [token, n.astype(np.uint32)], schema)
+
+    def add(table):
+        token, n, _ = _summed(_joined(table, "tokens", np.int64), _joined(table, "n", np.uint32))
+        return pa.Table.from_arrays([pa.array(token), pa.array(n)], schema=out)
+
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy("bucket").applyInArrow(add, out_ddl)
+
+
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of codes, and where in it each distinct code begins. Equal codes in any order, which sorts much faster."""
+    by = np.argsort(codes)
+    codes = codes[by]
+    return by, np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else by
 
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy("token").agg(F.sum("n").alias("n"))
+
+def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes, their summed numbers, and a place of each code."""
+    by, first = _runs(codes)
+    at = by[first]
+    return codes[at], np.add.reduceat(n[by].astype(np.int64), first) if len(by) else n.astype(np.int64), at
 
 
 def codes_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,11 +187,15 @@ def _dealt(key: np.ndarray, columns: list[np.ndarray], schema, *constants: int):
     """Arrow record batches with a row per key: the key, the constants and the bytes of each column's part."""
     import pyarrow as pa
 
-    by = np.argsort(key, kind="stable")
-    keys, first = np.unique(key[by], return_index=True)
+    if not len(key):
+        return
+    low = key.min()
+    # numpy orders 16 bits by radix
+    by = np.argsort((key - low).astype(np.uint16) if key.max() - low < 1 << 16 else key, kind="stable")
+    key, columns = key[by], [c[by] for c in columns]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     ends = np.append(first[1:], len(key))
-    columns = [c[by] for c in columns]
-    for k, at, end in zip(keys.tolist(), first.tolist(), ends.tolist()):
+    for k, at, end in zip(key[first].tolist(), first.tolist(), ends.tolist()):
         yield pa.RecordBatch.from_arrays(
             [*[pa.array([c], pa.int64()) for c in (k, *constants)], *[pa.array([c[at:end].tobytes()], pa.binary()) for c in columns]], schema=schema)
 
@@ -189,18 +217,16 @@ def _repeated(texts: DataFrame, text_col: str, order: int, buckets: int, turn: i
             last, code = [tokens, *codes_of(tokens)][order - 1:order + 1]
             inside = _inside(tokens)[order - 1]
             at = np.flatnonzero(inside & (code % turns == turn))
-            codes, first, n = np.unique(code[at], return_index=True, return_counts=True)
-            at = at[first]
-            yield from _dealt(codes // turns % buckets, [last[at], last[at + 1], n.astype(np.uint32)], schema)
+            by, first = _runs(code[at])
+            n, at = np.diff(first, append=len(at)), at[by[first]]
+            yield from _dealt(code[at] // turns % buckets, [last[at], last[at + 1], n.astype(np.uint32)], schema)
 
     def add(table):
         context, after = _joined(table, "context", np.int64), _joined(table, "next", np.int64)
-        code = pair(context, after)
-        by = np.argsort(code, kind="stable")
-        first = np.flatnonzero(np.diff(code[by], prepend=-1))
-        n = np.add.reduceat(_joined(table, "n", np.uint32)[by].astype(np.int64), first)
-        at, n = by[first[n >= LEAST]], n[n >= LEAST]
-        return pa.Table.from_arrays([pa.array(c) for c in (context[at], after[at], n, code[at])], schema=out)
+        code, n, at = _summed(pair(context, after), _joined(table, "n", np.uint32))
+        often = n >= LEAST
+        at = at[often]
+        return pa.Table.from_arrays([pa.array(c) for c in (context[at], after[at], n[often], code[often])], schema=out)
 
     return texts.select(text_col).mapInArrow(count, ddl).groupBy("bucket").applyInArrow(add, out_ddl)
 
@@ -219,33 +245,45 @@ def _nothing(kind=np.float64):
 
 @dataclass
 class Entries:
-    """Tokens, pairs or triples by their sorted codes."""
+    """Tokens, pairs or triples by their codes."""
 
     codes: np.ndarray = _nothing(np.int64)
     counts: np.ndarray = _nothing()
     values: np.ndarray = _nothing()     # what an occurrence adds to ln P of its last token, besides the root's part
     shares: np.ndarray = _nothing()     # as a context: ln of the factor of tokens without a pair, NaN where it is no state
 
-    marks: np.ndarray = _nothing(bool)  # whether an entry's code ends in these bits; spares most others the search
+    #: Places of entries by bits of their codes, -1 where there is none; entries whose place is taken are in the next table.
+    tables: list[np.ndarray] = field(default_factory=list)
 
     @staticmethod
     def of(codes, counts, values, shares) -> Entries:
-        by = np.argsort(codes, kind="stable")
-        marks = np.zeros(1 << (8 * len(codes)).bit_length(), bool)
-        marks[codes & (len(marks) - 1)] = True
-        return Entries(codes[by], counts[by], values[by], shares[by], marks)
+        tables, left = [], np.arange(len(codes), dtype=np.int32)
+        while len(left):
+            table = np.full(1 << (4 * len(left)).bit_length(), -1, np.int32)
+            at = Entries.bits(codes[left], len(tables), table)
+            table[at] = left
+            tables.append(table)
+            left = left[table[at] != left]
+        return Entries(codes, counts, values, shares, tables)
+
+    @staticmethod
+    def bits(codes: np.ndarray, level: int, table: np.ndarray) -> np.ndarray:
+        return (codes >> (7 * level % 35)) & (len(table) - 1)
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which codes are entries, and the entries' places."""
-        held = np.zeros(len(codes), bool)
-        if not len(self.codes):
-            return held, np.zeros(0, int)
-        at = np.flatnonzero(self.marks[codes & (len(self.marks) - 1)])
-        sought = codes[at]
-        k = np.minimum(np.searchsorted(self.codes, sought), len(self.codes) - 1)
-        same = self.codes[k] == sought
-        held[at[same]] = True
-        return held, k[same]
+        places = np.full(len(codes), -1, np.int32)
+        at, sought = None, codes
+        for level, table in enumerate(self.tables):
+            k = table[self.bits(sought, level, table)]
+            taken = np.flatnonzero(k >= 0)      # elsewhere there is no entry, in no table
+            k, sought = k[taken], sought[taken]
+            at = taken if at is None else at[taken]
+            same = self.codes[k] == sought
+            places[at[same]] = k[same]
+            at, sought = at[~same], sought[~same]
+        held = places >= 0
+        return held, places[held]
 
 
 @dataclass
@@ -299,7 +337,7 @@ class SuffixTree:
 
 
 def _states(pairs: DataFrame, totals: DataFrame, gain: float, weight: float) -> DataFrame:
-    """(``totals``, share) of the contexts that pass the divergence test.
+    """(``totals``, share) of all contexts, the share null where one does not pass the divergence test.
 
     ``pairs`` has context, n and above = ln P(next | suffix of the context); ``totals`` the contexts' counts."""
     n, above, seen, total = F.col("n"), F.col("above"), F.col("seen"), F.col("total")
@@ -312,12 +350,14 @@ def _states(pairs: DataFrame, totals: DataFrame, gain: float, weight: float) ->
     # what the kept pairs leave, for all other tokens in proportion to the suffix's distribution
     left = (total - seen + weight * (1 - F.col("expected"))) / (total + weight)
     share = F.log(F.greatest(left, F.lit(1e-12)) / rest_above)
-    return sums.join(totals, "context").filter(total * divergence >= gain).select(*totals.columns, share.alias("share"))
+    return totals.join(sums, "context", "left").select(*totals.columns, F.when(total * divergence >= gain, share).alias("share"))
 
 
 def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain: float = GAIN,
           weight: float = WEIGHT) -> tuple[SuffixTree, DataFrame]:
     """The tree, and the exact counts (token, n) of all training tokens."""
+    import pyarrow.compute as pc
+
     def log(total):        # of a pair in a state
         return F.log(F.col("n") + weight * F.exp("above")) - F.log(total + weight)
 
@@ -332,7 +372,7 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
     pairs = _land(_matched(found, totals.withColumnRenamed("context", "next"), "next", hot)
                  .select("context", "next", "n", "code", root.alias("above")), "pairs")
     forget(found)
-    tokens = _land(totals.join(_states(pairs, totals, gain, weight).select("context", "share"), "context", "left"), "contexts")
+    tokens = _land(_states(pairs, totals, gain, weight), "contexts")
     in_state = F.when(F.col("share").isNotNull(), log(F.col("total")))
     rooted = pairs
     pairs = _land(_matched(rooted, tokens, "context", hot).select(
@@ -348,10 +388,12 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
                             .select("context", "n", "code", "above"), "triples"))
         forget(found)
     each, triples = triples, reduce(DataFrame.unionByName, triples)
-    passed = _states(triples, pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix")), gain, weight)
+    passed = _land(_states(triples, pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix")), gain, weight)
+                   .filter("share is not null"), "passed")
     suffixes = tokens.filter("share is not null").select(F.col("context").alias("suffix"), "total")
     states = _land(_matched(passed.withColumnRenamed("total", "n"), suffixes, "suffix", hot)
                   .select("context", F.col("n").alias("total"), "share"), "contexts")
+    forget(passed)
     triples = _matched(triples, states, "context", hot)
 
     none = F.lit(None).cast("double")
@@ -362,22 +404,61 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
             .select(F.lit(1).alias("kind"), *columns[1:]))
     threes = triples.select(F.lit(2).alias("kind"), "code", F.col("n").alias("total"),
                             (log(F.col("total")) - F.col("above") - F.col("share")).alias("value"), none.alias("share"))
-    model = _land(ones.unionByName(twos).unionByName(threes), "model")
+    model = _land(_packed(ones.unionByName(twos).unionByName(threes), buckets, hot), "model")
     forget(tokens, pairs, states, *each)
-    sent = model.filter(F.col("total") >= hot).toArrow()       # 1 / share rows an order at most
-    kind, code, n, values, shares = (sent.column(c).to_numpy() for c in columns)
-    values = np.nan_to_num(values.astype(float))
-    orders = [Entries.of(*(c[kind == k] for c in (code, n.astype(float), values, shares.astype(float)))) for k in range(3)]
-    return SuffixTree(total, vocabulary, orders, model.filter(F.col("total") < hot)), counts
+    sent = model.filter("key < 0").toArrow()       # 1 / share entries an order at most
+    orders = []
+    for k in range(3):
+        own = sent.filter(pc.equal(sent.column("key"), -1 - k))
+        code, n, values, shares = (_joined(own, c, t) for c, t in zip(PACKED, (np.int64, np.int64, float, float)))
+        orders.append(Entries.of(code, n.astype(float), values, shares))
+    others = model.filter("key >= 0").select(F.expr(f"key div {buckets}").alias("kind"), "key", *PACKED[:3])
+    return SuffixTree(total, vocabulary, orders, others), counts
+
+
+PACKED = ["codes", "totals", "adds", "shares"]
+
+
+def _packed(entries: DataFrame, buckets: int, hot: int) -> DataFrame:
+    """Entries (kind, code, total, value, share) as arrays (key, ``PACKED``): with a total of ``hot`` under -1 - kind, with
+    the value and, NaN where there is none, the share; others under kind * buckets + bucket with the sum of the two, and with
+    totals for tokens only."""
+    ddl = f"key long, {', '.join(f'{c} binary' for c in PACKED)}"
+    schema = arrow_schema(ddl)
+
+    def dealt(parts):
+        kind, code, total, value, share = (np.concatenate(c) for c in zip(*parts))
+        value, often = np.nan_to_num(value), total >= hot
+        yield from _dealt(-1 - kind[often], [c[often] for c in (code, total, value, share)], schema)
+        value += np.nan_to_num(share)
+        for own in (~often & (kind == 0), ~often & (kind > 0)):
+            kinds, codes = kind[own], code[own]
+            none = np.zeros((len(codes), 0))
+            totals = none if kinds.any() else total[own]
+            yield from _dealt(kinds * buckets + codes % buckets, [codes, totals, value[own], none], schema)
+
+    def pack(batches):
+        parts, n = [], 0
+        for batch in batches:
+            ints = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)]
+            parts.append([*ints, *(batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (3, 4))])
+            n += batch.num_rows
+            if n >= FLUSH // 2:
+                yield from dealt(parts)
+                parts, n = [], 0
+        if n:
+            yield from dealt(parts)
+
+    return entries.mapInArrow(pack, ddl)
 
 
 def _buckets(total: int) -> int:
     return max(32, math.ceil(total / BUCKET))
 
 
-def _answers(rows: DataFrame, sent, others: DataFrame, turn: int) -> DataFrame:
-    """Tokens, known tokens, ln P and base ln P of rows (row, text) in parts: what the table adds for the codes whose turn
-    it is, in the first turn also the rest; without the root's part of tokens that aren't known."""
+def _answers(rows: DataFrame, sent, others: DataFrame) -> DataFrame:
+    """Tokens, known tokens, ln P and base ln P of rows (row, text) in parts: what a task knows, and what the table adds;
+    without the root's part of tokens that aren't known."""
     import pyarrow as pa
 
     total = sent.value.total
@@ -387,18 +468,18 @@ def _answers(rows: DataFrame, sent, others: DataFrame, turn: int) -> DataFrame:
 
     def ask(batches):
         own = sent.value
-        for kept, tokens, many in _gathered(batches, ["row", "text"], FLUSH // 2):
+        for kept, tokens, many in _gathered(batches, ["row", "text"], FLUSH // 4):
             rows = np.array([k for k, in kept])
             logs, base, known, asked = own.told(tokens)
-            if not turn:        # known at once: goes by the rows' block, under keys of its own
-                first = np.cumsum(many) - many
-                parts = np.stack([many, *[np.add.reduceat(c, first) for c in (known.astype(float), logs, base)]], axis=1)
-                for block in np.unique(rows >> 16).tolist():
-                    at = np.flatnonzero(rows >> 16 == block)
-                    yield from _dealt(np.full(len(at), -1 - block), [parts[at], (rows[at] & 0xFFFF).astype(np.uint16)], schema, block)
+            # known at once: goes by the rows' block, under keys of its own
+            first = np.cumsum(many) - many
+            parts = np.stack([many, *[np.add.reduceat(c, first) for c in (known.astype(float), logs, base)]], axis=1)
+            for block in np.unique(rows >> 16).tolist():
+                at = np.flatnonzero(rows >> 16 == block)
+                yield from _dealt(np.full(len(at), -1 - block), [parts[at], (rows[at] & 0xFFFF).astype(np.uint16)], schema, block)
             row = np.repeat(rows, many)
-            found = [(kind, codes, np.flatnonzero(ask & (codes % SLICES == turn))) for kind, (codes, ask) in enumerate(asked)]
-            keys = np.concatenate([kind * buckets + codes[at] // SLICES % buckets for kind, codes, at in found])
+            found = [(kind, codes, np.flatnonzero(ask)) for kind, (codes, ask) in enumerate(asked)]
+            keys = np.concatenate([kind * buckets + codes[at] % buckets for kind, codes, at in found])
             codes = np.concatenate([codes[at] for _, codes, at in found])
             row = np.concatenate([row[at] for _, _, at in found])
             for block in np.unique(row >> 16).tolist():
@@ -415,18 +496,16 @@ def _answers(rows: DataFrame, sent, others: DataFrame, turn: int) -> DataFrame:
         row = np.repeat(asked.column("block").to_numpy() << 16, [len(c) // 2 for c in asked.column("places").to_pylist()]) + places
         if asked.column("key")[0].as_py() < 0:
             return filled(row, *_joined(asked, "codes", float).reshape(-1, 4).T)
-        code, n, value = (entries.column(c).to_numpy() for c in ("code", "total", "value"))
+        code, n, value = (_joined(entries, c, t) for c, t in zip(PACKED, (np.int64, np.int64, float)))
         table = Entries.of(code, n, value, value)
         held, at = table.find(_joined(asked, "codes", np.int64))
         row, which = np.unique(row[held], return_inverse=True)
         ln, base, known = np.bincount(which, table.values[at], len(row)), np.zeros(len(row)), np.zeros(len(row))
-        if entries.column("kind")[0].as_py() == 0:
+        if entries.column("key")[0].as_py() < buckets:
             base, known = np.bincount(which, sent.value.root(table.counts[at]), len(row)), np.bincount(which, minlength=len(row))
         return filled(row, np.zeros(len(row)), known, ln + base, base)
 
-    added = F.coalesce("value", F.lit(0.0)) + F.coalesce("share", F.lit(0.0))
-    entries = others.filter(F.col("code") % SLICES == turn).select(
-        F.expr(f"kind * {buckets} + (code div {SLICES}) % {buckets}").alias("key"), "kind", "code", "total", added.alias("value"))
+    entries = others.select("key", *PACKED[:3])
     return rows.select("row", "text").mapInArrow(ask, ddl).groupBy("key").cogroup(entries.groupBy("key")).applyInArrow(answer, out_ddl)
 
 
@@ -441,9 +520,10 @@ def score_documents(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep:
     rows = _land(columns.withColumn("row", F.monotonically_increasing_id()), "texts")
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "known", "ln", "base")]
     told = reduce(DataFrame.unionByName, [
-        _land(_answers(rows, sent, tree.others, turn).groupBy("row").agg(*sums), "told") for turn in range(SLICES)])
+        _land(_answers(rows.filter(F.col("row") % SLICES == turn), sent, tree.others).groupBy("row").agg(*sums), "told")
+        for turn in range(SLICES)])
     unknown = (F.col("n_tokens") - F.col("known")) * float(tree.root(np.zeros(1))[0])
     scores = [((F.col(c) + unknown) / math.log(10)).alias(name) for c, name in (("base", "base_score"), ("ln", "score"))]
-    return rows.drop("text").join(told.groupBy("row").agg(*sums), "row").select(
+    return rows.drop("text").join(told, "row").select(
         *[F.col(h).alias(c) for h, c in zip(carried, held)], "n_tokens", F.col("known").alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"), *scores)

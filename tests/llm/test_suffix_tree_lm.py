@@ -3,11 +3,12 @@ import math
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from rostrum.llm.queries import QUERIES
-from rostrum.llm.suffix_tree_lm import END, Words, _repeated, score_documents, train
+from rostrum.llm.suffix_tree_lm import END, Entries, Words, _answers, _repeated, _token_counts, score_documents, train
 
 
 def tokens(text):
@@ -163,3 +164,32 @@ def test_tables_leave_no_shuffle_files(spark, docs, monkeypatch):
     tree, counts = train(docs([(1, "a b a b a b a b"), (2, "a b c")]))
     assert score_documents(docs([(1, "a b")]), tree, counts).count() == 1
     assert len(seen) > 8 and all(seen) and spark.conf.get(session.CLEANUP, None) == before
+
+
+def test_entries_are_found_also_where_low_bits_are_equal():
+    rng = np.random.default_rng(5)
+    codes = np.unique(np.concatenate([rng.integers(0, 2**63, 3000), np.arange(50) << 40, [END]]))
+    rng.shuffle(codes)
+    entries = Entries.of(codes, codes.astype(float), codes.astype(float), codes.astype(float))
+    sought = np.concatenate([codes[::3], rng.integers(0, 2**63, 2000), codes[:10], np.arange(60) << 40])
+    held, at = entries.find(sought)
+    assert held.tolist() == np.isin(sought, codes).tolist() and entries.codes[at].tolist() == sought[held].tolist()
+    assert [x.tolist() for x in Entries().find(sought[:2])] == [[False, False], []]
+
+
+def test_tokens_and_entries_go_as_arrays(spark, docs):
+    """A row per task and bucket; a text is asked about once, whatever the number of slices."""
+    texts = [" ".join(f"w{(k * j) % 97}" for j in range(300)) for k in range(1, 30)]
+    frame = docs(list(enumerate(texts)))
+    plan = _token_counts(frame, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "HashAggregate" not in plan
+    want = Counter(t for text in texts for t in tokens(text))
+    assert Counter(r.n for r in _token_counts(frame, "text").collect()) == Counter(want.values())
+    tree, _ = train(frame, share=0.5)
+    rows = tree.others.collect()
+    assert sum(len(r.codes) // 8 for r in rows) > 10 * len({r.key for r in rows})
+    assert all(len(r.adds) == len(r.codes) and len(r.totals) == len(r.codes) * (r.kind == 0) for r in rows)
+    sent = spark.sparkContext.broadcast(replace(tree, others=None))
+    held = frame.withColumn("row", frame.doc_id.cast("long"))
+    asked = [_answers(held.filter(held.row % 2 == turn), sent, tree.others).groupBy("row").sum("n_tokens").collect() for turn in (0, 1)]
+    assert {r[0]: r[1] for part in asked for r in part} == {k: len(tokens(t)) for k, t in enumerate(texts)}
