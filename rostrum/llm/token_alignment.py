@@ -16,7 +16,9 @@ same result: pairs that make up at least ``share`` of all (1 / share at most) ar
 sent to every task, the others are joined on the pair, where none is hot.
 
 Side A is byte-level BPE, side B SentencePiece; both as the libraries do without
-special tokens, whose strings are plain text.
+special tokens, whose strings are plain text. Where the files allow it tiktoken makes the
+same ids for both (``PieceRanks``; tests compare them); other files, and on side B texts with
+two spaces in a row, go to the libraries themselves.
 
 Defined results: texts that are null or empty, or whose joined token bytes on a side
 differ from a space and the text (the normaliser of a side changed them), have no
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 from collections import Counter
 from functools import lru_cache
 
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from ..session import land
 from .byte_bpe import byte_characters, load_tokenizer
 from .common import array_batches, arrow_schema, as_batches, rows_of
+from .sentencepiece_bpe import BYTE, MARK, NORMAL, UNUSED, USER, _fields
 
 SHARE = 2e-6
 FLUSH = 1_500_000       # pairs that a task gathers before it hands on their counts
@@ -47,6 +51,64 @@ PART = 50_000           # distinct pairs of a document in one row
 HALF = 32               # bits of an id in a pair
 
 
+class PieceRanks:
+    """Ids of a merge-type SentencePiece model by tiktoken, whose rule is the same: the best-scored neighbours merge first, from
+    the left, if their text is a piece.
+
+    It begins with bytes, the model with characters, so the bytes of each known character merge before all else; bytes
+    that stay alone are byte pieces. Words that are pieces are taken whole, so pieces that the model itself cuts are left out.
+    Equal scores are only allowed in runs of spaces, which aren't for this encoder."""
+
+    def __init__(self, ranks: dict[bytes, int], ids: list[tuple[int, ...]]):
+        import tiktoken
+
+        self.fast = tiktoken.Encoding("pieces", pat_str=" +[^ ]*|[^ ]+", mergeable_ranks=ranks, special_tokens={})
+        self.many = ids
+        self.single = np.array([i[0] if len(i) == 1 else -1 for i in ids], np.int64)
+
+    @staticmethod
+    def of(path: str, model) -> PieceRanks | None:
+        """None for a model with other rules."""
+        with open(path, "rb") as file:
+            fields = list(_fields(file.read()))
+        trainer, normalizer = (dict(_fields(next((v for k, v in fields if k == number), b""))) for number in (2, 3))
+        if trainer.get(3) != 2 or normalizer.get(2) or normalizer.get(4, 1) or not normalizer.get(3, 1) or not normalizer.get(5, 1):
+            return None
+        pieces = [dict(_fields(v)) for k, v in fields if k == 1]
+        kinds = [p.get(3, NORMAL) for p in pieces]
+        normal = {p[1].decode(): i for i, (p, kind) in enumerate(zip(pieces, kinds)) if kind == NORMAL}
+        by_byte = {int(p[1][1:-1], 16): i for i, (p, kind) in enumerate(zip(pieces, kinds)) if kind == BYTE}
+        scores = {text: struct.unpack("<f", pieces[i].get(2, bytes(4)))[0] for text, i in normal.items() if len(text) > 1 and MARK * 2 not in text}
+        if (USER in kinds or UNUSED in kinds or len(by_byte) != 256 or len(set(scores.values())) < len(scores) or " " in normal
+                or MARK not in normal or any(MARK in text.lstrip(MARK) or " " in text or not normal.keys() >= set(text) for text in normal)):
+            return None
+        spaced = {(" " if text == MARK else text).encode(): i for text, i in normal.items() if len(text) == 1}
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = [(spaced.get(bytes([b]), by_byte[b]),) for b in range(256)]
+        for char in spaced:
+            for n in range(2, len(char)):
+                if ranks.setdefault(char[:n], len(ids)) == len(ids):
+                    ids.append(tuple(by_byte[b] for b in char[:n]))
+        for char, i in spaced.items():
+            if len(char) > 1:
+                ranks[char] = len(ids)
+                ids.append((i,))
+        for text in sorted(scores, key=scores.get, reverse=True):
+            spaces = text.replace(MARK, " ")
+            if spaces[0] != " " or model.encode(spaces[1:]) == [normal[text]]:
+                ranks[spaces.encode()] = len(ids)
+                ids.append((normal[text],))
+        return PieceRanks(ranks, ids)
+
+    def ids(self, spaced: str) -> np.ndarray:
+        """Ids of a text that begins with a space, without a space mark and without two spaces in a row."""
+        ranks = self.fast.encode_to_numpy(spaced, disallowed_special=())
+        ids = self.single[ranks]
+        if len(ids) and ids.min() < 0:       # a few bytes of an unknown character
+            ids = np.array([i for rank in ranks.tolist() for i in self.many[rank]], np.int64)
+        return ids
+
+
 class Sides:
     """The two tokenizers, and the bytes of their tokens."""
 
@@ -62,6 +124,7 @@ class Sides:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
+        self.b_fast = PieceRanks.of(b_path, self.b)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in entries], np.int64) for entries in (self.a_bytes, self.b_bytes))
 
     def a_ids(self, text: str) -> np.ndarray:
@@ -74,6 +137,9 @@ class Sides:
 
     def b_ids(self, text: str, raw: bytes) -> list[int]:
         """Ids of side B, none where they don't join to ``raw``, the bytes of a space and the text."""
+        spaced = " " + text
+        if self.b_fast is not None and MARK not in text and "  " not in spaced:
+            return self.b_fast.ids(spaced).tolist()         # they join to the text's bytes
         ids = self.b.encode(text)
         return ids if b"".join(map(self.b_bytes.__getitem__, ids)) == raw else []
 

@@ -1,5 +1,6 @@
 """Groups, links and counts against a plain computation with the libraries."""
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -142,3 +143,26 @@ def test_common_ends_are_those_of_dictionaries():
             tables.append(table)
         both = sorted(tables[0].keys() & tables[1].keys())
         assert [c.tolist() for c in cut[4:]] == [[table[e] for e in both] for table in tables]
+
+
+def test_quick_ids_are_those_of_sentencepiece():
+    sides, rng = T.load_sides(BYTE_TOKENIZER, PIECE_MODEL), random.Random(3)
+    quick = sides.b_fast.ids
+    pieces = [sides.b.id_to_piece(i).replace("▁", " ") for i in range(sides.b.get_piece_size())]
+    characters = [chr(c) for c in [*range(0x250), *range(0x5d0, 0x600), *range(0x4e00, 0x4f00), *range(0x1f600, 0x1f620)]]
+    texts = [t for _, t in HOSTILE if t] + pieces + [f"x{c}y {c}" for c in characters]
+    texts += ["".join(rng.choices(rng.choice([pieces, characters, list(" ab\né日")]), k=rng.randint(1, 30))) for _ in range(3000)]
+    for text in texts:
+        if "▁" not in text and "  " not in " " + text:
+            assert quick(" " + text).tolist() == sides.b.encode(text)
+        raw = (" " + text).encode()
+        joined = b"".join(sides.b_bytes[i] for i in sides.b.encode(text))
+        assert sides.b_ids(text, raw) == (sides.b.encode(text) if joined == raw else [])
+
+
+def test_without_quick_ids_the_same(monkeypatch):
+    monkeypatch.setattr(T.PieceRanks, "of", staticmethod(lambda path, model: None))
+    sides = T.Sides(BYTE_TOKENIZER, PIECE_MODEL)
+    assert sides.b_fast is None
+    quick = T.load_sides(BYTE_TOKENIZER, PIECE_MODEL)
+    assert [sides.groups(t) for _, t in HOSTILE[:9]] == [quick.groups(t) for _, t in HOSTILE[:9]]
