@@ -17,7 +17,7 @@ Tokens are words and one end token a text. The tree's contexts are the last
   is a state.
 
 Counting hands on arrays, one a task and bucket of codes, and sums them bucket by
-bucket. The tree is a written table of arrays that grows with the input. Its entries that make up
+bucket; tokens, pairs and triples are counted together, each turn those with its share of the codes. The tree is a written table of arrays that grows with the input. Its entries that make up
 at least ``share`` of all training tokens, 1 / share an order at most, are sent to
 every task. What isn't among them is asked for by code, again in arrays by bucket;
 ln P is the sum of what its entries add, so answers are summed a row and texts stay
@@ -50,7 +50,8 @@ FLUSH = 1_500_000     # keys that a task gathers before it hands them on
 BUCKET = 3_000_000    # keys of a bucket
 LONGEST = 64          # bytes of a word that is hashed with others at once
 AT_ONCE = 1 << 18     # bytes of texts that are hashed at once
-TURNS = 2             # triples are counted by turns, by their code, so that fewer are on the disk at a time
+TURNS = 2             # tokens, pairs and triples are counted by turns, by their code, so that fewer are on the disk at a time
+WORD_BYTES = 4        # bytes of a token and the space behind it, at least about; only the number of buckets hangs on it
 SLICES = 4            # so are the rows that are scored
 TOKEN_BUCKETS = 512   # tokens are counted before their number is known
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -140,21 +141,7 @@ def _gathered(batches, columns: list[str], size: int = FLUSH):
 
 def _token_counts(texts: DataFrame, text_col: str) -> DataFrame:
     """(token, n); tasks sum before they hand on."""
-    import pyarrow as pa
-
-    ddl, out_ddl = "bucket long, tokens binary, n binary", "token long, n long"
-    schema, out = arrow_schema(ddl), arrow_schema(out_ddl)
-
-    def count(batches):
-        for _, tokens, _ in _gathered(batches, [text_col]):
-            token, n = np.unique(tokens, return_counts=True)
-            yield from _dealt(token % TOKEN_BUCKETS, [token, n.astype(np.uint32)], schema)
-
-    def add(table):
-        token, n, _ = _summed(_joined(table, "tokens", np.int64), _joined(table, "n", np.uint32))
-        return pa.Table.from_arrays([pa.array(token), pa.array(n)], schema=out)
-
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy("bucket").applyInArrow(add, out_ddl)
+    return _counted(texts, text_col, (0,), TOKEN_BUCKETS).select(F.col("context").alias("token"), "n")
 
 
 def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,21 +170,32 @@ def _inside(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return two, two[:-1] & two[1:]
 
 
-def _dealt(key: np.ndarray, columns: list[np.ndarray], schema, *constants: int):
-    """Arrow record batches with a row per key: the key, the constants and the bytes of each column's part."""
+def _dealt(key: np.ndarray, columns: list[np.ndarray], schema, *constants: int, counts: np.ndarray | None = None):
+    """Arrow record batches with a row per key: the key, the constants and the bytes of each column's part.
+
+    ``counts``, from 1, become the last column, without the ones, which stand first (``_with_ones``)."""
     import pyarrow as pa
 
     if not len(key):
         return
     low = key.min()
     # numpy orders 16 bits by radix
-    by = np.argsort((key - low).astype(np.uint16) if key.max() - low < 1 << 16 else key, kind="stable")
+    short = (key - low).astype(np.uint16) if key.max() - low < 1 << 16 else key
+    if counts is None:
+        by = np.argsort(short, kind="stable")
+    else:
+        by = np.concatenate([np.flatnonzero(counts == 1), np.flatnonzero(counts > 1)])
+        by = by[np.argsort(short[by], kind="stable")]
     key, columns = key[by], [c[by] for c in columns]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     ends = np.append(first[1:], len(key))
+    more = np.zeros(0) if counts is None else counts[by]
     for k, at, end in zip(key[first].tolist(), first.tolist(), ends.tolist()):
+        parts = [c[at:end].tobytes() for c in columns]
+        if counts is not None:
+            parts.append(more[at:end][more[at:end] > 1].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array([c], pa.int64()) for c in (k, *constants)], *[pa.array([c[at:end].tobytes()], pa.binary()) for c in columns]], schema=schema)
+            [*[pa.array([c], pa.int64()) for c in (k, *constants)], *[pa.array([c], pa.binary()) for c in parts]], schema=schema)
 
 
 def _joined(table, name: str, kind) -> np.ndarray:
@@ -205,37 +203,67 @@ def _joined(table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
-def _repeated(texts: DataFrame, text_col: str, order: int, buckets: int, turn: int, turns: int) -> DataFrame:
-    """(context, next, n, code) of the pairs (order 1) or triples (order 2) that occur at least ``LEAST`` times."""
+def _with_ones(table, name: str, size: np.ndarray) -> np.ndarray:
+    """The counts of a column that ``_dealt`` wrote, ``size`` of them a row."""
+    n = np.ones(size.sum(), np.uint32)
+    for end, held in zip(np.cumsum(size).tolist(), table.column(name).to_pylist()):
+        n[end - len(held) // 4:end] = np.frombuffer(held, np.uint32)
+    return n
+
+
+def _counted(texts: DataFrame, text_col: str, orders: tuple[int, ...], buckets: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """(kind, context, next, n, code) by order: tokens (0; the token is the context and the code), all; pairs (1) and triples (2)
+    that occur at least ``LEAST`` times. Of all of them those whose code is of the turn."""
     import pyarrow as pa
 
-    ddl, out_ddl = "bucket long, context binary, next binary, n binary", "context long, next long, n long, code long"
+    ddl, out_ddl = "key long, context binary, next binary, n binary", "kind int, context long, next long, n long, code long"
     schema, out = arrow_schema(ddl), arrow_schema(out_ddl)
 
     def count(batches):
         for _, tokens, _ in _gathered(batches, [text_col]):
-            last, code = [tokens, *codes_of(tokens)][order - 1:order + 1]
-            inside = _inside(tokens)[order - 1]
-            at = np.flatnonzero(inside & (code % turns == turn))
-            by, first = _runs(code[at])
-            n, at = np.diff(first, append=len(at)), at[by[first]]
-            yield from _dealt(code[at] // turns % buckets, [last[at], last[at + 1], n.astype(np.uint32)], schema)
+            codes, inside = (tokens, *codes_of(tokens)), (None, *_inside(tokens))
+            for order in orders:
+                code = codes[order]
+                if turns > 1:
+                    own = code % turns == turn
+                    at = np.flatnonzero(own if order == 0 else own & inside[order])
+                else:
+                    at = np.arange(len(code)) if order == 0 else np.flatnonzero(inside[order])
+                code = code[at]
+                by, first = _runs(code)
+                n, code, at = np.diff(first, append=len(at)).astype(np.uint32), code[by[first]], at[by[first]]
+                last = codes[order - 1]
+                columns = [last[at], last[at + 1]] if order else [code, np.zeros((len(at), 0))]
+                yield from _dealt(order * buckets + code // turns % buckets, columns, schema, counts=n)
 
     def add(table):
-        context, after = _joined(table, "context", np.int64), _joined(table, "next", np.int64)
-        code, n, at = _summed(pair(context, after), _joined(table, "n", np.uint32))
-        often = n >= LEAST
-        at = at[often]
-        return pa.Table.from_arrays([pa.array(c) for c in (context[at], after[at], n[often], code[often])], schema=out)
+        kind = table.column("key")[0].as_py() // buckets
+        context = _joined(table, "context", np.int64)
+        n = _with_ones(table, "n", np.array([len(c) // 8 for c in table.column("context").to_pylist()]))
+        if kind == 0:
+            code, n, _ = _summed(context, n)
+            columns = code, np.zeros(len(code), np.int64), n, code
+        else:
+            after = _joined(table, "next", np.int64)
+            code, n, at = _summed(pair(context, after), n)
+            often = n >= LEAST
+            at = at[often]
+            columns = context[at], after[at], n[often], code[often]
+        return pa.Table.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *map(pa.array, columns)], schema=out)
+
+    return texts.select(text_col).mapInArrow(count, ddl).groupBy("key").applyInArrow(add, out_ddl)
+
 
-    return texts.select(text_col).mapInArrow(count, ddl).groupBy("bucket").applyInArrow(add, out_ddl)
+def _repeated(texts: DataFrame, text_col: str, order: int, buckets: int, turn: int, turns: int) -> DataFrame:
+    """(context, next, n, code) of the pairs (order 1) or triples (order 2) that occur at least ``LEAST`` times."""
+    return _counted(texts, text_col, (order,), buckets, turn, turns).drop("kind")
 
 
-def _matched(rows: DataFrame, entries: DataFrame, key: str, hot: int) -> DataFrame:
-    """Inner join on ``key``, unique in ``entries``; rows of keys with a total of ``hot`` (few keys) stay where they are."""
+def _matched(rows: DataFrame, entries: DataFrame, key: str, hot: int, how: str = "inner") -> DataFrame:
+    """Inner or left join on ``key``, unique in ``entries``; rows of keys with a total of ``hot`` (few keys) stay where they are."""
     frequent = F.broadcast(entries.filter(F.col("total") >= hot))
     rare = entries.filter(F.col("total") < hot)
-    return rows.join(frequent, key).unionByName(rows.join(frequent.select(key), key, "left_anti").join(rare, key))
+    return rows.join(frequent, key).unionByName(rows.join(frequent.select(key), key, "left_anti").join(rare, key, how))
 
 
 # ------------------------------------------------------------------ the tree
@@ -361,17 +389,18 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
     def log(total):        # of a pair in a state
         return F.log(F.col("n") + weight * F.exp("above")) - F.log(total + weight)
 
-    counts = _land(_token_counts(texts, text_col), "tokens")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
+    found = [_land(_counted(texts, text_col, (0, 1, 2), _buckets(size // WORD_BYTES), turn, TURNS), "counted") for turn in range(TURNS)]
+    by_order = [reduce(DataFrame.unionByName, [f.filter(F.col("kind") == k).drop("kind") for f in found]) for k in range(3)]
+    counts = _land(by_order[0].select(F.col("context").alias("token"), "n"), "tokens")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot = max(LEAST, math.ceil(share * total))
     totals = counts.select(F.col("token").alias("context"), F.col("n").alias("total"))
     buckets = _buckets(total)
 
     root = F.log((F.col("total") + 0.5) / (total + 0.5 * (vocabulary + 1)))
-    found = _land(_repeated(texts, text_col, 1, buckets, 0, 1), "repeated")
-    pairs = _land(_matched(found, totals.withColumnRenamed("context", "next"), "next", hot)
+    pairs = _land(_matched(by_order[1], totals.withColumnRenamed("context", "next"), "next", hot)
                  .select("context", "next", "n", "code", root.alias("above")), "pairs")
-    forget(found)
     tokens = _land(_states(pairs, totals, gain, weight), "contexts")
     in_state = F.when(F.col("share").isNotNull(), log(F.col("total")))
     rooted = pairs
@@ -381,31 +410,29 @@ def train(texts: DataFrame, text_col: str = "text", share: float = SHARE, gain:
     forget(rooted)
 
     # A triple is the pair of its first two tokens as the context, and that of its last two.
-    triples = []
-    for turn in range(TURNS):
-        found = _land(_repeated(texts, text_col, 2, buckets, turn, TURNS), "repeated")
-        triples.append(_land(_matched(found, pairs.select(F.col("code").alias("next"), "total", "above"), "next", hot)
-                            .select("context", "n", "code", "above"), "triples"))
-        forget(found)
-    each, triples = triples, reduce(DataFrame.unionByName, triples)
-    passed = _land(_states(triples, pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix")), gain, weight)
-                   .filter("share is not null"), "passed")
+    triples = _land(_matched(by_order[2], pairs.select(F.col("code").alias("next"), "total", "above"), "next", hot)
+                   .select("context", "n", "code", "above"), "triples")
+    forget(*found)
+    # What a pair adds and whether it is a state: it passes the test, and its suffix is a state too.
+    contexts = pairs.select(F.col("code").alias("context"), "total", F.col("next").alias("suffix"), "value")
+    matters = (F.col("total") >= hot) | F.col("value").isNotNull() | F.col("share").isNotNull()
+    passed = _land(_states(triples, contexts, gain, weight).filter(matters), "passed")
+    forget(pairs)
     suffixes = tokens.filter("share is not null").select(F.col("context").alias("suffix"), "total")
-    states = _land(_matched(passed.withColumnRenamed("total", "n"), suffixes, "suffix", hot)
-                  .select("context", F.col("n").alias("total"), "share"), "contexts")
-    forget(passed)
-    triples = _matched(triples, states, "context", hot)
+    judged = _land(_matched(passed.filter("share is not null").withColumnRenamed("total", "n"), suffixes, "suffix", hot, "left")
+                  .select("context", F.col("n").alias("total"), "value", F.when(F.col("total").isNotNull(), F.col("share")).alias("share")), "contexts")
+    states = judged.filter("share is not null").select("context", "total", "share")
 
     none = F.lit(None).cast("double")
     columns = ["kind", "code", "total", "value", "share"]
     ones = tokens.select(F.lit(0).alias("kind"), F.col("context").alias("code"), "total", none.alias("value"), "share")
-    twos = (pairs.join(states.select(F.col("context").alias("code"), "share"), "code", "left")
-            .filter((F.col("total") >= hot) | F.col("value").isNotNull() | F.col("share").isNotNull())
-            .select(F.lit(1).alias("kind"), *columns[1:]))
-    threes = triples.select(F.lit(2).alias("kind"), "code", F.col("n").alias("total"),
-                            (log(F.col("total")) - F.col("above") - F.col("share")).alias("value"), none.alias("share"))
+    twos = (passed.filter("share is null").select(*judged.columns).unionByName(judged.filter(matters))
+            .select(F.lit(1).alias("kind"), F.col("context").alias("code"), *columns[2:]))
+    threes = _matched(triples, states, "context", hot).select(
+        F.lit(2).alias("kind"), "code", F.col("n").alias("total"),
+        (log(F.col("total")) - F.col("above") - F.col("share")).alias("value"), none.alias("share"))
     model = _land(_packed(ones.unionByName(twos).unionByName(threes), buckets, hot), "model")
-    forget(tokens, pairs, states, *each)
+    forget(tokens, passed, judged, triples)
     sent = model.filter("key < 0").toArrow()       # 1 / share entries an order at most
     orders = []
     for k in range(3):

@@ -193,3 +193,25 @@ def test_tokens_and_entries_go_as_arrays(spark, docs):
     held = frame.withColumn("row", frame.doc_id.cast("long"))
     asked = [_answers(held.filter(held.row % 2 == turn), sent, tree.others).groupBy("row").sum("n_tokens").collect() for turn in (0, 1)]
     assert {r[0]: r[1] for part in asked for r in part} == {k: len(tokens(t)) for k, t in enumerate(texts)}
+
+
+def test_tokens_pairs_and_triples_are_counted_in_the_same_passes(spark, docs, monkeypatch):
+    from rostrum.llm import suffix_tree_lm
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 40, 300)) for _ in range(20)] + [None, "once only", "w1"]
+    want = [Counter(), Counter(), Counter()]
+    for t in texts:
+        w = tokens(t)
+        want[0].update(w), want[1].update(zip(w, w[1:])), want[2].update(zip(w, w[1:], w[2:]))
+    frame = docs(list(enumerate(texts)))
+    found = [r for turn in range(3) for r in suffix_tree_lm._counted(frame, "text", (0, 1, 2), 5, turn, 3).collect()]
+    assert len({(r.kind, r.code) for r in found}) == len(found)
+    for kind, least in enumerate((1, 2, 2)):
+        assert Counter(r.n for r in found if r.kind == kind) == Counter(n for n in want[kind].values() if n >= least)
+    passes = []
+    counted = suffix_tree_lm._counted
+    monkeypatch.setattr(suffix_tree_lm, "_counted", lambda *args: passes.append(args[2]) or counted(*args))
+    tree, counts = train(frame)
+    assert passes == [(0, 1, 2)] * suffix_tree_lm.TURNS and sorted(r.n for r in counts.collect()) == sorted(want[0].values())
+    assert (tree.total, tree.vocabulary) == (sum(want[0].values()), len(want[0]))
