@@ -7,7 +7,8 @@ until nothing changes, every node hangs on the smallest node of its component
 aren't needed. Every step is a grouped minimum, combined before the shuffle, and a
 join whose skewed keys Spark splits; no neighbour list is ever gathered in one
 place. Each round is written to the shared folder, so lost executors cost one
-round at most.
+round at most. As the links are counted each round, few links go to few files and
+not to one for each partition of the shuffle.
 """
 from __future__ import annotations
 
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from ..session import land
 
+FILES = 8            # of a round, if the shuffle has more partitions
+LINKS = 1 << 17      # more files from FILES times as many links on, in proportion
+
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
     """Links (u > v), each node hung on the smallest of its neighbours and itself."""
@@ -39,7 +43,7 @@ def components(links: DataFrame) -> DataFrame:
         if mark == before:
             break
         before = mark
-        links = land(_stars(_stars(links, True), False), "links")
+        links = land(_stars(_stars(links, True), False).coalesce(max(FILES, mark[0] // LINKS)), "links")
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionByName(roots)
